@@ -1,0 +1 @@
+"""Left empty on purpose: the work is daily batch, with no stream, watermark or stateful operator."""
