@@ -48,7 +48,7 @@ def cycles(orders: DataFrame) -> DataFrame:
         f"CASE WHEN {k} % 5 IN (2, 3) THEN NULL ELSE {later('900')} END AS tiem_cola",
         f"CASE WHEN {k} % 5 IN (2, 3) THEN NULL ELSE {later('960')} END AS tiem_retro",
         f"CASE WHEN {k} < 2 THEN NULL ELSE {later('990')} END AS tiem_listo",
-        f"{later('1020')} AS tiem_descarga",
+        f"date_format({later('1020')}, 'yyyy-MM-dd HH:mm:ss') AS tiem_descarga",
         f"CASE WHEN {k} % 17 = 0 THEN NULL ELSE {later('1080')} END AS tiem_viajando",
         f"CASE WHEN {k} % 31 = 30 THEN {later('1')} END AS tiem_elimin",
         f"CASE WHEN {k} % 101 = 0 THEN 0 ELSE 200 + {k} % 50 END AS tonelaje",
