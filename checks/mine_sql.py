@@ -60,10 +60,10 @@ tp_palas AS (
 ta_datacarga_sensores AS (
   SELECT ((l_orderkey * 1000000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber AS id,
     l_orderkey // 2 AS id_palas, l_orderkey + 7 AS id_cargadescarga,
-    encode({_listed('i')}) AS coord_x, encode({_listed('i + 1')}) AS coord_y, encode({_listed('i + 2')}) AS coord_z,
-    encode({_listed('i * 10')}) AS angulo_giro,
+    encode({_listed('i')}) AS coord_x, encode('{{' || l_linenumber || '}}') AS coord_y,
+    encode('{{' || l_linenumber || '}}') AS coord_z, encode('{{' || l_partkey || '}}') AS angulo_giro,
     {_listed('CAST(trunc(400 + 5 * l_quantity) AS BIGINT) + i')} AS tonelaje,
-    encode({_listed('i * 7')}) AS duracion_excavacion, l_extendedprice AS angulo_giro_promedio,
+    encode('{{' || l_suppkey || '}}') AS duracion_excavacion, l_extendedprice AS angulo_giro_promedio,
     CASE WHEN l_partkey % 5 <> 0 THEN l_partkey % 2 = 0 END AS has_block,
     CASE WHEN l_suppkey % 10 = 9 THEN l_shipdate END AS tiem_elimin
   FROM lineitem),
@@ -121,9 +121,13 @@ _LOW, _HIGH = "TIMESTAMP '2023-12-31 00:00:00'", "TIMESTAMP '2024-02-01 00:00:00
 
 
 def _ready(since: str, to: str) -> str:
-    """READY seconds by pairing the span with every interval of its equipment (small data only)."""
+    """READY seconds by pairing the span with every interval of its equipment (small data only).
+
+    A span that ends before it starts holds no time.
+    """
     return f"""
-    CASE WHEN {since} IS NOT NULL AND {to} IS NOT NULL AND id_equipo_carguio IS NOT NULL THEN
+    CASE WHEN {to} <= {since} AND id_equipo_carguio IS NOT NULL THEN 0
+      WHEN {since} IS NOT NULL AND {to} IS NOT NULL AND id_equipo_carguio IS NOT NULL THEN
       coalesce((SELECT sum(epoch_us(least(i.until, {to})) - epoch_us(greatest(i.since, {since}))) FROM ready_spans i
         WHERE i.id_equipo = c.id_equipo_carguio AND i.since < {to} AND i.until > {since}), 0) / 1e6 END"""
 

@@ -110,11 +110,11 @@ def sensor_rows(lineitem: DataFrame) -> DataFrame:
         "l_orderkey div 2 AS id_palas",
         "l_orderkey + 7 AS id_cargadescarga",
         f"encode({listed('i')}, 'UTF-8') AS coord_x",
-        f"encode({listed('i + 1')}, 'UTF-8') AS coord_y",
-        f"encode({listed('i + 2')}, 'UTF-8') AS coord_z",
-        f"encode({listed('i * 10')}, 'UTF-8') AS angulo_giro",
+        "encode(concat('{', l_linenumber, '}'), 'UTF-8') AS coord_y",
+        "encode(concat('{', l_linenumber, '}'), 'UTF-8') AS coord_z",
+        "encode(concat('{', l_partkey, '}'), 'UTF-8') AS angulo_giro",
         f"{listed('CAST(400 + 5 * l_quantity AS BIGINT) + i')} AS tonelaje",
-        f"encode({listed('i * 7')}, 'UTF-8') AS duracion_excavacion",
+        "encode(concat('{', l_suppkey, '}'), 'UTF-8') AS duracion_excavacion",
         "l_extendedprice AS angulo_giro_promedio",
         "CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_partkey % 2 = 0 END AS has_block",
         "CASE WHEN l_suppkey % 10 = 9 THEN l_shipdate END AS tiem_elimin",

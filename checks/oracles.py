@@ -42,8 +42,8 @@ _ORACLES = {
     "ready_time": """WITH spans AS (SELECT user_id, event_type, ts AS since,
           coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), TIMESTAMP '2100-01-01') AS until FROM events),
         days AS (SELECT DISTINCT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events)
-        SELECT d.user_id, d.day, coalesce(sum(epoch_us(least(until, day + INTERVAL 1 DAY)) - epoch_us(greatest(since, day))), 0) / 1e6
-          AS seconds FROM days d LEFT JOIN spans s ON s.user_id = d.user_id AND event_type = 'view'
+        SELECT d.user_id, d.day, coalesce(sum(epoch_us(least(until, day + INTERVAL 1 DAY)) - epoch_us(greatest(since, day)))
+          FILTER (WHERE since IS NOT NULL), 0) / 1e6 AS seconds FROM days d LEFT JOIN spans s ON s.user_id = d.user_id AND event_type = 'view'
           AND since < day + INTERVAL 1 DAY AND until > day GROUP BY ALL""",
     "state_per_key": """SELECT user_id, event_id, ts, event_type FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

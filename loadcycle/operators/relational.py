@@ -71,6 +71,12 @@ def total_order(df: DataFrame, first: Sequence[Column], named: Sequence[str]) ->
     return [*first, *rest]
 
 
+def by_content(df: DataFrame) -> Column:
+    """A sort key from the whole row: no preference, but the same choice on every run and retry."""
+    kept = [F.col(f"`{f.name}`") for f in df.schema if _orderable(f.dataType)]
+    return F.xxhash64(*kept)
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row of every key under ``order``.
 
@@ -84,13 +90,12 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
     """A dimension without repeated keys; rows whose key is null can match nothing and go."""
-    return keep_one(df.where(F.col(key).isNotNull()), [key], total_order(df, [], [key]))
+    return keep_one(df.where(F.col(key).isNotNull()), [key], [by_content(df)])
 
 
 def latest_per_key(df: DataFrame, key: str, by: str) -> DataFrame:
     """Newest version of every key."""
-    order = total_order(df, [F.col(by).desc_nulls_last()], [key, by])
-    return keep_one(df.where(F.col(key).isNotNull()), [key], order)
+    return keep_one(df.where(F.col(key).isNotNull()), [key], [F.col(by).desc_nulls_last(), by_content(df)])
 
 
 # Joins --------------------------------------------------------------------------------------
@@ -120,8 +125,9 @@ def three_level_tree(nodes: DataFrame, key: str, parent: str, name: str, is_grou
     return leaves.join(groups, F.col(parent) == F.col("id_secundario"))
 
 
-def names_up_the_tree(df: DataFrame, nodes: DataFrame, key: str, parent: str, name: str, start: str,
-                      first: str, second: str) -> DataFrame:
+def names_up_the_tree(
+    df: DataFrame, nodes: DataFrame, key: str, parent: str, name: str, start: str, first: str, second: str
+) -> DataFrame:
     """Name of the node that ``start`` points at, and of that node's parent."""
     unique = one_per_key(nodes.select(key, parent, name), key)
     near = unique.select(F.col(key).alias("__near"), F.col(name).alias(first), F.col(parent).alias("__up"))

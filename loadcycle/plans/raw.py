@@ -12,15 +12,16 @@ from loadcycle.operators import intervals
 from loadcycle.operators.ordered import previous_in_group, time_slice
 from loadcycle.operators.relational import (
     alive,
+    by_content,
     keep_one,
     latest_per_key,
     names_up_the_tree,
     one_per_key,
     strictly_between,
     three_level_tree,
-    total_order,
 )
 from loadcycle.plans import fixed_values as fixed
+from loadcycle.sources.scratch import cut
 
 SLICE_SECONDS = 3600
 
@@ -34,10 +35,11 @@ def equipment(tables: Mapping[str, DataFrame]) -> DataFrame:
 def state_types(tables: Mapping[str, DataFrame]) -> DataFrame:
     """State details with the names of the two levels above."""
     tree = tables["ts_detal_estado"]
-    leaves = one_per_key(tree.select("id_detal_estado", "id_tipo_estad", F.col("nombre").alias("estado_detalle")), "id_detal_estado")
-    return names_up_the_tree(
+    leaves = tree.select("id_detal_estado", "id_tipo_estad", F.col("nombre").alias("estado_detalle"))
+    named = names_up_the_tree(
         leaves, tree, "id", "id_tipo_estad", "nombre", "id_tipo_estad", "estado_secundario", "estado_primario"
     )
+    return one_per_key(named, "id_detal_estado")
 
 
 def current_states(tables: Mapping[str, DataFrame], types: DataFrame) -> DataFrame:
@@ -52,9 +54,8 @@ def current_states(tables: Mapping[str, DataFrame], types: DataFrame) -> DataFra
         F.col("idenestado").alias("en_campo_o_taller_mantenimiento"),
         "tipoubicacionsupervisor",
     )
-    newest = [F.col("tiempo_inicio_cambio_estado").desc_nulls_last(), F.col("id").desc_nulls_last()]
-    order = total_order(log, newest, ["id_equipo", "tiempo_inicio_cambio_estado", "id"])
-    return keep_one(log, ["id_equipo"], order).join(types, "id_detal_estado", "left")
+    newest = [F.col("tiempo_inicio_cambio_estado").desc_nulls_last(), F.col("id").desc_nulls_last(), by_content(log)]
+    return keep_one(log, ["id_equipo"], newest).join(types, "id_detal_estado", "left")
 
 
 def ready_log(tables: Mapping[str, DataFrame], types: DataFrame) -> DataFrame:
@@ -98,12 +99,11 @@ def shovel_loads(tables: Mapping[str, DataFrame], types: DataFrame, low, high) -
         loads, end, ["id_equipo_carguio"], [start, "load_id"], time_slice(F.col(start), SLICE_SECONDS),
         "previous_esperando_pala",
     )
-    order = total_order(loads, [F.col("load_id").desc()], ["id_palas", "load_id"])
-    loads = keep_one(loads, ["id_palas"], order)
+    loads = keep_one(loads, ["id_palas"], [F.col("load_id").desc(), by_content(loads)])
+    # the loads are read three times below and the changes twice, so neither is computed again
+    loads, changes = cut(loads, "loads"), cut(ready_log(tables, types), "ready-changes")
     spans = {"tiempo_ready_cargando": (start, end), "tiempo_ready_esperando": ("previous_esperando_pala", start)}
-    return intervals.ready_seconds(
-        loads, ready_log(tables, types), "id_palas", "id_equipo_carguio", spans, SLICE_SECONDS
-    )
+    return intervals.ready_seconds(loads, changes, "id_palas", "id_equipo_carguio", spans, SLICE_SECONDS)
 
 
 def haul_cycles(
@@ -117,10 +117,15 @@ def haul_cycles(
 
     ``cycle_id_is_key`` says that no cycle id repeats (a primary key); the shuffle that would drop
     repeats is then left out.
+
+    Machines, state types and current states (one row per machine or type) come out of joins and
+    windows, so Spark could only guess their size and would shuffle the wide cycles for them. They
+    are written to the scratch folder first: their true size then decides between broadcast and
+    shuffle.
     """
     low, high = F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")
-    types = state_types(tables)
-    machines, states = equipment(tables), current_states(tables, types)
+    types = cut(state_types(tables), "state-types")
+    machines, states = cut(equipment(tables), "machines"), cut(current_states(tables, types), "states")
     shifts = one_per_key(alive(tables["ts_turnos"]).select("id", "id_turnos", "nombre", "horaini", "horafin"), "id")
     nodes = alive(tables["tp_nodos"])
     load_nodes = one_per_key(nodes.where("loc_carga"), "id")
@@ -128,7 +133,7 @@ def haul_cycles(
 
     cycles = strictly_between(alive(tables["tp_cargadescarga"]), "tiem_llegada", low, high)
     if not cycle_id_is_key:
-        cycles = keep_one(cycles, ["id"], total_order(cycles, [], ["id"]))
+        cycles = keep_one(cycles, ["id"], [by_content(cycles)])
 
     def left(df, right, role, condition):
         return df.join(right.alias(role), F.expr(condition), "left")
