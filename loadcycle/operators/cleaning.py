@@ -32,52 +32,59 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 # Profile ------------------------------------------------------------------------------------
 
+def _present(field: T.StructField) -> Column:
+    """Number of values that are there."""
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return F.expr(f"count(nullif(`{field.name}`, CAST('NaN' AS DOUBLE)))")
+    return F.expr(f"count(`{field.name}`)")
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Column, null count and null percentage, most nulls first. One pass, one row of counters."""
-    names = df.columns
     counts = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.count_if(missing(f)).alias(f"__n{i}") for i, f in enumerate(df.schema)]
+        F.count(F.lit(1)).alias("__rows"), *[_present(f).alias(f"__n{i}") for i, f in enumerate(df.schema)]
+    )
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(f"__n{i}").alias("present")) for i, c in enumerate(df.columns)]
     )
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__n{i}").alias("nulls")) for i, c in enumerate(names)])
-    long = counts.select("__rows", F.explode(pairs).alias("p")).select("p.column", "p.nulls", "__rows")
+    long = counts.select("__rows", F.explode(pairs).alias("p")).select("p.column", "p.present", "__rows")
+    long = long.select("column", (F.col("__rows") - F.col("present")).alias("nulls"), "__rows")
     percent = F.try_divide(F.col("nulls") * F.lit(100.0), F.col("__rows"))
     return long.select("column", "nulls", percent.alias("percent")).orderBy(F.desc("nulls"), "column")
 
 
 @dataclass(frozen=True)
 class ColumnFacts:
-    """What one aggregate over the whole frame says about its columns."""
+    """What aggregates over the whole frame say about its columns."""
 
     rows: int
     nulls: Mapping[str, int]
-    dates: tuple[str, ...]
-    nulls_once_parsed: Mapping[str, int]
+    dates: tuple[str, ...] = ()
 
     def sparse(self, threshold: float = 80.0) -> list[str]:
-        """Columns with strictly more than ``threshold`` percent nulls, dates counted as parsed."""
-        counts = {**self.nulls, **{c: self.nulls_once_parsed[c] for c in self.dates}}
-        return [c for c, n in counts.items() if n * 100 > threshold * self.rows]
+        """Columns with strictly more than ``threshold`` percent nulls."""
+        return [c for c, n in self.nulls.items() if n * 100 > threshold * self.rows]
 
 
-def column_facts(df: DataFrame) -> ColumnFacts:
-    """Row count, nulls, date-like text columns and their nulls after parsing: one job, one row back.
+def column_facts(df: DataFrame, find_dates: bool = False) -> ColumnFacts:
+    """Row count and nulls per column; with ``find_dates`` also the text columns that hold a date.
 
-    Parsing makes nulls that the sparse test has to see, so both are counted in the same pass.
+    One aggregate, one row back. Parsing turns unreadable text into null, which the sparse test has
+    to see, so date columns are counted again as parsed, in a pass that reads only them.
     """
     fields = list(df.schema)
-    texts = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
+    texts = [f.name for f in fields if isinstance(f.dataType, T.StringType)] if find_dates else []
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(missing(f)).alias(f"n{i}") for i, f in enumerate(fields)],
+        *[_present(f).alias(f"n{i}") for i, f in enumerate(fields)],
         *[F.bool_or(times.looks_like_date(_name(c))).alias(f"d{i}") for i, c in enumerate(texts)],
-        *[F.count_if(times.parse_wall_time(_name(c)).isNull()).alias(f"p{i}") for i, c in enumerate(texts)],
     ).first()
-    return ColumnFacts(
-        rows=row["rows"],
-        nulls={f.name: row[f"n{i}"] for i, f in enumerate(fields)},
-        dates=tuple(c for i, c in enumerate(texts) if row[f"d{i}"]),
-        nulls_once_parsed={c: row[f"p{i}"] for i, c in enumerate(texts)},
-    )
+    nulls = {f.name: row["rows"] - row[f"n{i}"] for i, f in enumerate(fields)}
+    dates = tuple(c for i, c in enumerate(texts) if row[f"d{i}"])
+    if dates:
+        parsed = df.agg(*[F.count(times.parse_wall_time(_name(c))).alias(f"p{i}") for i, c in enumerate(dates)]).first()
+        nulls.update({c: row["rows"] - parsed[f"p{i}"] for i, c in enumerate(dates)})
+    return ColumnFacts(row["rows"], nulls, dates)
 
 
 def drop_sparse_columns(df: DataFrame, threshold: float = 80.0, facts: ColumnFacts | None = None) -> DataFrame:
@@ -87,8 +94,9 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 80.0, facts: ColumnFac
 
 def localize_dates(df: DataFrame, zone: str, facts: ColumnFacts | None = None) -> DataFrame:
     """Text columns that hold a date become UTC timestamps shown on the wall clock of ``zone``."""
-    found = (facts or column_facts(df)).dates
-    return df.withColumns({c: times.to_zone(times.parse_wall_time(_name(c)), zone) for c in found})
+    found = (facts or column_facts(df, find_dates=True)).dates
+    moved = {c: times.to_zone(times.parse_wall_time(_name(c)), zone) for c in found}
+    return df.withColumns(moved) if moved else df
 
 
 # Imputation ---------------------------------------------------------------------------------
@@ -113,11 +121,14 @@ def impute_mode(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def fill_zero(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     """Null becomes 0, False or '0' by type; timestamps, arrays and bytes stay null."""
-    of = lambda *kinds: [f.name for f in df.schema if isinstance(f.dataType, kinds) and f.name not in skip]
-    filled = {c: F.when(missing(df.schema[c]), F.lit(0).cast(df.schema[c].dataType)).otherwise(_name(c)) for c in of(T.NumericType)}
-    filled |= {c: F.coalesce(_name(c), F.lit(False)) for c in of(T.BooleanType)}
-    filled |= {c: F.coalesce(_name(c), F.lit("0")) for c in of(T.StringType)}
-    return df.withColumns(filled)
+
+    def of(kind: type) -> list[str]:
+        return [f"`{f.name}`" for f in df.schema if isinstance(f.dataType, kind) and f.name not in skip]
+
+    for kind, zero in ((T.NumericType, 0), (T.BooleanType, False), (T.StringType, "0")):
+        if of(kind):
+            df = df.na.fill(zero, of(kind))
+    return df
 
 
 def normalize_flag(df: DataFrame, columns: Sequence[str], legacy_zero: bool = False) -> DataFrame:
@@ -159,16 +170,19 @@ def drop_duplicates_first(df: DataFrame, subset: Sequence[str], order: Sequence[
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Casts for the columns present; fractions are cut off on the way to an integer."""
-    present = {c: t for c, t in types.items() if c in df.columns}
+    # unreadable text has no boolean value, everything else converts or raises
+    convert = {"boolean": "try_cast"}
+    have = set(df.columns)
     return df.withColumns(
-        {c: text.as_flag(_name(c)) if t == "boolean" else _name(c).cast(t) for c, t in present.items()}
+        {c: F.expr(f"{convert.get(t, 'cast')}(`{c}` AS {t})") for c, t in types.items() if c in have}
     )
 
 
 def shift_timestamps(df: DataFrame, columns: Sequence[str], milliseconds: int) -> DataFrame:
-    return df.withColumns({c: times.shift(_name(c), milliseconds) for c in columns})
+    shifted = {c: times.shift(_name(c), milliseconds) for c in columns}
+    return df.withColumns(shifted) if shifted else df
 
 
 def without_zones(df: DataFrame) -> DataFrame:
-    zoned = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({c: times.without_zone(_name(c)) for c in zoned})
+    zoned = {f.name: times.without_zone(_name(f.name)) for f in df.schema if isinstance(f.dataType, T.TimestampType)}
+    return df.withColumns(zoned) if zoned else df

@@ -31,6 +31,18 @@ def key_slice(key: Column, width: int) -> Column:
     return F.floor(key / F.lit(width)).cast("long")
 
 
+def slice_width(df: DataFrame, key: str, rows_per_slice: int = 10_000, most_slices: int = 100_000) -> int:
+    """Width that gives about ``rows_per_slice`` rows a slice, and no more slices than ``most_slices``.
+
+    One pass over the key column.
+    """
+    row = df.agg(F.count(key).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
+    if not row["n"]:
+        return 1
+    slices = min(most_slices, row["n"] // rows_per_slice + 1)
+    return (row["high"] - row["low"]) // slices + 1
+
+
 def _before(keys: Sequence[str]):
     """All earlier slices of the group."""
     return W.partitionBy(*keys).orderBy(F.col(_SLICE).asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)

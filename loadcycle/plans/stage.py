@@ -26,7 +26,7 @@ class StageOptions:
     ``strict``          raise when a column the steps name is absent, instead of leaving it out
     ``sparse_above``    columns with more than this percentage of nulls go
     ``zone``            wall clock of the dates found in text
-    ``slice_width``     cycle ids per slice of the forward fill
+    ``slice_width``     cycle ids per slice of the forward fill; looked up from the data by default
     """
 
     min_passes: int | None = None
@@ -36,7 +36,7 @@ class StageOptions:
     strict: bool = False
     sparse_above: float = 80.0
     zone: str = fixed.ZONE
-    slice_width: int = 1_000_000
+    slice_width: int | None = None
 
 
 def drop_sparse_only(raw: DataFrame, sparse_above: float = 80.0) -> DataFrame:
@@ -53,23 +53,22 @@ def required_columns() -> list[str]:
 
 def complete(raw: DataFrame, options: StageOptions) -> DataFrame:
     """Dates parsed, sparse columns gone, nulls filled, duplicates dropped."""
-    facts = cleaning.column_facts(raw)
-    df = cleaning.localize_dates(raw, options.zone, facts) if options.find_dates else raw
-    sparse = facts.sparse(options.sparse_above) if options.find_dates else [
-        c for c, n in facts.nulls.items() if n * 100 > options.sparse_above * facts.rows
-    ]
-    df = df.drop(*sparse).drop(*fixed.DROPPED_EARLY)
-    missing = [c for c in required_columns() if c not in df.columns]
+    facts = cleaning.column_facts(raw, options.find_dates)
+    df = cleaning.localize_dates(raw, options.zone, facts)
+    df = cleaning.drop_sparse_columns(df, options.sparse_above, facts).drop(*fixed.DROPPED_EARLY)
+    have = set(df.columns)
+    missing = [c for c in required_columns() if c not in have]
     if options.strict and missing:
         raise ValueError(f"columns absent or too sparse: {', '.join(missing)}")
 
-    df = cleaning.impute_mode(df, [c for c in fixed.MODE_COLUMNS if c in df.columns])
-    dates = [c for c in fixed.DATE_COLUMNS if c in df.columns]
+    df = cleaning.impute_mode(df, [c for c in fixed.MODE_COLUMNS if c in have])
+    dates = [c for c in fixed.DATE_COLUMNS if c in have]
     as_time = {c: times.parse_wall_time(F.col(c)) for c in dates if isinstance(df.schema[c].dataType, T.StringType)}
-    df = cleaning.without_zones(df.withColumns(as_time))
-    df = ordered.fill_forward(df, dates, "id_ciclo_acarreo", options.slice_width, fixed.FILL_OFFSET_MS)
+    df = cleaning.without_zones(df.withColumns(as_time) if as_time else df)
+    width = options.slice_width or ordered.slice_width(raw, "id_ciclo_acarreo")
+    df = ordered.fill_forward(df, dates, "id_ciclo_acarreo", width, fixed.FILL_OFFSET_MS)
     df = cleaning.shift_timestamps(df, dates, fixed.SHIFT_MS)
-    flags = [c for c in fixed.FLAG_COLUMNS if c in df.columns]
+    flags = [c for c in fixed.FLAG_COLUMNS if c in have]
     # a boolean with gaps is no criterion for duplicates
     gappy = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)
              and f.name not in fixed.MODE_COLUMNS and facts.nulls.get(f.name)]
