@@ -133,9 +133,7 @@ def state_per_key(spark, d):
 @_query
 def prev_event(spark, d):
     events = _t(spark, d, "events").select("event_id", "user_id", "ts")
-    return ordered.previous_in_group(
-        events, "ts", ["user_id"], ["ts", "event_id"], ordered.time_slice(F.col("ts"), 86_400), "previous_ts"
-    )
+    return ordered.previous_in_group(events, "ts", ["user_id"], ["ts", "event_id"], "previous_ts")
 
 
 # Filters and projections --------------------------------------------------------------------
@@ -263,7 +261,7 @@ def topk(spark, d):
 def ffill_offset(spark, d):
     key = F.col("event_id")
     events = _t(spark, d, "events").select("event_id", F.when(~((key < 2) | (key % 5).isin(2, 3)), F.col("ts")).alias("ts"))
-    return ordered.fill_forward(events, ["ts"], "event_id", 1000, 3000)
+    return ordered.fill_forward(events, ["ts"], "event_id", 3000)
 
 
 @_query

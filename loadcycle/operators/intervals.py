@@ -15,38 +15,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadcycle.functions import times
-from loadcycle.operators.ordered import previous_in_group, running_sums
-
-SLICE_SECONDS = 3600
+from loadcycle.operators.ordered import Bounds, previous_in_group, running_sums
 
 
 def ready_changes(
-    states: DataFrame, group: str, start: str, ready: str, tie: str, slice_seconds: int = SLICE_SECONDS
+    states: DataFrame, group: str, start: str, ready: str, tie: str, bounds: Bounds | None = None
 ) -> DataFrame:
-    """Instants at which a group turns READY (+1) or stops being READY (-1)."""
-    micros_slice = F.call_function("div", F.col("at"), F.lit(slice_seconds * 1_000_000).cast("long"))
+    """Instants (microseconds) at which a group turns READY (+1) or stops being READY (-1).
+
+    Of several states that start together only the last one by ``tie`` lasts; the others collapse
+    in an aggregate before the shuffle.
+    """
     log = states.where(F.col(start).isNotNull() & F.col(group).isNotNull()).select(
         F.col(group).alias("group"),
         times.micros(F.col(start)).alias("at"),
         F.col(tie).alias("tie"),
         F.coalesce(F.col(ready), F.lit(False)).cast("long").alias("now"),
     )
-    log = previous_in_group(log, "now", ["group"], ["at", "tie"], micros_slice, "before")
+    log = log.groupBy("group", "at").agg(F.max_by("now", "tie").alias("now"))
+    log = previous_in_group(log, "now", ["group"], ["at"], "before", bounds)
     change = F.col("now") - F.coalesce(F.col("before"), F.lit(0))
     return log.select("group", "at", change.alias("turn")).where(F.col("turn") != 0)
 
 
-def ready_clock(changes: DataFrame, instants: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """READY microseconds up to every instant: adds ``clock`` to ``instants`` (columns group, at, ...)."""
-    micros_slice = F.call_function("div", F.col("at"), F.lit(slice_seconds * 1_000_000).cast("long"))
+def ready_clock(changes: DataFrame, instants: DataFrame, bounds: Bounds | None = None) -> DataFrame:
+    """READY microseconds of a group up to an instant, for distinct ``instants`` (columns group, at)."""
     turns = changes.select("group", "at", "turn", (F.col("turn") * F.col("at")).alias("turned"), F.lit(False).alias("asked"))
-    asked = instants.withColumns(
-        {"turn": F.lit(0).cast("long"), "turned": F.lit(0).cast("long"), "asked": F.lit(True)}
-    )
-    both = asked.unionByName(turns, allowMissingColumns=True)
-    summed = running_sums(both, ["turn", "turned"], ["group"], ["at", "asked"], micros_slice).where("asked")
+    zero = F.lit(0).cast("long")
+    asked = instants.select("group", "at", zero.alias("turn"), zero.alias("turned"), F.lit(True).alias("asked"))
+    summed = running_sums(asked.unionByName(turns), ["turn", "turned"], ["group"], ["at", "asked"], bounds)
     clock = F.col("turn") * F.col("at") - F.col("turned")
-    return summed.withColumn("clock", clock).drop("turn", "turned", "asked")
+    return summed.where("asked").select("group", "at", clock.alias("clock"))
 
 
 def ready_seconds(
@@ -55,12 +54,12 @@ def ready_seconds(
     row_id: str,
     group: str,
     spans: Mapping[str, tuple[str, str]],
-    slice_seconds: int = SLICE_SECONDS,
+    bounds: Bounds | None = None,
 ) -> DataFrame:
     """One column per span ``{name: (from, to)}`` with the READY seconds of the row's group in it.
 
     ``row_id`` is unique. A span without both ends, or without a group, is null; one that ends
-    before it starts is 0.
+    before it starts is 0. Clocks are worked out once per distinct group and instant.
     """
     moments: Sequence[str] = sorted({m for span in spans.values() for m in span})
     points = F.array(*[F.struct(F.lit(m).alias("point"), times.micros(F.col(m)).alias("at")) for m in moments])
@@ -70,18 +69,14 @@ def ready_seconds(
         .select("row_id", "group", "p.point", "p.at")
         .where(F.col("at").isNotNull())
     )
-    clocks = ready_clock(changes, instants, slice_seconds)
-    per_row = clocks.groupBy("row_id").agg(
+    clocks = ready_clock(changes, instants.select("group", "at").distinct(), bounds)
+    per_row = instants.join(clocks, ["group", "at"]).groupBy("row_id").agg(
         *[F.max(F.when(F.col("point") == m, F.col("clock"))).alias(f"__{m}") for m in moments]
     )
-    seconds = {
-        name: F.greatest(F.col(f"__{to}") - F.col(f"__{since}"), F.lit(0)) / F.lit(1e6)
-        for name, (since, to) in spans.items()
-    }
-    # greatest() skips nulls, so a missing end has to be said
-    seconds = {
-        name: F.when(F.col(f"__{spans[name][0]}").isNotNull() & F.col(f"__{spans[name][1]}").isNotNull(), value)
-        for name, value in seconds.items()
-    }
-    found = per_row.select("row_id", *[v.alias(n) for n, v in seconds.items()])
+
+    def seconds(since: str, to: str):
+        both = F.col(f"__{since}").isNotNull() & F.col(f"__{to}").isNotNull()
+        return F.when(both, F.greatest(F.col(f"__{to}") - F.col(f"__{since}"), F.lit(0)) / F.lit(1e6))
+
+    found = per_row.select("row_id", *[seconds(*span).alias(name) for name, span in spans.items()])
     return df.join(found, F.col(row_id) == F.col("row_id"), "left").drop("row_id")

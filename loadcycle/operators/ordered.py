@@ -1,46 +1,91 @@
 """Ordered work without one task per group.
 
 A window over a whole group (or over the whole table) runs in one task. Here the order is cut into
-slices first: a small frame holds one summary per slice, a running pass over that frame says what
-every slice inherits from the ones before it, and that inheritance enters the slice as an opening
-row. The large window then runs per slice, so a group that holds a third of all rows spreads over
-as many tasks as it has slices.
+slices at quantiles of the data, so every slice holds about the same number of rows whatever the
+distribution. A small frame holds one summary per group and slice, a running pass over that frame
+says what every slice inherits from the ones before it, and that inheritance enters the slice as an
+opening row. The large window then runs per group and slice: a group that holds a third of all rows
+spreads over a third of the slices.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from loadcycle.functions import times
 
 _SLICE = "__slice"
 _ROW = "__row"  # 0 for the opening row of a slice, 1 for data
+MOST_SLICES = 10_000
 
 
-def time_slice(moment: Column, seconds: int) -> Column:
-    """Number of the ``seconds``-wide slice a moment falls in."""
-    return F.call_function("div", times.micros(moment), F.lit(seconds * 1_000_000).cast("long"))
+@dataclass(frozen=True)
+class Bounds:
+    """Where an order is cut. They decide how work is spread, never what comes out.
 
+    ``heavy`` are positions that more than one slice of rows share; those rows are cut again by
+    the second column of the order, at ``tie_cuts``.
+    """
+
+    cuts: tuple[float, ...] = ()
+    heavy: tuple[float, ...] = ()
+    tie_cuts: tuple[float, ...] = ()
+
+    def merged(self, other: Bounds) -> Bounds:
+        """Cuts of both, for rows that come from two sources."""
+        return Bounds(tuple(sorted({*self.cuts, *other.cuts})))
 
-def key_slice(key: Column, width: int) -> Column:
-    """Number of the ``width``-wide slice an integer key falls in."""
-    return F.floor(key / F.lit(width)).cast("long")
 
+def _position(df: DataFrame, column: str) -> Column:
+    """Place in the order as a number; whole microseconds are exact in a double until the year 2255."""
+    if isinstance(df.schema[column].dataType, (T.TimestampNTZType, T.TimestampType)):
+        return times.micros(F.col(column).cast("timestamp_ntz")).cast("double")
+    return F.col(column).cast("double")
 
-def slice_width(df: DataFrame, key: str, rows_per_slice: int = 10_000, most_slices: int = 100_000) -> int:
-    """Width that gives about ``rows_per_slice`` rows a slice, and no more slices than ``most_slices``.
 
-    One pass over the key column.
+def slice_bounds(df: DataFrame, order: Sequence[str], slices: int | None = None) -> Bounds:
+    """Quantiles of the order, from one pass that reads its first two columns only.
+
+    By default there are four slices per shuffle partition, so the spread follows the cluster.
     """
-    row = df.agg(F.count(key).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
-    if not row["n"]:
-        return 1
-    slices = min(most_slices, row["n"] // rows_per_slice + 1)
-    return (row["high"] - row["low"]) // slices + 1
+    wanted = slices or min(MOST_SLICES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shares = [i / wanted for i in range(1, wanted)]
+    if not shares:
+        return Bounds()
+    columns = [f"__p{i}" for i, _ in enumerate(order[:2])]
+    positions = df.select(*[_position(df, c).alias(p) for c, p in zip(order, columns)])
+    first, *rest = positions.stat.approxQuantile(columns, shares, 0.25 / wanted)
+    heavy = sorted(v for v, times_seen in Counter(first).items() if times_seen > 1)
+    cuts = sorted({*first, *(math.nextafter(v, math.inf) for v in heavy)})
+    return Bounds(tuple(cuts), tuple(heavy), tuple(sorted(set(rest[0]))) if rest and heavy else ())
+
+
+def _bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
+    if not cuts:
+        return df.withColumn(name, F.lit(0.0))
+    splits = [-math.inf, *cuts, math.inf]
+    return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+
+
+def _sliced(df: DataFrame, order: Sequence[str], bounds: Bounds) -> DataFrame:
+    """Number the slices; they follow each other in ``order``, rows without a position come last."""
+    at = _position(df, order[0])
+    out = _bucket(df.withColumn("__at", at), "__at", bounds.cuts, "__bucket")
+    number = F.col("__bucket")
+    if bounds.tie_cuts:
+        out = _bucket(out.withColumn("__tie", _position(df, order[1])), "__tie", bounds.tie_cuts, "__sub")
+        sub = F.when(F.col("__at").isin(list(bounds.heavy)), F.col("__sub")).otherwise(F.lit(0.0))
+        number = number * F.lit(float(len(bounds.tie_cuts) + 2)) + sub
+    return out.withColumn(_SLICE, number.cast("long")).drop("__at", "__bucket", "__tie", "__sub")
 
 
 def _before(keys: Sequence[str]):
@@ -58,10 +103,10 @@ def _rank_struct(order: Sequence[str]) -> Column:
 
 
 def previous_in_group(
-    df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], slice_by: Column, name: str
+    df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], name: str, bounds: Bounds | None = None
 ) -> DataFrame:
-    """``lag(value)`` per group. ``slice_by`` must grow with the first column of ``order``."""
-    data = df.withColumn(_SLICE, slice_by)
+    """``lag(value)`` per group. ``order`` is total: a time or number first, then a unique number."""
+    data = _sliced(df, order, bounds or slice_bounds(df, order))
     tails = data.groupBy(*keys, _SLICE).agg(F.max_by(F.struct(F.col(value)), _rank_struct(order)).alias("__tail"))
     inherited = W.partitionBy(*keys).orderBy(F.col(_SLICE).asc_nulls_last())
     opening = tails.withColumn("__open", F.lag("__tail").over(inherited)).where(F.col("__open").isNotNull())
@@ -72,41 +117,54 @@ def previous_in_group(
     return united.withColumn(name, F.lag("__value").over(window)).where(F.col(_ROW) == 1).drop(_SLICE, _ROW, "__value")
 
 
-def fill_forward(df: DataFrame, columns: Sequence[str], key: str, width: int, offset_ms: int = 0) -> DataFrame:
-    """Null becomes the last value before it in ``key`` order, ``offset_ms`` later.
-
-    The offset does not add up over a run of nulls, and nulls before the first value stay. ``key``
-    is a unique integer, so ``width`` bounds the rows of a slice.
-    """
-    if not columns:
-        return df
-    data = df.withColumn(_SLICE, key_slice(F.col(key), width))
-    tails = data.groupBy(_SLICE).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(key))).alias(c) for c in columns]
-    )
-    # one row per `width` keys, so this unpartitioned window sees the summary only
-    opening = tails.select(
-        _SLICE, F.lit(0).alias(_ROW), *[F.last(c, ignorenulls=True).over(_before([])).alias(c) for c in columns]
-    )
-    united = data.withColumn(_ROW, F.lit(1)).unionByName(opening, allowMissingColumns=True)
-    window = W.partitionBy(_SLICE).orderBy(F.col(_ROW), F.col(key)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    known = {f"__known_{i}": F.last(c, ignorenulls=True).over(window) for i, c in enumerate(columns)}
-    filled = united.withColumns(known).where(F.col(_ROW) == 1)
-    filled = filled.withColumns(
-        {c: F.coalesce(F.col(c), times.shift(F.col(f"__known_{i}"), offset_ms)) for i, c in enumerate(columns)}
-    )
-    return filled.select(*[F.col(f"`{c}`") for c in df.columns])
-
-
 def running_sums(
-    df: DataFrame, columns: Sequence[str], keys: Sequence[str], order: Sequence[str], slice_by: Column
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str], order: Sequence[str], bounds: Bounds | None = None
 ) -> DataFrame:
     """Every column replaced by its running total per group, the current row included."""
-    data = df.withColumn(_SLICE, slice_by)
+    data = _sliced(df, order, bounds or slice_bounds(df, order))
     totals = data.groupBy(*keys, _SLICE).agg(*[F.sum(c).alias(c) for c in columns])
-    opening = totals.select(*keys, _SLICE, F.lit(0).alias(_ROW), *[F.sum(c).over(_before(keys)).alias(c) for c in columns])
+    opening = totals.select(
+        *keys, _SLICE, F.lit(0).alias(_ROW), *[F.sum(c).over(_before(keys)).alias(c) for c in columns]
+    )
     united = data.withColumn(_ROW, F.lit(1)).unionByName(opening, allowMissingColumns=True)
     window = W.partitionBy(*keys, _SLICE).orderBy(F.col(_ROW), *_nulls_last(order))
     window = window.rowsBetween(W.unboundedPreceding, W.currentRow)
     summed = united.withColumns({f"__sum_{c}": F.sum(c).over(window) for c in columns}).where(F.col(_ROW) == 1)
     return summed.withColumns({c: F.col(f"__sum_{c}") for c in columns}).select(*df.columns)
+
+
+def _known_values(df: DataFrame, columns: Sequence[str], key: str, bounds: Bounds) -> DataFrame:
+    """For every key with a gap: the last value at or before it, as ``__known_i``.
+
+    Works on one narrow row per key, so repeated keys collapse before the shuffle.
+    """
+    gap = F.greatest(*[F.col(c).isNull() for c in columns]) if len(columns) > 1 else F.col(columns[0]).isNull()
+    per_key = df.where(F.col(key).isNotNull()).groupBy(key)
+    data = per_key.agg(F.bool_or(gap).alias("__gap"), *[F.max(c).alias(f"__known_{i}") for i, c in enumerate(columns)])
+    known = [f"__known_{i}" for i, _ in enumerate(columns)]
+    data = _sliced(data, [key], bounds)
+    tails = data.groupBy(_SLICE).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(key))).alias(c) for c in known])
+    # one row per slice, at most MOST_SLICES: the unpartitioned window sees this summary only
+    opening = tails.select(
+        _SLICE, F.lit(0).alias(_ROW), *[F.last(c, ignorenulls=True).over(_before([])).alias(c) for c in known]
+    )
+    united = data.withColumn(_ROW, F.lit(1)).unionByName(opening, allowMissingColumns=True)
+    window = W.partitionBy(_SLICE).orderBy(F.col(_ROW), F.col(key)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    last = [F.last(c, ignorenulls=True).over(window).alias(c) for c in known]
+    return united.select(F.col(key).alias("__key"), _ROW, "__gap", *last).where((F.col(_ROW) == 1) & F.col("__gap"))
+
+
+def fill_forward(
+    df: DataFrame, columns: Sequence[str], key: str, offset_ms: int = 0, bounds: Bounds | None = None
+) -> DataFrame:
+    """Null becomes the last value before it in ``key`` order, ``offset_ms`` later.
+
+    The offset does not add up over a run of nulls, and nulls before the first value stay. Rows
+    that share a key share its highest value. The wide rows move once, for the join on the key.
+    """
+    if not columns:
+        return df
+    found = _known_values(df, columns, key, bounds or slice_bounds(df, [key])).drop(_ROW, "__gap")
+    joined = df.join(found, F.col(key) == F.col("__key"), "left")
+    filled = {c: F.coalesce(F.col(c), times.shift(F.col(f"__known_{i}"), offset_ms)) for i, c in enumerate(columns)}
+    return joined.withColumns(filled).select(*[F.col(f"`{c}`") for c in df.columns])

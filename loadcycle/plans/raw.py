@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loadcycle.functions import numbers
 from loadcycle.operators import intervals
-from loadcycle.operators.ordered import previous_in_group, time_slice
+from loadcycle.operators.ordered import Bounds, previous_in_group, slice_bounds
 from loadcycle.operators.relational import (
     alive,
     by_content,
@@ -23,8 +23,6 @@ from loadcycle.operators.relational import (
 from loadcycle.plans import fixed_values as fixed
 from loadcycle.sources.scratch import cut
 
-SLICE_SECONDS = 3600
-
 
 def equipment(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Equipment with both fleet levels above it."""
@@ -58,15 +56,15 @@ def current_states(tables: Mapping[str, DataFrame], types: DataFrame) -> DataFra
     return keep_one(log, ["id_equipo"], newest).join(types, "id_detal_estado", "left")
 
 
-def ready_log(tables: Mapping[str, DataFrame], types: DataFrame) -> DataFrame:
+def ready_log(tables: Mapping[str, DataFrame], types: DataFrame, bounds: Bounds) -> DataFrame:
     """Instants at which an equipment turns READY or stops being READY."""
     kinds = types.select("id_detal_estado", (F.col("estado_primario") == "READY").alias("ready"))
     log = alive(tables["tp_estados"]).select("id", "id_equipo", "id_detal_estado", "tiempo_inicio")
     log = log.join(kinds, "id_detal_estado", "left")
-    return intervals.ready_changes(log, "id_equipo", "tiempo_inicio", "ready", "id", SLICE_SECONDS)
+    return intervals.ready_changes(log, "id_equipo", "tiempo_inicio", "ready", "id", bounds)
 
 
-def shovel_loads(tables: Mapping[str, DataFrame], types: DataFrame, low, high) -> DataFrame:
+def shovel_loads(tables: Mapping[str, DataFrame], cycles: DataFrame, types: DataFrame, low, high) -> DataFrame:
     """Loading side of the cycles, one row per ``id_palas``.
 
     Every load gets the newest version of its shovel cycle; a deleted newest version takes the load
@@ -86,24 +84,24 @@ def shovel_loads(tables: Mapping[str, DataFrame], types: DataFrame, low, high) -
         "bool_equipo_next",
         "cola",
     )
-    loads = strictly_between(alive(tables["tp_cargadescarga"]), "tiem_carga", low, high)
-    loads = loads.where(F.col("tiem_viajando").isNotNull()).select(
-        F.col("id").alias("load_id"),
-        "id_palas",
-        F.col("tiem_carga").alias("tiempo_inicio_carga_carguio"),
-        F.col("tiem_acarreo").alias("tiempo_esperando_carguio"),
+    start, end = "tiempo_inicio_carga_carguio", "tiempo_esperando_carguio"
+    loads = strictly_between(cycles, "tiem_carga", low, high).where(F.col("tiem_viajando").isNotNull()).select(
+        F.col("id").alias("load_id"), "id_palas", F.col("tiem_carga").alias(start), F.col("tiem_acarreo").alias(end)
     )
+    # the slices only balance the work, so the unjoined tables are good enough to find them
+    by_load = slice_bounds(tables["tp_cargadescarga"], ["tiem_carga", "id"])
+    by_state = slice_bounds(tables["tp_estados"], ["tiempo_inicio"])
     loads = loads.join(versions, "id_palas")
-    start, end = "tiempo_inicio_carga_carguio", "tiempo_esperando_carguio"
     loads = previous_in_group(
-        loads, end, ["id_equipo_carguio"], [start, "load_id"], time_slice(F.col(start), SLICE_SECONDS),
-        "previous_esperando_pala",
+        loads, end, ["id_equipo_carguio"], [start, "load_id"], "previous_esperando_pala", by_load
     )
     loads = keep_one(loads, ["id_palas"], [F.col("load_id").desc(), by_content(loads)])
     # the loads are read three times below and the changes twice, so neither is computed again
-    loads, changes = cut(loads, "loads"), cut(ready_log(tables, types), "ready-changes")
+    loads, changes = cut(loads, "loads"), cut(ready_log(tables, types, by_state), "ready-changes")
     spans = {"tiempo_ready_cargando": (start, end), "tiempo_ready_esperando": ("previous_esperando_pala", start)}
-    return intervals.ready_seconds(loads, changes, "id_palas", "id_equipo_carguio", spans, SLICE_SECONDS)
+    return intervals.ready_seconds(
+        loads, changes, "id_palas", "id_equipo_carguio", spans, by_load.merged(by_state)
+    )
 
 
 def haul_cycles(
@@ -131,15 +129,16 @@ def haul_cycles(
     load_nodes = one_per_key(nodes.where("loc_carga"), "id")
     dump_nodes = one_per_key(nodes.where("loc_descarga"), "id")
 
-    cycles = strictly_between(alive(tables["tp_cargadescarga"]), "tiem_llegada", low, high)
+    every = alive(tables["tp_cargadescarga"])
     if not cycle_id_is_key:
-        cycles = keep_one(cycles, ["id"], [by_content(cycles)])
+        every = keep_one(every, ["id"], [by_content(every)])
+    cycles = strictly_between(every, "tiem_llegada", low, high)
 
     def left(df, right, role, condition):
         return df.join(right.alias(role), F.expr(condition), "left")
 
     # the loading side is complete before the wide cycle rows meet it
-    loading = shovel_loads(tables, types, low, high).alias("shovel")
+    loading = shovel_loads(tables, every, types, low, high).alias("shovel")
     loading = left(loading, one_per_key(tables["ts_locacion"], "id"), "location", "shovel.id_locacion = location.id")
     loading = left(loading, one_per_key(tables["ts_poligono"], "id"), "polygon", "shovel.id_poligono = polygon.id")
     loading = left(loading, load_nodes, "load_node", "location.id_nodo = load_node.id")

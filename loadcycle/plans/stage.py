@@ -26,7 +26,6 @@ class StageOptions:
     ``strict``          raise when a column the steps name is absent, instead of leaving it out
     ``sparse_above``    columns with more than this percentage of nulls go
     ``zone``            wall clock of the dates found in text
-    ``slice_width``     cycle ids per slice of the forward fill; looked up from the data by default
     """
 
     min_passes: int | None = None
@@ -36,7 +35,6 @@ class StageOptions:
     strict: bool = False
     sparse_above: float = 80.0
     zone: str = fixed.ZONE
-    slice_width: int | None = None
 
 
 def drop_sparse_only(raw: DataFrame, sparse_above: float = 80.0) -> DataFrame:
@@ -65,8 +63,8 @@ def complete(raw: DataFrame, options: StageOptions) -> DataFrame:
     dates = [c for c in fixed.DATE_COLUMNS if c in have]
     as_time = {c: times.parse_wall_time(F.col(c)) for c in dates if isinstance(df.schema[c].dataType, T.StringType)}
     df = cleaning.without_zones(df.withColumns(as_time) if as_time else df)
-    width = options.slice_width or ordered.slice_width(raw, "id_ciclo_acarreo")
-    df = ordered.fill_forward(df, dates, "id_ciclo_acarreo", width, fixed.FILL_OFFSET_MS)
+    bounds = ordered.slice_bounds(raw, ["id_ciclo_acarreo"])
+    df = ordered.fill_forward(df, dates, "id_ciclo_acarreo", fixed.FILL_OFFSET_MS, bounds)
     df = cleaning.shift_timestamps(df, dates, fixed.SHIFT_MS)
     flags = [c for c in fixed.FLAG_COLUMNS if c in have]
     # a boolean with gaps is no criterion for duplicates
