@@ -8,8 +8,10 @@ _BASE = "(TIMESTAMP '2024-01-01 00:00:00' + to_seconds((o_orderkey * 2311) % 259
 _LOADED = "(TIMESTAMP '2024-01-01 00:00:00' + to_seconds((o_orderkey * 2311) % 2592000 + 120 + o_orderkey % 60))"
 
 
-def _listed(item: str) -> str:
-    return f"('{{' || array_to_string(list_transform(range(1, l_linenumber + 2), lambda i: {item}), ',') || '}}')"
+# n = l_linenumber + 1 passes, numbered and with the same tonnage each
+_COUNTED = "('{' || array_to_string(range(1, l_linenumber + 2), ',') || '}')"
+_TONNAGE = """('{' || array_to_string(list_transform(range(1, l_linenumber + 2),
+    lambda i: CAST(trunc(400 + 5 * l_quantity) AS BIGINT)), ',') || '}')"""
 
 
 MINE = f"""
@@ -60,9 +62,9 @@ tp_palas AS (
 ta_datacarga_sensores AS (
   SELECT ((l_orderkey * 1000000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber AS id,
     l_orderkey // 2 AS id_palas, l_orderkey + 7 AS id_cargadescarga,
-    encode({_listed('i')}) AS coord_x, encode('{{' || l_linenumber || '}}') AS coord_y,
+    encode({_COUNTED}) AS coord_x, encode('{{' || l_linenumber || '}}') AS coord_y,
     encode('{{' || l_linenumber || '}}') AS coord_z, encode('{{' || l_partkey || '}}') AS angulo_giro,
-    {_listed('CAST(trunc(400 + 5 * l_quantity) AS BIGINT) + i')} AS tonelaje,
+    {_TONNAGE} AS tonelaje,
     encode('{{' || l_suppkey || '}}') AS duracion_excavacion, l_extendedprice AS angulo_giro_promedio,
     CASE WHEN l_partkey % 5 <> 0 THEN l_partkey % 2 = 0 END AS has_block,
     CASE WHEN l_suppkey % 10 = 9 THEN l_shipdate END AS tiem_elimin

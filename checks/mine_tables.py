@@ -101,19 +101,15 @@ def shovel_versions(orders: DataFrame) -> DataFrame:
 
 
 def sensor_rows(lineitem: DataFrame) -> DataFrame:
-    def listed(item: str) -> str:
-        values = f"array_join(transform(sequence(1, l_linenumber + 1), i -> CAST({item} AS STRING)), ',')"
-        return f"concat('{{', {values}, '}}')"
-
     return lineitem.selectExpr(
         "((l_orderkey * 1000000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber AS id",
         "l_orderkey div 2 AS id_palas",
         "l_orderkey + 7 AS id_cargadescarga",
-        f"encode({listed('i')}, 'UTF-8') AS coord_x",
+        "encode(concat('{', substring_index('1,2,3,4,5,6,7,8', ',', l_linenumber + 1), '}'), 'UTF-8') AS coord_x",
         "encode(concat('{', l_linenumber, '}'), 'UTF-8') AS coord_y",
         "encode(concat('{', l_linenumber, '}'), 'UTF-8') AS coord_z",
         "encode(concat('{', l_partkey, '}'), 'UTF-8') AS angulo_giro",
-        f"{listed('CAST(400 + 5 * l_quantity AS BIGINT) + i')} AS tonelaje",
+        "concat('{', substring(repeat(concat(',', CAST(400 + 5 * l_quantity AS BIGINT)), l_linenumber + 1), 2), '}') AS tonelaje",
         "encode(concat('{', l_suppkey, '}'), 'UTF-8') AS duracion_excavacion",
         "l_extendedprice AS angulo_giro_promedio",
         "CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_partkey % 2 = 0 END AS has_block",

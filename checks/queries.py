@@ -116,8 +116,9 @@ def ready_time(spark, d):
     days = events.select("user_id", day.alias("day")).distinct()
     days = days.withColumn("next_day", times.shift(F.col("day"), 86_400_000))
     days = days.withColumn("row", F.col("user_id") * 100_000 + F.date_diff(F.col("day"), F.lit("2000-01-01")))
-    changes = intervals.ready_changes(states, "user_id", "ts", "ready", "event_id")
-    timed = intervals.ready_seconds(days, changes, "row", "user_id", {"seconds": ("day", "next_day")})
+    bounds = ordered.slice_bounds(events, ["ts"])
+    changes = cut(intervals.ready_changes(states, "user_id", "ts", "ready", "event_id", bounds), "changes")
+    timed = intervals.ready_seconds(days, changes, "row", "user_id", {"seconds": ("day", "next_day")}, bounds)
     return timed.select("user_id", "day", "seconds")
 
 

@@ -21,7 +21,9 @@ from loadcycle.operators.relational import (
     three_level_tree,
 )
 from loadcycle.plans import fixed_values as fixed
-from loadcycle.sources.scratch import cut
+from loadcycle.sources.scratch import cut, together
+
+_START, _END = "tiempo_inicio_carga_carguio", "tiempo_esperando_carguio"
 
 
 def equipment(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -64,7 +66,7 @@ def ready_log(tables: Mapping[str, DataFrame], types: DataFrame, bounds: Bounds)
     return intervals.ready_changes(log, "id_equipo", "tiempo_inicio", "ready", "id", bounds)
 
 
-def shovel_loads(tables: Mapping[str, DataFrame], cycles: DataFrame, types: DataFrame, low, high) -> DataFrame:
+def shovel_loads(tables: Mapping[str, DataFrame], cycles: DataFrame, bounds: Bounds, low, high) -> DataFrame:
     """Loading side of the cycles, one row per ``id_palas``.
 
     Every load gets the newest version of its shovel cycle; a deleted newest version takes the load
@@ -84,24 +86,20 @@ def shovel_loads(tables: Mapping[str, DataFrame], cycles: DataFrame, types: Data
         "bool_equipo_next",
         "cola",
     )
-    start, end = "tiempo_inicio_carga_carguio", "tiempo_esperando_carguio"
     loads = strictly_between(cycles, "tiem_carga", low, high).where(F.col("tiem_viajando").isNotNull()).select(
-        F.col("id").alias("load_id"), "id_palas", F.col("tiem_carga").alias(start), F.col("tiem_acarreo").alias(end)
+        F.col("id").alias("load_id"), "id_palas", F.col("tiem_carga").alias(_START), F.col("tiem_acarreo").alias(_END)
     )
-    # the slices only balance the work, so the unjoined tables are good enough to find them
-    by_load = slice_bounds(tables["tp_cargadescarga"], ["tiem_carga", "id"])
-    by_state = slice_bounds(tables["tp_estados"], ["tiempo_inicio"])
     loads = loads.join(versions, "id_palas")
     loads = previous_in_group(
-        loads, end, ["id_equipo_carguio"], [start, "load_id"], "previous_esperando_pala", by_load
-    )
-    loads = keep_one(loads, ["id_palas"], [F.col("load_id").desc(), by_content(loads)])
-    # the loads are read three times below and the changes twice, so neither is computed again
-    loads, changes = cut(loads, "loads"), cut(ready_log(tables, types, by_state), "ready-changes")
-    spans = {"tiempo_ready_cargando": (start, end), "tiempo_ready_esperando": ("previous_esperando_pala", start)}
-    return intervals.ready_seconds(
-        loads, changes, "id_palas", "id_equipo_carguio", spans, by_load.merged(by_state)
+        loads, _END, ["id_equipo_carguio"], [_START, "load_id"], "previous_esperando_pala", bounds
     )
+    return keep_one(loads, ["id_palas"], [F.col("load_id").desc(), by_content(loads)])
+
+
+def timed_loads(loads: DataFrame, changes: DataFrame, bounds: Bounds) -> DataFrame:
+    """READY seconds while loading, and while waiting since the machine's previous load."""
+    spans = {"tiempo_ready_cargando": (_START, _END), "tiempo_ready_esperando": ("previous_esperando_pala", _START)}
+    return intervals.ready_seconds(loads, changes, "id_palas", "id_equipo_carguio", spans, bounds)
 
 
 def haul_cycles(
@@ -116,29 +114,38 @@ def haul_cycles(
     ``cycle_id_is_key`` says that no cycle id repeats (a primary key); the shuffle that would drop
     repeats is then left out.
 
-    Machines, state types and current states (one row per machine or type) come out of joins and
-    windows, so Spark could only guess their size and would shuffle the wide cycles for them. They
-    are written to the scratch folder first: their true size then decides between broadcast and
-    shuffle.
+    Tables that later steps read more than once, or whose size Spark could only guess behind joins
+    and windows, are written to the scratch folder first: nothing is worked out twice, and the true
+    size of machines and states decides between broadcast and shuffle.
     """
     low, high = F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")
-    types = cut(state_types(tables), "state-types")
-    machines, states = cut(equipment(tables), "machines"), cut(current_states(tables, types), "states")
-    shifts = one_per_key(alive(tables["ts_turnos"]).select("id", "id_turnos", "nombre", "horaini", "horafin"), "id")
-    nodes = alive(tables["tp_nodos"])
-    load_nodes = one_per_key(nodes.where("loc_carga"), "id")
-    dump_nodes = one_per_key(nodes.where("loc_descarga"), "id")
-
     every = alive(tables["tp_cargadescarga"])
     if not cycle_id_is_key:
         every = keep_one(every, ["id"], [by_content(every)])
     cycles = strictly_between(every, "tiem_llegada", low, high)
 
+    # the slices only balance the work, so the unjoined tables are good enough to find them
+    types, by_load, by_state = together(
+        lambda: cut(state_types(tables), "state-types"),
+        lambda: slice_bounds(tables["tp_cargadescarga"], ["tiem_carga", "id"]),
+        lambda: slice_bounds(tables["tp_estados"], ["tiempo_inicio"]),
+    )
+    machines, states, changes, loads = together(
+        lambda: cut(equipment(tables), "machines"),
+        lambda: cut(current_states(tables, types), "states"),
+        lambda: cut(ready_log(tables, types, by_state), "ready-changes"),
+        lambda: cut(shovel_loads(tables, every, by_load, low, high), "loads"),
+    )
+    shifts = one_per_key(alive(tables["ts_turnos"]).select("id", "id_turnos", "nombre", "horaini", "horafin"), "id")
+    nodes = alive(tables["tp_nodos"])
+    load_nodes = one_per_key(nodes.where("loc_carga"), "id")
+    dump_nodes = one_per_key(nodes.where("loc_descarga"), "id")
+
     def left(df, right, role, condition):
         return df.join(right.alias(role), F.expr(condition), "left")
 
     # the loading side is complete before the wide cycle rows meet it
-    loading = shovel_loads(tables, every, types, low, high).alias("shovel")
+    loading = timed_loads(loads, changes, by_load.merged(by_state)).alias("shovel")
     loading = left(loading, one_per_key(tables["ts_locacion"], "id"), "location", "shovel.id_locacion = location.id")
     loading = left(loading, one_per_key(tables["ts_poligono"], "id"), "polygon", "shovel.id_poligono = polygon.id")
     loading = left(loading, load_nodes, "load_node", "location.id_nodo = load_node.id")

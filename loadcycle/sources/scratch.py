@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from typing import TypeVar
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
@@ -27,3 +34,9 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(*builds: Callable[[], T]) -> list[T]:
+    """Run builds that start jobs of their own side by side, so the cluster is not left idle between them."""
+    with ThreadPoolExecutor(len(builds)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(build)) for build in builds]]
