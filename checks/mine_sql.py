@@ -309,4 +309,5 @@ def mine_oracles() -> dict[str, str]:
         "staged_min_passes": f"WITH {stage(local_dates=False, min_passes=4)} SELECT * FROM stage",
         "staged_reduced": f"WITH {RAW} SELECT {kept} FROM raw",
         "presented_cycles": f"WITH {stage()} SELECT {shown} FROM stage",
+        "layered_run": f"WITH {stage()} SELECT {shown} FROM stage",
     }

@@ -12,7 +12,7 @@ from checks.mine_tables import PERIOD, machines, mine
 from loadcycle.functions import numbers, text, times
 from loadcycle.operators import cleaning, intervals, ordered, outliers
 from loadcycle.operators import relational as rel
-from loadcycle.plans import classify
+from loadcycle.plans import classify, layers
 from loadcycle.plans.presentation import consolidate, presentation
 from loadcycle.plans.raw import haul_cycles
 from loadcycle.plans.stage import StageOptions, drop_sparse_only, stage_cycles
@@ -477,6 +477,11 @@ def presented_cycles(spark, d):
     return presentation(stage_cycles(_raw_file(spark, d)))
 
 
+@_query
+def layered_run(spark, d):
+    return layers.run(mine(spark, d), scratch_path(spark, "layers"), low=PERIOD[0], high=PERIOD[1])
+
+
 # Learning -----------------------------------------------------------------------------------
 
 def _quality(spark, d):

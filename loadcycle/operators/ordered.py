@@ -25,7 +25,7 @@ from loadcycle.functions import times
 
 _SLICE = "__slice"
 _ROW = "__row"  # 0 for the opening row of a slice, 1 for data
-MOST_SLICES = 10_000
+MOST_SLICES = 4_000
 
 
 @dataclass(frozen=True)
@@ -143,11 +143,14 @@ def _known_values(df: DataFrame, columns: Sequence[str], key: str, bounds: Bound
     data = per_key.agg(F.bool_or(gap).alias("__gap"), *[F.max(c).alias(f"__known_{i}") for i, c in enumerate(columns)])
     known = [f"__known_{i}" for i, _ in enumerate(columns)]
     data = _sliced(data, [key], bounds)
-    tails = data.groupBy(_SLICE).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(key))).alias(c) for c in known])
-    # one row per slice, at most MOST_SLICES: the unpartitioned window sees this summary only
-    opening = tails.select(
-        _SLICE, F.lit(0).alias(_ROW), *[F.last(c, ignorenulls=True).over(_before([])).alias(c) for c in known]
+    tails = data.groupBy(_SLICE).agg(
+        F.bool_or("__gap").alias("__gap"),
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(key))).alias(c) for c in known],
     )
+    # one row per slice, about MOST_SLICES at the most: the unpartitioned window sees this summary only
+    opening = tails.select(
+        _SLICE, "__gap", F.lit(0).alias(_ROW), *[F.last(c, ignorenulls=True).over(_before([])).alias(c) for c in known]
+    ).where("__gap")
     united = data.withColumn(_ROW, F.lit(1)).unionByName(opening, allowMissingColumns=True)
     window = W.partitionBy(_SLICE).orderBy(F.col(_ROW), F.col(key)).rowsBetween(W.unboundedPreceding, W.currentRow)
     last = [F.last(c, ignorenulls=True).over(window).alias(c) for c in known]

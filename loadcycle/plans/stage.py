@@ -12,7 +12,7 @@ from loadcycle.functions import numbers, text, times
 from loadcycle.operators import cleaning, ordered, outliers
 from loadcycle.operators.relational import after
 from loadcycle.plans import fixed_values as fixed
-from loadcycle.sources.scratch import cut
+from loadcycle.sources.scratch import cut, together
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,10 @@ def required_columns() -> list[str]:
 
 def complete(raw: DataFrame, options: StageOptions) -> DataFrame:
     """Dates parsed, sparse columns gone, nulls filled, duplicates dropped."""
-    facts = cleaning.column_facts(raw, options.find_dates)
+    facts, bounds = together(
+        lambda: cleaning.column_facts(raw, options.find_dates),
+        lambda: ordered.slice_bounds(raw, ["id_ciclo_acarreo"]),
+    )
     df = cleaning.localize_dates(raw, options.zone, facts)
     df = cleaning.drop_sparse_columns(df, options.sparse_above, facts).drop(*fixed.DROPPED_EARLY)
     have = set(df.columns)
@@ -63,7 +66,6 @@ def complete(raw: DataFrame, options: StageOptions) -> DataFrame:
     dates = [c for c in fixed.DATE_COLUMNS if c in have]
     as_time = {c: times.parse_wall_time(F.col(c)) for c in dates if isinstance(df.schema[c].dataType, T.StringType)}
     df = cleaning.without_zones(df.withColumns(as_time) if as_time else df)
-    bounds = ordered.slice_bounds(raw, ["id_ciclo_acarreo"])
     df = ordered.fill_forward(df, dates, "id_ciclo_acarreo", fixed.FILL_OFFSET_MS, bounds)
     df = cleaning.shift_timestamps(df, dates, fixed.SHIFT_MS)
     flags = [c for c in fixed.FLAG_COLUMNS if c in have]
