@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -52,12 +52,16 @@ def _position(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
+def _slice_count(spark: SparkSession) -> int:
+    return min(MOST_SLICES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def slice_bounds(df: DataFrame, order: Sequence[str], slices: int | None = None) -> Bounds:
     """Quantiles of the order, from one pass that reads its first two columns only.
 
     By default there are four slices per shuffle partition, so the spread follows the cluster.
     """
-    wanted = slices or min(MOST_SLICES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    wanted = slices or _slice_count(df.sparkSession)
     shares = [i / wanted for i in range(1, wanted)]
     if not shares:
         return Bounds()
@@ -157,6 +161,23 @@ def _known_values(df: DataFrame, columns: Sequence[str], key: str, bounds: Bound
     return united.select(F.col(key).alias("__key"), _ROW, "__gap", *last).where((F.col(_ROW) == 1) & F.col("__gap"))
 
 
+def _join_spread(df: DataFrame, found: DataFrame, key: str, heavy: Sequence[float]) -> DataFrame:
+    """Left join on the key; rows of a heavy key go to many tasks and meet a copy of its one row there."""
+    if not heavy:
+        return df.join(found, F.col(key) == F.col("__key"), "left")
+    salts = _slice_count(df.sparkSession)
+
+    def hot(column: str) -> Column:
+        return F.col(column).cast("double").isin(list(heavy))
+
+    # any spread will do: the result does not depend on the salt
+    salt = F.when(hot(key), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0))
+    every = F.when(hot("__key"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = df.withColumn("__salt", salt.cast("int"))
+    right = found.withColumn("__copy", F.explode(every))
+    return left.join(right, (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__copy")), "left")
+
+
 def fill_forward(
     df: DataFrame, columns: Sequence[str], key: str, offset_ms: int = 0, bounds: Bounds | None = None
 ) -> DataFrame:
@@ -167,7 +188,8 @@ def fill_forward(
     """
     if not columns:
         return df
-    found = _known_values(df, columns, key, bounds or slice_bounds(df, [key])).drop(_ROW, "__gap")
-    joined = df.join(found, F.col(key) == F.col("__key"), "left")
+    bounds = bounds or slice_bounds(df, [key])
+    found = _known_values(df, columns, key, bounds).drop(_ROW, "__gap")
+    joined = _join_spread(df, found, key, bounds.heavy)
     filled = {c: F.coalesce(F.col(c), times.shift(F.col(f"__known_{i}"), offset_ms)) for i, c in enumerate(columns)}
     return joined.withColumns(filled).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -126,11 +126,13 @@ def haul_cycles(
 
     # the slices only balance the work, so the unjoined tables are good enough to find them
     types, by_load, by_state = together(
+        every.sparkSession,
         lambda: cut(state_types(tables), "state-types"),
         lambda: slice_bounds(tables["tp_cargadescarga"], ["tiem_carga", "id"]),
         lambda: slice_bounds(tables["tp_estados"], ["tiempo_inicio"]),
     )
     machines, states, changes, loads = together(
+        every.sparkSession,
         lambda: cut(equipment(tables), "machines"),
         lambda: cut(current_states(tables, types), "states"),
         lambda: cut(ready_log(tables, types, by_state), "ready-changes"),

@@ -52,6 +52,7 @@ def required_columns() -> list[str]:
 def complete(raw: DataFrame, options: StageOptions) -> DataFrame:
     """Dates parsed, sparse columns gone, nulls filled, duplicates dropped."""
     facts, bounds = together(
+        raw.sparkSession,
         lambda: cleaning.column_facts(raw, options.find_dates),
         lambda: ordered.slice_bounds(raw, ["id_ciclo_acarreo"]),
     )

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -36,7 +35,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def together(*builds: Callable[[], T]) -> list[T]:
+def together(spark: SparkSession, *builds: Callable[[], T]) -> list[T]:
     """Run builds that start jobs of their own side by side, so the cluster is not left idle between them."""
     with ThreadPoolExecutor(len(builds)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(build)) for build in builds]]
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(build)) for build in builds]]

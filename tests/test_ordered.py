@@ -90,6 +90,17 @@ def test_fill_forward_with_one_key_on_a_third_of_the_rows(spark):
     assert {r.a for r in got} == {START, START + dt.timedelta(seconds=3)}
 
 
+def test_rows_of_a_heavy_key_go_to_many_tasks(spark):
+    rows = [(5 if i % 3 else i, None if i % 2 else START, None) for i in range(3000)]
+    df = _gappy(spark, rows).repartition(6)
+    bounds = ordered.slice_bounds(df, ["k"])
+    assert bounds.heavy == (5.0,)
+    filled = ordered.fill_forward(df, ["a"], "k", 3000, bounds)
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan and "__copy" in plan
+    assert filled.count() == 3000 and filled.where("a IS NULL").count() == 0
+
+
 def _brute_ready(states, group, since, to):
     own = sorted((t, i, r) for i, g, t, r in states if g == group)
     total = dt.timedelta()
