@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -33,12 +33,13 @@ class Bounds:
     """Where an order is cut. They decide how work is spread, never what comes out.
 
     ``heavy`` are positions that more than one slice of rows share; those rows are cut again by
-    the second column of the order, at ``tie_cuts``.
+    the second column of the order, at ``tie_cuts``. ``spread`` is how many slices the heaviest fills.
     """
 
     cuts: tuple[float, ...] = ()
     heavy: tuple[float, ...] = ()
     tie_cuts: tuple[float, ...] = ()
+    spread: int = 1
 
     def merged(self, other: Bounds) -> Bounds:
         """Cuts of both, for rows that come from two sources."""
@@ -52,25 +53,23 @@ def _position(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _slice_count(spark: SparkSession) -> int:
-    return min(MOST_SLICES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def slice_bounds(df: DataFrame, order: Sequence[str], slices: int | None = None) -> Bounds:
     """Quantiles of the order, from one pass that reads its first two columns only.
 
     By default there are four slices per shuffle partition, so the spread follows the cluster.
     """
-    wanted = slices or _slice_count(df.sparkSession)
+    wanted = slices or min(MOST_SLICES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / wanted for i in range(1, wanted)]
     if not shares:
         return Bounds()
     columns = [f"__p{i}" for i, _ in enumerate(order[:2])]
     positions = df.select(*[_position(df, c).alias(p) for c, p in zip(order, columns)])
     first, *rest = positions.stat.approxQuantile(columns, shares, 0.25 / wanted)
-    heavy = sorted(v for v, times_seen in Counter(first).items() if times_seen > 1)
+    seen = Counter(first)
+    heavy = sorted(v for v, often in seen.items() if often > 1)
     cuts = sorted({*first, *(math.nextafter(v, math.inf) for v in heavy)})
-    return Bounds(tuple(cuts), tuple(heavy), tuple(sorted(set(rest[0]))) if rest and heavy else ())
+    tie_cuts = sorted(set(rest[0])) if rest and heavy else ()
+    return Bounds(tuple(cuts), tuple(heavy), tuple(tie_cuts), max(seen.values(), default=0) + 1)
 
 
 def _bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
@@ -161,14 +160,14 @@ def _known_values(df: DataFrame, columns: Sequence[str], key: str, bounds: Bound
     return united.select(F.col(key).alias("__key"), _ROW, "__gap", *last).where((F.col(_ROW) == 1) & F.col("__gap"))
 
 
-def _join_spread(df: DataFrame, found: DataFrame, key: str, heavy: Sequence[float]) -> DataFrame:
+def _join_spread(df: DataFrame, found: DataFrame, key: str, bounds: Bounds) -> DataFrame:
     """Left join on the key; rows of a heavy key go to many tasks and meet a copy of its one row there."""
-    if not heavy:
+    if not bounds.heavy:
         return df.join(found, F.col(key) == F.col("__key"), "left")
-    salts = _slice_count(df.sparkSession)
+    salts = bounds.spread
 
     def hot(column: str) -> Column:
-        return F.col(column).cast("double").isin(list(heavy))
+        return F.col(column).cast("double").isin(list(bounds.heavy))
 
     # any spread will do: the result does not depend on the salt
     salt = F.when(hot(key), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0))
@@ -190,6 +189,6 @@ def fill_forward(
         return df
     bounds = bounds or slice_bounds(df, [key])
     found = _known_values(df, columns, key, bounds).drop(_ROW, "__gap")
-    joined = _join_spread(df, found, key, bounds.heavy)
+    joined = _join_spread(df, found, key, bounds)
     filled = {c: F.coalesce(F.col(c), times.shift(F.col(f"__known_{i}"), offset_ms)) for i, c in enumerate(columns)}
     return joined.withColumns(filled).select(*[F.col(f"`{c}`") for c in df.columns])
