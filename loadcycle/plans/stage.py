@@ -73,7 +73,10 @@ def complete(raw: DataFrame, options: StageOptions) -> DataFrame:
     # a boolean with gaps is no criterion for duplicates
     gappy = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)
              and f.name not in fixed.MODE_COLUMNS and facts.nulls.get(f.name)]
-    df = cleaning.fill_zero(df, skip=flags)
+    # an untouched id keeps the partitioning of the fill's join, which the deduplication then reuses:
+    # one wide shuffle instead of two. A heavy id needs the second one, to be thinned out before it.
+    plain_id = not bounds.heavy and not facts.nulls["id_ciclo_acarreo"]
+    df = cleaning.fill_zero(df, skip=[*flags, "id_ciclo_acarreo"] if plain_id else flags)
     subset = cleaning.comparable_columns(df, exclude=gappy)
     first = [F.col("id_ciclo_acarreo").asc_nulls_last()]
     return cleaning.drop_duplicates_first(df, subset, first, ["id_ciclo_acarreo"])
