@@ -25,11 +25,6 @@ def missing(field: T.StructField) -> Column:
     return column.isNull()
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(_name(c)), _name(c)) for c in floats})
-
-
 # Profile ------------------------------------------------------------------------------------
 
 def _present(field: T.StructField) -> Column:
