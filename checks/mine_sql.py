@@ -15,7 +15,7 @@ _TONNAGE = """('{' || array_to_string(list_transform(range(1, l_linenumber + 2),
 
 
 MINE = f"""
-tp_cargadescarga AS (
+plain_cycles AS (
   SELECT o_orderkey AS id, o_orderkey + 7 AS id_cargadescarga,
     CASE WHEN o_orderkey % 40 = 39 THEN o_orderkey + 1000000000 WHEN o_orderkey % 40 = 38 THEN NULL
          ELSE o_orderkey // 2 END AS id_palas,
@@ -50,6 +50,12 @@ tp_cargadescarga AS (
     o_totalprice / 7 AS coorzniveldescarga, o_orderkey % 5 + 0.5e0 AS efh_factor_loaded,
     o_orderkey % 4 + 0.5e0 AS efh_factor_empty
   FROM orders),
+tp_cargadescarga AS (
+  SELECT * FROM plain_cycles
+  UNION ALL SELECT * REPLACE (TIMESTAMP '1990-01-01 00:00:00' AS tiem_llegada, TIMESTAMP '1990-01-01 00:00:00' AS tiem_carga)
+    FROM plain_cycles WHERE id % 10 = 3
+  UNION ALL SELECT * REPLACE (tiem_llegada - to_seconds(1) AS tiem_llegada, CAST(NULL AS TIMESTAMP) AS tiem_carga, 0e0 AS tonelajevims)
+    FROM plain_cycles WHERE id % 10 = 4),
 tp_palas AS (
   SELECT o_orderkey AS id, o_orderkey // 2 AS id_palas, 1000 + o_orderkey % 8 AS id_equipo,
     o_orderkey % 25 AS id_locacion, CASE WHEN o_orderkey % 9 <> 1 THEN o_custkey % 25 END AS id_poligono,
@@ -96,7 +102,8 @@ ts_equipos AS (
   UNION ALL BY NAME SELECT 100 + n_nationkey AS id, 1 + n_regionkey AS id_flota, n_name AS nombre, true AS isflota FROM nation),
 ta_factortonelaje AS (
   SELECT r_regionkey AS id, CAST(1 + r_regionkey AS BIGINT) AS id_zona,
-    CAST(CASE WHEN r_regionkey <> 4 THEN 700 + 10 * r_regionkey END AS BIGINT) AS factor FROM region),
+    CAST(CASE WHEN r_regionkey <> 4 THEN 700 + 10 * r_regionkey END AS BIGINT) AS factor FROM region
+  UNION ALL SELECT r_regionkey, 1 + r_regionkey, NULL FROM region),
 ts_turnos AS (
   SELECT r_regionkey AS id, CAST(1 + r_regionkey % 2 AS BIGINT) AS id_turnos, r_name AS nombre,
     CAST(r_regionkey * 6 AS BIGINT) AS horaini, CAST(r_regionkey * 6 + 5 AS BIGINT) AS horafin,
@@ -180,7 +187,8 @@ raw AS (
     (cycle.tonelajevims / 10) / nullif((shovel.tiempo_ready_cargando + shovel.tiempo_ready_esperando) / 3600, 0)
       AS productividad_operativa_carguio_tn_h,
     CAST(1 AS BIGINT) AS rownum
-  FROM tp_cargadescarga cycle
+  FROM (SELECT * FROM tp_cargadescarga WHERE tiem_elimin IS NULL AND tiem_llegada > {_LOW} AND tiem_llegada < {_HIGH}
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY tiem_llegada DESC) = 1) cycle
   JOIN ta_factortonelaje factor ON factor.id = cycle.id_factor AND factor.factor IS NOT NULL
   LEFT JOIN machines truck ON truck.id = cycle.id_equipo
   LEFT JOIN ts_turnos load_shift ON load_shift.id = cycle.id_turnocarga AND load_shift.tiem_elimin IS NULL
@@ -194,8 +202,7 @@ raw AS (
   LEFT JOIN tp_nodos load_node ON load_node.id = location.id_nodo AND load_node.loc_carga AND load_node.tiem_elimin IS NULL
   LEFT JOIN machines digger ON digger.id = shovel.id_equipo_carguio
   LEFT JOIN states shovel_state ON shovel_state.id_equipo = shovel.id_equipo_carguio
-  LEFT JOIN sensors passes ON passes.id_cargadescarga = cycle.id_cargadescarga
-  WHERE cycle.tiem_elimin IS NULL AND cycle.tiem_llegada > {_LOW} AND cycle.tiem_llegada < {_HIGH})
+  LEFT JOIN sensors passes ON passes.id_cargadescarga = cycle.id_cargadescarga)
 """
 
 # Columns with more than 80 % nulls in the derived mine.

@@ -25,7 +25,7 @@ def cycles(orders: DataFrame) -> DataFrame:
     def later(seconds: str, of: str = base) -> str:
         return f"timestampadd(SECOND, {seconds}, {of})"
 
-    return orders.selectExpr(
+    plain = orders.selectExpr(
         f"{k} AS id",
         f"{k} + 7 AS id_cargadescarga",
         f"CASE WHEN {k} % 40 = 39 THEN {k} + 1000000000 WHEN {k} % 40 = 38 THEN NULL ELSE {k} div 2 END AS id_palas",
@@ -80,6 +80,15 @@ def cycles(orders: DataFrame) -> DataFrame:
         f"{k} % 5 + 0.5D AS efh_factor_loaded",
         f"{k} % 4 + 0.5D AS efh_factor_empty",
     )
+    # ids that repeat: once long before the period, once a second earlier inside it
+    never = F.lit("1990-01-01 00:00:00").cast("timestamp_ntz")
+    old = plain.where("id % 10 = 3").withColumns({"tiem_llegada": never, "tiem_carga": never})
+    earlier = plain.where("id % 10 = 4").withColumns({
+        "tiem_llegada": F.expr("timestampadd(SECOND, -1, tiem_llegada)"),
+        "tiem_carga": F.lit(None).cast("timestamp_ntz"),
+        "tonelajevims": F.lit(0.0),
+    })
+    return plain.unionByName(old).unionByName(earlier)
 
 
 def shovel_versions(orders: DataFrame) -> DataFrame:
@@ -202,7 +211,7 @@ def mine(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "ta_factortonelaje": region.selectExpr(
             "CAST(r_regionkey AS BIGINT) AS id",
             "CAST(1 + r_regionkey AS BIGINT) AS id_zona",
-            "CAST(CASE WHEN r_regionkey = 4 THEN NULL ELSE 700 + 10 * r_regionkey END AS BIGINT) AS factor",
+            "explode(array(NULL, CAST(CASE WHEN r_regionkey = 4 THEN NULL ELSE 700 + 10 * r_regionkey END AS BIGINT))) AS factor",
         ),
         "ts_turnos": region.selectExpr(
             "CAST(r_regionkey AS BIGINT) AS id",

@@ -106,6 +106,17 @@ def left_lookup(df: DataFrame, right: DataFrame, left_key: str, right_key: str)
     return joined.drop(right[right_key])
 
 
+def left_join_spreading_nulls(df: DataFrame, right: DataFrame, left_key: str, right_key: str, row: str) -> DataFrame:
+    """Left equi-join in which rows without a key are dealt over all tasks by ``row``; they match nothing."""
+    left = df.withColumn("__none", F.col(left_key).isNull()).withColumn(
+        "__at", F.coalesce(F.col(left_key), F.xxhash64(F.col(row)))
+    )
+    other = right.withColumn("__some", F.lit(False))
+    return left.join(other, (F.col("__none") == F.col("__some")) & (F.col("__at") == F.col(right_key)), "left").drop(
+        "__none", "__at", "__some"
+    )
+
+
 def with_role(df: DataFrame, key: str, role: str) -> DataFrame:
     """The same dimension in another role: every column gets the role as suffix, the key included."""
     return df.select(*[F.col(c).alias(f"{c}_{role}") for c in df.columns])

@@ -15,6 +15,7 @@ from loadcycle.operators.relational import (
     by_content,
     keep_one,
     latest_per_key,
+    left_join_spreading_nulls,
     names_up_the_tree,
     one_per_key,
     strictly_between,
@@ -58,22 +59,36 @@ def current_states(tables: Mapping[str, DataFrame], types: DataFrame) -> DataFra
     return keep_one(log, ["id_equipo"], newest).join(types, "id_detal_estado", "left")
 
 
-def ready_log(tables: Mapping[str, DataFrame], types: DataFrame, bounds: Bounds) -> DataFrame:
-    """Instants at which an equipment turns READY or stops being READY."""
-    kinds = types.select("id_detal_estado", (F.col("estado_primario") == "READY").alias("ready"))
+def states_that_count(tables: Mapping[str, DataFrame], first, last) -> DataFrame:
+    """States that can hold between two instants: of those before the first, the last one per machine."""
     log = alive(tables["tp_estados"]).select("id", "id_equipo", "id_detal_estado", "tiempo_inicio")
+    within = log.where((F.col("tiempo_inicio") >= first) & (F.col("tiempo_inicio") <= last))
+    before = log.where((F.col("tiempo_inicio") < first) & F.col("id_equipo").isNotNull()).groupBy("id_equipo").agg(
+        F.max_by(F.struct("id", "id_detal_estado", "tiempo_inicio"), F.struct("tiempo_inicio", "id")).alias("s")
+    )
+    return within.unionByName(before.select("s.id", "id_equipo", "s.id_detal_estado", "s.tiempo_inicio"))
+
+
+def ready_log(tables: Mapping[str, DataFrame], types: DataFrame, first, last) -> tuple[DataFrame, Bounds]:
+    """Instants at which an equipment turns READY or stops being READY, as far as the span asked needs them."""
+    kinds = types.select("id_detal_estado", (F.col("estado_primario") == "READY").alias("ready"))
+    log = cut(states_that_count(tables, first, last), "states-asked")
+    bounds = slice_bounds(log, ["tiempo_inicio"])
     log = log.join(kinds, "id_detal_estado", "left")
-    return intervals.ready_changes(log, "id_equipo", "tiempo_inicio", "ready", "id", bounds)
+    return cut(intervals.ready_changes(log, "id_equipo", "tiempo_inicio", "ready", "id", bounds), "ready-changes"), bounds
 
 
-def shovel_loads(tables: Mapping[str, DataFrame], cycles: DataFrame, bounds: Bounds, low, high) -> DataFrame:
-    """Loading side of the cycles, one row per ``id_palas``.
+def joined_loads(tables: Mapping[str, DataFrame], low, high) -> DataFrame:
+    """Loads that start between the bounds, each with the newest version of its shovel cycle.
 
-    Every load gets the newest version of its shovel cycle; a deleted newest version takes the load
-    out. Of several loads on one ``id_palas`` the one with the highest cycle id stays. The
-    choice is made here, before the join with the cycles, so that join cannot multiply rows.
+    They come from the plain table: a cycle that arrived outside the period still loads inside it.
     """
-    versions = alive(latest_per_key(tables["tp_palas"], "id_palas", "id")).select(
+    loads = strictly_between(alive(tables["tp_cargadescarga"]), "tiem_carga", low, high)
+    loads = loads.where(F.col("tiem_viajando").isNotNull() & F.col("id_palas").isNotNull()).select(
+        F.col("id").alias("load_id"), "id_palas", F.col("tiem_carga").alias(_START), F.col("tiem_acarreo").alias(_END)
+    )
+    asked = tables["tp_palas"].join(loads.select("id_palas").distinct(), "id_palas", "left_semi")
+    versions = alive(latest_per_key(asked, "id_palas", "id")).select(
         F.col("id_palas"),
         F.col("id").alias("id_ciclo_carguio"),
         F.col("id_equipo").alias("id_equipo_carguio"),
@@ -86,10 +101,15 @@ def shovel_loads(tables: Mapping[str, DataFrame], cycles: DataFrame, bounds: Bou
         "bool_equipo_next",
         "cola",
     )
-    loads = strictly_between(cycles, "tiem_carga", low, high).where(F.col("tiem_viajando").isNotNull()).select(
-        F.col("id").alias("load_id"), "id_palas", F.col("tiem_carga").alias(_START), F.col("tiem_acarreo").alias(_END)
-    )
-    loads = loads.join(versions, "id_palas")
+    return loads.join(versions, "id_palas")
+
+
+def shovel_loads(loads: DataFrame, bounds: Bounds) -> DataFrame:
+    """Loading side of the cycles, one row per ``id_palas``, from the written ``joined_loads``.
+
+    A deleted newest version takes the load out. Of several loads on one ``id_palas`` the one with the highest
+    cycle id stays. The choice is made here, before the join with the cycles, so that join cannot multiply rows.
+    """
     loads = previous_in_group(
         loads, _END, ["id_equipo_carguio"], [_START, "load_id"], "previous_esperando_pala", bounds
     )
@@ -104,8 +124,8 @@ def timed_loads(loads: DataFrame, changes: DataFrame, bounds: Bounds) -> DataFra
 
 def haul_cycles(
     tables: Mapping[str, DataFrame],
-    low=fixed.PERIOD[0],
-    high=fixed.PERIOD[1],
+    low,
+    high,
     integer_division: bool = False,
     cycle_id_is_key: bool = False,
 ) -> DataFrame:
@@ -119,25 +139,29 @@ def haul_cycles(
     size of machines and states decides between broadcast and shuffle.
     """
     low, high = F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")
-    every = alive(tables["tp_cargadescarga"])
+    # the period first, so that it reaches the scan and no row outside it can stand for a cycle inside
+    period = strictly_between(alive(tables["tp_cargadescarga"]), "tiem_llegada", low, high)
+    cycles = period
     if not cycle_id_is_key:
-        every = keep_one(every, ["id"], [by_content(every)])
-    cycles = strictly_between(every, "tiem_llegada", low, high)
+        newest = [F.col(c).desc_nulls_last() for c in ("tiem_llegada", "id_cargadescarga", "id_palas")]
+        cycles = keep_one(period, ["id"], [*newest, by_content(period)])
 
-    # the slices only balance the work, so the unjoined tables are good enough to find them
-    types, by_load, by_state = together(
-        every.sparkSession,
+    spark = period.sparkSession
+    types, joined = together(
+        spark,
         lambda: cut(state_types(tables), "state-types"),
-        lambda: slice_bounds(tables["tp_cargadescarga"], ["tiem_carga", "id"]),
-        lambda: slice_bounds(tables["tp_estados"], ["tiempo_inicio"]),
+        lambda: cut(joined_loads(tables, low, high), "joined-loads"),
     )
-    machines, states, changes, loads = together(
-        every.sparkSession,
+    by_load = slice_bounds(joined, [_START, "load_id"])
+    machines, states, loads = together(
+        spark,
         lambda: cut(equipment(tables), "machines"),
         lambda: cut(current_states(tables, types), "states"),
-        lambda: cut(ready_log(tables, types, by_state), "ready-changes"),
-        lambda: cut(shovel_loads(tables, every, by_load, low, high), "loads"),
+        lambda: cut(shovel_loads(joined, by_load), "loads"),
     )
+    instants = F.array(*[F.col(c) for c in ("previous_esperando_pala", _START, _END)])
+    asked = loads.agg(F.min(F.array_min(instants)).alias("first"), F.max(F.array_max(instants)).alias("last")).first()
+    changes, by_state = ready_log(tables, types, *[F.lit(x).cast("timestamp_ntz") for x in asked])
     shifts = one_per_key(alive(tables["ts_turnos"]).select("id", "id_turnos", "nombre", "horaini", "horafin"), "id")
     nodes = alive(tables["tp_nodos"])
     load_nodes = one_per_key(nodes.where("loc_carga"), "id")
@@ -154,7 +178,8 @@ def haul_cycles(
     loading = left(loading, machines, "digger", "shovel.id_equipo_carguio = digger.id")
     loading = left(loading, states, "shovel_state", "shovel.id_equipo_carguio = shovel_state.id_equipo")
 
-    factors = one_per_key(tables["ta_factortonelaje"], "id").where(F.col("factor").isNotNull())
+    factors = tables["ta_factortonelaje"].where(F.col("id").isNotNull() & F.col("factor").isNotNull())
+    factors = keep_one(factors, ["id"], [F.col("factor").desc(), by_content(factors)])
     wide = cycles.alias("cycle").join(factors.alias("factor"), F.expr("cycle.id_factor = factor.id"))
     wide = left(wide, machines, "truck", "cycle.id_equipo = truck.id")
     wide = left(wide, shifts, "load_shift", "cycle.id_turnocarga = load_shift.id")
@@ -162,9 +187,13 @@ def haul_cycles(
     wide = left(wide, one_per_key(tables["ts_descarga"], "id"), "dump", "cycle.id_descarga = dump.id")
     wide = left(wide, dump_nodes, "dump_node", "dump.id_nodo = dump_node.id")
     wide = left(wide, states, "truck_state", "cycle.id_equipo = truck_state.id_equipo")
-    wide = wide.join(loading, F.expr("cycle.id_palas = shovel.id_palas"), "left")
-    passes = latest_per_key(alive(tables["ta_datacarga_sensores"]), "id_cargadescarga", "id")
-    wide = left(wide, passes, "passes", "cycle.id_cargadescarga = passes.id_cargadescarga")
+    wide = left_join_spreading_nulls(wide, loading, "cycle.id_palas", "shovel.id_palas", "cycle.id")
+    carried = period.select("id_cargadescarga").where(F.col("id_cargadescarga").isNotNull()).distinct()
+    passes = alive(tables["ta_datacarga_sensores"]).join(carried, "id_cargadescarga", "left_semi")
+    passes = latest_per_key(passes, "id_cargadescarga", "id").alias("passes")
+    wide = left_join_spreading_nulls(
+        wide, passes, "cycle.id_cargadescarga", "passes.id_cargadescarga", "cycle.id"
+    )
 
     columns = [F.col(source).alias(name) for name, source in fixed.RAW_COLUMNS.items()]
     busy = F.col("shovel.tiempo_ready_cargando") + F.col("shovel.tiempo_ready_esperando")

@@ -141,3 +141,31 @@ def test_presentation(raw):
     got = presentation(stage_cycles(raw))
     assert got.columns == fixed.PRESENTATION_COLUMNS and len(got.columns) == 17
     assert {r.id_ciclo_acarreo for r in got.collect()} == {1, 11}
+
+
+def test_repeated_ids_outside_the_period_take_nothing_away(spark):
+    mine = tables(spark)
+    old = mine["tp_cargadescarga"].withColumn("tiem_llegada", F.lit("1990-05-05 00:00:00").cast("timestamp_ntz"))
+    gaps = mine["ta_factortonelaje"].withColumn("factor", F.lit(None).cast("long"))
+    mine["tp_cargadescarga"] = mine["tp_cargadescarga"].unionByName(old.withColumn("tiem_carga", F.col("tiem_llegada")))
+    mine["ta_factortonelaje"] = mine["ta_factortonelaje"].unionByName(gaps)
+    assert sorted(r.id_ciclo_acarreo for r in haul_cycles(mine, LOW, HIGH).collect()) == [1, 2, 3, 4, 5, 11, 12]
+
+
+def test_a_state_that_began_long_before_the_span_counts(spark):
+    from loadcycle.plans.raw import states_that_count
+    log = spark.createDataFrame(
+        [(1, 9, 5, at(0, 0) - dt.timedelta(days=900), None), (2, 9, 6, at(0, 0) - dt.timedelta(days=800), None),
+         (3, 9, 5, at(1, 0), None), (4, 9, 6, at(3, 0), None)],
+        "id long, id_equipo long, id_detal_estado long, tiempo_inicio timestamp_ntz, tiem_elimin timestamp_ntz",
+    )
+    got = states_that_count({"tp_estados": log}, F.lit(at(0, 30)), F.lit(at(2, 0)))
+    assert sorted(r.id for r in got.collect()) == [2, 3]
+
+
+def test_fixed_values_hold_a_few_pairs_literally():
+    assert fixed.RAW_COLUMNS["id_ciclo_acarreo"] == "cycle.id"
+    assert fixed.RAW_COLUMNS["id_equipo_carguio"] == "shovel.id_equipo_carguio"
+    assert fixed.STAGE_NAMES["tonelajevims"] == "tonelaje_segun_computadora"
+    assert fixed.STAGE_NAMES["efhvacio"] == "efhvacio_mts"
+    assert (fixed.COLUMN_TYPES["id_palas"], fixed.COLUMN_TYPES["id_ciclo_carguio"], fixed.COLUMN_TYPES["yn_estado"]) == ("long", "double", "boolean")
