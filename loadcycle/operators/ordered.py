@@ -25,51 +25,73 @@ from loadcycle.functions import times
 
 _SLICE = "__slice"
 _ROW = "__row"  # 0 for the opening row of a slice, 1 for data
-MOST_SLICES = 4_000
+_EXACT = float(1 << 53)  # whole numbers below this are exact as doubles
 
 
 @dataclass(frozen=True)
 class Bounds:
     """Where an order is cut. They decide how work is spread, never what comes out.
 
-    ``heavy`` are positions that more than one slice of rows share; those rows are cut again by
-    the second column of the order, at ``tie_cuts``. ``spread`` is how many slices the heaviest fills.
+    Positions are doubles counted from ``base``; a larger value never has a smaller position, so the slices
+    follow the order even where positions are rounded. ``heavy`` are positions that more than one slice of rows
+    share and that stand for one value exactly; those rows are cut again by the second column of the order,
+    at ``tie_cuts``. ``spread`` is how many slices the heaviest fills.
     """
 
     cuts: tuple[float, ...] = ()
     heavy: tuple[float, ...] = ()
     tie_cuts: tuple[float, ...] = ()
     spread: int = 1
+    base: int = 0
 
     def merged(self, other: Bounds) -> Bounds:
         """Cuts of both, for rows that come from two sources."""
-        return Bounds(tuple(sorted({*self.cuts, *other.cuts})))
+        if self.base != other.base:
+            return Bounds(self.cuts, base=self.base)
+        return Bounds(tuple(sorted({*self.cuts, *other.cuts})), base=self.base)
 
 
-def _position(df: DataFrame, column: str) -> Column:
-    """Place in the order as a number; whole microseconds are exact in a double until the year 2255."""
-    if isinstance(df.schema[column].dataType, (T.TimestampNTZType, T.TimestampType)):
-        return times.micros(F.col(column).cast("timestamp_ntz")).cast("double")
-    return F.col(column).cast("double")
+def _position(df: DataFrame, column: str, base: int = 0) -> Column:
+    """Place in the order as a number; times in microseconds, whole numbers from ``base`` on."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        value = times.micros(value.cast("timestamp_ntz"))
+    elif not isinstance(kind, T.IntegralType):
+        return value.cast("double")
+    if not base:
+        return value.cast("double")
+    beyond = F.lit(-math.inf if base > 0 else math.inf)  # too far away to subtract
+    moved = F.try_subtract(value.cast("long"), F.lit(base)).cast("double")
+    return F.when(value.isNotNull(), F.coalesce(moved, beyond))
+
+
+def _quantiles(df: DataFrame, order: Sequence[str], wanted: int, base: int = 0) -> list[list[float]]:
+    columns = [f"__p{i}" for i, _ in enumerate(order)]
+    positions = df.select(*[_position(df, c, 0 if i else base).alias(p) for i, (c, p) in enumerate(zip(order, columns))])
+    return positions.stat.approxQuantile(columns, [i / wanted for i in range(1, wanted)], 0.25 / wanted)
 
 
 def slice_bounds(df: DataFrame, order: Sequence[str], slices: int | None = None) -> Bounds:
-    """Quantiles of the order, from one pass that reads its first two columns only.
+    """Quantiles of the order of these very rows, from a pass that reads its first two columns only.
 
-    By default there are four slices per shuffle partition, so the spread follows the cluster.
+    By default there are four slices per shuffle partition, so the spread follows the cluster. Whole numbers
+    too large for a double are counted from the first quantile, in a second pass.
     """
-    wanted = slices or min(MOST_SLICES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / wanted for i in range(1, wanted)]
-    if not shares:
+    wanted = slices or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if wanted < 2:
         return Bounds()
-    columns = [f"__p{i}" for i, _ in enumerate(order[:2])]
-    positions = df.select(*[_position(df, c).alias(p) for c, p in zip(order, columns)])
-    first, *rest = positions.stat.approxQuantile(columns, shares, 0.25 / wanted)
+    order, base = order[:2], 0
+    first, *rest = _quantiles(df, order, wanted)
+    whole = isinstance(df.schema[order[0]].dataType, (T.IntegralType, T.TimestampType, T.TimestampNTZType))
+    if whole and first and max(map(abs, first)) >= _EXACT:
+        base = max(-(1 << 63), min((1 << 63) - 1, int(first[0])))
+        first, *rest = _quantiles(df, order, wanted, base)
     seen = Counter(first)
-    heavy = sorted(v for v, often in seen.items() if often > 1)
-    cuts = sorted({*first, *(math.nextafter(v, math.inf) for v in heavy)})
+    heavy = sorted(v for v, often in seen.items() if often > 1 and not (whole and abs(v) >= _EXACT))
+    cuts = sorted({*first, *(math.nextafter(v, math.inf) for v in heavy)} - {-math.inf, math.inf})
     tie_cuts = sorted(set(rest[0])) if rest and heavy else ()
-    return Bounds(tuple(cuts), tuple(heavy), tuple(tie_cuts), max(seen.values(), default=0) + 1)
+    spread = max((seen[v] for v in heavy), default=0) + 1
+    return Bounds(tuple(cuts), tuple(heavy), tuple(tie_cuts), spread, base)
 
 
 def _bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
@@ -81,7 +103,7 @@ def _bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> Dat
 
 def _sliced(df: DataFrame, order: Sequence[str], bounds: Bounds) -> DataFrame:
     """Number the slices; they follow each other in ``order``, rows without a position come last."""
-    at = _position(df, order[0])
+    at = _position(df, order[0], bounds.base)
     out = _bucket(df.withColumn("__at", at), "__at", bounds.cuts, "__bucket")
     number = F.col("__bucket")
     if bounds.tie_cuts:
@@ -150,7 +172,7 @@ def _known_values(df: DataFrame, columns: Sequence[str], key: str, bounds: Bound
         F.bool_or("__gap").alias("__gap"),
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(key))).alias(c) for c in known],
     )
-    # one row per slice, about MOST_SLICES at the most: the unpartitioned window sees this summary only
+    # one row per slice, a few per shuffle partition: the unpartitioned window sees this summary only
     opening = tails.select(
         _SLICE, "__gap", F.lit(0).alias(_ROW), *[F.last(c, ignorenulls=True).over(_before([])).alias(c) for c in known]
     ).where("__gap")
@@ -166,12 +188,12 @@ def _join_spread(df: DataFrame, found: DataFrame, key: str, bounds: Bounds) -> D
         return df.join(found, F.col(key) == F.col("__key"), "left")
     salts = bounds.spread
 
-    def hot(column: str) -> Column:
-        return F.col(column).cast("double").isin(list(bounds.heavy))
+    def hot(frame: DataFrame, column: str) -> Column:
+        return _position(frame, column, bounds.base).isin(list(bounds.heavy))
 
     # any spread will do: the result does not depend on the salt
-    salt = F.when(hot(key), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0))
-    every = F.when(hot("__key"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(hot(df, key), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0))
+    every = F.when(hot(found, "__key"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     left = df.withColumn("__salt", salt.cast("int"))
     right = found.withColumn("__copy", F.explode(every))
     return left.join(right, (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__copy")), "left")

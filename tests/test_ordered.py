@@ -133,3 +133,45 @@ def test_ready_seconds_against_brute_force(spark, slices):
             assert r.s is None
         else:
             assert r.s == pytest.approx(max(0.0, _brute_ready(states, r.g, r.a, r.b)), abs=1e-6)
+
+
+@pytest.mark.parametrize("slices", [1, 7, 40])
+def test_ids_beyond_the_exact_doubles(spark, slices):
+    """500 ids from 2**62 on, the second column falling: slices follow the ids themselves."""
+    rows = [(2**62 + i, i % 2, 1000 - i, i % 7) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, g long, tie long, n long").repartition(4)
+    bounds = ordered.slice_bounds(df, ["id", "tie"], slices)
+    window = W.partitionBy("g").orderBy("id", "tie")
+    got = ordered.previous_in_group(df, "n", ["g"], ["id", "tie"], "p", bounds)
+    want = df.withColumn("p", F.lag("n").over(window))
+    assert sorted(got.select("id", "p").collect(), key=str) == sorted(want.select("id", "p").collect(), key=str)
+    sums = ordered.running_sums(df, ["n"], ["g"], ["id", "tie"], bounds)
+    want = df.withColumn("n", F.sum("n").over(window.rowsBetween(W.unboundedPreceding, 0)))
+    assert sorted(sums.collect()) == sorted(want.select(*df.columns).collect())
+
+
+def test_ids_of_both_signs_far_apart(spark):
+    ids = [-(2**63) + 1, -(2**60), -5, 0, 7, 2**61, 2**62, 2**62 + 1, 2**63 - 1]
+    df = spark.createDataFrame([(i, k) for k, i in enumerate(ids)], "id long, n long").repartition(3)
+    got = ordered.previous_in_group(df.withColumn("g", F.lit(1)), "n", ["g"], ["id", "n"], "p", ordered.slice_bounds(df, ["id", "n"], 5))
+    assert {r.n: r.p for r in got.collect()} == {k: k - 1 if k else None for k in range(len(ids))}
+
+
+def test_slices_of_one_month_in_a_long_history(spark):
+    """The cuts come from the rows asked for, so the month is spread however long the history is."""
+    rows = [(i, START + dt.timedelta(hours=i)) for i in range(40 * 720)]
+    df = spark.createDataFrame(rows, "id long, t timestamp_ntz")
+    month = df.where((F.col("t") >= F.lit(START + dt.timedelta(days=300))) & (F.col("t") < F.lit(START + dt.timedelta(days=330))))
+    bounds = ordered.slice_bounds(month, ["t", "id"], 16)
+    sizes = [r["count"] for r in ordered._sliced(month, ["t", "id"], bounds).groupBy("__slice").count().collect()]
+    assert len(sizes) == 16 and max(sizes) <= 3 * 720 / 16
+
+
+def test_both_branches_of_the_salted_join(spark):
+    rows = [(5 if i % 3 else i, None if i % 2 else START, None) for i in range(900)]
+    df = _gappy(spark, rows).repartition(6)
+    heavy = ordered.slice_bounds(df, ["k"], 40)
+    plain = ordered.Bounds(heavy.cuts)
+    assert heavy.heavy and not plain.heavy
+    both = [sorted(ordered.fill_forward(df, ["a"], "k", 3000, b).collect(), key=str) for b in (heavy, plain)]
+    assert both[0] == both[1]
