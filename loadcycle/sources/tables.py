@@ -4,32 +4,118 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadcycle.operators.relational import union_by_name
+
 
 def use_time_zone(spark: SparkSession, zone: str) -> None:
     """Zone in which instants are shown and parsed for this session."""
     spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+def _nanos_as_long(spark: SparkSession) -> None:
+    """Lets Spark read nanosecond columns, which it refuses otherwise, as whole numbers."""
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+
+
+def _moments(df: DataFrame, nanoseconds: Sequence[str]) -> DataFrame:
+    """The named columns as wall-clock times, whether they came as nanoseconds or as timestamps."""
 
+    def moment(name: str):
+        value = F.col(f"`{name}`")
+        if isinstance(df.schema[name].dataType, T.LongType):
+            micros = F.expr(f"(`{name}` - pmod(`{name}`, 1000L)) div 1000L")
+            return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
+        return value.cast("timestamp_ntz")
 
-def read_parquet_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``.parquet`` file of a folder, columns matched by name, missing ones null."""
-    return spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True).parquet(folder)
+    return df.withColumns({c: moment(c) for c in nanoseconds if c in df.columns})
+
+
+def read_parquet(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, nanoseconds: Sequence[str] = ()
+) -> DataFrame:
+    """A Parquet file or folder of one schema. ``nanoseconds`` names the times that were written at that unit."""
+    if nanoseconds:
+        _nanos_as_long(spark)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return _moments(reader.parquet(path), nanoseconds)
+
+
+_WIDTH = ["tinyint", "smallint", "int", "bigint", "float", "double"]
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds both; text where they have nothing in common."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    names = a.simpleString(), b.simpleString()
+    if all(n in _WIDTH for n in names):
+        wide = max(names, key=_WIDTH.index)
+        return T.DoubleType() if wide == "float" else a if wide == names[0] else b
+    if {*names} <= {"timestamp", "timestamp_ntz", "date"}:
+        return T.TimestampNTZType()
+    if any(isinstance(t, T.DecimalType) for t in (a, b)) and any(n in _WIDTH for n in names):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def read_parquet_folder(spark: SparkSession, folder: str, nanoseconds: Sequence[str] = ()) -> DataFrame:
+    """Every ``.parquet`` file of a folder, columns matched by name, missing ones null.
+
+    A column that is a whole number in some files and a fraction in others (a writer that turns
+    gaps into fractions does that) gets the wider type. Only if the types drift are the files' schemas read one by
+    one; files of one schema are then read together.
+    """
+    if nanoseconds:
+        _nanos_as_long(spark)
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    try:
+        return _moments(reader.option("mergeSchema", True).parquet(folder), nanoseconds)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for file in reader.option("mergeSchema", False).parquet(folder).inputFiles():
+        schema = spark.read.parquet(file).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(file)
+    parts = [_moments(spark.read.schema(schema).parquet(*files), nanoseconds) for schema, files in groups.values()]
+    kinds: dict[str, T.DataType] = {}
+    for part in parts:
+        for field in part.schema:
+            kinds[field.name] = wider(kinds.get(field.name, T.NullType()), field.dataType)
+    return union_by_name([
+        part.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in part.columns]) for part in parts
+    ])
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header line and a declared schema (no inference pass)."""
-    return spark.read.csv(path, header=True, schema=schema)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, line_breaks: bool = True) -> DataFrame:
+    """CSV with a header line, its columns found by name, in the declared types.
+
+    Quotes inside a quoted field are doubled. A value that does not fit its type, and a declared column that the
+    header lacks, raise an error; further columns of the file are passed over. ``line_breaks=False`` promises
+    that no quoted field holds one, so that large files can be cut into splits.
+    """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+    header = reader.csv(path).columns
+    missing = [f.name for f in wanted if f.name not in header]
+    if missing:
+        raise ValueError(f"the header lacks {missing}")
+    kinds = {f.name: f.dataType for f in wanted}
+    found = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header])
+    rows = reader.schema(found).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    return rows.select(*[F.col(f"`{f.name}`") for f in wanted])
 
 
 def key_ranges(column: str, low: int, high: int, parts: int) -> list[str]:
