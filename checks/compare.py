@@ -28,6 +28,7 @@ def local_session(cpus: str = "8") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", os.environ.get("SCRATCH_DIR", "/tmp/checkpoints"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

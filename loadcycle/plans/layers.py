@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from loadcycle.plans.presentation import presentation
 from loadcycle.plans.raw import haul_cycles
 from loadcycle.plans.stage import StageOptions, stage_cycles
+from loadcycle.sources.scratch import own_scratch
 from loadcycle.sources.tables import read_table, write_table
 
 LOAD_START = "tiempo_inicio_carga_carguio"
 
 
-def write_raw(tables: Mapping[str, DataFrame], path: str, mode: str = "overwrite", fmt: str = "parquet", **period) -> None:
-    write_table(haul_cycles(tables, **period), path, mode, fmt)
+def write_raw(tables: Mapping[str, DataFrame], path: str, low, high, mode: str = "overwrite", fmt: str = "parquet", **how) -> None:
+    write_table(haul_cycles(tables, low, high, **how), path, mode, fmt)
 
 
 def write_stage(
@@ -30,11 +31,14 @@ def write_presentation(spark: SparkSession, stage: str, path: str, mode: str = "
     write_table(presentation(read_table(spark, stage, fmt)), path, mode, fmt)
 
 
-def run(tables: Mapping[str, DataFrame], folder: str, options: StageOptions = StageOptions(), fmt: str = "parquet", **period) -> DataFrame:
-    """All three layers below ``folder``; returns the presentation table."""
+def run(
+    tables: Mapping[str, DataFrame], folder: str, low, high, options: StageOptions = StageOptions(), fmt: str = "parquet", **how
+) -> DataFrame:
+    """All three layers of the cycles between the bounds, below ``folder``; returns the presentation table."""
     spark = next(iter(tables.values())).sparkSession
     raw, stage, shown = (f"{folder.rstrip('/')}/{layer}" for layer in ("raw", "stage", "presentation"))
-    write_raw(tables, raw, fmt=fmt, **period)
-    write_stage(spark, raw, stage, options, fmt=fmt)
-    write_presentation(spark, stage, shown, fmt=fmt)
+    with own_scratch(spark):
+        write_raw(tables, raw, fmt=fmt, low=low, high=high, **how)
+        write_stage(spark, raw, stage, options, fmt=fmt)
+        write_presentation(spark, stage, shown, fmt=fmt)
     return read_table(spark, shown, fmt)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -14,18 +14,33 @@ from pyspark.sql import DataFrame, SparkSession
 T = TypeVar("T")
 
 
+def _base(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``; without it a local session uses its warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+
+
+_OWN: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it then gets a folder of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="loadcycle-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below the folder of the run that is under way."""
+    return f"{_OWN[-1] if _OWN else _base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside go when the block ends; what it returns must be written elsewhere by then."""
+    _OWN.append(f"{_base(spark)}/run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        done = spark._jvm.org.apache.hadoop.fs.Path(_OWN.pop())
+        done.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(done, True)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
