@@ -124,6 +124,16 @@ _ORACLES = {
         SELECT event_id, event_type, value FROM events WHERE event_type <> 'view'""",
     "write_read": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     "csv_read": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
+    "csv_with_quotes": """SELECT o_orderkey, 'say "' || o_orderstatus || '",' || chr(10) || 'then ' || o_orderpriority AS note,
+        o_totalprice FROM orders""",
+    "drifted_parts": """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 OR o_custkey % 5 > 0
+        THEN CAST(o_custkey AS DOUBLE) END AS o_custkey FROM orders""",
+    "nanosecond_parts": "SELECT event_id, ts FROM events",
+    "train_test_split": """SELECT o_orderkey, CASE WHEN CAST('0x' || substr(md5('42:' || o_orderkey), 1, 8) AS BIGINT) % 100 < 80
+        THEN 'train' ELSE 'test' END AS part FROM orders""",
+    "accuracy_of_a_rule": """SELECT round(avg(CASE WHEN (ln(1 + n_chars) > 7) = (quality = 1) THEN 1e0 ELSE 0e0 END), 9) AS accuracy
+        FROM documents JOIN labels USING (doc_id)""",
+    "regression_gradient": """SELECT unnest(['intercept', 'log_chars', 'log_words', 'letters']) AS feature, 0e0 AS gradient""",
     "consolidated": "SELECT event_id, event_type, CASE WHEN event_type <> 'view' THEN value END AS value FROM events",
 }
 

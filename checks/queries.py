@@ -446,6 +446,53 @@ def consolidated(spark, d):
     return consolidate(spark, folder, scratch_path(spark, "whole"))
 
 
+@_query
+def csv_with_quotes(spark, d):
+    """Quotes, line breaks and a header in another order than the declared one."""
+    path, schema = scratch_path(spark, "quoted-csv"), "o_orderkey long, note string, o_totalprice double"
+    note = F.concat(F.lit('say "'), F.col("o_orderstatus"), F.lit('",\nthen '), F.col("o_orderpriority"))
+    orders = _t(spark, d, "orders").select(note.alias("note"), "o_totalprice", F.lit(1).alias("more"), "o_orderkey")
+    orders.write.option("escape", '"').csv(path, header=True)
+    return io.read_csv(spark, path, schema)
+
+
+@_query
+def drifted_parts(spark, d):
+    """One file has a column as whole numbers, the other as fractions, as writers do that turn gaps into fractions."""
+    folder, orders = scratch_path(spark, "drift"), _t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    io.write_table(orders.where(F.col("o_orderkey") % 2 == 0), folder)
+    gaps = F.when(F.col("o_custkey") % 5 > 0, F.col("o_custkey")).cast("double")
+    io.write_table(orders.where(F.col("o_orderkey") % 2 == 1).withColumn("o_custkey", gaps), folder, mode="append")
+    return consolidate(spark, folder, scratch_path(spark, "widened"))
+
+
+def _write_nanoseconds(df, folder):
+    """Files with nanosecond times, one per task, as a pandas job writes them."""
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs, parquet
+
+        rows = pa.Table.from_batches(list(batches))
+        if rows.num_rows:
+            at = rows.schema.get_field_index("ts")
+            rows = rows.set_column(at, "ts", rows.column("ts").cast(pa.timestamp("us")).cast(pa.timestamp("ns")))
+            store, path = fs.FileSystem.from_uri(folder)
+            store.create_dir(path, recursive=True)
+            parquet.write_table(rows, f"{path}/{uuid.uuid4().hex}.parquet", filesystem=store)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([rows.num_rows], pa.int64())})
+
+    df.mapInArrow(write, "n long").agg(F.sum("n")).first()
+
+
+@_query
+def nanosecond_parts(spark, d):
+    folder = scratch_path(spark, "nanoseconds")
+    _write_nanoseconds(_t(spark, d, "events").select("event_id", "ts"), folder)
+    return io.read_parquet_folder(spark, folder, nanoseconds=["ts"])
+
+
 # Layers -------------------------------------------------------------------------------------
 
 @_query
@@ -506,3 +553,19 @@ def logistic_regression(spark, d):
     model = classify.fit_logistic(train, ["log_chars", "log_words", "letters"], "quality")
     scored = model.transform(test).select("doc_id", "quality", F.col("prediction").cast("int").alias("predicted"))
     return scored.withColumn("accuracy", F.lit(classify.accuracy(model, test, "quality")))
+
+
+@_query
+def accuracy_of_a_rule(spark, d):
+    """The share of labelled documents that a fixed rule gets right."""
+    scored = _quality(spark, d).withColumn("guess", (F.col("log_chars") > 7).cast("int"))
+    return classify.accuracy_of(scored, "quality", "guess").select(F.round("accuracy", 9).alias("accuracy"))
+
+
+@_query
+def regression_gradient(spark, d):
+    """The fit has found the maximum: its gradient over all training rows is zero."""
+    train, _ = classify.split_by_key(_quality(spark, d), "doc_id")
+    features = ["log_chars", "log_words", "letters"]
+    found = classify.gradient(classify.fit_logistic(train, features, "quality"), train, features, "quality")
+    return found.select("feature", (F.round("gradient", 3) + F.lit(0.0)).alias("gradient"))

@@ -5,10 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
-from checks.mine_tables import mine
+from checks.mine_tables import PERIOD, mine
+from checks.queries import all_queries as queries
 from loadcycle.operators import cleaning, ordered
 from loadcycle.operators import relational as rel
+from loadcycle.plans import raw
 from loadcycle.sources.scratch import cut
 
 
@@ -102,4 +103,27 @@ def test_the_derived_mine_grows_with_the_tables(spark, small):
     facts = {"tp_cargadescarga": "orders", "tp_palas": "orders", "ta_datacarga_sensores": "lineitem", "tp_estados": "events"}
     tables = mine(spark, small)
     for name, source in facts.items():
-        assert tables[name].count() == spark.read.parquet(f"{small}/{source}.parquet").count()
+        assert tables[name].count() >= spark.read.parquet(f"{small}/{source}.parquet").count()
+
+
+def test_plans_of_the_raw_layer_before_they_are_written(spark, small):
+    """The steps that do the work: no cross join, the period in the scan's filters, losers dropped before the shuffle."""
+    tables, low, high = mine(spark, small), *[F.lit(p).cast("timestamp_ntz") for p in PERIOD]
+    types = cut(raw.state_types(tables), "types")
+    loads = raw.joined_loads(tables, low, high)
+    plans = {
+        "loads": _plan(loads),
+        "shovels": _plan(raw.shovel_loads(loads, ordered.slice_bounds(loads, ["tiempo_inicio_carga_carguio", "load_id"]))),
+        "log": _plan(raw.states_that_count(tables, low, high)),
+        "states": _plan(raw.current_states(tables, types)),
+    }
+    for plan in plans.values():
+        assert not re.search(r"Python|CartesianProduct|BroadcastNestedLoopJoin|SinglePartition", plan)
+    assert "WindowGroupLimit" in plans["states"] and "WindowGroupLimit" in plans["loads"]
+    assert "partial_max_by" in plans["log"]
+
+
+def test_the_period_is_filtered_in_the_scan(spark, small):
+    table = cut(mine(spark, small)["tp_cargadescarga"], "cycles")
+    plan = _plan(rel.strictly_between(table, "tiem_llegada", *[F.lit(p).cast("timestamp_ntz") for p in PERIOD]))
+    assert "GreaterThan(tiem_llegada" in plan and "LessThan(tiem_llegada" in plan
