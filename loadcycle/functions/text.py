@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NUMBER = r"\d+(?:\.\d+)?"
+_NUMBER = r"\d+(?:\.\d+)?(?:[eE][+-]?\d+)?"
 
 
 def type_of(df: DataFrame, column: str) -> T.DataType:
