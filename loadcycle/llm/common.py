@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from loadcycle.sources.scratch import cut, scratch_path, together
 
-__all__ = ["cut", "scratch_path", "together", "columns", "per_text", "row_hash", "keep_rows", "fold", "tables"]
+__all__ = ["cut", "scratch_path", "together", "columns", "per_text", "row_hash", "keep_rows", "join_hot", "fold", "tables"]
 
 ROW_HASH = "__row_hash"
 
@@ -92,3 +92,14 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col
         wanted, F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col(ROW_HASH) == F.col("__keep_hash")), "left_semi"
     )
     return found.dropDuplicates([id_col, ROW_HASH]).drop(ROW_HASH)
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Inner join with ``right``, which has one row per key, in which the keys of ``hot`` are not shuffled.
+
+    ``hot`` holds few keys by its making (those with more than a set share of all rows), so their rows of
+    ``right`` are broadcast and the rows of a hot key stay in as many tasks as they come from.
+    """
+    few = F.broadcast(hot.select(key))
+    rest = left.join(few, key, "left_anti").join(right, key)
+    return rest.unionByName(left.join(few, key, "left_semi").join(F.broadcast(right.join(few, key, "left_semi")), key))

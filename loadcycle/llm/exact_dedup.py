@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadcycle.llm.common import ROW_HASH, cut, keep_rows, per_text, row_hash
+from loadcycle.llm.common import ROW_HASH, cut, join_hot, keep_rows, per_text, row_hash
 
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -76,6 +76,7 @@ def duplicate_classes(
     facts = cut(_facts(df, digest, id_col, text_col), "dedup-facts")
     total = facts.count()
     hot = facts.groupBy("digest").count().filter(F.col("count") > total / HOT_SHARE + 1).select("digest")
+    hot = cut(hot, "dedup-hot")
     contents = _contents(df, digest, id_col, text_col).join(
         F.broadcast(hot.withColumn("hot", F.lit(True))), "digest", "left"  # at most HOT_SHARE rows
     )
@@ -96,10 +97,10 @@ def duplicate_classes(
     )
     shared = winners.groupBy("digest").count().filter("count > 1").select("digest")
     if shared.isEmpty():  # every digest stands for one text
-        found = facts.join(winners, "digest")
+        found = join_hot(facts, winners, "digest", hot)
     else:
         shared = cut(shared, "dedup-shared")
-        alone = facts.join(winners.join(shared, "digest", "left_anti"), "digest")
+        alone = join_hot(facts, winners.join(shared, "digest", "left_anti"), "digest", hot)
         texts = cut(_contents(df, digest, id_col, text_col).join(shared, "digest", "left_semi"), "dedup-collided")
         classes = texts.groupBy("digest", "content").agg(F.min(_best()).alias("best"), F.count(F.lit(1)).alias("rows"))
         found = alone.unionByName(texts.join(classes, ["digest", "content"]).drop("content"))

@@ -20,12 +20,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcycle.llm.common import ROW_HASH, columns, cut, keep_rows, per_text, row_hash, to_arrow
+from loadcycle.llm.common import ROW_HASH, columns, cut, join_hot, keep_rows, per_text, row_hash, to_arrow
 from loadcycle.llm.components import components
 
 BITS = 64
 #: Fingerprints that one meeting place may hold before it is dealt again.
 PLACE = 2048
+#: A fingerprint of more than one in so many rows is joined without a shuffle; there are fewer than that.
+HOT_SHARE = 1024
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -287,14 +289,15 @@ def near_duplicates(
     docs = cut(
         fingerprints(df, width=width, seed=seed, id_col=id_col, text_col=text_col), "fingerprints"
     )
-    nodes = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    nodes = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), "nodes")
+    hot = nodes.filter(F.col("rows") > docs.count() / HOT_SHARE + 1)
     roots = components(near_links(nodes.select("fp"), radius, place))
     rooted = nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = cut(rooted.join(names, "root").select("fp", "root", "component_id"), "named")
-    return docs.join(named, "fp").select("doc_id", ROW_HASH, "fp", "root", "component_id")
+    return join_hot(docs, named, "fp", hot).select("doc_id", ROW_HASH, "fp", "root", "component_id")
 
 
 def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
