@@ -53,36 +53,57 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.exact = vectors.astype(np.float64)  # products of whole numbers below 2**53 stay exact
         self.order = np.argsort(vectors, axis=0, kind="stable")
         self.largest = int(np.abs(vectors).max(initial=0))
+        self._tables = {np.dtype(np.int64): vectors}
+
+    def _table(self, query: np.ndarray) -> np.ndarray:
+        """The vectors in the narrowest type in which this query's scores are exact."""
+        most = self.largest * int(np.abs(query).max(initial=0)) * len(query)
+        kind = np.dtype(np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64)
+        if kind not in self._tables:
+            self._tables[kind] = self.vectors.astype(kind)
+        return self._tables[kind]
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and scores of the k best, ties to the smaller id; the query's own id takes no part."""
-        count, dims = self.vectors.shape
+        count = len(self.ids)
         used = np.flatnonzero(query)
-        exact = self.largest * int(np.abs(query).max(initial=0)) * dims < 1 << 53
-        weight = query.astype(np.float64) if exact else query
-        table = self.exact if exact else self.vectors
+        table = self._table(query)
+        weight = query.astype(table.dtype)
         seen = self.ids == query_id
         best, score = np.empty(0, np.int64), np.empty(0, np.int64)
         if not len(used):  # every score is 0
-            best = np.flatnonzero(~seen)[:k]
+            best = np.flatnonzero(~seen)[np.argsort(self.ids[~seen])][:k]
             return best, np.zeros(len(best), np.int64)
-        up = query[used] > 0
+        up, signed = query[used] > 0, query[used]
         depth, step = 0, max(8, k)
         while depth < count:
             end = min(count, depth + step)
-            rows = np.arange(depth, end)[:, None]
-            met = self.order[np.where(up, count - 1 - rows, rows), used].ravel()
-            fresh = np.unique(met[~seen[met]])
-            seen[fresh] = True
-            found = (table[fresh] @ weight).astype(np.int64)
+            met = np.zeros(count, bool)
+            for lists, rows in ((used[up], slice(count - end, count - depth)), (used[~up], slice(depth, end))):
+                met[self.order[rows][:, lists]] = True
+            met &= ~seen
+            seen |= met
+            if 2 * int(seen.sum()) > count:  # most rows are met: the rest comes in one step
+                met |= ~seen
+                end = count
+            fresh = np.flatnonzero(met)
+            found = ((table[fresh] if 2 * len(fresh) < count else table) @ weight).astype(np.int64)
+            found = found if len(found) == len(fresh) else found[fresh]
+            if len(score) == k:
+                good = found >= score[-1]
+                fresh, found = fresh[good], found[good]
+            elif len(found) > k:
+                good = found >= np.partition(found, len(found) - k)[len(found) - k]
+                fresh, found = fresh[good], found[good]
             best, score = np.concatenate((best, fresh)), np.concatenate((score, found))
             first = np.lexsort((self.ids[best], -score))[:k]
             best, score = best[first], score[first]
+            if end == count:
+                break
             at = self.order[np.where(up, count - end, end - 1), used]
-            bound = int((self.vectors[at, used] * query[used]).sum())
+            bound = int((self.vectors[at, used] * signed).sum())
             if len(best) == k and score[-1] > bound:  # at a tie, a smaller id may still be unseen
                 break
             depth, step = end, step * 2
