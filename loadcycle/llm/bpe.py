@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -22,9 +23,9 @@ from pyspark.sql import DataFrame
 from loadcycle.llm.common import per_text
 
 #: Transitions and pieces remembered per worker; beyond that the tables start anew, so memory stays bounded.
-MAX_TRANSITIONS = 1_000_000
-MAX_PIECES = 300_000
-MAX_PAIRS = 1_000_000
+MAX_TRANSITIONS = 600_000
+MAX_PIECES = 120_000
+MAX_PAIRS = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -63,7 +64,7 @@ class Transducer:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
         self.token_at: list[int] = [-1]
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         for token, rank in ranks.items():
             if merge_by_rank(token, ranks) == [rank]:  # others can never come out of merging
                 self._add(token, rank)
@@ -81,25 +82,45 @@ class Transducer:
         self.token_at[node] = rank
 
     def _reset(self) -> None:
-        self._ids: dict[tuple, int] = {}
-        self._states: list[tuple] = []
+        self._ids: dict[bytes, int] = {}
+        self._states: list[bytes] = []
         self._final: list[tuple[int, ...]] = []
         self._next: list[dict[int, tuple[int, tuple[int, ...]]]] = []  # by state, then by byte
+        self._outs: dict[tuple[int, ...], tuple[int, ...]] = {}
         self._made = 0
-        self._state(-1, (((), 0),))
+        self._state(-1, [((), 0)])
 
-    def _state(self, last: int, alternatives: tuple) -> int:
-        key = (last, alternatives)
+    def _once(self, out: tuple[int, ...]) -> tuple[int, ...]:
+        """One object for equal outputs."""
+        return self._outs.setdefault(out, out)
+
+    def _state(self, last: int, alternatives: list) -> int:
+        """The number of a state; it is held as the token before it, then length, tokens and node of each alternative."""
+        told = array("i", [last])
+        for pending, node in alternatives:
+            told.append(len(pending))
+            told.extend(pending)
+            told.append(node)
+        key = told.tobytes()
         found = self._ids.get(key)
         if found is None:
             found = self._ids[key] = len(self._states)
             self._states.append(key)
-            self._final.append(alternatives[-1][0])
+            self._final.append(self._once(alternatives[-1][0]))
             self._next.append({})
         return found
 
+    def _alternatives(self, state: int) -> tuple[int, list]:
+        told, found, at = array("i"), [], 1
+        told.frombytes(self._states[state])
+        while at < len(told):
+            end = at + 1 + told[at]
+            found.append((tuple(told[at + 1 : end]), told[end]))
+            at = end + 1
+        return told[0], found
+
     def _neighbours(self, left: int, right: int) -> bool:
-        pair = (left, right)
+        pair = left << 32 | right
         known = self._pairs.get(pair)
         if known is None:
             if len(self._pairs) >= MAX_PAIRS:
@@ -109,7 +130,7 @@ class Transducer:
         return known
 
     def _make(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, alternatives = self._states[state]
+        last, alternatives = self._alternatives(state)
         alive, whole = [], None
         for pending, node in alternatives:
             node = self.children[node].get(byte)
@@ -133,7 +154,7 @@ class Transducer:
             alive, last = [(p[agreed:], node) for p, node in alive], out[-1]
         if all(p for p, _ in alive):
             last = -1  # no alternative asks for it any more
-        made = self._next[state][byte] = self._state(last, tuple(alive)), out
+        made = self._next[state][byte] = self._state(last, alive), self._once(out)
         self._made += 1
         return made
 
