@@ -150,11 +150,12 @@ def train(
     )
     found, texts = document_frequencies(labelled, "text")
     idf = np.log((1 + texts) / (1 + found)) + 1.0
+    hashed = labelled.select("doc_id", "label", ROW_HASH, F.xxhash64("doc_id", ROW_HASH).alias("h"))
+    # a language with most rows is first cut to that many rows on each of 64 salts
+    salted = Window.partitionBy("label", F.pmod("h", F.lit(64))).orderBy("h", "doc_id")
     order = Window.partitionBy("label").orderBy("h", "doc_id")
-    chosen = (
-        labelled.select("doc_id", "label", ROW_HASH, F.xxhash64("doc_id", ROW_HASH).alias("h"))
-        .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
-    )
+    chosen = hashed.withColumn("place", F.row_number().over(salted)).filter(F.col("place") <= per_language)
+    chosen = chosen.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
     chosen = chosen.select(F.col("h").alias("__h"), "place").dropDuplicates(["__h"])
     rows = labelled.withColumn("h", F.xxhash64("doc_id", ROW_HASH)).join(
         F.broadcast(chosen), F.col("h") == F.col("__h")  # per_language rows of each language at the most
