@@ -96,6 +96,9 @@ def train(
         F.col(label_id).cast("long").alias("__label_id")
     ).agg(F.max(label_col).alias("label"))
     order = Window.partitionBy("label").orderBy(F.xxhash64("__label_id"), "__label_id")
+    # a class with most labels is first cut to that many on each of 64 salts
+    salted = Window.partitionBy("label", F.pmod(F.xxhash64("__label_id"), F.lit(64))).orderBy(F.xxhash64("__label_id"), "__label_id")
+    marks = marks.withColumn("place", F.row_number().over(salted)).filter(F.col("place") <= per_class)
     marks = marks.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_class)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_hash(text_col).alias(ROW_HASH)).join(
         F.broadcast(marks), F.col("doc_id") == F.col("__label_id")  # per_class rows of each class at the most
