@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadcycle.sources.scratch import cut, scratch_path, together
 
-__all__ = ["cut", "scratch_path", "together", "columns", "per_text", "row_hash", "keep_rows", "join_hot", "fold", "tables"]
+__all__ = ["cut", "scratch_path", "together", "columns", "per_text", "row_hash", "keep_rows", "join_hot", "fold", "sampled", "tables"]
 
 ROW_HASH = "__row_hash"
 
+#: Salts over which a class is dealt when a sample of it is taken.
+SAMPLE_SALTS = 32
+
 
 def tables(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -25,6 +28,21 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds, F.lit(0))
 
 
+def sampled(rows: DataFrame, label: str, key: Column, per_label: int) -> DataFrame:
+    """A bounded sample of each label, with a column ``place`` that numbers it in a fixed order.
+
+    Rows are dealt over salts by the hash of ``key`` and each salt gives as many of its smallest hashes as the others, so that
+    all together give ``per_label`` (rounded up to whole rows per salt) at the most. A label with most of all rows is
+    cut to its share in each task before the shuffle, and no task meets the whole sample.
+    """
+    share = -(-per_label // SAMPLE_SALTS)
+    hashed = rows.withColumn("__h", F.xxhash64(key)).withColumn("__salt", F.pmod("__h", F.lit(SAMPLE_SALTS)))
+    order = Window.partitionBy(label, "__salt").orderBy("__h", key)
+    cut_down = hashed.withColumn("__nth", F.row_number().over(order)).filter(F.col("__nth") <= share)
+    place = (F.col("__nth") - 1) * SAMPLE_SALTS + F.col("__salt") + 1
+    return cut_down.withColumn("place", place.cast("int")).drop("__h", "__salt", "__nth")
+
+
 def per_text(
     df: DataFrame, make: Callable[[], Callable[[bytes | None], tuple]], schema: str, *, id_col: str, text_col: str,
     keep: list[str] | None = None,

@@ -6,10 +6,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcycle.llm.common import ROW_HASH, per_text, row_hash
+from loadcycle.llm.common import ROW_HASH, per_text, row_hash, sampled
 
 #: Labelled texts per class in the sample at the most, bytes of a dictionary, bytes compressed at a time.
 PER_CLASS, DICTIONARY, CHUNK, LEVEL = 1500, 1 << 16, 1 << 12, 3
@@ -86,20 +86,16 @@ def train(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id",
     label_col: str = "quality", per_class: int = PER_CLASS,
 ) -> QualityModel:
-    """Dictionaries and calibration from at most ``per_class`` labelled texts of each class.
+    """Dictionaries and calibration from at most ``per_class`` labelled texts of each class (see ``sampled``).
 
     Two thirds of the sample build the dictionaries; the rest, which these have not seen, fits the calibration. The sample
-    is the rows with the smallest hash of the id. Labels other than 0 and 1 are passed over, null texts count as
+    is chosen by the hash of the id. Labels other than 0 and 1 are passed over, null texts count as
     empty; an id with several labels counts with the largest.
     """
     marks = labels.filter(F.col(label_col).isin(0, 1) & F.col(label_id).isNotNull()).groupBy(
         F.col(label_id).cast("long").alias("__label_id")
     ).agg(F.max(label_col).alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("__label_id"), "__label_id")
-    # a class with most labels is first cut to that many on each of 64 salts
-    salted = Window.partitionBy("label", F.pmod(F.xxhash64("__label_id"), F.lit(64))).orderBy(F.xxhash64("__label_id"), "__label_id")
-    marks = marks.withColumn("place", F.row_number().over(salted)).filter(F.col("place") <= per_class)
-    marks = marks.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_class)
+    marks = sampled(marks, "label", F.col("__label_id"), per_class)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_hash(text_col).alias(ROW_HASH)).join(
         F.broadcast(marks), F.col("doc_id") == F.col("__label_id")  # per_class rows of each class at the most
     )

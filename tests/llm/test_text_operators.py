@@ -19,7 +19,7 @@ from checks.compare import connect, differences
 from loadcycle.llm import (
     bpe, chat, components, exact_dedup, kneser_ney, language, mixing, quality, queries, simhash, token_counts, top_k,
 )
-from loadcycle.llm.common import keep_rows
+from loadcycle.llm.common import SAMPLE_SALTS, keep_rows, sampled
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = ("word " * 40_000) + "é" * 30_000
@@ -269,6 +269,17 @@ def test_language_on_held_out_rows(spark):
     assert held[0] > 0.97 and 0 <= held[1] <= held[2] <= 1
 
 
+def test_samples_are_bounded_even_and_the_same_again(spark):
+    rows = spark.range(30_000).select("id", F.when(F.col("id") % 50 == 0, "rare").otherwise("hot").alias("label"))
+    for most in (1500, 70):
+        got = [sorted(map(tuple, sampled(rows.repartition(n), "label", F.col("id"), most).collect())) for n in (2, 9)]
+        counts = collections.Counter(r[1] for r in got[0])
+        assert got[0] == got[1] and counts["hot"] == -(-most // SAMPLE_SALTS) * SAMPLE_SALTS and counts["rare"] <= 600
+        assert sorted(r[2] for r in got[0] if r[1] == "hot") == list(range(1, counts["hot"] + 1))
+        assert most < 600 or counts["rare"] == 600
+    assert sampled(rows.limit(0), "label", F.col("id"), 5).count() == 0
+
+
 def test_long_texts_are_counted_whole():
     text = "aé" * 300_000
     counts, short = language.term_counts(text), language.term_counts(text[: 1 << 18])
