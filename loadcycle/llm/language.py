@@ -13,10 +13,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcycle.llm.common import ROW_HASH, per_text, row_hash
+from loadcycle.llm.common import ROW_HASH, per_text, row_hash, sampled
 
 #: Hashed n-grams, their lengths, and labelled rows per language in the sample at the most.
 BUCKETS, LENGTHS, PER_LANGUAGE = 1 << 14, (1, 2, 3), 600
@@ -142,7 +142,7 @@ def train(
     """Learn from the labelled rows of ``df``; those without a label or a text are passed over.
 
     Document frequencies cover all labelled rows. The weights come from ``per_language`` rows of each language at
-    the most, those with the smallest hash of id and text; a fifth of them is kept back for the temperature.
+    the most, chosen by the hash of id and text (see ``sampled``); a fifth of them is kept back for the temperature.
     """
     labelled = df.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(label_col).alias("label"),
@@ -151,12 +151,8 @@ def train(
     found, texts = document_frequencies(labelled, "text")
     idf = np.log((1 + texts) / (1 + found)) + 1.0
     hashed = labelled.select("doc_id", "label", ROW_HASH, F.xxhash64("doc_id", ROW_HASH).alias("h"))
-    # a language with most rows is first cut to that many rows on each of 64 salts
-    salted = Window.partitionBy("label", F.pmod("h", F.lit(64))).orderBy("h", "doc_id")
-    order = Window.partitionBy("label").orderBy("h", "doc_id")
-    chosen = hashed.withColumn("place", F.row_number().over(salted)).filter(F.col("place") <= per_language)
-    chosen = chosen.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
-    chosen = chosen.select(F.col("h").alias("__h"), "place").dropDuplicates(["__h"])
+    chosen = sampled(hashed, "label", F.col("h"), per_language)
+    chosen = chosen.groupBy(F.col("h").alias("__h")).agg(F.min("place").alias("place"))
     rows = labelled.withColumn("h", F.xxhash64("doc_id", ROW_HASH)).join(
         F.broadcast(chosen), F.col("h") == F.col("__h")  # per_language rows of each language at the most
     ).dropDuplicates(["h"])
