@@ -11,10 +11,17 @@ from pyspark.sql import types as T
 
 from loadcycle.sources.scratch import cut, scratch_path, together
 
-__all__ = ["cut", "scratch_path", "together", "columns", "per_text", "row_hash", "keep_rows", "join_hot", "fold", "sampled", "tables"]
+__all__ = [
+    "cut", "scratch_path", "together", "columns", "per_text", "row_hash", "keep_rows", "join_hot", "fold", "sampled", "small_batches",
+    "tables",
+]
 
 ROW_HASH = "__row_hash"
 
+#: Whole texts that one Arrow batch may hold. Spark's own 10,000 would be a gigabyte of texts of 100 kB, several times over
+#: in the buffers of executor and worker.
+BATCH_TEXTS = 1000
+
 #: Salts over which a class is dealt when a sample of it is taken.
 SAMPLE_SALTS = 32
 
@@ -28,6 +35,13 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds, F.lit(0))
 
 
+def small_batches(spark) -> None:
+    """Lowers the session's Arrow batches to ``BATCH_TEXTS`` rows; a smaller setting of the caller's stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_TEXTS:
+        spark.conf.set(key, str(BATCH_TEXTS))
+
+
 def sampled(rows: DataFrame, label: str, key: Column, per_label: int) -> DataFrame:
     """A bounded sample of each label, with a column ``place`` that numbers it in a fixed order.
 
@@ -53,6 +67,7 @@ def per_text(
     never leave their partition, so nothing is shuffled and a lost task is simply run again.
     """
     keep = keep or []
+    small_batches(df.sparkSession)
     source = df.select(
         F.col(id_col).cast("long").alias("doc_id"), *[F.col(c) for c in keep],
         F.col(text_col).cast("string").cast("binary").alias("__text"),

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcycle.llm.common import ROW_HASH, per_text, row_hash, sampled
+from loadcycle.llm.common import ROW_HASH, per_text, row_hash, sampled, small_batches
 
 #: Hashed n-grams, their lengths, and labelled rows per language in the sample at the most.
 BUCKETS, LENGTHS, PER_LANGUAGE = 1 << 14, (1, 2, 3), 600
@@ -58,6 +58,7 @@ def document_frequencies(df: DataFrame, text_col: str) -> tuple[np.ndarray, int]
             names=["bucket", "n"],
         )
 
+    small_batches(df.sparkSession)
     rows = df.select(F.col(text_col).cast("binary")).mapInArrow(run, "bucket long, n long")
     sums = rows.groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # one row per bucket
     found = np.zeros(BUCKETS + 1, np.int64)
@@ -206,6 +207,7 @@ def filter_by_language(
 
     Rows pass as they are, with all their columns, so repeated rows and null ids need no key.
     """
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     at = df.columns.index(text_col)
 
