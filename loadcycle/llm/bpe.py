@@ -25,7 +25,8 @@ from loadcycle.llm.common import per_text
 #: Transitions and pieces remembered per worker; beyond that the tables start anew, so memory stays bounded.
 MAX_TRANSITIONS = 600_000
 MAX_PIECES = 120_000
-MAX_PAIRS = 300_000
+#: Places in the table of token pairs, a power of two. A pair overwrites the one that was in its place.
+PAIR_PLACES = 1 << 19
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -64,7 +65,7 @@ class Transducer:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
         self.token_at: list[int] = [-1]
-        self._pairs: dict[int, bool] = {}
+        self._pairs = array("Q", bytes(8 * PAIR_PLACES))  # the pair and its answer in the lowest bit
         for token, rank in ranks.items():
             if merge_by_rank(token, ranks) == [rank]:  # others can never come out of merging
                 self._add(token, rank)
@@ -120,13 +121,13 @@ class Transducer:
         return told[0], found
 
     def _neighbours(self, left: int, right: int) -> bool:
-        pair = left << 32 | right
-        known = self._pairs.get(pair)
-        if known is None:
-            if len(self._pairs) >= MAX_PAIRS:
-                self._pairs.clear()
-            known = merge_by_rank(self.tokens[left] + self.tokens[right], self.ranks) == [left, right]
-            self._pairs[pair] = known
+        pair = (left + 1) << 32 | right  # never 0
+        place = (pair * 0x9E3779B97F4A7C15 >> 40) & (PAIR_PLACES - 1)
+        held = self._pairs[place]
+        if held >> 1 == pair:
+            return bool(held & 1)
+        known = merge_by_rank(self.tokens[left] + self.tokens[right], self.ranks) == [left, right]
+        self._pairs[place] = pair << 1 | known
         return known
 
     def _make(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:

@@ -76,7 +76,7 @@ def test_ids_are_those_of_the_definition(codec, reference):
 
 def test_tables_that_start_anew_change_nothing(reference, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_TRANSITIONS", 50)
-    monkeypatch.setattr(bpe, "MAX_PAIRS", 10)
+    monkeypatch.setattr(bpe, "PAIR_PLACES", 8)
     monkeypatch.setattr(bpe, "MAX_PIECES", 3)
     own = bpe.Codec(queries.VOCABULARY, queries.PATTERN)
     text = "unbelievable reconstruction of antidisestablishmentarianism " * 3
