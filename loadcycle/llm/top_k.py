@@ -33,8 +33,9 @@ _PACKED = columns("block long, dims int, ids binary, vectors binary")
 
 
 def _pack(rows: DataFrame, parts: int) -> DataFrame:
-    """Rows (vec_id, v) of a block in one row: the ids and the matrix."""
-    placed = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(parts))).withColumn("dims", F.size("v"))
+    """Rows (vec_id, v) of a block in one row: the ids and the matrix. Each task deals its rows round all blocks, so that
+    an id that many rows share fills no block."""
+    placed = rows.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(parts))).withColumn("dims", F.size("v"))
 
     def one(table: pa.Table) -> pa.Table:
         order = np.argsort(table["vec_id"].to_numpy(), kind="stable")
