@@ -1,8 +1,9 @@
 """An interpolated modified Kneser-Ney model: counted in Spark, kept as sorted hash arrays, mapped into workers' memory.
 
-Counting packs sorted runs of hashed n-grams per task and deals them by the hash of the context over shards whose
-number grows with the corpus. A context that ends in a frequent word is dealt over several shards, so no shard meets
-all the followers of a hot word. Each shard writes its sorted arrays into the shared folder. Workers map these files
+Counting packs sorted runs of n-grams, as numbers of words, per task and deals them by the word right before the token
+over shards whose number grows with the corpus; all shorter n-grams of such a shard are its own and need no shuffle. A
+frequent word's n-grams are dealt by the whole context instead, and by the token where all of the context is frequent,
+over as many shards as its count asks for. Each shard writes its sorted arrays into the shared folder. Workers map these files
 and look up sorted batches of n-grams; nothing of the model passes through the driver but a few sums.
 """
 
@@ -18,6 +19,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +27,12 @@ from pyspark.sql import types as T
 
 from loadcycle.llm.common import columns, cut, scratch_path, to_arrow
 
-#: Tokens counted before a task packs them, tokens for which there is one shard, and shards of a hot context.
-RUN, SHARD, SPREAD = 1_500_000, 3_000_000, 8
-#: A word is hot if it makes up more than one in so many tokens; there are fewer such words than that.
-HOT_SHARE = 1024
+#: Tokens counted before a task packs them, and tokens for which there is one shard.
+RUN, SHARD = 1_500_000, 3_000_000
+#: A word is hot if it has more than one in so many of a shard's tokens, and is dealt over a shard for each such piece.
+PIECES = 8
+#: From so many keys on, their upper bytes are not written.
+MANY = 1 << 18
 _BEGIN, _END = np.uint64(0x5BD1E995A3C59AC3), np.uint64(0xC6A4A7935BD1E995)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -47,7 +51,7 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def n_grams(texts: list[bytes | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts, tokens and text numbers. Column j of the contexts hashes the order-1-j words before the token."""
+    """The order-1 words before each token, the nearest first; the tokens; and their text numbers."""
     parts, sizes = [], []
     begin, end = np.full(order - 1, _BEGIN), np.array([_END])
     for text in texts:
@@ -59,18 +63,42 @@ def n_grams(texts: list[bytes | None], order: int) -> tuple[np.ndarray, np.ndarr
     flat = np.concatenate(parts)
     number = np.repeat(np.arange(len(texts)), sizes)
     place = np.arange(len(number)) + (number + 1) * (order - 1)
-    contexts = np.empty((len(number), order - 1), np.uint64)
-    contexts[:, -1] = flat[place - 1]
-    for j in range(order - 3, -1, -1):  # from short contexts to long ones
-        contexts[:, j] = mix(contexts[:, j + 1], flat[place - (order - 1 - j)])
-    return contexts, flat[place], number
+    return np.column_stack([flat[place - 1 - j] for j in range(order - 1)]), flat[place], number
 
 
-def shard_of(contexts: np.ndarray, words: np.ndarray, hot: np.ndarray, shards: int, spread: int) -> np.ndarray:
-    """By context; where the word right before is hot, by the token too."""
-    base = (contexts[:, 0] >> np.uint64(20)) % np.uint64(shards)
-    salt = (words >> np.uint64(40)) % np.uint64(spread)
-    return ((base + np.where(is_in(contexts[:, -1], hot), salt, np.uint64(0))) % np.uint64(shards)).astype(np.int64)
+def hashed(near: np.ndarray) -> np.ndarray:
+    """Column j hashes the j + 1 nearest words of the context."""
+    contexts = near.copy()
+    for j in range(1, near.shape[1]):
+        contexts[:, j] = mix(contexts[:, j - 1], near[:, j])
+    return contexts
+
+
+def spread_of(near: np.ndarray, hot: np.ndarray, spreads: np.ndarray) -> np.ndarray:
+    """Shards over which a context is dealt: as many as for its rarest word, since it is no more frequent than that."""
+    least = np.full(len(near), spreads.max(initial=1))
+    for j in range(near.shape[1]):
+        known = is_in(near[:, j], hot)
+        own = np.ones(len(near), np.int64)
+        own[known] = spreads[np.searchsorted(hot, near[known, j])]
+        least = np.minimum(least, own)
+    return least
+
+
+def shard_of(
+    near: np.ndarray, contexts: np.ndarray, words: np.ndarray, hot: np.ndarray, spreads: np.ndarray, shards: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Shards of n-grams, and over how many shards each one's context is dealt.
+
+    By the word right before the token, so that all shorter n-grams made of a shard's n-grams are its own. Where that
+    word is hot, by the whole context, and by the token too if all its words are; these shards come after the others.
+    """
+    spread = spread_of(near, hot, spreads)
+    common = is_in(near[:, 0], hot)
+    base = (np.where(common, contexts, near[:, 0]) >> np.uint64(20)) % np.uint64(shards)
+    salt = (words >> np.uint64(40)) % spread.astype(np.uint64)
+    shard = ((base + salt) % np.uint64(shards)).astype(np.int64)
+    return shard + np.where(common, shards, 0), spread
 
 
 def is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -91,12 +119,12 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(change)
 
 
-def combine(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray):
+def combine(near: np.ndarray, words: np.ndarray, counts: np.ndarray):
     """Sorted distinct n-grams and their summed counts."""
-    order = np.lexsort((words, contexts[:, 0]))
-    contexts, words, counts = contexts[order], words[order], counts[order]
-    starts = run_starts(contexts[:, 0], words)
-    return contexts[starts], words[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+    order = np.lexsort((words, *near.T[::-1]))
+    near, words, counts = near[order], words[order], counts[order]
+    starts = run_starts(*near.T, words)
+    return near[starts], words[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
 def combine_words(words: np.ndarray, counts: np.ndarray):
@@ -106,29 +134,40 @@ def combine_words(words: np.ndarray, counts: np.ndarray):
     return words[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
-#: Packed n-grams of one shard: context runs (hash and length), the shorter contexts, the tokens and the counts.
-_GRAMS = columns("kind string, shard long, runs binary, lengths binary, rest binary, words binary, counts binary")
+#: N-grams of one shard as numbers of words: the columns of the contexts, the tokens and the counts, each packed.
+_GRAMS = columns("kind string, shard long, size long, near binary, words binary, counts binary")
+
+
+def _pack(values: np.ndarray, step: bool = False) -> bytes:
+    """Compressed planes of the bytes of a column, or of its steps."""
+    wide = 4 if not len(values) or values.max() < 1 << 32 else 8
+    values = values.astype(f"<u{wide}")
+    if step and len(values):
+        values = np.diff(values, prepend=values.dtype.type(0))  # wraps round
+    return bytes([wide]) + zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, wide).T.tobytes())
 
 
-def _packed(kind: str, shard: int, contexts: np.ndarray | None, words: np.ndarray, counts: np.ndarray) -> tuple:
-    runs = lengths = rest = b""
-    if contexts is not None:
-        starts = run_starts(contexts[:, 0])
-        runs = contexts[starts, 0].tobytes()
-        lengths = np.diff(np.append(starts, len(words))).astype("<u4").tobytes()
-        rest = np.ascontiguousarray(contexts[:, 1:]).tobytes()
-    wide = "<u4" if not len(counts) or counts.max() < 1 << 32 else "<u8"
-    return kind, shard, runs, lengths, rest, words.tobytes(), (b"4" if wide == "<u4" else b"8") + counts.astype(wide).tobytes()
+def _unpack(data: bytes, size: int, step: bool = False) -> np.ndarray:
+    wide = data[0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(wide, size)
+    values = np.ascontiguousarray(planes.T).view(f"<u{wide}").reshape(size)
+    return np.cumsum(values, dtype=values.dtype) if step else values
 
 
-def _unpacked(row: dict) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
-    words = np.frombuffer(row["words"], np.uint64)
-    counts = np.frombuffer(row["counts"], "<u4" if row["counts"][:1] == b"4" else "<u8", offset=1).astype(np.int64)
-    if not row["runs"]:
-        return None, words, counts
-    first = np.repeat(np.frombuffer(row["runs"], np.uint64), np.frombuffer(row["lengths"], "<u4"))
-    rest = np.frombuffer(row["rest"], np.uint64).reshape(len(words), -1) if len(words) else np.empty((0, 0), np.uint64)
-    return np.column_stack((first[:, None], rest)), words, counts
+def _packed(kind: str, shard: int, near: np.ndarray | None, words: np.ndarray, counts: np.ndarray) -> tuple:
+    parts = [] if near is None else [_pack(c, step=True) for c in near.T]
+    held = b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+    return kind, shard, len(words), held, _pack(words, step=near is None), _pack(counts)
+
+
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size, held, near, at = row["size"], row["near"], [], 0
+    while at < len(held):
+        end = at + 4 + int.from_bytes(held[at : at + 4], "little")
+        near.append(_unpack(held[at + 4 : end], size, step=True))
+        at = end
+    words = _unpack(row["words"], size, step=not near)
+    return np.column_stack(near) if near else np.empty((size, 0), "<u4"), words, _unpack(row["counts"], size).astype(np.int64)
 
 
 def _table(rows: list[tuple], schema: T.StructType) -> pa.Table:
@@ -137,14 +176,14 @@ def _table(rows: list[tuple], schema: T.StructType) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
 
-def _by_shard(kind: str, shard: np.ndarray, contexts, words, counts) -> list[tuple]:
+def _by_shard(kind: str, shard: np.ndarray, near, words, counts) -> list[tuple]:
     """Rows sorted within shards, packed."""
     order = np.argsort(shard, kind="stable")
     starts = run_starts(shard[order])
     rows = []
     for s, e in zip(starts, np.append(starts[1:], len(order))):
         at = order[s:e]
-        rows.append(_packed(kind, int(shard[at[0]]), None if contexts is None else contexts[at], words[at], counts[at]))
+        rows.append(_packed(kind, int(shard[at[0]]), None if near is None else near[at], words[at], counts[at]))
     return rows
 
 
@@ -193,6 +232,57 @@ def _mapped(folder: str, name: str) -> np.ndarray:
     return _MAPPED[key]
 
 
+def _save_keys(folder: str, name: str, keys: np.ndarray) -> None:
+    """Sorted keys; of many keys the two upper bytes are kept only as the places where they change."""
+    if len(keys) < MANY:
+        _save(folder, name, keys)
+        return
+    _save(folder, f"{name}-low", (keys & np.uint64(0xFFFF)).astype("<u2"))
+    _save(folder, f"{name}-middle", (keys >> np.uint64(16)).astype("<u4"))
+    tops = np.searchsorted(keys, np.arange(1, 1 << 16, dtype=np.uint64) << np.uint64(48))
+    _save(folder, name, np.concatenate(([0], tops, [len(keys)])).astype("<i8"))  # signed: not keys
+
+
+def _find(folder: str, name: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are there, and their places."""
+    known = _mapped(folder, name)
+    if known.dtype == np.uint64:
+        if not len(known):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        at = np.searchsorted(known, keys)
+        at[at == len(known)] = 0
+        return known[at] == keys, at
+    low, middle = _mapped(folder, f"{name}-low"), _mapped(folder, f"{name}-middle")
+    top = (keys >> np.uint64(48)).astype(np.int64)
+    start, stop = known[top], known[top + 1]
+    last, size = stop.copy(), len(low)
+    want, rest = (keys >> np.uint64(16)).astype("<u4"), (keys & np.uint64(0xFFFF)).astype("<u2")
+    while (open_ := start < stop).any():
+        at = np.minimum((start + stop) >> 1, size - 1)
+        m = middle[at]
+        less = (m < want) | ((m == want) & (low[at] < rest))
+        start, stop = np.where(open_ & less, at + 1, start), np.where(open_ & ~less, at, stop)
+    at = np.minimum(start, size - 1)
+    return (start < last) & (middle[at] == want) & (low[at] == rest), at
+
+
+def _save_counts(folder: str, name: str, counts: np.ndarray) -> None:
+    """Rows of counts of which the first is the largest, a byte each; rows with a larger one lie apart."""
+    large = np.flatnonzero(counts[:, 0] >= 255)
+    _save(folder, f"{name}-large", np.column_stack((large, counts[large])).astype("<i8"))
+    small = np.minimum(counts, 255).astype("<u1")
+    _save(folder, name, small)
+
+
+def _counts(folder: str, name: str, at: np.ndarray) -> np.ndarray:
+    rows = _mapped(folder, name)[at].astype(np.int64)
+    large = np.flatnonzero(rows[:, 0] == 255)
+    if len(large):
+        apart = _mapped(folder, f"{name}-large")
+        rows[large] = apart[np.searchsorted(apart[:, 0], at[large]), 1:]
+    return rows
+
+
 # Training -----------------------------------------------------------------------------------
 
 @dataclass
@@ -203,8 +293,8 @@ class Model:
     folder: str
     shards: int
     word_shards: int
-    spread: int = 1
     hot: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    spreads: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     tokens: int = 0
     types: int = 0
     continuations: int = 0
@@ -235,6 +325,38 @@ def _stats(kind: str, counts: np.ndarray) -> tuple:
 _REDUCED = T.StructType([*_GRAMS.fields, *_STATS.fields[1:]])
 
 
+def word_shard(words: np.ndarray, shards: int) -> np.ndarray:
+    """Ranges of hashes, so that words numbered shard by shard are in the order of their hashes."""
+    return (((words >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+
+
+class Numbers:
+    """Words as numbers: 0 begins a text, the others follow shard by shard in the order of their hashes."""
+
+    def __init__(self, folder: str, sizes: np.ndarray):
+        self._folder, self.first = folder, np.concatenate(([1], 1 + np.cumsum(sizes)))
+
+    def _each(self, shard: np.ndarray):
+        order = np.argsort(shard, kind="stable")
+        starts = run_starts(shard[order])
+        for s, e in zip(starts, np.append(starts[1:], len(order))):
+            number = int(shard[order[s]])
+            yield order[s:e], self.first[number], _mapped(self._folder, f"1-{number}-keys")
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of words of the corpus."""
+        numbers, known = np.zeros(len(words), np.int64), np.flatnonzero(words != _BEGIN)
+        for at, first, keys in self._each(word_shard(words[known], len(self.first) - 1)):
+            numbers[known[at]] = first + np.searchsorted(keys, words[known[at]])
+        return numbers
+
+    def words(self, numbers: np.ndarray) -> np.ndarray:
+        words, known = np.full(len(numbers), _BEGIN), np.flatnonzero(numbers)
+        for at, first, keys in self._each(np.searchsorted(self.first, numbers[known], side="right") - 1):
+            words[known[at]] = keys[numbers[known[at]].astype(np.int64) - first]
+        return words
+
+
 def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
     """Count the rows of ``df`` and write the model.
 
@@ -251,92 +373,113 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, words, _ in _runs(batches, 2):
             words, counts = combine_words(words, np.ones(len(words), np.int64))
-            shard = ((words >> np.uint64(20)) % np.uint64(deal)).astype(np.int64)
+            shard = word_shard(words, deal)
             yield from _table(_by_shard("word", shard, None, words, counts), _GRAMS).to_batches()
 
     def join_words(table: pa.Table) -> pa.Table:
         rows = [_unpacked(r) for r in table.to_pylist()]
         words, counts = combine_words(np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]))
         packed = _packed("word", table["shard"][0].as_py(), None, words, counts)
+        _save(folder, f"1-{packed[1]}-keys", words)
         return _table([(*packed, len(words), 0, 0, 0, int(counts.sum()))], _REDUCED)
 
     vocabulary = cut(
         texts.mapInArrow(count_words, _GRAMS).groupBy("shard").applyInArrow(join_words, _REDUCED), "words"
     )
-    sums = vocabulary.agg(F.sum("n1").alias("types"), F.sum("total").alias("tokens")).first()
-    tokens, types = sums["tokens"] or 0, sums["types"] or 0
+    sizes = np.zeros(deal, np.int64)
+    tokens = 0
+    for row in vocabulary.select("shard", "n1", "total").collect():  # a row per shard
+        sizes[row["shard"]] = row["n1"]
+        tokens += row["total"]
+    types = int(sizes.sum())
+    shards, piece = max(1, -(-tokens // SHARD)), max(1, SHARD // PIECES)
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 _, words, counts = _unpacked(row)
-                some = words[counts > tokens / HOT_SHARE]
-                yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64), pa.int64())], names=["word"])
+                some = counts > piece
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words[some].astype(np.uint64).view(np.int64)), pa.array(counts[some])], names=["word", "count"]
+                )
 
-    hot = vocabulary.mapInArrow(frequent, "word long").collect()  # fewer than HOT_SHARE rows
-    hot = np.sort(np.array([r["word"] for r in hot], np.int64).view(np.uint64))
-    hot = np.unique(np.append(hot, _BEGIN))
-    shards = max(1, -(-tokens // SHARD))
-    spread = min(SPREAD, shards)
-    model = Model(order, folder, shards, deal, spread, hot, tokens, types)
+    found = vocabulary.mapInArrow(frequent, "word long, count long").collect()  # fewer than PIECES words for each shard
+    often = {int(np.int64(r["word"]).view(np.uint64)): r["count"] for r in found}
+    often[int(_BEGIN)] = often.get(int(_END), 1)  # each text begins as often as it ends
+    hot = np.array(sorted(often), np.uint64)
+    spreads = np.array([min(shards, -(-often[w] // piece)) for w in sorted(often)], np.int64)
+    model, numbers = Model(order, folder, shards, deal, hot, spreads, tokens, types), Numbers(folder, sizes)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for contexts, words, _ in _runs(batches, order):
-            contexts, words, counts = combine(contexts, words, np.ones(len(words), np.int64))
-            shard = shard_of(contexts, words, hot, shards, spread)
-            yield from _table(_by_shard(f"level{order}", shard, contexts, words, counts), _GRAMS).to_batches()
+    def dealt(near: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return shard_of(near, hashed(near)[:, -1], words, hot, spreads, shards)[0]
 
-    def reduce_level(level: int):
-        def run(table: pa.Table) -> pa.Table:
-            shard = table["shard"][0].as_py()
-            rows = [_unpacked(r) for r in table.to_pylist()]
-            contexts, words, counts = combine(*(np.concatenate([r[i] for r in rows]) for i in range(3)))
-            starts = run_starts(contexts[:, 0])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for near, words, _ in _runs(batches, order):
+            own, back = np.unique(np.column_stack((near, words)), return_inverse=True)
+            back = back.reshape(len(words), order).astype("<u4")
+            near, words, counts = combine(back[:, :-1], back[:, -1], np.ones(len(words), np.int64))
+            shard, number = dealt(own[near], own[words]), numbers.of(own)
+            yield from _table(_by_shard(f"level{order}", shard, number[near], number[words], counts), _GRAMS).to_batches()
+
+    def reduce_level(top: int):
+        def write(level: int, shard: int, near, words, counts) -> list[tuple]:
+            """Writes a level's arrays and those of the shorter n-grams that are of this shard; the others go on."""
+            starts = run_starts(*near.T)
+            lengths = np.diff(np.append(starts, len(words)))
+            before = np.column_stack([numbers.words(c) for c in near[starts].T])
+            contexts = hashed(before)[:, -1]
             own = np.column_stack(
                 [np.add.reduceat(v, starts) for v in (counts, counts == 1, counts == 2, counts >= 3)]
             ).astype(np.int64)
-            keys = mix(contexts[:, 0], words)
-            by_key = np.argsort(keys)
-            _save(folder, f"{level}-{shard}-keys", keys[by_key])
-            _save(folder, f"{level}-{shard}-counts", counts[by_key].astype("<u4" if counts.max() < 1 << 32 else "<u8"))
-            _save(folder, f"{level}-{shard}-contexts", contexts[starts, 0])
-            _save(folder, f"{level}-{shard}-totals", own.astype("<u4" if own.max() < 1 << 32 else "<u8"))
+            keys = mix(np.repeat(contexts, lengths), numbers.words(words))
+            by_key, by_context = np.argsort(keys), np.argsort(contexts)
+            _save_keys(folder, f"{level}-{shard}-keys", keys[by_key])
+            _save_counts(folder, f"{level}-{shard}-counts", counts[by_key, None])
+            _save_keys(folder, f"{level}-{shard}-contexts", contexts[by_context])
+            _save_counts(folder, f"{level}-{shard}-totals", own[by_context])
             out = [(*_packed(f"stats{level}", shard, None, words[:0], counts[:0]), *_stats("", counts)[1:])]
             # each distinct n-gram is one word to the left of the shorter n-gram
             ones = np.ones(len(words), np.int64)
             if level == 2:
                 less, n = combine_words(words, ones)
-                to = ((less >> np.uint64(20)) % np.uint64(deal)).astype(np.int64)
-                more = _by_shard("left", to, None, less, n)
-            else:
-                shorter, less, n = combine(contexts[:, 1:], words, ones)
-                to = shard_of(shorter, less, hot, shards, spread)
-                more = _by_shard(f"level{level - 1}", to, shorter, less, n)
-            return _table(out + [(*m, 0, 0, 0, 0, 0) for m in more], _REDUCED)
+                to = np.searchsorted(numbers.first, less, side="right") - 1
+                return out + [(*m, 0, 0, 0, 0, 0) for m in _by_shard("left", to, None, less, n)]
+            near, words, counts = combine(near[:, :-1], words, ones)
+            if shard < shards:
+                return out + write(level - 1, shard, near, words, counts)
+            to = dealt(np.column_stack([numbers.words(c) for c in near.T]), numbers.words(words))
+            return out + [(*m, 0, 0, 0, 0, 0) for m in _by_shard(f"level{level - 1}", to, near, words, counts)]
+
+        def run(table: pa.Table) -> pa.Table:
+            rows = [_unpacked(r) for r in table.to_pylist()]
+            grams = combine(*(np.concatenate([r[i] for r in rows]) for i in range(3)))
+            return _table(write(top, table["shard"][0].as_py(), *grams), _REDUCED)
 
         return run
 
-    grams = texts.mapInArrow(count, _GRAMS)
+    grams, lefts_of = texts.mapInArrow(count, _GRAMS), []
     for level in range(order, 1, -1):
         done = cut(grams.groupBy("shard").applyInArrow(reduce_level(level), _REDUCED), f"level{level}")
-        for row in _sums(done.filter(F.col("kind") == f"stats{level}")):
-            model.count_of_counts[level] = [row[f"n{i}"] for i in (1, 2, 3, 4)]
+        for row in _sums(done.filter(F.col("kind").startswith("stats"))):
+            known = model.count_of_counts.setdefault(int(row["kind"][5:]), [0, 0, 0, 0])
+            for i in range(4):
+                known[i] += row[f"n{i + 1}"]
         grams = done.filter(F.col("kind") == f"level{level - 1}").select(*_GRAMS.fieldNames())
+        lefts_of.append(done.filter("kind = 'left'").select(*_GRAMS.fieldNames()))
 
     def join_left(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
         rows = [(r["kind"], *_unpacked(r)[1:]) for r in table.to_pylist()]
         words, counts = combine_words(*(np.concatenate([r[i] for r in rows if r[0] == "word"]) for i in (1, 2)))
-        left, n = combine_words(*(np.concatenate([np.empty(0, t), *[r[i] for r in rows if r[0] == "left"]]) for i, t in ((1, np.uint64), (2, np.int64))))
+        left, n = combine_words(*(np.concatenate([np.empty(0, np.int64), *[r[i].astype(np.int64) for r in rows if r[0] == "left"]]) for i in (1, 2)))
         lefts = np.zeros(len(words), np.int64)
-        lefts[np.searchsorted(words, left)] = n
-        _save(folder, f"1-{shard}-keys", words)
+        lefts[left - numbers.first[shard]] = n
         _save(folder, f"1-{shard}-counts", np.column_stack((counts, lefts)))
         return _table([("stats1", *_stats("", lefts)[1:])], _STATS)
 
-    both = vocabulary.select(*_GRAMS.fieldNames()).unionByName(
-        done.filter("kind = 'left'").select(*_GRAMS.fieldNames())
-    )
+    both = vocabulary.select(*_GRAMS.fieldNames())
+    for lefts in lefts_of:
+        both = both.unionByName(lefts)
     for row in _sums(cut(both.groupBy("shard").applyInArrow(join_left, _STATS), "level1")):
         model.count_of_counts[1] = [row[f"n{i}"] for i in (1, 2, 3, 4)]
         model.continuations = row["total"]
@@ -354,13 +497,13 @@ def _look_up(model: Model, level: int, shard: np.ndarray, keys: np.ndarray, inde
         at = order[s:e]
         name = f"{level}-{shard[at[0]]}"
         try:
-            known = _mapped(model.folder, f"{name}-{index}")
+            hit, here = _find(model.folder, f"{name}-{index}", keys[at])
         except FileNotFoundError:  # no n-gram of the corpus fell into this shard
             continue
-        here = np.searchsorted(known, keys[at])
-        here[here == len(known)] = 0
-        hit = known[here] == keys[at]
-        found[at[hit]] = np.asarray(_mapped(model.folder, f"{name}-{values}")[here[hit]]).reshape(-1, width)
+        if level == 1:
+            found[at[hit]] = _mapped(model.folder, f"{name}-{values}")[here[hit]]
+        else:
+            found[at[hit]] = _counts(model.folder, f"{name}-{values}", here[hit])
     return found
 
 
@@ -375,10 +518,10 @@ def _unique(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[starts], back
 
 
-def log_chances(model: Model, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def log_chances(model: Model, near: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """log10 chance of each token after its context, and the token's count in training."""
     first, back = _unique(words)
-    shard = ((words[first] >> np.uint64(20)) % np.uint64(model.word_shards)).astype(np.int64)
+    shard = word_shard(words[first], model.word_shards)
     seen = _look_up(model, 1, shard, words[first], "keys", "counts", 2)
     d, n = model.discounts(1), model.count_of_counts.get(1, [0, 0, 0, 0])
     some = max(model.types, 1)
@@ -389,20 +532,20 @@ def log_chances(model: Model, contexts: np.ndarray, words: np.ndarray) -> tuple[
     else:
         chance = np.full(len(first), 1.0 / (some + 1))
     counts, chance = seen[back, 0], chance[back]
+    contexts = hashed(near)
     for level in range(2, model.order + 1):
-        own = contexts[:, model.order - level :]
-        first, back = _unique(words, own[:, 0])
-        ctx, word = own[first], words[first]
-        shard = shard_of(ctx, word, model.hot, model.shards, model.spread)
-        c = _look_up(model, level, shard, mix(ctx[:, 0], word), "keys", "counts", 1)[:, 0]
-        one, up = _unique(ctx[:, 0])
-        context = ctx[one]
+        first, back = _unique(words, contexts[:, level - 2])
+        before, ctx, word = near[first, : level - 1], contexts[first, level - 2], words[first]
+        shard, spread = shard_of(before, ctx, word, model.hot, model.spreads, model.shards)
+        c = _look_up(model, level, shard, mix(ctx, word), "keys", "counts", 1)[:, 0]
+        one, up = _unique(ctx)
         total = np.zeros((len(one), 4), np.int64)
-        hot = is_in(context[:, -1], model.hot)
-        base = ((context[:, 0] >> np.uint64(20)) % np.uint64(model.shards)).astype(np.int64)
-        for salt in range(model.spread):  # the sums of a hot context lie in as many shards
-            at = np.flatnonzero(hot) if salt else np.arange(len(one))
-            total[at] += _look_up(model, level, (base[at] + salt) % model.shards, context[at, 0], "contexts", "totals", 4)
+        # without the token: salted from 0 on
+        base = shard_of(before[one], ctx[one], np.zeros(len(one), np.uint64), model.hot, model.spreads, model.shards)[0]
+        for salt in range(int(spread[one].max(initial=0))):  # the sums of a hot context lie in as many shards
+            at = np.flatnonzero(spread[one] > salt)
+            wrapped = np.where(base[at] % model.shards + salt < model.shards, salt, salt - model.shards)
+            total[at] += _look_up(model, level, base[at] + wrapped, ctx[one[at]], "contexts", "totals", 4)
         d, total = model.discounts(level), total[up]
         known = np.maximum(total[:, 0], 1)
         direct = np.maximum(c - d[np.minimum(c, 3)], 0) / known
@@ -428,8 +571,8 @@ def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str
     out = T.StructType([*source.schema.fields[:-1], *_SCORES.fields])
 
     def judged(texts: list[bytes | None]) -> list[np.ndarray]:
-        contexts, words, number = n_grams(texts, model.order)
-        chance, counts = log_chances(model, contexts, words)
+        near, words, number = n_grams(texts, model.order)
+        chance, counts = log_chances(model, near, words)
         base = np.log10((counts + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
         per = [np.bincount(number, weights=w, minlength=len(texts)) for w in (np.ones(len(number)), counts > 0, base, chance)]
         return [per[0].astype(np.int64), per[1].astype(np.int64), np.full(len(texts), model.tokens), per[2], per[3]]

@@ -71,7 +71,7 @@ def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
 
 def op10_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
     docs = tables(spark, d, "documents").withColumn("held_out", fold("doc_id", 5) == 1)
-    model = kneser_ney.train(docs.filter("not held_out"), order=2)
+    model = kneser_ney.train(docs.filter("not held_out"), order=3)
     return kneser_ney.score(docs, model, keep=["held_out"])
 
 
