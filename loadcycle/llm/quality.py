@@ -95,7 +95,8 @@ def train(
     marks = labels.filter(F.col(label_col).isin(0, 1) & F.col(label_id).isNotNull()).groupBy(
         F.col(label_id).cast("long").alias("__label_id")
     ).agg(F.max(label_col).alias("label"))
-    marks = sampled(marks, "label", F.col("__label_id"), per_class)
+    present = docs.select(F.col(id_col).cast("long").alias("__label_id"))
+    marks = sampled(marks.join(present, "__label_id", "left_semi"), "label", F.col("__label_id"), per_class)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_hash(text_col).alias(ROW_HASH)).join(
         F.broadcast(marks), F.col("doc_id") == F.col("__label_id")  # per_class rows of each class at the most
     )
