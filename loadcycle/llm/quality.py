@@ -13,8 +13,6 @@ from loadcycle.llm.common import ROW_HASH, per_text, row_hash, sampled
 
 #: Labelled texts per class in the sample at the most, bytes of a dictionary, bytes compressed at a time.
 PER_CLASS, DICTIONARY, CHUNK, LEVEL = 1500, 1 << 16, 1 << 12, 3
-#: Of a sampled text, the dictionary takes pieces spread evenly over it, so many bytes at the most in all.
-FROM_TEXT = 1 << 14
 
 
 def chunks(text: bytes) -> list[bytes]:
@@ -25,9 +23,7 @@ def build_dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
     """A dictionary trained on the texts; where they are too few to train one, their own bytes."""
     pieces = []
     for text in texts:
-        parts = chunks(text)
-        step = max(1, len(parts) * CHUNK // FROM_TEXT)
-        pieces += parts[::step]
+        pieces += chunks(text)
     try:
         return zstandard.train_dictionary(size, pieces).as_bytes()
     except zstandard.ZstdError:

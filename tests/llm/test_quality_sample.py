@@ -20,3 +20,17 @@ def test_sample_is_taken_from_documents_at_hand(spark, given):
     labels = spark.range(4000).selectExpr("id as doc_id", "cast(id % 80 = 0 as int) as quality")
     quality.train(docs, labels, per_class=64)
     assert all(len(pieces) > 15 for pieces in given)
+
+
+def _long(kind, seed, chunks=100):
+    text = bytearray(random.Random(seed).randbytes(chunks * quality.CHUNK // 2).hex().encode())  # nothing repeats but the passage
+    text[quality.CHUNK * 2 : quality.CHUNK * 3] = (f"{kind} passage between strides; ".encode() * 200)[: quality.CHUNK]
+    return bytes(text).decode()
+
+
+def test_all_chunks_of_long_texts_count(spark):
+    rows = [(i, _long("good" if i % 2 else "bad", i, 40)) for i in range(24)]
+    model = quality.train(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    )
+    assert b"good passage between" in model.good and b"bad passage between" in model.bad
