@@ -5,25 +5,25 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcycle.llm.common import ROW_HASH, per_text, row_hash, sampled
+from loadcycle.llm.common import ROW_HASH, SAMPLE_SALTS, columns, cut, per_text, row_hash, sampled, small_batches, to_arrow
 
 #: Labelled texts per class in the sample at the most, bytes of a dictionary, bytes compressed at a time.
 PER_CLASS, DICTIONARY, CHUNK, LEVEL = 1500, 1 << 16, 1 << 12, 3
+#: Bytes that the texts of a class and salt give to the driver; of more, a dictionary of this size is built where they are.
+PART = 1 << 18
 
 
 def chunks(text: bytes) -> list[bytes]:
     return [text[i : i + CHUNK] for i in range(0, len(text), CHUNK)]
 
 
-def build_dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
-    """A dictionary trained on the texts; where they are too few to train one, their own bytes."""
-    pieces = []
-    for text in texts:
-        pieces += chunks(text)
+def build_dictionary(pieces: list[bytes], size: int = DICTIONARY) -> bytes:
+    """A dictionary trained on the pieces; where they are too few to train one, their own bytes."""
     try:
         return zstandard.train_dictionary(size, pieces).as_bytes()
     except zstandard.ZstdError:
@@ -84,10 +84,12 @@ def train(
 ) -> QualityModel:
     """Dictionaries and calibration from at most ``per_class`` labelled texts of each class (see ``sampled``).
 
-    Two thirds of the sample build the dictionaries; the rest, which these have not seen, fits the calibration. The sample
-    is chosen by the hash of the id. Labels other than 0 and 1 are passed over, null texts count as
-    empty; an id with several labels counts with the largest.
+    Two thirds of the sample build the dictionaries, from all their chunks; the rest, which these have not seen, fits the
+    calibration. The sample is chosen by the hash of the id among the labelled ids of ``docs``. Labels other than 0 and 1
+    are passed over, null texts count as empty; an id with several labels counts with the largest. No text comes to the
+    driver: texts of a class and salt that hold more than ``PART`` bytes are first put into a dictionary of that size.
     """
+    small_batches(docs.sparkSession)
     marks = labels.filter(F.col(label_col).isin(0, 1) & F.col(label_id).isNotNull()).groupBy(
         F.col(label_id).cast("long").alias("__label_id")
     ).agg(F.max(label_col).alias("label"))
@@ -96,14 +98,38 @@ def train(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_hash(text_col).alias(ROW_HASH)).join(
         F.broadcast(marks), F.col("doc_id") == F.col("__label_id")  # per_class rows of each class at the most
     )
-    rows = rows.dropDuplicates(["doc_id"]).select("label", "place", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    sample = sorted(rows.collect(), key=lambda r: (r["place"], r["label"]))
-    teach = [r for r in sample if r["place"] % 3]
-    good, bad = (build_dictionary([bytes(r["text"]) for r in teach if r["label"] == k]) for k in (1, 0))
-    difference = SizeDifference(good, bad)
-    rest = [r for r in sample if r["place"] % 3 == 0]
-    x = np.array([difference(bytes(r["text"])) for r in rest])
-    return QualityModel(good, bad, *fit_sigmoid(x, np.array([r["label"] for r in rest], float)))
+    rows = rows.dropDuplicates(["doc_id"]).select("doc_id", F.col("label").cast("int").alias("label"), "place", "text")
+    rows = cut(rows, "quality-sample")
+    teach = rows.filter("place % 3 <> 0").select(
+        "label", "place", F.pmod("place", F.lit(SAMPLE_SALTS)).alias("salt"), F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    )
+    found = teach.groupBy("label", "salt").applyInArrow(_pieces, _PIECES).collect()  # PART bytes for each class and salt
+    found.sort(key=lambda r: (r["place"], r["at"]))
+    good, bad = (build_dictionary([bytes(r["piece"]) for r in found if r["label"] == k]) for k in (1, 0))
+
+    def make():
+        difference = SizeDifference(good, bad)
+        return lambda text: (difference(text or b""),)
+
+    rest = per_text(rows.filter("place % 3 = 0"), make, "x double", id_col="doc_id", text_col="text", keep=["label", "place"])
+    rest = sorted(rest.select("place", "label", "x").collect())  # numbers only
+    x, y = np.array([r["x"] for r in rest], float), np.array([r["label"] for r in rest], float)
+    return QualityModel(good, bad, *fit_sigmoid(x, y))
+
+
+_PIECES = columns("label int, place int, at int, piece binary")
+
+
+def _pieces(group: pa.Table) -> pa.Table:
+    """All chunks of the texts of a class and salt, or those of a dictionary trained on them if they are many."""
+    rows = sorted(group.to_pylist(), key=lambda r: r["place"])
+    parts = [(r["place"], i, c) for r in rows for i, c in enumerate(chunks(r["text"]))]
+    if sum(len(p) for _, _, p in parts) > PART:
+        held = build_dictionary([p for _, _, p in parts], PART)
+        parts = [(rows[0]["place"], i, c) for i, c in enumerate(chunks(held))]
+    arrow = to_arrow(_PIECES)
+    values = [[rows[0]["label"]] * len(parts), *(list(c) for c in zip(*parts))] if parts else [[]] * 4
+    return pa.table([pa.array(v, f.type) for v, f in zip(values, arrow)], schema=arrow)
 
 
 def quality(

@@ -34,3 +34,12 @@ def test_all_chunks_of_long_texts_count(spark):
         spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
     )
     assert b"good passage between" in model.good and b"bad passage between" in model.bad
+
+
+def test_long_texts_stay_off_the_driver(spark, given):
+    rows = [(i, _long("good" if i % 2 else "bad", i)) for i in range(48)]
+    quality.train(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    )
+    for pieces in given:
+        assert 0 < sum(map(len, pieces)) <= 24 * quality.PART and max(map(len, pieces)) <= quality.CHUNK
