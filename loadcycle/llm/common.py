@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from loadcycle.sources.scratch import cut, scratch_path, together
 
 __all__ = [
-    "cut", "scratch_path", "together", "columns", "per_text", "row_hash", "keep_rows", "join_hot", "fold", "sampled", "small_batches",
+    "cut", "scratch_path", "together", "columns", "per_text", "per_texts", "row_hash", "keep_rows", "join_hot", "fold", "sampled", "small_batches",
     "tables",
 ]
 
@@ -66,6 +66,19 @@ def per_text(
     ``make`` runs once per task and gives the function, which gets the text as UTF-8 bytes or None. The rows
     never leave their partition, so nothing is shuffled and a lost task is simply run again.
     """
+
+    def make_many():
+        function = make()
+        return lambda texts: [function(t) for t in texts]
+
+    return per_texts(df, make_many, schema, None, id_col=id_col, text_col=text_col, keep=keep)
+
+
+def per_texts(
+    df: DataFrame, make: Callable[[], Callable[[list[bytes | None]], list[tuple]]], schema: str, size: int | None, *, id_col: str,
+    text_col: str, keep: list[str] | None = None,
+) -> DataFrame:
+    """As ``per_text``, with a function of several texts: of a batch, or of some that hold ``size`` bytes together."""
     keep = keep or []
     small_batches(df.sparkSession)
     source = df.select(
@@ -75,12 +88,22 @@ def per_text(
     out = T.StructType([*source.schema.fields[:-1], *columns(schema).fields])
     names = [f.name for f in out.fields]
 
+    def groups(texts: pa.Array) -> Iterator[list[bytes | None]]:
+        held, bytes_held = [], 0
+        for text in texts:
+            held.append(text.as_py())
+            bytes_held += len(held[-1] or b"")
+            if size is not None and bytes_held >= size:
+                yield held
+                held, bytes_held = [], 0
+        if held:
+            yield held
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function, arrow = None, None
         for batch in batches:
             function = function or make()
-            texts = batch.column(batch.num_columns - 1)
-            rows = [function(t.as_py()) for t in texts]
+            rows = [row for texts in groups(batch.column(batch.num_columns - 1)) for row in function(texts)]
             found = list(zip(*rows)) or [()] * (len(names) - batch.num_columns + 1)
             arrow = arrow or to_arrow(out)
             columns = [batch.column(i).cast(arrow.field(i).type) for i in range(batch.num_columns - 1)]

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcycle.llm import (
-    bpe, chat, exact_dedup, kneser_ney, language, mixing, quality, simhash, token_counts, top_k,
+    alignment, bpe, chat, exact_dedup, kneser_ney, language, mixing, quality, repair, sentence_pieces, simhash, token_counts, top_k,
 )
 from loadcycle.llm.common import fold, tables
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_byte_level_bpe(spark: SparkSession, d: str) -> DataFrame:
@@ -75,14 +77,107 @@ def op10_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
     return kneser_ney.score(docs, model, keep=["held_out"])
 
 
+def op11_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return sentence_pieces.round_trip(tables(spark, d, "documents"), PIECES)
+
+
+def op12_token_alignment(spark: SparkSession, d: str) -> DataFrame:
+    return alignment.align_corpus(tables(spark, d, "documents"), BYTE_LEVEL, PATTERN, PIECES)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows of the conversations with one in 20 each dropped, emptied, cut short, repeated or given to the user."""
+    conv_id, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    fault = F.crc32(F.concat(conv_id, F.lit(":"), turn)) % 20
+    rows = conversations.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"), fault.alias("fault"),
+    )
+    rows = rows.filter("fault <> 0")
+    return rows.withColumn("copy", F.explode(F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+
+
+def op13_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    conversations = tables(spark, d, "conversations")
+    rows = damaged(conversations)
+    plans = repair.plans(rows)
+    digests = repair.repaired_digests(rows, plans).withColumnRenamed("conv_id", "own_id")
+    every = conversations.select("conv_id").distinct()
+    whole = plans.join(digests, F.col("conv_id").eqNullSafe(F.col("own_id"))).drop("own_id").withColumnRenamed("conv_id", "own_id")
+    found = every.join(whole, F.col("conv_id").eqNullSafe(F.col("own_id")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return found.select(F.col("conv_id").cast("long").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 _OPERATORS = (
     op1_byte_level_bpe, op2_exact_dedup, op3_exact_top_k, op4_mixing, op5_chat_formatting, op6_language_id,
-    op7_quality_classifier, op8_token_counts, op9_simhash, op10_lm_scoring,
+    op7_quality_classifier, op8_token_counts, op9_simhash, op10_lm_scoring, op11_sentencepiece, op12_token_alignment,
+    op13_conversation_repair,
 )
 
 _SPACE = r"[\x20\x09-\x0D]"
 
+
+
+def _more(label: str, cost: str, edit: str) -> str:
+    """A path as text, its cost first in six digits so that texts compare as paths do, with one more edit."""
+    return f"printf('%06d', CAST(substr({label}, 1, 6) AS BIGINT) + {cost}) || substr({label}, 7) || '{edit}'"
+
+
+#: The edits of op13 in SQL: a recursive step for each row of a conversation, with one best path for each of four states (n: nothing yet,
+#: s: after system, u: after user, a: after assistant), the inserted rows before the row in the inner query.
+_REPAIR = rf"""WITH RECURSIVE
+    tab AS (SELECT list(list_reduce(list_concat([i], range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i)),
+    f AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      xor(list_reduce(list_concat([4294967295], list_transform(string_split(
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: ascii(x))),
+        lambda c, b: xor(c >> 8, tab[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295) % 20 AS fault FROM conversations, tab),
+    d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+      CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+      unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy FROM f WHERE fault <> 0),
+    o AS (SELECT *, regexp_replace(text, '{_SPACE}', '', 'g') AS solid, substr(role, 1, 1) AS c,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM d),
+    r AS (SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+      WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+      lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS pair FROM o),
+    g AS (SELECT conv_id, count(*) AS size, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+      count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+      count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM r GROUP BY conv_id),
+    w AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, '000000' AS n, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a FROM g
+      UNION ALL
+      SELECT conv_id, i, {_more("n", "4", "D")},
+        least({_more("s", "4", "D")}, CASE WHEN stays AND c = 's' THEN {_more("n", "extra", "K")} END),
+        least({_more("u", "4", "D")}, CASE WHEN stays AND c = 'u' THEN {_more("least(n, s, a)", "extra", "K")} END,
+          CASE WHEN stays THEN {_more("least(n, s, a)", "extra + 3", "R")} END),
+        least({_more("a", "4", "D")}, CASE WHEN stays AND c = 'a' THEN {_more("u", "extra", "K")} END,
+          CASE WHEN stays THEN {_more("u", "extra + 3", "R")} END)
+      FROM (SELECT * EXCLUDE (a0), least(a0, {_more("u", "3", "I")}) AS a FROM (
+        SELECT w.conv_id, r.i, r.c, r.fault NOT IN ('blank', 'duplicate') AS stays, CASE WHEN r.fault = 'truncated' THEN 3 ELSE 0 END AS extra,
+          n, s, least(u, {_more("least(n, s, a)", "3", "I")}) AS u, a AS a0 FROM w
+        JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1))),
+    e AS (SELECT w.conv_id, least(n, a, {_more("u", "3", "I")}, {_more("s", "6", "II")}) AS best
+      FROM w JOIN g ON g.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = g.size),
+    p AS (SELECT conv_id, CAST(substr(best, 1, 6) AS BIGINT) AS cost, substr(best, 7) AS audit FROM e),
+    l AS (SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS pos FROM p WHERE audit <> ''),
+    m AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY pos) AS i FROM l),
+    k AS (SELECT m.*, r.role, r.text, row_number() OVER (PARTITION BY m.conv_id ORDER BY pos) AS place,
+      first_value(edit = 'K' AND r.c = 's') OVER (PARTITION BY m.conv_id ORDER BY pos) AS led
+      FROM m LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM m.conv_id AND r.i = m.i AND edit <> 'I' WHERE edit <> 'D'),
+    t AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - CASE WHEN led THEN 1 ELSE 0 END) % 2 = 1 THEN 'user'
+      ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos)) AS digest FROM k GROUP BY conv_id)
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+      coalesce(digest, sha256('')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 ORACLES = {
+    "op13_conversation_repair": _REPAIR,
     "op2_exact_dedup": rf"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
           regexp_replace(coalesce(text, ''), '{_SPACE}', '', 'g') AS content FROM documents),
         w AS (SELECT *, first_value(doc_id) OVER g AS keep_id, row_number() OVER g AS place,
