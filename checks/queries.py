@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from checks.mine_tables import PERIOD, machines, mine
 from loadcycle.functions import numbers, text, times
-from loadcycle.operators import cleaning, intervals, ordered, outliers
+from loadcycle.operators import cleaning, facts, intervals, ordered, outliers
 from loadcycle.operators import relational as rel
 from loadcycle.plans import classify, layers
 from loadcycle.plans.presentation import consolidate, presentation
@@ -501,27 +501,34 @@ def raw_cycles(spark, d):
 
 
 def _raw_file(spark, d):
-    return cut(raw_cycles(spark, d), "raw")
+    """The written raw layer and its facts."""
+    path = scratch_path(spark, "raw")
+    layers.write_raw(mine(spark, d), path, *PERIOD)
+    return io.read_table(spark, path), facts.load(spark, path)
 
 
 @_query
 def staged_cycles(spark, d):
-    return stage_cycles(_raw_file(spark, d))
+    raw, found = _raw_file(spark, d)
+    return stage_cycles(raw, facts=found)
 
 
 @_query
 def staged_min_passes(spark, d):
-    return stage_cycles(_raw_file(spark, d), StageOptions(min_passes=4, find_dates=False))
+    raw, found = _raw_file(spark, d)
+    return stage_cycles(raw, StageOptions(min_passes=4, find_dates=False), found)
 
 
 @_query
 def staged_reduced(spark, d):
-    return drop_sparse_only(_raw_file(spark, d))
+    raw, found = _raw_file(spark, d)
+    return drop_sparse_only(raw, facts=found)
 
 
 @_query
 def presented_cycles(spark, d):
-    return presentation(stage_cycles(_raw_file(spark, d)))
+    raw, found = _raw_file(spark, d)
+    return presentation(stage_cycles(raw, facts=found))
 
 
 @_query

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadcycle.functions import text, times
+from loadcycle.operators.facts import ColumnFacts, Counter, column_facts
 from loadcycle.operators.relational import keep_one, total_order
 
 
@@ -27,64 +27,23 @@ def missing(field: T.StructField) -> Column:
 
 # Profile ------------------------------------------------------------------------------------
 
-def _present(field: T.StructField) -> Column:
-    """Number of values that are there."""
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return F.expr(f"count(nullif(`{field.name}`, CAST('NaN' AS DOUBLE)))")
-    return F.expr(f"count(`{field.name}`)")
-
-
 def null_profile(df: DataFrame) -> DataFrame:
     """Column, null count and null percentage, most nulls first. One pass, one row of counters."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *[_present(f).alias(f"__n{i}") for i, f in enumerate(df.schema)]
-    )
+    counts = df.agg(*Counter(df.schema, find_dates=False).aggregates())
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(f"__n{i}").alias("present")) for i, c in enumerate(df.columns)]
+        *[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("present")) for i, c in enumerate(df.columns)]
     )
-    long = counts.select("__rows", F.explode(pairs).alias("p")).select("p.column", "p.present", "__rows")
+    long = counts.select(F.col("rows").alias("__rows"), F.explode(pairs).alias("p")).select("p.column", "p.present", "__rows")
     long = long.select("column", (F.col("__rows") - F.col("present")).alias("nulls"), "__rows")
     percent = F.try_divide(F.col("nulls") * F.lit(100.0), F.col("__rows"))
     return long.select("column", "nulls", percent.alias("percent")).orderBy(F.desc("nulls"), "column")
 
 
-@dataclass(frozen=True)
-class ColumnFacts:
-    """What aggregates over the whole frame say about its columns."""
-
-    rows: int
-    nulls: Mapping[str, int]
-    dates: tuple[str, ...] = ()
-
-    def sparse(self, threshold: float = 80.0) -> list[str]:
-        """Columns with strictly more than ``threshold`` percent nulls."""
-        return [c for c, n in self.nulls.items() if n * 100 > threshold * self.rows]
-
-
-def column_facts(df: DataFrame, find_dates: bool = False) -> ColumnFacts:
-    """Row count and nulls per column; with ``find_dates`` also the text columns that hold a date.
-
-    One aggregate, one row back. Parsing turns unreadable text into null, which the sparse test has
-    to see, so date columns are counted again as parsed, in a pass that reads only them.
-    """
-    fields = list(df.schema)
-    texts = [f.name for f in fields if isinstance(f.dataType, T.StringType)] if find_dates else []
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[_present(f).alias(f"n{i}") for i, f in enumerate(fields)],
-        *[F.bool_or(times.looks_like_date(_name(c))).alias(f"d{i}") for i, c in enumerate(texts)],
-    ).first()
-    nulls = {f.name: row["rows"] - row[f"n{i}"] for i, f in enumerate(fields)}
-    dates = tuple(c for i, c in enumerate(texts) if row[f"d{i}"])
-    if dates:
-        parsed = df.agg(*[F.count(times.parse_wall_time(_name(c))).alias(f"p{i}") for i, c in enumerate(dates)]).first()
-        nulls.update({c: row["rows"] - parsed[f"p{i}"] for i, c in enumerate(dates)})
-    return ColumnFacts(row["rows"], nulls, dates)
-
-
-def drop_sparse_columns(df: DataFrame, threshold: float = 80.0, facts: ColumnFacts | None = None) -> DataFrame:
-    """Drop columns with strictly more than ``threshold`` percent nulls."""
-    return df.drop(*(facts or column_facts(df)).sparse(threshold))
+def drop_sparse_columns(
+    df: DataFrame, threshold: float = 80.0, facts: ColumnFacts | None = None, find_dates: bool = False
+) -> DataFrame:
+    """Drop columns with strictly more than ``threshold`` percent nulls; with ``find_dates`` as they are once dates are read."""
+    return df.drop(*(facts or column_facts(df)).sparse(threshold, find_dates))
 
 
 def localize_dates(df: DataFrame, zone: str, facts: ColumnFacts | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -52,8 +52,11 @@ class Bounds:
 
 
 def _position(df: DataFrame, column: str, base: int = 0) -> Column:
+    return _place(df.schema[column].dataType, F.col(column), base)
+
+
+def _place(kind: T.DataType, value: Column, base: int = 0) -> Column:
     """Place in the order as a number; times in microseconds, whole numbers from ``base`` on."""
-    kind, value = df.schema[column].dataType, F.col(column)
     if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
         value = times.micros(value.cast("timestamp_ntz"))
     elif not isinstance(kind, T.IntegralType):
@@ -65,10 +68,68 @@ def _position(df: DataFrame, column: str, base: int = 0) -> Column:
     return F.when(value.isNotNull(), F.coalesce(moved, beyond))
 
 
+#: Accuracy of the sketches: ranks are right to about a thousandth, a sketch takes some 100 kB.
+SKETCH = 4096
+
+
+def sketch(column: T.StructField) -> Column:
+    """Aggregate: a mergeable quantile sketch of a column's positions in its order."""
+    return F.kll_sketch_agg_double(_place(column.dataType, F.col(f"`{column.name}`")), SKETCH)
+
+
+def merged_sketch(spark: SparkSession, a: str, b: str) -> str:
+    """Two sketches (base64) as one. A row of values that Spark evaluates without a job."""
+    both = spark.sql(f"SELECT base64(kll_sketch_merge_double(unbase64(a), unbase64(b))) FROM VALUES ('{a}', '{b}') AS t(a, b)")
+    return "".join(both.first()[0].split())
+
+
+def _ranks(wanted: int) -> Column:
+    return F.array(*[F.lit(i / wanted) for i in range(1, wanted)])
+
+
 def _quantiles(df: DataFrame, order: Sequence[str], wanted: int, base: int = 0) -> list[list[float]]:
+    """Quantiles of the columns by a sketch each, which the tasks make and merge: one row comes back."""
     columns = [f"__p{i}" for i, _ in enumerate(order)]
     positions = df.select(*[_position(df, c, 0 if i else base).alias(p) for i, (c, p) in enumerate(zip(order, columns))])
-    return positions.stat.approxQuantile(columns, [i / wanted for i in range(1, wanted)], 0.25 / wanted)
+    sketches = positions.agg(*[F.kll_sketch_agg_double(p, SKETCH).alias(p) for p in columns])
+    row = sketches.select(*[_cuts_of(F.col(p), wanted).alias(p) for p in columns]).first()
+    return [list(row[p] or []) for p in columns]
+
+
+def _cuts_of(found: Column, wanted: int) -> Column:
+    return F.when(F.kll_sketch_get_n_double(found) > 0, F.kll_sketch_get_quantile_double(found, _ranks(wanted)))
+
+
+def _wanted(spark: SparkSession, slices: int | None) -> int:
+    return slices or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def sketched_bounds(spark: SparkSession, kind: T.DataType, found: str | None, slices: int | None = None) -> Bounds | None:
+    """Bounds of an order by one column from its sketch (base64) over all rows, without a job.
+
+    None where there is no sketch, or where its positions are too large to be exact.
+    """
+    wanted = _wanted(spark, slices)
+    if found is None or wanted < 2:
+        return None if found is None else Bounds()
+    row = spark.sql(f"SELECT unbase64('{found}') AS s FROM VALUES (1) AS t(one)").select(_cuts_of(F.col("s"), wanted)).first()
+    first = list(row[0] or [])
+    if _is_whole(kind) and first and max(map(abs, first)) >= _EXACT:
+        return None
+    return _bounds(first, [], _is_whole(kind), 0)
+
+
+def _is_whole(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.IntegralType, T.TimestampType, T.TimestampNTZType))
+
+
+def _bounds(first: list[float], rest: list[list[float]], whole: bool, base: int) -> Bounds:
+    seen = Counter(first)
+    heavy = sorted(v for v, often in seen.items() if often > 1 and not (whole and abs(v) >= _EXACT))
+    cuts = sorted({*first, *(math.nextafter(v, math.inf) for v in heavy)} - {-math.inf, math.inf})
+    tie_cuts = sorted(set(rest[0])) if rest and heavy else ()
+    spread = max((seen[v] for v in heavy), default=0) + 1
+    return Bounds(tuple(cuts), tuple(heavy), tuple(tie_cuts), spread, base)
 
 
 def slice_bounds(df: DataFrame, order: Sequence[str], slices: int | None = None) -> Bounds:
@@ -77,21 +138,16 @@ def slice_bounds(df: DataFrame, order: Sequence[str], slices: int | None = None)
     By default there are four slices per shuffle partition, so the spread follows the cluster. Whole numbers
     too large for a double are counted from the first quantile, in a second pass.
     """
-    wanted = slices or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = _wanted(df.sparkSession, slices)
     if wanted < 2:
         return Bounds()
     order, base = order[:2], 0
     first, *rest = _quantiles(df, order, wanted)
-    whole = isinstance(df.schema[order[0]].dataType, (T.IntegralType, T.TimestampType, T.TimestampNTZType))
+    whole = _is_whole(df.schema[order[0]].dataType)
     if whole and first and max(map(abs, first)) >= _EXACT:
         base = max(-(1 << 63), min((1 << 63) - 1, int(first[0])))
         first, *rest = _quantiles(df, order, wanted, base)
-    seen = Counter(first)
-    heavy = sorted(v for v, often in seen.items() if often > 1 and not (whole and abs(v) >= _EXACT))
-    cuts = sorted({*first, *(math.nextafter(v, math.inf) for v in heavy)} - {-math.inf, math.inf})
-    tie_cuts = sorted(set(rest[0])) if rest and heavy else ()
-    spread = max((seen[v] for v in heavy), default=0) + 1
-    return Bounds(tuple(cuts), tuple(heavy), tuple(tie_cuts), spread, base)
+    return _bounds(first, rest, whole, base)
 
 
 def _bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:

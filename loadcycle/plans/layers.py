@@ -6,9 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loadcycle.operators import facts
 from loadcycle.plans.presentation import presentation
 from loadcycle.plans.raw import haul_cycles
-from loadcycle.plans.stage import StageOptions, stage_cycles
+from loadcycle.plans.stage import SLICE_BY, StageOptions, stage_cycles
 from loadcycle.sources.scratch import own_scratch
 from loadcycle.sources.tables import read_table, write_table
 
@@ -16,14 +17,20 @@ LOAD_START = "tiempo_inicio_carga_carguio"
 
 
 def write_raw(tables: Mapping[str, DataFrame], path: str, low, high, mode: str = "overwrite", fmt: str = "parquet", **how) -> None:
-    write_table(haul_cycles(tables, low, high, **how), path, mode, fmt)
+    """The wide cycles, and beside them what the stage must know of all of them, counted on the way."""
+    observed = facts.Observed(haul_cycles(tables, low, high, **how), SLICE_BY)
+    spark = observed.rows.sparkSession
+    before = facts.load(spark, path) if mode == "append" else None
+    write_table(observed.rows, path, mode, fmt)
+    found = observed.facts()
+    facts.save(spark, path, found if before is None else before.plus(found, spark))
 
 
 def write_stage(
     spark: SparkSession, raw: str, path: str, options: StageOptions = StageOptions(), mode: str = "overwrite", fmt: str = "parquet"
 ) -> None:
     """Each file is sorted by load start; readers that filter on it skip row groups."""
-    stage = stage_cycles(read_table(spark, raw, fmt), options)
+    stage = stage_cycles(read_table(spark, raw, fmt), options, facts.load(spark, raw))
     write_table(stage, path, mode, fmt, sort_by=[LOAD_START] if LOAD_START in stage.columns else [])
 
 

@@ -10,9 +10,13 @@ from pyspark.sql import types as T
 
 from loadcycle.functions import numbers, text, times
 from loadcycle.operators import cleaning, ordered, outliers
+from loadcycle.operators.facts import ColumnFacts, column_facts
 from loadcycle.operators.relational import after
 from loadcycle.plans import fixed_values as fixed
-from loadcycle.sources.scratch import cut, together
+from loadcycle.sources.scratch import cut
+
+#: The order in which gaps are filled.
+SLICE_BY = ["id_ciclo_acarreo"]
 
 
 @dataclass(frozen=True)
@@ -37,9 +41,9 @@ class StageOptions:
     zone: str = fixed.ZONE
 
 
-def drop_sparse_only(raw: DataFrame, sparse_above: float = 80.0) -> DataFrame:
+def drop_sparse_only(raw: DataFrame, sparse_above: float = 80.0, facts: ColumnFacts | None = None) -> DataFrame:
     """Reduced stage: nothing but the sparse columns goes."""
-    return cleaning.drop_sparse_columns(raw, sparse_above)
+    return cleaning.drop_sparse_columns(raw, sparse_above, facts)
 
 
 def required_columns() -> list[str]:
@@ -49,15 +53,15 @@ def required_columns() -> list[str]:
     return sorted(named)
 
 
-def complete(raw: DataFrame, options: StageOptions) -> DataFrame:
+def complete(raw: DataFrame, options: StageOptions, facts: ColumnFacts | None = None) -> DataFrame:
     """Dates parsed, sparse columns gone, nulls filled, duplicates dropped."""
-    facts, bounds = together(
-        raw.sparkSession,
-        lambda: cleaning.column_facts(raw, options.find_dates),
-        lambda: ordered.slice_bounds(raw, ["id_ciclo_acarreo"]),
-    )
-    df = cleaning.localize_dates(raw, options.zone, facts)
-    df = cleaning.drop_sparse_columns(df, options.sparse_above, facts).drop(*fixed.DROPPED_EARLY)
+    spark = raw.sparkSession
+    facts = facts or column_facts(raw, options.find_dates, SLICE_BY)
+    nulls = facts.nulls(options.find_dates)
+    kind = raw.schema[SLICE_BY[0]].dataType
+    bounds = ordered.sketched_bounds(spark, kind, facts.sketches.get(SLICE_BY[0])) or ordered.slice_bounds(raw, SLICE_BY)
+    df = cleaning.localize_dates(raw, options.zone, facts) if options.find_dates else raw
+    df = cleaning.drop_sparse_columns(df, options.sparse_above, facts, options.find_dates).drop(*fixed.DROPPED_EARLY)
     have = set(df.columns)
     missing = [c for c in required_columns() if c not in have]
     if options.strict and missing:
@@ -72,10 +76,10 @@ def complete(raw: DataFrame, options: StageOptions) -> DataFrame:
     flags = [c for c in fixed.FLAG_COLUMNS if c in have]
     # a boolean with gaps is no criterion for duplicates
     gappy = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)
-             and f.name not in fixed.MODE_COLUMNS and facts.nulls.get(f.name)]
+             and f.name not in fixed.MODE_COLUMNS and nulls.get(f.name)]
     # an untouched id keeps the partitioning of the fill's join, which the deduplication then reuses:
     # one wide shuffle instead of two. A heavy id needs the second one, to be thinned out before it.
-    plain_id = not bounds.heavy and not facts.nulls["id_ciclo_acarreo"]
+    plain_id = not bounds.heavy and not nulls["id_ciclo_acarreo"]
     df = cleaning.fill_zero(df, skip=[*flags, "id_ciclo_acarreo"] if plain_id else flags)
     subset = cleaning.comparable_columns(df, exclude=gappy)
     first = [F.col("id_ciclo_acarreo").asc_nulls_last()]
@@ -149,13 +153,13 @@ def plausible(df: DataFrame, options: StageOptions) -> DataFrame:
     return _with(df, "tiempo_carga", [end, start], times.seconds_between)
 
 
-def stage_cycles(raw: DataFrame, options: StageOptions = StageOptions()) -> DataFrame:
+def stage_cycles(raw: DataFrame, options: StageOptions = StageOptions(), facts: ColumnFacts | None = None) -> DataFrame:
     """Raw cycles to stage cycles.
 
-    ``raw`` should be a written table: it is scanned for the column facts, for the modes and for the
-    rows. The deduplicated rows are written to the scratch folder once, because the flags' modes are
+    ``raw`` should be a written table: it is scanned for the modes and for the rows, and for ``facts`` if
+    they were not taken when it was written. The deduplicated rows are written to the scratch folder once, because the flags' modes are
     taken over them and would otherwise repeat the fill and the deduplication.
     """
-    cleaned = cut(complete(raw, options), "stage")
+    cleaned = cut(complete(raw, options, facts), "stage")
     df = plausible(enrich(cleaned, options), options)
     return cleaning.without_zones(df.drop(*fixed.DROPPED_LATE))

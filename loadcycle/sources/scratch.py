@@ -39,8 +39,42 @@ def own_scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        done = spark._jvm.org.apache.hadoop.fs.Path(_OWN.pop())
-        done.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(done, True)
+        remove(spark, _OWN.pop())
+
+
+def _store(spark: SparkSession, path: str):
+    """A path of the cluster's store and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in place of the one that may be there; a reader sees the old one or the new one."""
+    place, store = _store(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}-{uuid.uuid4().hex}")
+    out = store.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not store.rename(draft, place):  # some stores do not rename onto a file
+        store.delete(place, False)
+        store.rename(draft, place)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file, or None if there is none."""
+    place, store = _store(spark, path)
+    if not store.exists(place):
+        return None
+    source = store.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, store = _store(spark, path)
+    store.delete(place, True)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

@@ -121,7 +121,7 @@ def test_sparse_is_strictly_above(spark):
 def test_unreadable_dates_count_as_nulls(spark):
     df = spark.range(100).select("id", F.when(F.col("id") < 10, "2024-01-01").otherwise("later").alias("d"))
     facts = cleaning.column_facts(df, find_dates=True)
-    assert facts.dates == ("d",) and facts.nulls["d"] == 90 and facts.sparse() == ["d"]
+    assert facts.dates == ("d",) and facts.nulls()["d"] == 90 and facts.sparse() == ["d"]
     assert cleaning.column_facts(df).sparse() == []
 
 
