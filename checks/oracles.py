@@ -128,6 +128,9 @@ _ORACLES = {
         o_totalprice FROM orders""",
     "drifted_parts": """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 OR o_custkey % 5 > 0
         THEN CAST(o_custkey AS DOUBLE) END AS o_custkey FROM orders""",
+    "manifest_commits": """SELECT commit, rows, CAST(1 AS BIGINT) AS schemas, priced, keys FROM (
+        SELECT 1 + CAST(o_orderkey % 3 > 0 AS BIGINT) AS commit, count(*) AS rows FROM orders GROUP BY 1),
+        (SELECT count(*) FILTER (o_orderkey % 3 = 0) AS priced, CAST(sum(o_custkey) AS DOUBLE) AS keys FROM orders)""",
     "nanosecond_parts": "SELECT event_id, ts FROM events",
     "train_test_split": """SELECT o_orderkey, CASE WHEN CAST('0x' || substr(md5('42:' || o_orderkey), 1, 8) AS BIGINT) % 100 < 80
         THEN 'train' ELSE 'test' END AS part FROM orders""",

@@ -16,6 +16,7 @@ from loadcycle.plans import classify, layers
 from loadcycle.plans.presentation import consolidate, presentation
 from loadcycle.plans.raw import haul_cycles
 from loadcycle.plans.stage import StageOptions, drop_sparse_only, stage_cycles
+from loadcycle.sources import manifest
 from loadcycle.sources import tables as io
 from loadcycle.sources.scratch import cut, scratch_path
 
@@ -466,6 +467,21 @@ def drifted_parts(spark, d):
     return consolidate(spark, folder, scratch_path(spark, "widened"))
 
 
+@_query
+def manifest_commits(spark, d):
+    """Two commits of a folder to which files of other types were added in between; the rows of each schema by commit."""
+    folder, orders = scratch_path(spark, "commits"), _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    io.write_table(orders.where(F.col("o_orderkey") % 3 == 0), folder)
+    first = manifest.written_manifest(spark, folder)
+    more = orders.where(F.col("o_orderkey") % 3 > 0).withColumn("o_custkey", F.col("o_custkey").cast("double"))
+    io.write_table(more.drop("o_totalprice"), folder, mode="append")
+    second = cut(manifest.read_manifest(spark, folder, first), "manifest")
+    rows = manifest.read_files(spark, folder, second)
+    seen = second.groupBy("commit").agg(F.sum("rows").alias("rows"), F.countDistinct("schema").alias("schemas"))
+    price = rows.agg(F.count("o_totalprice").alias("priced"), F.sum("o_custkey").alias("keys"))
+    return seen.select("commit", "rows", "schemas", price.select("priced").scalar().alias("priced"), price.select("keys").scalar().alias("keys"))
+
+
 def _write_nanoseconds(df, folder):
     """Files with nanosecond times, one per task, as a pandas job writes them."""
     def write(batches):

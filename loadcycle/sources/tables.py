@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadcycle.operators.relational import union_by_name
+from loadcycle.sources import manifest
+from loadcycle.sources.manifest import wider
+
+__all__ = [
+    "key_ranges", "read_csv", "read_jdbc", "read_parquet", "read_parquet_folder", "read_table", "run_query", "use_time_zone", "wider",
+    "write_table",
+]
 
 
 def use_time_zone(spark: SparkSession, zone: str) -> None:
@@ -46,53 +50,15 @@ def read_parquet(
     return _moments(reader.parquet(path), nanoseconds)
 
 
-_WIDTH = ["tinyint", "smallint", "int", "bigint", "float", "double"]
-
-
-def wider(a: T.DataType, b: T.DataType) -> T.DataType:
-    """The narrowest type that holds both; text where they have nothing in common."""
-    if a == b or isinstance(b, T.NullType):
-        return a
-    if isinstance(a, T.NullType):
-        return b
-    names = a.simpleString(), b.simpleString()
-    if all(n in _WIDTH for n in names):
-        wide = max(names, key=_WIDTH.index)
-        return T.DoubleType() if wide == "float" else a if wide == names[0] else b
-    if {*names} <= {"timestamp", "timestamp_ntz", "date"}:
-        return T.TimestampNTZType()
-    if any(isinstance(t, T.DecimalType) for t in (a, b)) and any(n in _WIDTH for n in names):
-        return T.DoubleType()
-    return T.StringType()
-
-
 def read_parquet_folder(spark: SparkSession, folder: str, nanoseconds: Sequence[str] = ()) -> DataFrame:
     """Every ``.parquet`` file of a folder, columns matched by name, missing ones null.
 
     A column that is a whole number in some files and a fraction in others (a writer that turns
-    gaps into fractions does that) gets the wider type. Only if the types drift are the files' schemas read one by
-    one; files of one schema are then read together.
+    gaps into fractions does that) gets the wider type. The footers are read once, in tasks.
     """
     if nanoseconds:
         _nanos_as_long(spark)
-    reader = spark.read.option("pathGlobFilter", "*.parquet")
-    try:
-        return _moments(reader.option("mergeSchema", True).parquet(folder), nanoseconds)
-    except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE" not in str(error):
-            raise
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for file in reader.option("mergeSchema", False).parquet(folder).inputFiles():
-        schema = spark.read.parquet(file).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(file)
-    parts = [_moments(spark.read.schema(schema).parquet(*files), nanoseconds) for schema, files in groups.values()]
-    kinds: dict[str, T.DataType] = {}
-    for part in parts:
-        for field in part.schema:
-            kinds[field.name] = wider(kinds.get(field.name, T.NullType()), field.dataType)
-    return union_by_name([
-        part.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in part.columns]) for part in parts
-    ])
+    return _moments(manifest.read_files(spark, folder, manifest.written_manifest(spark, folder, nanoseconds)), nanoseconds)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
