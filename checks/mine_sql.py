@@ -316,5 +316,11 @@ def mine_oracles() -> dict[str, str]:
         "staged_min_passes": f"WITH {stage(local_dates=False, min_passes=4)} SELECT * FROM stage",
         "staged_reduced": f"WITH {RAW} SELECT {kept} FROM raw",
         "presented_cycles": f"WITH {stage()} SELECT {shown} FROM stage",
+        "bucketed_passes": f"""WITH {MINE},
+            p AS (SELECT id_cargadescarga, max(id) AS id FROM ta_datacarga_sensores WHERE tiem_elimin IS NULL GROUP BY 1),
+            s AS (SELECT id_palas, max(id) AS id, arg_max(coalesce(tiem_elimin, TIMESTAMP '1900-01-01'), id) AS gone FROM tp_palas GROUP BY 1)
+            SELECT c.id, c.tiem_llegada AS arrival, c.tonelajevims AS payload, p.id AS id_pases, s.id AS id_ciclo_carguio,
+              nullif(gone, TIMESTAMP '1900-01-01') AS gone
+            FROM tp_cargadescarga c LEFT JOIN p ON p.id_cargadescarga = c.id_cargadescarga LEFT JOIN s ON s.id_palas = c.id_palas""",
         "layered_run": f"WITH {stage()} SELECT {shown} FROM stage",
     }

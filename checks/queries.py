@@ -16,7 +16,7 @@ from loadcycle.plans import classify, layers
 from loadcycle.plans.presentation import consolidate, presentation
 from loadcycle.plans.raw import haul_cycles
 from loadcycle.plans.stage import StageOptions, drop_sparse_only, stage_cycles
-from loadcycle.sources import manifest
+from loadcycle.sources import bucketed, manifest
 from loadcycle.sources import tables as io
 from loadcycle.sources.scratch import cut, scratch_path
 
@@ -552,6 +552,21 @@ def layered_run(spark, d):
     return layers.run(mine(spark, d), scratch_path(spark, "layers"), low=PERIOD[0], high=PERIOD[1])
 
 
+@_query
+def bucketed_passes(spark, d):
+    """The newest sensor row of each cycle's load and the newest version of its shovel, from facts laid out by these keys."""
+    tables = bucketed.write_facts(mine(spark, d), scratch_path(spark, "facts"))
+    cycles = tables["tp_cargadescarga"].select("id", "id_palas", "id_cargadescarga", "tiem_llegada", "tonelajevims")
+    passes = rel.latest_per_key(rel.alive(tables["ta_datacarga_sensores"]), "id_cargadescarga", "id")
+    shovels = rel.latest_per_key(tables["tp_palas"], "id_palas", "id")
+    wide = rel.left_join_spreading_nulls(cycles.alias("c"), passes.alias("p"), "c.id_cargadescarga", "p.id_cargadescarga", "c.id")
+    wide = rel.left_join_spreading_nulls(wide, shovels.alias("s"), "c.id_palas", "s.id_palas", "c.id")
+    return wide.select(
+        F.col("c.id").alias("id"), F.col("c.tiem_llegada").alias("arrival"), F.col("c.tonelajevims").alias("payload"),
+        F.col("p.id").alias("id_pases"), F.col("s.id").alias("id_ciclo_carguio"), F.col("s.tiem_elimin").alias("gone"),
+    )
+
+
 # Learning -----------------------------------------------------------------------------------
 
 def _quality(spark, d):

@@ -107,14 +107,14 @@ def left_lookup(df: DataFrame, right: DataFrame, left_key: str, right_key: str)
 
 
 def left_join_spreading_nulls(df: DataFrame, right: DataFrame, left_key: str, right_key: str, row: str) -> DataFrame:
-    """Left equi-join in which rows without a key are dealt over all tasks by ``row``; they match nothing."""
+    """Left equi-join in which rows without a key are dealt over all tasks by ``row``; they match nothing.
+
+    The key is the only column of the equation, so a right side that is already partitioned by it stays where it is.
+    """
     left = df.withColumn("__none", F.col(left_key).isNull()).withColumn(
         "__at", F.coalesce(F.col(left_key), F.xxhash64(F.col(row)))
     )
-    other = right.withColumn("__some", F.lit(False))
-    return left.join(other, (F.col("__none") == F.col("__some")) & (F.col("__at") == F.col(right_key)), "left").drop(
-        "__none", "__at", "__some"
-    )
+    return left.join(right, (F.col("__at") == F.col(right_key)) & ~F.col("__none"), "left").drop("__none", "__at")
 
 
 def with_role(df: DataFrame, key: str, role: str) -> DataFrame:
