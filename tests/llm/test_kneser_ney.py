@@ -1,8 +1,13 @@
 """The language model's files, its order in production and the shards of hot words."""
 
+import collections
+import os
+import resource
+
 import numpy as np
+import pytest
 
-from loadcycle.llm import kneser_ney, queries
+from loadcycle.llm import arrays, kneser_ney, queries
 from loadcycle.llm.common import fold
 
 
@@ -21,14 +26,56 @@ def test_packed_keys_are_found_exactly(tmp_path):
     keys = np.unique(np.concatenate((keys, near ^ np.uint64(1), near ^ np.uint64(1 << 16), [np.uint64(0), ~np.uint64(0)])))
     absent = np.setdiff1d(np.concatenate((keys ^ np.uint64(2), keys ^ np.uint64(1 << 17))), keys)
     for some in (keys, keys[:100], keys[:0]):
-        kneser_ney._save_keys(tmp_path.as_uri(), f"k{len(some)}", some)
-        hit, at = kneser_ney._find(tmp_path.as_uri(), f"k{len(some)}", some)
+        arrays.save(tmp_path.as_uri(), f"k{len(some)}", kneser_ney._packed_keys("keys", some))
+        held = arrays.mapped(tmp_path.as_uri(), f"k{len(some)}")
+        hit, at = kneser_ney._find(held, "keys", some)
         assert hit.all() and (at == np.arange(len(some))).all()
-        assert not kneser_ney._find(tmp_path.as_uri(), f"k{len(some)}", absent)[0].any()
+        assert not kneser_ney._find(held, "keys", absent)[0].any()
 
 
 def test_large_counts_lie_apart(tmp_path):
     counts = np.array([[1, 1], [254, 3], [255, 255], [256, 0], [1 << 40, 1 << 33], [2, 0]])
-    kneser_ney._save_counts(tmp_path.as_uri(), "c", counts)
+    arrays.save(tmp_path.as_uri(), "c", kneser_ney._packed_counts("c", counts))
     at = np.array([5, 4, 2, 2, 0, 1, 3])
-    assert (kneser_ney._counts(tmp_path.as_uri(), "c", at) == counts[at]).all()
+    assert (kneser_ney._counts(arrays.mapped(tmp_path.as_uri(), "c"), "c", at) == counts[at]).all()
+
+
+def test_few_files_stay_open_however_many_shards(spark, small, monkeypatch):
+    """One file for each level and shard, and no more of them mapped at once than the table holds."""
+    monkeypatch.setattr(kneser_ney, "SHARD", 600)
+    monkeypatch.setattr(arrays, "MAPS", 20)
+    docs = queries.tables(spark, small, "documents")
+    model = kneser_ney.train(docs, order=3)
+    assert model.shards > 60
+    texts = [(r.text or "").encode() for r in docs.limit(60).collect()]
+    before = len(os.listdir("/proc/self/fd"))
+    limits = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (before + 60, limits[1]))
+    try:
+        own, flat, place, number = kneser_ney.numbered(texts, 3)
+        few, _ = kneser_ney.log_chances(model, own, flat, place)
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, limits)
+    assert len(os.listdir("/proc/self/fd")) <= before + 25
+    monkeypatch.setattr(arrays, "MAPS", 10_000)
+    assert (few == kneser_ney.log_chances(model, own, flat, place)[0]).all() and len(number) == len(few)
+
+
+def test_word_shards_grow_with_the_texts(spark, small, monkeypatch):
+    docs = queries.tables(spark, small, "documents")
+    want = kneser_ney.train(docs, order=2)
+    monkeypatch.setattr(kneser_ney, "WORD_BYTES", 10_000)
+    many = kneser_ney.train(docs, order=2)
+    assert many.word_shards > 3 * want.word_shards
+    scores = [{r.doc_id: r.score for r in kneser_ney.score(docs, m).collect()} for m in (want, many)]
+    assert all(abs(scores[0][i] - scores[1][i]) < 1e-6 for i in scores[0])
+
+
+@pytest.mark.parametrize("wide", [10, 40])
+def test_combined_counts_of_narrow_and_wide_columns(wide):
+    rng = np.random.default_rng(2)
+    near, words = rng.integers(0, 1 << wide, (400, 2)) % 5 * (1 << wide - 4), rng.integers(0, 3, 400)
+    got = kneser_ney.combine(near, words, np.ones(400, np.int64))
+    want = collections.Counter(zip(*near.T.tolist(), words.tolist()))
+    assert [(*k, int(w)) for k, w in zip(got[0].tolist(), got[1])] == sorted(want)
+    assert [int(c) for c in got[2]] == [want[k] for k in sorted(want)]
