@@ -316,6 +316,8 @@ def mine_oracles() -> dict[str, str]:
         "staged_min_passes": f"WITH {stage(local_dates=False, min_passes=4)} SELECT * FROM stage",
         "staged_reduced": f"WITH {RAW} SELECT {kept} FROM raw",
         "presented_cycles": f"WITH {stage()} SELECT {shown} FROM stage",
+        "daily_raw": f"WITH {RAW} SELECT * FROM raw".replace(_LOW, "TIMESTAMP '2023-12-31 23:59:59.999999'").replace(
+            _HIGH, "TIMESTAMP '2024-01-04 00:00:00'"),
         "bucketed_passes": f"""WITH {MINE},
             p AS (SELECT id_cargadescarga, max(id) AS id FROM ta_datacarga_sensores WHERE tiem_elimin IS NULL GROUP BY 1),
             s AS (SELECT id_palas, max(id) AS id, arg_max(coalesce(tiem_elimin, TIMESTAMP '1900-01-01'), id) AS gone FROM tp_palas GROUP BY 1)

@@ -17,6 +17,17 @@ _COUNTS = " UNION ALL ".join(
     for c in "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
 )
 
+_FIVE_LEVELS = """nodes AS (
+    SELECT CAST(r_regionkey AS BIGINT) AS id, CAST(NULL AS BIGINT) AS up, r_name AS name FROM region
+    UNION ALL SELECT 100 + n_nationkey, n_regionkey, n_name FROM nation
+    UNION ALL SELECT 1000000 + s_suppkey, CASE s_suppkey WHEN 1 THEN 1000002 WHEN 2 THEN 1000001 ELSE 100 + s_nationkey END, s_name FROM supplier
+    UNION ALL SELECT 20000000 + p_partkey, 1000000 + p_partkey % 10, p_name FROM part
+    UNION ALL SELECT 300000000 + c_custkey, CASE WHEN c_custkey % 50 = 7 THEN -c_custkey ELSE 20000000 + c_custkey % 100 END, c_name FROM customer),
+  climb AS (
+    SELECT id AS node, id AS ancestor, up, CAST(0 AS BIGINT) AS distance, [id] AS seen, name AS path FROM nodes
+    UNION ALL SELECT c.node, n.id, n.up, c.distance + 1, list_append(c.seen, n.id), n.name || '/' || c.path
+    FROM climb c JOIN nodes n ON n.id = c.up WHERE NOT list_contains(c.seen, n.id))"""
+
 _ORACLES = {
     "left_dim_join": """SELECT o_orderkey AS order_id, c_name AS customer, c_mktsegment AS segment
         FROM orders LEFT JOIN customer ON c_custkey = o_custkey""",
@@ -128,6 +139,25 @@ _ORACLES = {
         o_totalprice FROM orders""",
     "drifted_parts": """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 OR o_custkey % 5 > 0
         THEN CAST(o_custkey AS DOUBLE) END AS o_custkey FROM orders""",
+    "tree_closure": f"WITH RECURSIVE {_FIVE_LEVELS} SELECT node, ancestor, distance FROM climb WHERE distance > 0",
+    "tree_places": f"""WITH RECURSIVE {_FIVE_LEVELS} SELECT node, distance AS level, ancestor AS top,
+        CASE WHEN up IS NULL THEN 'tree' WHEN list_contains(seen, up) THEN 'loop' ELSE 'orphan' END AS kind, path
+        FROM climb QUALIFY row_number() OVER (PARTITION BY node ORDER BY distance DESC) = 1""",
+    "all_modes": "SELECT " + ", ".join(
+        f"(SELECT {c} FROM (SELECT *, o_orderpriority = '1-URGENT' AS urgent FROM orders) GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS {c}"
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "urgent")
+    ) + ", " + ", ".join(
+        f"(SELECT {c} FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS {c}"
+        for c in ("l_quantity", "l_discount", "l_linenumber", "l_returnflag", "l_suppkey")
+    ),
+    "quarantined_lines": """WITH j AS (SELECT *, coalesce(l_quantity > 5, false) AS a, coalesce(l_tax <> 0, false) AS b,
+          coalesce(l_extendedprice BETWEEN 18000 AND 40000, false) AS c, coalesce(l_linenumber <> 3 AND l_linenumber > 0, false) AS e FROM lineitem)
+        SELECT l_orderkey, l_partkey, l_linenumber, concat_ws(',', CASE WHEN NOT a THEN 'quantity' END, CASE WHEN NOT b THEN 'tax' END,
+          CASE WHEN NOT c THEN 'price' END, CASE WHEN NOT e THEN 'flag' END) AS broken,
+          count(*) FILTER (NOT a) OVER () AS all_quantity, count(*) FILTER (NOT b) OVER () AS all_tax,
+          count(*) FILTER (NOT c) OVER () AS all_price, count(*) FILTER (NOT e) OVER () AS all_flag,
+          count(*) FILTER (a AND b AND c AND e) OVER () AS all_kept FROM j""",
+    "zone_of_the_session": """SELECT event_id, epoch_us(ts + INTERVAL 5 HOUR) AS micros, strftime(ts, '%H:%M') AS shown FROM events""",
     "manifest_commits": """SELECT commit, rows, CAST(1 AS BIGINT) AS schemas, priced, keys FROM (
         SELECT 1 + CAST(o_orderkey % 3 > 0 AS BIGINT) AS commit, count(*) AS rows FROM orders GROUP BY 1),
         (SELECT count(*) FILTER (o_orderkey % 3 = 0) AS priced, CAST(sum(o_custkey) AS DOUBLE) AS keys FROM orders)""",

@@ -10,13 +10,13 @@ from pyspark.sql import types as T
 
 from checks.mine_tables import PERIOD, machines, mine
 from loadcycle.functions import numbers, text, times
-from loadcycle.operators import cleaning, facts, intervals, ordered, outliers
+from loadcycle.operators import cleaning, facts, intervals, ordered, outliers, quarantine, trees
 from loadcycle.operators import relational as rel
-from loadcycle.plans import classify, layers
+from loadcycle.plans import classify, daily, layers
 from loadcycle.plans.presentation import consolidate, presentation
 from loadcycle.plans.raw import haul_cycles
 from loadcycle.plans.stage import StageOptions, drop_sparse_only, stage_cycles
-from loadcycle.sources import bucketed, manifest
+from loadcycle.sources import bucketed, manifest, versions
 from loadcycle.sources import tables as io
 from loadcycle.sources.scratch import cut, scratch_path
 
@@ -420,6 +420,70 @@ def union_by_name(spark, d):
     return rel.union_by_name([views, events.where(F.col("event_type") != "view")])
 
 
+def _five_levels(spark, d):
+    """Regions, nations, suppliers, parts and customers as one tree; some customers' parents are missing, two suppliers form a loop."""
+    nodes = [
+        _t(spark, d, "region").selectExpr("CAST(r_regionkey AS BIGINT) AS id", "CAST(NULL AS BIGINT) AS up", "r_name AS name"),
+        _t(spark, d, "nation").selectExpr("100 + CAST(n_nationkey AS BIGINT) AS id", "CAST(n_regionkey AS BIGINT) AS up", "n_name AS name"),
+        _t(spark, d, "supplier").selectExpr(
+            "1000000 + s_suppkey AS id",
+            "CASE s_suppkey WHEN 1 THEN 1000002L WHEN 2 THEN 1000001L ELSE 100 + CAST(s_nationkey AS BIGINT) END AS up", "s_name AS name",
+        ),
+        _t(spark, d, "part").selectExpr("20000000 + p_partkey AS id", "1000000 + p_partkey % 10 AS up", "p_name AS name"),
+        _t(spark, d, "customer").selectExpr(
+            "300000000 + c_custkey AS id", "CASE WHEN c_custkey % 50 = 7 THEN -c_custkey ELSE 20000000 + c_custkey % 100 END AS up", "c_name AS name"
+        ),
+    ]
+    return rel.union_by_name(nodes)
+
+
+@_query
+def tree_places(spark, d):
+    return trees.tree_report(_five_levels(spark, d), "id", "up", "name")
+
+
+@_query
+def tree_closure(spark, d):
+    return trees.closure(_five_levels(spark, d), "id", "up")
+
+
+@_query
+def all_modes(spark, d):
+    """Modes of all columns of two tables, among them columns of nearly distinct values."""
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    orders = orders.withColumn("urgent", F.col("o_orderpriority") == "1-URGENT")
+    lines = _t(spark, d, "lineitem").select("l_quantity", "l_discount", "l_linenumber", "l_returnflag", "l_suppkey")
+    found = cleaning.modes(orders, orders.columns)
+    first = orders.limit(1).select(*[m.alias(c) for c, m in found.items()])
+    second = lines.limit(1).select(*[m.alias(c) for c, m in cleaning.modes(lines, lines.columns).items()])
+    return first.withColumn("one", F.lit(1)).join(second.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+@_query
+def quarantined_lines(spark, d):
+    """Every line with the rules it breaks, from the two tables into which one pass writes them."""
+    lines = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_extendedprice")
+    rules = {
+        "quantity": F.col("l_quantity") > 5, "tax": F.col("l_tax") != 0, "price": F.col("l_extendedprice").between(18000, 40000),
+        "flag": F.nullif(F.col("l_linenumber"), F.lit(3)) > 0,
+    }
+    path = scratch_path(spark, "quarantine")
+    told = quarantine.write_judged(lines, rules, path)
+    kept = quarantine.kept(spark, path).withColumn("broken", F.lit(""))
+    bad = quarantine.quarantined(spark, path).withColumn("broken", F.array_join("broken", ","))
+    counts = {f"all_{name}": F.lit(told[name]).cast("long") for name in (*rules, "kept")}
+    return kept.unionByName(bad).withColumns(counts).drop("l_quantity", "l_tax", "l_extendedprice")
+
+
+@_query
+def zone_of_the_session(spark, d):
+    """Wall-clock times as instants, in a session of its own that is set to another zone."""
+    session = spark.newSession()
+    io.use_time_zone(session, "America/Lima")
+    events = _t(session, d, "events")
+    return events.select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"), F.date_format(F.col("ts").cast("timestamp"), "HH:mm").alias("shown"))
+
+
 # Files --------------------------------------------------------------------------------------
 
 @_query
@@ -552,6 +616,18 @@ def layered_run(spark, d):
     return layers.run(mine(spark, d), scratch_path(spark, "layers"), low=PERIOD[0], high=PERIOD[1])
 
 
+DAYS = ("2024-01-01", "2024-01-02", "2024-01-03")
+
+
+@_query
+def daily_raw(spark, d):
+    """The raw layer of three days, added one by one."""
+    folder = scratch_path(spark, "daily")
+    for day in DAYS:
+        daily.refresh(mine(spark, d), folder, day)
+    return versions.read(spark, f"{folder}/raw")
+
+
 @_query
 def bucketed_passes(spark, d):
     """The newest sensor row of each cycle's load and the newest version of its shovel, from facts laid out by these keys."""

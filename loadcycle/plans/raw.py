@@ -59,20 +59,32 @@ def current_states(tables: Mapping[str, DataFrame], types: DataFrame) -> DataFra
     return keep_one(log, ["id_equipo"], newest).join(types, "id_detal_estado", "left")
 
 
-def states_that_count(tables: Mapping[str, DataFrame], first, last) -> DataFrame:
-    """States that can hold between two instants: of those before the first, the last one per machine."""
-    log = alive(tables["tp_estados"]).select("id", "id_equipo", "id_detal_estado", "tiempo_inicio")
+_STATE = ["id", "id_equipo", "id_detal_estado", "tiempo_inicio"]
+
+
+def last_states(log: DataFrame) -> DataFrame:
+    """Of each machine the state that began last."""
+    newest = F.max_by(F.struct("id", "id_detal_estado", "tiempo_inicio"), F.struct("tiempo_inicio", "id")).alias("s")
+    held = log.where(F.col("id_equipo").isNotNull()).groupBy("id_equipo").agg(newest)
+    return held.select("s.id", "id_equipo", "s.id_detal_estado", "s.tiempo_inicio")
+
+
+def states_that_count(tables: Mapping[str, DataFrame], first, last, since=None, carried: DataFrame | None = None) -> DataFrame:
+    """States that can hold between two instants: of those before the first, the last one per machine.
+
+    ``carried`` may hold the machines' states at an earlier instant ``since``; the log is then read from there on.
+    """
+    log = alive(tables["tp_estados"]).select(*_STATE)
+    if carried is not None:
+        log = log.where(F.col("tiempo_inicio") >= since).unionByName(carried.select(*_STATE))
     within = log.where((F.col("tiempo_inicio") >= first) & (F.col("tiempo_inicio") <= last))
-    before = log.where((F.col("tiempo_inicio") < first) & F.col("id_equipo").isNotNull()).groupBy("id_equipo").agg(
-        F.max_by(F.struct("id", "id_detal_estado", "tiempo_inicio"), F.struct("tiempo_inicio", "id")).alias("s")
-    )
-    return within.unionByName(before.select("s.id", "id_equipo", "s.id_detal_estado", "s.tiempo_inicio"))
+    return within.unionByName(last_states(log.where(F.col("tiempo_inicio") < first)))
 
 
-def ready_log(tables: Mapping[str, DataFrame], types: DataFrame, first, last) -> tuple[DataFrame, Bounds]:
+def ready_log(tables: Mapping[str, DataFrame], types: DataFrame, first, last, since=None, carried=None) -> tuple[DataFrame, Bounds]:
     """Instants at which an equipment turns READY or stops being READY, as far as the span asked needs them."""
     kinds = types.select("id_detal_estado", (F.col("estado_primario") == "READY").alias("ready"))
-    log = cut(states_that_count(tables, first, last), "states-asked")
+    log = cut(states_that_count(tables, first, last, since, carried), "states-asked")
     bounds = slice_bounds(log, ["tiempo_inicio"])
     log = log.join(kinds, "id_detal_estado", "left")
     return cut(intervals.ready_changes(log, "id_equipo", "tiempo_inicio", "ready", "id", bounds), "ready-changes"), bounds
@@ -113,6 +125,11 @@ def shovel_loads(loads: DataFrame, bounds: Bounds) -> DataFrame:
     loads = previous_in_group(
         loads, _END, ["id_equipo_carguio"], [_START, "load_id"], "previous_esperando_pala", bounds
     )
+    return chosen_loads(loads)
+
+
+def chosen_loads(loads: DataFrame) -> DataFrame:
+    """Of the loads of one ``id_palas`` the one with the highest cycle id."""
     return keep_one(loads, ["id_palas"], [F.col("load_id").desc(), by_content(loads)])
 
 
@@ -122,6 +139,19 @@ def timed_loads(loads: DataFrame, changes: DataFrame, bounds: Bounds) -> DataFra
     return intervals.ready_seconds(loads, changes, "id_palas", "id_equipo_carguio", spans, bounds)
 
 
+def span_asked(loads: DataFrame) -> tuple:
+    """The first and the last instant between which READY time of these loads is asked."""
+    instants = F.array(*[F.col(c) for c in ("previous_esperando_pala", _START, _END)])
+    row = loads.agg(F.min(F.array_min(instants)).alias("first"), F.max(F.array_max(instants)).alias("last")).first()
+    return row["first"], row["last"]
+
+
+def newest_cycles(period: DataFrame) -> DataFrame:
+    """One row per cycle id: the newest arrival."""
+    newest = [F.col(c).desc_nulls_last() for c in ("tiem_llegada", "id_cargadescarga", "id_palas")]
+    return keep_one(period, ["id"], [*newest, by_content(period)])
+
+
 def haul_cycles(
     tables: Mapping[str, DataFrame],
     low,
@@ -141,10 +171,7 @@ def haul_cycles(
     low, high = F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")
     # the period first, so that it reaches the scan and no row outside it can stand for a cycle inside
     period = strictly_between(alive(tables["tp_cargadescarga"]), "tiem_llegada", low, high)
-    cycles = period
-    if not cycle_id_is_key:
-        newest = [F.col(c).desc_nulls_last() for c in ("tiem_llegada", "id_cargadescarga", "id_palas")]
-        cycles = keep_one(period, ["id"], [*newest, by_content(period)])
+    cycles = period if cycle_id_is_key else newest_cycles(period)
 
     spark = period.sparkSession
     types, joined = together(
@@ -159,9 +186,17 @@ def haul_cycles(
         lambda: cut(current_states(tables, types), "states"),
         lambda: cut(shovel_loads(joined, by_load), "loads"),
     )
-    instants = F.array(*[F.col(c) for c in ("previous_esperando_pala", _START, _END)])
-    asked = loads.agg(F.min(F.array_min(instants)).alias("first"), F.max(F.array_max(instants)).alias("last")).first()
-    changes, by_state = ready_log(tables, types, *[F.lit(x).cast("timestamp_ntz") for x in asked])
+    changes, by_state = ready_log(tables, types, *[F.lit(x).cast("timestamp_ntz") for x in span_asked(loads)])
+    # the loading side is complete before the wide cycle rows meet it
+    loading = timed_loads(loads, changes, by_load.merged(by_state))
+    return wide_cycles(tables, period, cycles, loading, machines, states, integer_division)
+
+
+def wide_cycles(
+    tables: Mapping[str, DataFrame], period: DataFrame, cycles: DataFrame, loading: DataFrame, machines: DataFrame, states: DataFrame,
+    integer_division: bool = False,
+) -> DataFrame:
+    """The cycles with everything that belongs to them. ``loading`` has one timed load per ``id_palas``."""
     shifts = one_per_key(alive(tables["ts_turnos"]).select("id", "id_turnos", "nombre", "horaini", "horafin"), "id")
     nodes = alive(tables["tp_nodos"])
     load_nodes = one_per_key(nodes.where("loc_carga"), "id")
@@ -170,8 +205,7 @@ def haul_cycles(
     def left(df, right, role, condition):
         return df.join(right.alias(role), F.expr(condition), "left")
 
-    # the loading side is complete before the wide cycle rows meet it
-    loading = timed_loads(loads, changes, by_load.merged(by_state)).alias("shovel")
+    loading = loading.alias("shovel")
     loading = left(loading, one_per_key(tables["ts_locacion"], "id"), "location", "shovel.id_locacion = location.id")
     loading = left(loading, one_per_key(tables["ts_poligono"], "id"), "polygon", "shovel.id_poligono = polygon.id")
     loading = left(loading, load_nodes, "load_node", "location.id_nodo = load_node.id")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadcycle.sources import manifest
+from loadcycle.sources import csv_records, manifest
 from loadcycle.sources.manifest import wider
 
 __all__ = [
@@ -68,9 +68,10 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, line_breaks: bool = True) -> DataFrame:
     """CSV with a header line, its columns found by name, in the declared types.
 
-    Quotes inside a quoted field are doubled. A value that does not fit its type, and a declared column that the
-    header lacks, raise an error; further columns of the file are passed over. ``line_breaks=False`` promises
-    that no quoted field holds one, so that large files can be cut into splits.
+    Quotes inside a quoted field are doubled. A value that does not fit its type, a declared column that the
+    header lacks, and files whose headers differ raise an error; further columns are passed over. Large files are read by
+    many tasks: with ``line_breaks``, where a quoted field may hold one, the records are found first
+    (``csv_records``), without it lines are records.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
@@ -80,10 +81,27 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, line_br
         raise ValueError(f"the header lacks {missing}")
     kinds = {f.name: f.dataType for f in wanted}
     found = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header])
-    rows = reader.schema(found).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    if line_breaks:
+        rows = _parsed(csv_records.records(spark, path), header, found)
+    else:
+        rows = reader.schema(found).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     return rows.select(*[F.col(f"`{f.name}`") for f in wanted])
 
 
+def _parsed(records: DataFrame, header: list[str], found: T.StructType) -> DataFrame:
+    """Records as columns, without each file's first one, which must be the header."""
+    options = {"escape": '"', "mode": "FAILFAST"}
+    text = F.rtrim(F.col("record"), F.lit("\r"))
+    names = T.StructType([T.StructField(f"c{i}", T.StringType()) for i, _ in enumerate(header)])
+    own = F.from_csv(text, F.lit(names.simpleString()[7:-1].replace(":", " ")), {"escape": '"'})
+    same = F.array(*[own[f"c{i}"] for i, _ in enumerate(header)]) == F.array(*[F.lit(c) for c in header])
+    first = (F.col("block") == 0) & (F.col("number") == 1)
+    checked = F.when(~F.coalesce(same, F.lit(False)), F.raise_error(F.concat(F.lit("another header in "), F.col("file"))).cast("boolean"))
+    rows = records.where(F.when(first, F.coalesce(checked, F.lit(False))).otherwise(text != ""))
+    types = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in found)
+    return rows.select(F.from_csv(text, F.lit(types), options).alias("r")).select("r.*")
+
+
 def key_ranges(column: str, low: int, high: int, parts: int) -> list[str]:
     """Predicates that cut a numeric key into ``parts`` disjoint ranges covering every row, nulls too."""
     step = max(1, -(-(high - low + 1) // parts))
