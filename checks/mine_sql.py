@@ -316,6 +316,14 @@ def mine_oracles() -> dict[str, str]:
         "staged_min_passes": f"WITH {stage(local_dates=False, min_passes=4)} SELECT * FROM stage",
         "staged_reduced": f"WITH {RAW} SELECT {kept} FROM raw",
         "presented_cycles": f"WITH {stage()} SELECT {shown} FROM stage",
+        "quarantined_cycles": f"""WITH {stage()} SELECT id_ciclo_acarreo, CAST(passes AS BIGINT) AS numero_pases_carguio, tonnes AS tonelaje_pases,
+            concat_ws(',', CASE WHEN NOT coalesce(tiempo_inicio_carga_carguio > TIMESTAMP '2023-01-01 00:00:00.999', false) THEN 'first load' END,
+              CASE WHEN passes < 4 THEN 'fewest passes' END,
+              CASE WHEN coalesce(capacidad_pes_equipo_carguio, 0) = 0 THEN 'capacity' END,
+              CASE WHEN NOT coalesce(tonelajevims / 10 > 150, false) THEN 'payload' END,
+              CASE WHEN NOT coalesce(tonnes BETWEEN 180 AND 400, false) THEN 'pass tonnage' END,
+              CASE WHEN estado_primario_pala = 'DELAY' AND passes <= 0 THEN 'ready' END,
+              CASE WHEN passes <= 0 THEN 'passes' END) AS broken FROM counted""",
         "daily_raw": f"WITH {RAW} SELECT * FROM raw".replace(_LOW, "TIMESTAMP '2023-12-31 23:59:59.999999'").replace(
             _HIGH, "TIMESTAMP '2024-01-04 00:00:00'"),
         "bucketed_passes": f"""WITH {MINE},

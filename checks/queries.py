@@ -616,6 +616,17 @@ def layered_run(spark, d):
     return layers.run(mine(spark, d), scratch_path(spark, "layers"), low=PERIOD[0], high=PERIOD[1])
 
 
+@_query
+def quarantined_cycles(spark, d):
+    """The cycles that the stage leaves out, each with the rules it breaks, and those it keeps with none."""
+    path, stage = scratch_path(spark, "raw"), scratch_path(spark, "stage")
+    layers.write_raw(mine(spark, d), path, *PERIOD)
+    layers.write_judged_stage(spark, path, stage, StageOptions(min_passes=4))
+    bad = quarantine.quarantined(spark, stage).withColumn("broken", F.array_join("broken", ","))
+    kept = quarantine.kept(spark, stage).withColumn("broken", F.lit(""))
+    return kept.unionByName(bad).select("id_ciclo_acarreo", "numero_pases_carguio", "tonelaje_pases", "broken")
+
+
 DAYS = ("2024-01-01", "2024-01-02", "2024-01-03")
 
 

@@ -6,10 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcycle.operators import facts
+from loadcycle.operators import facts, quarantine
 from loadcycle.plans.presentation import presentation
 from loadcycle.plans.raw import haul_cycles
-from loadcycle.plans.stage import SLICE_BY, StageOptions, stage_cycles
+from loadcycle.plans.stage import SLICE_BY, StageOptions, judged_stage, stage_cycles
 from loadcycle.sources.scratch import own_scratch
 from loadcycle.sources.tables import read_table, write_table
 
@@ -34,6 +34,15 @@ def write_stage(
     write_table(stage, path, mode, fmt, sort_by=[LOAD_START] if LOAD_START in stage.columns else [])
 
 
+def write_judged_stage(spark: SparkSession, raw: str, path: str, options: StageOptions = StageOptions(), fmt: str = "parquet") -> dict[str, int]:
+    """The stage layer and, beside it, the cycles it leaves out with the rules they break (``quarantine.kept``, ``.quarantined``).
+
+    One pass writes both; the number of cycles that break each rule comes back.
+    """
+    df, rules = judged_stage(read_table(spark, raw, fmt), options, facts.load(spark, raw))
+    return quarantine.write_judged(df, rules, path)
+
+
 def write_presentation(spark: SparkSession, stage: str, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
     write_table(presentation(read_table(spark, stage, fmt)), path, mode, fmt)
 

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadcycle.functions import numbers, text, times
 from loadcycle.operators import cleaning, ordered, outliers
 from loadcycle.operators.facts import ColumnFacts, column_facts
-from loadcycle.operators.relational import after
 from loadcycle.plans import fixed_values as fixed
 from loadcycle.sources.scratch import cut
 
@@ -125,32 +124,37 @@ def enrich(df: DataFrame, options: StageOptions) -> DataFrame:
     return _with(df, "Galones_consumidos_entre_cargando_descargando_acarreo", [full, drained], lambda a, b: a - b)
 
 
-def plausible(df: DataFrame, options: StageOptions) -> DataFrame:
-    """Cycles that pass every outlier rule, with their loading time."""
+def plausibility(df: DataFrame, options: StageOptions) -> tuple[DataFrame, dict[str, Column]]:
+    """Enriched cycles with their pass tonnage, estimated passes, state and loading time, and the rules that plausible ones meet."""
     passes, capacity = "numero_pases_carguio", "capacidad_en_peso_equipo_carguio"
     payload, tonnes, state = "tonelaje_segun_computadora", "tonelaje_pases", "estado_primario_pala"
     start, end = "tiempo_inicio_carga_carguio", "tiempo_esperando_carguio"
+    rules: dict[str, Column] = {}
     if start in df.columns:
-        df = after(df, start, F.lit(fixed.FIRST_LOAD).cast("timestamp_ntz"))
-    df = outliers.at_least(df, passes, options.min_passes)
+        rules["first load"] = F.col(start) > F.lit(fixed.FIRST_LOAD).cast("timestamp_ntz")
+    if options.min_passes is not None:
+        rules["fewest passes"] = F.col(passes) >= options.min_passes
     if capacity in df.columns:
-        df = outliers.not_zero(df, capacity)
+        rules["capacity"] = F.col(capacity) != 0
     if payload in df.columns:
-        df = outliers.above(df, payload, fixed.MIN_PAYLOAD)
+        rules["payload"] = F.col(payload) > fixed.MIN_PAYLOAD
     if tonnes in df.columns:
         kind = text.type_of(df, tonnes)
         df = df.withColumn(tonnes, text.pass_tonnage(F.col(tonnes), kind, options.legacy_digits))
-        df = outliers.above(df, tonnes, 0)
-        df = outliers.in_band(df, tonnes, *fixed.PASS_TONNAGE_BAND)
+        rules["pass tonnage"] = (F.col(tonnes) > 0) & F.col(tonnes).between(*fixed.PASS_TONNAGE_BAND)
     df = _with(
         df, "numero_pases_carguio2", [payload, capacity, passes],
         lambda t, c, n: outliers.when_enough(numbers.round_half_even(F.try_divide(t, c)), n, fixed.MIN_PASSES),
     )
     if state in df.columns:
-        df = outliers.keep_ready(df, state, passes)
-    else:
-        df = outliers.above(df, passes, 0)
-    return _with(df, "tiempo_carga", [end, start], times.seconds_between)
+        df = df.withColumn(state, outliers.ready_state(F.col(state), F.col(passes)))
+        rules["ready"] = F.col(state) == "READY"
+    rules["passes"] = F.col(passes) > 0
+    return _with(df, "tiempo_carga", [end, start], times.seconds_between), rules
+
+
+def _finished(df: DataFrame) -> DataFrame:
+    return cleaning.without_zones(df.drop(*fixed.DROPPED_LATE))
 
 
 def stage_cycles(raw: DataFrame, options: StageOptions = StageOptions(), facts: ColumnFacts | None = None) -> DataFrame:
@@ -160,6 +164,21 @@ def stage_cycles(raw: DataFrame, options: StageOptions = StageOptions(), facts:
     they were not taken when it was written. The deduplicated rows are written to the scratch folder once, because the flags' modes are
     taken over them and would otherwise repeat the fill and the deduplication.
     """
-    cleaned = cut(complete(raw, options, facts), "stage")
-    df = plausible(enrich(cleaned, options), options)
-    return cleaning.without_zones(df.drop(*fixed.DROPPED_LATE))
+    df, rules = plausibility(_enriched(raw, options, facts), options)
+    for rule in rules.values():
+        df = df.where(rule)
+    return _finished(df)
+
+
+def _enriched(raw: DataFrame, options: StageOptions, facts: ColumnFacts | None) -> DataFrame:
+    return enrich(cut(complete(raw, options, facts), "stage"), options)
+
+
+def judged_stage(
+    raw: DataFrame, options: StageOptions = StageOptions(), facts: ColumnFacts | None = None
+) -> tuple[DataFrame, dict[str, Column]]:
+    """All cycles as the stage has them, and the rules by which ``stage_cycles`` leaves some out.
+
+    A rule may look at a column that the stage does not keep, so those stay until the rows are judged.
+    """
+    return plausibility(_enriched(raw, options, facts), options)
