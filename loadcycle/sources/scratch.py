@@ -72,6 +72,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         source.close()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place, store = _store(spark, path)
+    return store.exists(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     place, store = _store(spark, path)
     store.delete(place, True)
