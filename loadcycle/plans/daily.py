@@ -95,7 +95,8 @@ def days_to_redo(layers: Layers, ids: DataFrame, loads: DataFrame, day: str) ->
     if not earlier:
         return []
     known = versions.read(spark, layers.ids, earlier)
-    again = known.join(ids.select("id").distinct(), "id", "left_semi")
+    back = ids.select(F.col("id").alias("__back")).distinct()
+    again = known.join(back, F.col("id").eqNullSafe(F.col("__back")), "left_semi")  # rows without an id are one cycle, as in one run
     loaded = known.join(loads.select("id_palas").distinct(), "id_palas", "left_semi")
     found = again.select("day").unionByName(loaded.select("day")).distinct()
     return sorted(r["day"] for r in found.collect())
@@ -104,7 +105,8 @@ def days_to_redo(layers: Layers, ids: DataFrame, loads: DataFrame, day: str) ->
 def refresh(tables: Mapping[str, DataFrame], folder: str, day: str, integer_division: bool = False) -> list[str]:
     """Adds a day (``YYYY-MM-DD``) to the raw layer, or works the last one out again; gives the days that changed.
 
-    Days come in order: what a day leaves to the next is known for the last one only.
+    Days come in order: what a day leaves to the next is known for the last one only. The raw layer is committed first and what later
+    days need after it, so a run that fails between the two is mended by running the day again.
     """
     spark = next(iter(tables.values())).sparkSession
     layers, midnight = Layers(spark, folder), _day(day)
