@@ -9,26 +9,26 @@ and look up sorted batches of n-grams; nothing of the model passes through the d
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadcycle.llm import arrays
 from loadcycle.llm.common import columns, cut, scratch_path, to_arrow
 
 #: Tokens counted before a task packs them, and tokens for which there is one shard.
 RUN, SHARD = 1_500_000, 3_000_000
+#: Bytes of text for which there is one shard of words at the least.
+WORD_BYTES = 1 << 26
 #: A word is hot if it has more than one in so many of a shard's tokens, and is dealt over a shard for each such piece.
 PIECES = 8
 #: From so many keys on, their upper bytes are not written.
@@ -37,12 +37,6 @@ _BEGIN, _END = np.uint64(0x5BD1E995A3C59AC3), np.uint64(0xC6A4A7935BD1E995)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def word_hashes(text: bytes | None) -> np.ndarray:
-    """64-bit hashes of the lower-cased words of a text."""
-    words = (text or b"").translate(_LOWER).split()
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
-
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """One hash of two, in their order."""
     x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -50,25 +44,30 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def n_grams(texts: list[bytes | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order-1 words before each token, the nearest first; the tokens; and their text numbers."""
-    parts, sizes = [], []
-    begin, end = np.full(order - 1, _BEGIN), np.array([_END])
+def numbered(texts: list[bytes | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct lower-cased words, in order; the words of all texts, begins included, by their places among these;
+    the tokens' places; their text numbers.
+
+    A word is hashed once however often it comes.
+    """
+    index: defaultdict[bytes | int, int] = defaultdict(count().__next__)
+    begin, end = index[0], index[1]  # words are bytes, so no word is one of these
+    before, parts, sizes = np.full(order - 1, begin), [], []
     for text in texts:
-        words = word_hashes(text)
-        parts += [begin, words, end]
+        words = (text or b"").translate(_LOWER).split()
+        parts += [before, np.fromiter(map(index.__getitem__, words), np.int64, len(words)), [end]]
         sizes.append(len(words) + 1)
-    if not texts:
-        return np.empty((0, order - 1), np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
-    flat = np.concatenate(parts)
-    number = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(number)) + (number + 1) * (order - 1)
-    return np.column_stack([flat[place - 1 - j] for j in range(order - 1)]), flat[place], number
+    words = list(index)[2:]
+    hashes = np.concatenate(([_BEGIN, _END], np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))).astype(np.uint64)
+    own, to = np.unique(hashes, return_inverse=True)
+    flat = to[np.concatenate(parts)] if texts else np.empty(0, np.int64)
+    number = np.repeat(np.arange(len(texts)), np.array(sizes, np.int64))
+    return own, flat, np.arange(len(number)) + (number + 1) * (order - 1), number
 
 
 def hashed(near: np.ndarray) -> np.ndarray:
     """Column j hashes the j + 1 nearest words of the context."""
-    contexts = near.copy()
+    contexts = near.copy(order="K")
     for j in range(1, near.shape[1]):
         contexts[:, j] = mix(contexts[:, j - 1], near[:, j])
     return contexts
@@ -121,9 +120,17 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
 
 def combine(near: np.ndarray, words: np.ndarray, counts: np.ndarray):
     """Sorted distinct n-grams and their summed counts."""
-    order = np.lexsort((words, *near.T[::-1]))
+    bits = [int(c.max(initial=0)).bit_length() for c in (*near.T, words)]
+    if sum(bits) <= 64:  # all columns in one key
+        key = np.zeros(len(words), np.uint64)
+        for c, wide in zip((*near.T, words), bits):
+            key = key << np.uint64(wide) | c.astype(np.uint64)
+        order = np.argsort(key)
+        starts = run_starts(key[order])
+    else:
+        order = np.lexsort((words, *near.T[::-1]))
+        starts = run_starts(*near[order].T, words[order])
     near, words, counts = near[order], words[order], counts[order]
-    starts = run_starts(*near.T, words)
     return near[starts], words[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
@@ -188,71 +195,42 @@ def _by_shard(kind: str, shard: np.ndarray, near, words, counts) -> list[tuple]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[tuple]:
-    """The n-grams of a task's texts, some RUN tokens at a time."""
+    """The numbered words of a task's texts, some RUN tokens at a time."""
     held, size = [], 0
     for batch in batches:
         for text in batch.column(0):
             held.append(text.as_py())
             size += 16 + len(held[-1] or b"") // 6
             if size >= RUN:
-                yield n_grams(held, order)
+                yield numbered(held, order)
                 held, size = [], 0
     if held:
-        yield n_grams(held, order)
-
-
-# Files in the shared folder -----------------------------------------------------------------
+        yield numbered(held, order)
 
-def _save(folder: str, name: str, values: np.ndarray) -> None:
-    """Under its final name only when whole; a task that runs again writes the same bytes."""
-    store, path = fs.FileSystem.from_uri(folder)
-    store.create_dir(path, recursive=True)
-    draft = f"{path}/.{name}-{uuid.uuid4().hex}"
-    with store.open_output_stream(draft) as out:
-        np.lib.format.write_array(out, np.ascontiguousarray(values), allow_pickle=False)
-    store.move(draft, f"{path}/{name}.npy")
 
+# Arrays of a shard --------------------------------------------------------------------------
 
-_MAPPED: dict[str, np.ndarray] = {}
-
-
-def _mapped(folder: str, name: str) -> np.ndarray:
-    """The array as a memory map, once per worker. From a store that cannot be mapped, by a copy that has no name."""
-    key = f"{folder}/{name}"
-    if key not in _MAPPED:
-        store, path = fs.FileSystem.from_uri(folder)
-        path = f"{path}/{name}.npy"
-        if isinstance(store, fs.LocalFileSystem):
-            _MAPPED[key] = np.load(path, mmap_mode="r")
-        else:
-            with tempfile.NamedTemporaryFile(suffix=".npy", delete=False) as copy, store.open_input_stream(path) as source:
-                shutil.copyfileobj(source, copy)
-            _MAPPED[key] = np.load(copy.name, mmap_mode="r")
-            os.unlink(copy.name)  # the map stays, the file goes
-    return _MAPPED[key]
-
-
-def _save_keys(folder: str, name: str, keys: np.ndarray) -> None:
+def _packed_keys(name: str, keys: np.ndarray) -> dict[str, np.ndarray]:
     """Sorted keys; of many keys the two upper bytes are kept only as the places where they change."""
     if len(keys) < MANY:
-        _save(folder, name, keys)
-        return
-    _save(folder, f"{name}-low", (keys & np.uint64(0xFFFF)).astype("<u2"))
-    _save(folder, f"{name}-middle", (keys >> np.uint64(16)).astype("<u4"))
+        return {name: keys}
     tops = np.searchsorted(keys, np.arange(1, 1 << 16, dtype=np.uint64) << np.uint64(48))
-    _save(folder, name, np.concatenate(([0], tops, [len(keys)])).astype("<i8"))  # signed: not keys
+    return {
+        f"{name}-low": (keys & np.uint64(0xFFFF)).astype("<u2"), f"{name}-middle": (keys >> np.uint64(16)).astype("<u4"),
+        name: np.concatenate(([0], tops, [len(keys)])).astype("<i8"),  # signed: not keys
+    }
 
 
-def _find(folder: str, name: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _find(arrays_of: dict[str, np.ndarray], name: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which keys are there, and their places."""
-    known = _mapped(folder, name)
+    known = arrays_of[name]
     if known.dtype == np.uint64:
         if not len(known):
             return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
         at = np.searchsorted(known, keys)
         at[at == len(known)] = 0
         return known[at] == keys, at
-    low, middle = _mapped(folder, f"{name}-low"), _mapped(folder, f"{name}-middle")
+    low, middle = arrays_of[f"{name}-low"], arrays_of[f"{name}-middle"]
     top = (keys >> np.uint64(48)).astype(np.int64)
     start, stop = known[top], known[top + 1]
     last, size = stop.copy(), len(low)
@@ -266,19 +244,17 @@ def _find(folder: str, name: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (start < last) & (middle[at] == want) & (low[at] == rest), at
 
 
-def _save_counts(folder: str, name: str, counts: np.ndarray) -> None:
+def _packed_counts(name: str, counts: np.ndarray) -> dict[str, np.ndarray]:
     """Rows of counts of which the first is the largest, a byte each; rows with a larger one lie apart."""
     large = np.flatnonzero(counts[:, 0] >= 255)
-    _save(folder, f"{name}-large", np.column_stack((large, counts[large])).astype("<i8"))
-    small = np.minimum(counts, 255).astype("<u1")
-    _save(folder, name, small)
+    return {f"{name}-large": np.column_stack((large, counts[large])).astype("<i8"), name: np.minimum(counts, 255).astype("<u1")}
 
 
-def _counts(folder: str, name: str, at: np.ndarray) -> np.ndarray:
-    rows = _mapped(folder, name)[at].astype(np.int64)
+def _counts(arrays_of: dict[str, np.ndarray], name: str, at: np.ndarray) -> np.ndarray:
+    rows = arrays_of[name][at].astype(np.int64)
     large = np.flatnonzero(rows[:, 0] == 255)
     if len(large):
-        apart = _mapped(folder, f"{name}-large")
+        apart = arrays_of[f"{name}-large"]
         rows[large] = apart[np.searchsorted(apart[:, 0], at[large]), 1:]
     return rows
 
@@ -300,6 +276,11 @@ class Model:
     continuations: int = 0
     count_of_counts: dict[int, list[int]] = field(default_factory=dict)
 
+    @property
+    def files(self) -> int:
+        """More than the highest number of a shard of any level."""
+        return max(2 * self.shards, self.word_shards)
+
     def discounts(self, level: int) -> np.ndarray:
         """What is taken off a count of 0, 1, 2 and 3 or more."""
         n1, n2, n3, n4 = self.count_of_counts.get(level, [0, 0, 0, 0])
@@ -341,7 +322,7 @@ class Numbers:
         starts = run_starts(shard[order])
         for s, e in zip(starts, np.append(starts[1:], len(order))):
             number = int(shard[order[s]])
-            yield order[s:e], self.first[number], _mapped(self._folder, f"1-{number}-keys")
+            yield order[s:e], self.first[number], arrays.mapped(self._folder, f"words-{number}")["keys"]
 
     def of(self, words: np.ndarray) -> np.ndarray:
         """Numbers of words of the corpus."""
@@ -368,11 +349,13 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
     spark = df.sparkSession
     folder = scratch_path(spark, "kneser-ney")
     texts = df.select(F.col(text_col).cast("binary").alias("text"))
-    deal = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    deal = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // WORD_BYTES))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, words, _ in _runs(batches, 2):
-            words, counts = combine_words(words, np.ones(len(words), np.int64))
+        for own, flat, place, _ in _runs(batches, 2):
+            counts = np.bincount(flat[place], minlength=len(own))
+            words, counts = own[counts > 0], counts[counts > 0]
             shard = word_shard(words, deal)
             yield from _table(_by_shard("word", shard, None, words, counts), _GRAMS).to_batches()
 
@@ -380,7 +363,7 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
         rows = [_unpacked(r) for r in table.to_pylist()]
         words, counts = combine_words(np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]))
         packed = _packed("word", table["shard"][0].as_py(), None, words, counts)
-        _save(folder, f"1-{packed[1]}-keys", words)
+        arrays.save(folder, f"words-{packed[1]}", {"keys": words})
         return _table([(*packed, len(words), 0, 0, 0, int(counts.sum()))], _REDUCED)
 
     vocabulary = cut(
@@ -413,11 +396,11 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
     def dealt(near: np.ndarray, words: np.ndarray) -> np.ndarray:
         return shard_of(near, hashed(near)[:, -1], words, hot, spreads, shards)[0]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for near, words, _ in _runs(batches, order):
-            own, back = np.unique(np.column_stack((near, words)), return_inverse=True)
-            back = back.reshape(len(words), order).astype("<u4")
-            near, words, counts = combine(back[:, :-1], back[:, -1], np.ones(len(words), np.int64))
+    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, flat, place, _ in _runs(batches, order):
+            flat = flat.astype("<u4")
+            near = np.column_stack([flat[place - 1 - j] for j in range(order - 1)])
+            near, words, counts = combine(near, flat[place], np.ones(len(place), np.int64))
             shard, number = dealt(own[near], own[words]), numbers.of(own)
             yield from _table(_by_shard(f"level{order}", shard, number[near], number[words], counts), _GRAMS).to_batches()
 
@@ -433,10 +416,10 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
             ).astype(np.int64)
             keys = mix(np.repeat(contexts, lengths), numbers.words(words))
             by_key, by_context = np.argsort(keys), np.argsort(contexts)
-            _save_keys(folder, f"{level}-{shard}-keys", keys[by_key])
-            _save_counts(folder, f"{level}-{shard}-counts", counts[by_key, None])
-            _save_keys(folder, f"{level}-{shard}-contexts", contexts[by_context])
-            _save_counts(folder, f"{level}-{shard}-totals", own[by_context])
+            arrays.save(folder, f"{level}-{shard}", {
+                **_packed_keys("keys", keys[by_key]), **_packed_counts("counts", counts[by_key, None]),
+                **_packed_keys("contexts", contexts[by_context]), **_packed_counts("totals", own[by_context]),
+            })
             out = [(*_packed(f"stats{level}", shard, None, words[:0], counts[:0]), *_stats("", counts)[1:])]
             # each distinct n-gram is one word to the left of the shorter n-gram
             ones = np.ones(len(words), np.int64)
@@ -457,7 +440,7 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
 
         return run
 
-    grams, lefts_of = texts.mapInArrow(count, _GRAMS), []
+    grams, lefts_of = texts.mapInArrow(count_grams, _GRAMS), []
     for level in range(order, 1, -1):
         done = cut(grams.groupBy("shard").applyInArrow(reduce_level(level), _REDUCED), f"level{level}")
         for row in _sums(done.filter(F.col("kind").startswith("stats"))):
@@ -474,7 +457,7 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
         left, n = combine_words(*(np.concatenate([np.empty(0, np.int64), *[r[i].astype(np.int64) for r in rows if r[0] == "left"]]) for i in (1, 2)))
         lefts = np.zeros(len(words), np.int64)
         lefts[left - numbers.first[shard]] = n
-        _save(folder, f"1-{shard}-counts", np.column_stack((counts, lefts)))
+        arrays.save(folder, f"1-{shard}", {"keys": words, "counts": np.column_stack((counts, lefts))})
         return _table([("stats1", *_stats("", lefts)[1:])], _STATS)
 
     both = vocabulary.select(*_GRAMS.fieldNames())
@@ -489,40 +472,38 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
 # Scoring ------------------------------------------------------------------------------------
 
 def _look_up(model: Model, level: int, shard: np.ndarray, keys: np.ndarray, index: str, values: str, width: int) -> np.ndarray:
-    """Rows of the values at the keys, 0 where a key is not there. Keys go to their shard's arrays in sorted order."""
+    """Rows of the values at the keys, 0 where a key is not there. Sorted keys are looked up in order in each shard."""
     found = np.zeros((len(keys), width), np.int64)
-    order = np.lexsort((keys, shard))
+    order = np.argsort(shard.astype(np.uint16) if model.files < 1 << 16 else shard, kind="stable")
     starts = run_starts(shard[order])
     for s, e in zip(starts, np.append(starts[1:], len(order))):
         at = order[s:e]
-        name = f"{level}-{shard[at[0]]}"
-        try:
-            hit, here = _find(model.folder, f"{name}-{index}", keys[at])
-        except FileNotFoundError:  # no n-gram of the corpus fell into this shard
+        held = arrays.mapped(model.folder, f"{level}-{shard[at[0]]}")
+        if not held:  # no n-gram of the corpus fell into this shard
             continue
-        if level == 1:
-            found[at[hit]] = _mapped(model.folder, f"{name}-{values}")[here[hit]]
-        else:
-            found[at[hit]] = _counts(model.folder, f"{name}-{values}", here[hit])
+        hit, here = _find(held, index, keys[at])
+        found[at[hit]] = held[values][here[hit]] if level == 1 else _counts(held, values, here[hit])
     return found
 
 
-def _unique(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First places of distinct rows, and for each row the number of its distinct one."""
-    order = np.lexsort(columns)
-    starts = run_starts(*[c[order] for c in columns])
-    number = np.zeros(len(order), np.int64)
+def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of distinct keys, in the order of the keys, and for each key the number of its distinct one."""
+    order = np.argsort(keys)
+    starts = run_starts(keys[order])
+    number = np.zeros(len(order), np.int32)
     number[starts[1:]] = 1
-    back = np.empty(len(order), np.int64)
-    back[order] = np.cumsum(number)
+    back = np.empty(len(order), np.int32)
+    back[order] = np.cumsum(number, dtype=np.int32)
     return order[starts], back
 
 
-def log_chances(model: Model, near: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 chance of each token after its context, and the token's count in training."""
-    first, back = _unique(words)
-    shard = word_shard(words[first], model.word_shards)
-    seen = _look_up(model, 1, shard, words[first], "keys", "counts", 2)
+def log_chances(model: Model, own: np.ndarray, flat: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 chance of each token after its context, and the token's count in training.
+
+    ``own`` are the distinct words in order, ``flat`` the texts by places among them, ``place`` where the tokens are.
+    """
+    back = flat[place]
+    seen = _look_up(model, 1, word_shard(own, model.word_shards), own, "keys", "counts", 2)
     d, n = model.discounts(1), model.count_of_counts.get(1, [0, 0, 0, 0])
     some = max(model.types, 1)
     if model.continuations:
@@ -530,14 +511,16 @@ def log_chances(model: Model, near: np.ndarray, words: np.ndarray) -> tuple[np.n
         rest = (d[1] * n[0] + d[2] * n[1] + d[3] * more) / model.continuations
         chance = np.maximum(seen[:, 1] - d[np.minimum(seen[:, 1], 3)], 0) / model.continuations + rest / (some + 1)
     else:
-        chance = np.full(len(first), 1.0 / (some + 1))
-    counts, chance = seen[back, 0], chance[back]
+        chance = np.full(len(own), 1.0 / (some + 1))
+    counts, chance, words = seen[back, 0], chance[back], own[back]
+    near = np.stack([own[flat[place - 1 - j]] for j in range(model.order - 1)]).T  # columns lie together
     contexts = hashed(near)
     for level in range(2, model.order + 1):
-        first, back = _unique(words, contexts[:, level - 2])
-        before, ctx, word = near[first, : level - 1], contexts[first, level - 2], words[first]
+        keys = mix(contexts[:, level - 2], words)
+        first, back = _unique(keys)
+        before, ctx, word = np.stack([near[:, j][first] for j in range(level - 1)]).T, contexts[:, level - 2][first], words[first]
         shard, spread = shard_of(before, ctx, word, model.hot, model.spreads, model.shards)
-        c = _look_up(model, level, shard, mix(ctx, word), "keys", "counts", 1)[:, 0]
+        c = _look_up(model, level, shard, keys[first], "keys", "counts", 1)[:, 0]
         one, up = _unique(ctx)
         total = np.zeros((len(one), 4), np.int64)
         # without the token: salted from 0 on
@@ -546,11 +529,12 @@ def log_chances(model: Model, near: np.ndarray, words: np.ndarray) -> tuple[np.n
             at = np.flatnonzero(spread[one] > salt)
             wrapped = np.where(base[at] % model.shards + salt < model.shards, salt, salt - model.shards)
             total[at] += _look_up(model, level, base[at] + wrapped, ctx[one[at]], "contexts", "totals", 4)
-        d, total = model.discounts(level), total[up]
+        d = model.discounts(level)
+        seen_at_all = total[:, 0] > 0  # else the shorter context says all
         known = np.maximum(total[:, 0], 1)
-        direct = np.maximum(c - d[np.minimum(c, 3)], 0) / known
-        rest = (total[:, 1:] @ d[1:]) / known
-        chance = np.where(total[back, 0] > 0, direct[back] + rest[back] * chance, chance)
+        rest = np.where(seen_at_all, (total[:, 1:] @ d[1:]) / known, 1.0)
+        direct = np.maximum(c - d[np.minimum(c, 3)], 0) / known[up]
+        chance = direct[back] + rest[up][back] * chance
     return np.log10(chance), counts
 
 
@@ -562,7 +546,8 @@ def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str
 
     ``score`` is the model's log10 probability of the whole text with its end token, ``base_score`` that of single
     token frequencies with half a count added. Null and empty texts are one end token. Rows are scored by
-    themselves; an empty table gives an empty result.
+    themselves, so repeated rows and ids come out as they are; other columns, of any name, are passed over; an empty table gives an
+    empty result.
     """
     keep = keep or []
     source = df.select(
@@ -571,8 +556,8 @@ def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str
     out = T.StructType([*source.schema.fields[:-1], *_SCORES.fields])
 
     def judged(texts: list[bytes | None]) -> list[np.ndarray]:
-        near, words, number = n_grams(texts, model.order)
-        chance, counts = log_chances(model, near, words)
+        own, flat, place, number = numbered(texts, model.order)
+        chance, counts = log_chances(model, own, flat, place)
         base = np.log10((counts + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
         per = [np.bincount(number, weights=w, minlength=len(texts)) for w in (np.ones(len(number)), counts > 0, base, chance)]
         return [per[0].astype(np.int64), per[1].astype(np.int64), np.full(len(texts), model.tokens), per[2], per[3]]
@@ -584,7 +569,7 @@ def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str
             for i, text in enumerate(batch.column(batch.num_columns - 1)):
                 held.append(text.as_py())
                 size += len(held[-1] or b"") // 6
-                if size >= RUN // 4 or i == batch.num_rows - 1:
+                if size >= RUN // 2 or i == batch.num_rows - 1:
                     columns = [batch.column(j).slice(start, len(held)).cast(schema.field(j).type) for j in range(batch.num_columns - 1)]
                     found = [pa.array(c) for c in judged(held)]
                     yield pa.RecordBatch.from_arrays(columns + found, schema=schema)
