@@ -279,7 +279,8 @@ def round_trip(
 ) -> DataFrame:
     """Encode each whole text, decode the ids as a stream, and report digests of both.
 
-    Null counts as empty: no ids and the digests of nothing. Repeated rows each give a row. Nothing is shuffled.
+    Null counts as empty: no ids and the digests of nothing. Repeated rows each give a row; other columns, of any name, are passed
+    over; an empty table gives an empty one. Nothing is shuffled.
     """
 
     def make():

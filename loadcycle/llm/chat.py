@@ -110,7 +110,8 @@ def canonical_turns(df: DataFrame, *, id_col: str, record_col: str, layouts: dic
     """conv_id, fingerprint, layout, turn, role, text of each turn of JSON records of any known layout.
 
     A record of no known layout, a null one and one that is no JSON object give one row with a null layout and the
-    record as text, so that nothing is lost in silence. Null roles and texts count as empty.
+    record as text, so that nothing is lost in silence. Null roles and texts count as empty. Other columns, of any name, are passed
+    over; an empty table gives no turns.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +218,9 @@ def format_turns(turns: DataFrame, *, learn: str = "assistant") -> DataFrame:
     Turns are put in order of turn, then role and text; null turns come first. Each turn is ``<|turn|>role``, a line
     break, the escaped text, ``<|end|>`` and a line break. The loss columns have the spans of the texts that the role ``learn``
     says, as characters of the part's text. Rows are dealt by conversation and sorted on disk where need be; the
-    worker holds one part at a time, so a conversation of any length fits. A null conv_id is a conversation too.
+    worker holds one part at a time, so a conversation of any length fits; a part holds one turn at the least, however long. A null
+    conv_id is a conversation too; repeated rows are turns of their own; other columns, of any name, are passed over; an empty table
+    gives an empty one.
     """
     dealt = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
@@ -266,7 +269,7 @@ def read_back(parts: DataFrame) -> DataFrame:
     """One row per conversation: digests of turns and learnt texts as they are read from the formatted output.
 
     ``parts`` must come from ``format_turns`` as it is, so that a conversation's parts follow each other. Digests are
-    built part by part.
+    built part by part. Without parts there are no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -66,19 +66,37 @@ def per_text(
     ``make`` runs once per task and gives the function, which gets the text as UTF-8 bytes or None. The rows
     never leave their partition, so nothing is shuffled and a lost task is simply run again.
     """
+    keep = keep or []
+    small_batches(df.sparkSession)
+    source = df.select(
+        F.col(id_col).cast("long").alias("doc_id"), *[F.col(c) for c in keep],
+        F.col(text_col).cast("string").cast("binary").alias("__text"),
+    )
+    out = T.StructType([*source.schema.fields[:-1], *columns(schema).fields])
+    names = [f.name for f in out.fields]
 
-    def make_many():
-        function = make()
-        return lambda texts: [function(t) for t in texts]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function, arrow = None, None
+        for batch in batches:
+            function = function or make()
+            texts = batch.column(batch.num_columns - 1)
+            rows = [function(t.as_py()) for t in texts]
+            found = list(zip(*rows)) or [()] * (len(names) - batch.num_columns + 1)
+            arrow = arrow or to_arrow(out)
+            columns = [batch.column(i).cast(arrow.field(i).type) for i in range(batch.num_columns - 1)]
+            columns += [
+                pa.array(list(c), arrow.field(i).type) for i, c in enumerate(found, batch.num_columns - 1)
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return per_texts(df, make_many, schema, None, id_col=id_col, text_col=text_col, keep=keep)
+    return source.mapInArrow(run, out)
 
 
 def per_texts(
-    df: DataFrame, make: Callable[[], Callable[[list[bytes | None]], list[tuple]]], schema: str, size: int | None, *, id_col: str,
+    df: DataFrame, make: Callable[[], Callable[[list[bytes | None]], list[tuple]]], schema: str, size: int, *, id_col: str,
     text_col: str, keep: list[str] | None = None,
 ) -> DataFrame:
-    """As ``per_text``, with a function of several texts: of a batch, or of some that hold ``size`` bytes together."""
+    """As ``per_text``, with a function of several texts at once: as many of a batch as hold ``size`` bytes together."""
     keep = keep or []
     small_batches(df.sparkSession)
     source = df.select(
@@ -93,7 +111,7 @@ def per_texts(
         for text in texts:
             held.append(text.as_py())
             bytes_held += len(held[-1] or b"")
-            if size is not None and bytes_held >= size:
+            if bytes_held >= size:
                 yield held
                 held, bytes_held = [], 0
         if held:

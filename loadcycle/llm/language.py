@@ -188,8 +188,8 @@ def identify(
 ) -> DataFrame:
     """doc_id, the ``keep`` columns, lang_pred and score of each whole text.
 
-    ``und`` with score 0 where the text is null or has no letter, or if no language was learnt. Rows are judged by
-    themselves, so repeated rows come out as they are and an empty table gives an empty result.
+    ``und`` with score 0 where the text is null or has no letter, or if no language was learnt. Languages of equal chance go to the
+    first in order. Rows are judged by themselves, so repeated rows come out as they are and an empty table gives an empty result.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)  # buckets x languages, whatever the input
 

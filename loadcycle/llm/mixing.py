@@ -102,7 +102,7 @@ def mixing_plan(
 
     Null texts have size 0 and take nothing that counts; null sources form a source of their own, the last one. Rows
     that share an id share their random number and are taken together. The same input gives the same mix always.
-    An empty table gives two empty tables.
+    A very long text is one number, its size. Other columns, of any name, are passed over. An empty table gives two empty tables.
     """
     favour = F.coalesce(F.col(favour_col).cast("double"), F.lit(1.0)) if favour_col else F.lit(1.0)
     rows = cut(df.select(

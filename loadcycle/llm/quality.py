@@ -139,7 +139,8 @@ def quality(
     """doc_id, the ``keep`` columns, score and predicted (1 from ``threshold`` on) of each whole text.
 
     Null and empty texts have no size difference and get the score of a difference of 0. Rows are judged by
-    themselves; an empty table gives an empty result.
+    themselves, so repeated rows and ids come out as they are; other columns, of any name, are passed over; an empty table
+    gives an empty result.
     """
 
     def make():

@@ -284,7 +284,8 @@ def near_duplicates(
 
     Rows with one fingerprint are linked, wordless and null texts (fingerprint 0) too. Null ids are passed over in the
     choice of the smallest; a component without any id has a null component_id. Equal fingerprints are one
-    node of the link table, so a group of copies of any size adds no links. An empty table gives no rows.
+    node of the link table, so a group of copies of any size adds no links. A very long text is one fingerprint, made by one
+    task. Other columns, of any name, are passed over. An empty table gives no rows.
     """
     docs = cut(
         fingerprints(df, width=width, seed=seed, id_col=id_col, text_col=text_col), "fingerprints"

@@ -102,7 +102,7 @@ def token_counts(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
     """doc_id, n_words and n_tokens of each whole text; words are the runs between ``[\\x20\\x09-\\x0D]``.
 
     Null and empty texts and texts of white space only have no words and no tokens. Each row is counted by itself,
-    so repeated rows and ids come out as they are; an empty table gives an empty result.
+    so repeated rows and ids come out as they are; other columns, of any name, are passed over; an empty table gives an empty result.
     """
 
     def make():

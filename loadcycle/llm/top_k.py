@@ -122,7 +122,8 @@ def top_k(
 
     ``queries`` are rows of the same kind. A row is known by its id: rows with the query's id are the query itself.
     Vectors that are null or hold null or non-finite components and rows without an id take no part; vectors are
-    compared with those of as many dimensions. Fewer than k candidates give all of them; an empty table none.
+    compared with those of as many dimensions. Fewer than k candidates give all of them; an empty table none. Other columns, of
+    any name, are passed over.
     """
     def rows(source: DataFrame) -> DataFrame:
         return source.select(F.col(id_col).cast("long").alias("vec_id"), scaled(vector_col, scale).alias("v")).filter(
