@@ -29,13 +29,14 @@ from loadcycle.llm.common import columns, cut, per_texts, scratch_path, to_arrow
 from loadcycle.llm.sentence_pieces import BLANK, BYTE, read_model
 
 #: Tokens of each side that are sliced at once. A slice that is longer makes its window grow, so nothing is cut.
-WINDOW = 4096
+WINDOW = 1024
 #: Bytes of texts that are aligned together; a longer text is aligned alone.
 TOGETHER = 300_000
 #: Distinct pairs a task holds before it passes their counts on.
 HELD = 1_000_000
-#: Files of counts. One holds at most the pairs of so many B ids with all A ids, whatever the size of the corpus.
-FILE_IDS = 128
+#: Files of counts, over which B ids are dealt by their remainder. One holds at most the pairs of its share of the B ids with all A
+#: ids, whatever the size of the corpus.
+FILES = 256
 
 
 # Tokens and their bytes ----------------------------------------------------------------------
@@ -49,11 +50,21 @@ def _byte_level() -> dict[str, int]:
 
 @dataclass(frozen=True)
 class Tokenizer:
-    """Ids of a text, and the bytes of each id. ``exact``: the bytes of the ids are always those of the text."""
+    """Ids of a text, and the bytes of each id.
+
+    ``exact`` if the bytes of the ids are those of the text by construction, but for texts with one of the characters ``unless``.
+    """
 
     encode: Callable[[str], list[int]]
     bytes: list[bytes]
     exact: bool = False
+    unless: str = ""
+
+    def gives(self, ids: list[int], text: str) -> bool:
+        """Whether the bytes of the ids are those of the text."""
+        if self.exact and not any(c in text for c in self.unless):
+            return True
+        return b"".join(map(self.bytes.__getitem__, ids)) == text.encode()
 
 
 @lru_cache(maxsize=2)
@@ -83,16 +94,20 @@ def piece_tokenizer(path: str) -> Tokenizer:
     tokens = [
         bytes([int(p[1:-1], 16)]) if kind == BYTE else p.replace(BLANK, " ").encode() for p, kind in zip(model.pieces, model.kinds)
     ]
-    return Tokenizer(lambda text: own.encode(text, num_threads=1), tokens)
+    # the model leaves texts as they are, and has the bytes of every character; only its own sign for a blank reads as one
+    return Tokenizer(lambda text: own.encode(text, num_threads=1), tokens, model.fallback and model.prefix, BLANK)
 
 
 # Texts by themselves ------------------------------------------------------------------------
 
 def common_ends(sizes_a: list[int], sizes_b: list[int]) -> tuple[list[int], list[int]]:
-    """How many tokens of each side end at or before each common end, in order."""
+    """How many tokens of each side end at or before each common end, in order.
+
+    Ends grow, so the keys of a dictionary are sorted as they were put in, and so are those that both have.
+    """
     at_a = dict(zip(accumulate(sizes_a), range(1, len(sizes_a) + 1)))
     at_b = dict(zip(accumulate(sizes_b), range(1, len(sizes_b) + 1)))
-    ends = sorted(at_a.keys() & at_b.keys())
+    ends = list(filter(at_b.__contains__, at_a))
     return list(map(at_a.__getitem__, ends)), list(map(at_b.__getitem__, ends))
 
 
@@ -160,7 +175,7 @@ class Aligner:
         plain = text.decode("utf-8", "replace")
         ids_a, ids_b = self.a.encode(" " + plain), self.b.encode(plain)
         for ids, tokenizer in ((ids_a, self.a), (ids_b, self.b)):
-            if not tokenizer.exact and b"".join(map(tokenizer.bytes.__getitem__, ids)) != (" " + plain).encode():
+            if not tokenizer.gives(ids, " " + plain):
                 return [], []
         return ids_a, ids_b
 
@@ -271,9 +286,9 @@ def link_counts(aligned: DataFrame) -> DataFrame:
 
 
 def save_counts(counts: DataFrame) -> str:
-    """Writes the counts as sorted arrays, a file for each ``FILE_IDS`` B ids, and gives the folder."""
+    """Writes the counts as sorted arrays in ``FILES`` files, and gives the folder."""
     folder = scratch_path(counts.sparkSession, "links")
-    marked = counts.withColumn("file", F.expr(f"b div {FILE_IDS}"))
+    marked = counts.withColumn("file", (F.col("b") % FILES).cast("long"))
     done = columns("file long, size long")
 
     def write(table: pa.Table) -> pa.Table:
@@ -316,12 +331,14 @@ def _looked_up(folder: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts and best marks of pairs."""
     own, back = np.unique(keys, return_inverse=True)
     total, best = np.zeros(len(own), np.int64), np.zeros(len(own), bool)
-    file = (own >> 32) // FILE_IDS
-    starts = np.flatnonzero(np.diff(file, prepend=-1))
+    file = (own >> 32) % FILES
+    order = np.argsort(file, kind="stable")  # keys stay sorted in each file
+    starts = np.flatnonzero(np.diff(file[order], prepend=-1))
     for start, stop in zip(starts, [*starts[1:], len(own)]):
-        known = arrays.mapped(folder, str(file[start]))
-        at = np.searchsorted(known["keys"], own[start:stop])
-        total[start:stop], best[start:stop] = known["times"][at], known["best"][at]
+        mine = order[start:stop]
+        known = arrays.mapped(folder, str(file[mine[0]]))
+        at = np.searchsorted(known["keys"], own[mine])
+        total[mine], best[mine] = known["times"][at], known["best"][at]
     return total[back], best[back]
 
 
