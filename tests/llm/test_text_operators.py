@@ -158,10 +158,39 @@ def test_threshold_algorithm_against_all_scores(spread):
     for _ in range(150):
         n, d, k = int(pick.integers(1, 400)), int(pick.integers(1, 6)), int(pick.integers(1, 8))
         vectors, ids, query = pick.integers(-spread, spread + 1, (n, d)), pick.permutation(1000)[:n], pick.integers(-spread, spread + 1, d)
-        best, score = top_k.SortedLists(ids, vectors).search(int(ids[0]), query, k)
-        whole = vectors @ query
-        want = [i for i in np.lexsort((ids, -whole)) if i != 0][:k]
-        assert list(best) == want and list(score) == [int(whole[i]) for i in want]
+        asked, best = np.array([query, vectors[0], -query, 0 * query]), top_k.Best(4, k)
+        own = np.array([ids[0], ids[0], -1, ids[-1]])
+        for part in np.array_split(np.arange(n), int(pick.integers(1, 4))):  # the k best are carried from block to block
+            if len(part):
+                top_k.SortedLists(ids[part], vectors[part]).search(own, asked, best, np.arange(4))
+        for q in range(4):
+            whole = vectors @ asked[q]
+            want = [i for i in np.lexsort((ids, -whole)) if ids[i] != own[q]][:k]
+            found = best.scores[q] != top_k._NONE
+            assert list(best.ids[q][found]) == list(ids[want]) and list(best.scores[q][found]) == list(whole[want])
+
+
+def test_queries_that_are_settled_open_no_more_blocks(spark):
+    pick = np.random.default_rng(1)
+    middles = pick.normal(size=(8, 16)) * 4
+    rows = [(i, [float(x) for x in middles[i % 8] + pick.normal(size=16) / 20]) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    asked = df.filter("vec_id % 20 = 0")
+    found = top_k.walks(df, asked, 4, block=50, pack=8).collect()
+    assert len(found) == asked.count() * 4  # as many rows leave the tasks as are asked for, however many blocks there are
+    assert all(r.blocks >= 32 and r.searched < r.blocks / 2 and r.scored < 800 for r in found)
+    whole = {i: np.floor(64 * np.array(v)).astype(int) for i, v in rows}
+    for q in range(0, 1600, 80):
+        want = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:4]
+        assert sorted((-r.score, r.vec_id) for r in found if r.query_id == q) == want
+
+
+def test_rows_that_share_an_id_or_a_vector(spark):
+    rows = [(i % 3 * 20, [1.0, 2.0]) for i in range(300)] + [(i, [0.5, float(i % 2)]) for i in range(7, 17)] + [(99, [])] * 2 + [(100, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = top_k.top_k(df, df.filter("vec_id % 20 = 0").dropDuplicates(["vec_id"]), 5, block=16, pack=2).collect()
+    assert {(r.query_id, r.vec_id, r.score) for r in got} == {
+        (0, 20, 20480), (20, 0, 20480), (40, 0, 20480), (100, 99, 0)} and sorted(r["rank"] for r in got) == [1, 1, 1, 1, 2, 2, 2, 2, 3, 3, 3, 4, 4, 4, 5, 5, 5]
 
 
 def test_odd_vectors_take_no_part(spark):
