@@ -256,7 +256,8 @@ def near_links(fps: DataFrame, radius: int = 2, place: int = PLACE) -> DataFrame
         last = 2**free <= place or free <= 12
         light = counts if last else counts.filter(F.col("count") <= place)
         shared = spread.select("path", "value", "fp").join(light.select("path", "value"), ["path", "value"])
-        dealt = shared.repartition("path", "value").sortWithinPartitions("path", "value", "fp")
+        tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number, so that small rows do not bring it to one
+        dealt = shared.repartition(tasks, "path", "value").sortWithinPartitions("path", "value", "fp")
         found = _compare(dealt, radius)
         links = found if links is None else links.unionByName(found)
         if last:
