@@ -42,19 +42,42 @@ def small_batches(spark) -> None:
         spark.conf.set(key, str(BATCH_TEXTS))
 
 
+def candidates(rows: DataFrame, label: str, key: Column, per_salt: int) -> DataFrame:
+    """For each label, all rows whose hash of ``key`` lies below a limit that leaves ``per_salt`` in each salt (``__salt``),
+    or all rows. Rows that repeat in label and key come once.
+
+    The limit follows from a count of the label's rows, so some three times the rows wanted leave the tasks, however many
+    tasks there are. Where that leaves a salt too few, or repeats do, the limit is raised.
+    """
+    hashed = rows.withColumn("__key", key).withColumn("__h", F.xxhash64("__key"))
+    hashed = hashed.withColumn("__salt", F.pmod("__h", F.lit(SAMPLE_SALTS)))
+    counts = cut(rows.groupBy(label).agg(F.count(F.lit(1)).alias("__rows")), "label-counts")
+    share = 3.0
+    while True:
+        reach = F.lit(share * per_salt * SAMPLE_SALTS) / F.col("__rows")
+        near = (reach >= 1) | (F.col("__h").cast("double") < (reach - 0.5) * 2.0**64)
+        kept = hashed.join(counts, label).filter(near).drop("__rows").dropDuplicates([label, "__h", "__key"])
+        kept = cut(kept, "sample-candidates")
+        full = kept.groupBy(label, "__salt").count().filter(F.col("count") >= per_salt)
+        full = full.groupBy(label).agg(F.count(F.lit(1)).alias("__full"))
+        few = (reach < 1) & (F.coalesce("__full", F.lit(0)) < SAMPLE_SALTS)
+        if counts.join(full, label, "left").filter(few).isEmpty():
+            return kept
+        share *= 8
+
+
 def sampled(rows: DataFrame, label: str, key: Column, per_label: int) -> DataFrame:
     """A bounded sample of each label, with a column ``place`` that numbers it in a fixed order.
 
     Rows are dealt over salts by the hash of ``key`` and each salt gives as many of its smallest hashes as the others, so that
-    all together give ``per_label`` (rounded up to whole rows per salt) at the most. A label with most of all rows is
-    cut to its share in each task before the shuffle, and no task meets the whole sample.
+    all together give ``per_label`` (rounded up to whole rows per salt) at the most. Rows that repeat in label and key count
+    once; rows without a label take no part. Rows above a limit on the hash go before any are shuffled (see ``candidates``).
     """
     share = -(-per_label // SAMPLE_SALTS)
-    hashed = rows.withColumn("__h", F.xxhash64(key)).withColumn("__salt", F.pmod("__h", F.lit(SAMPLE_SALTS)))
-    order = Window.partitionBy(label, "__salt").orderBy("__h", key)
-    cut_down = hashed.withColumn("__nth", F.row_number().over(order)).filter(F.col("__nth") <= share)
+    order = Window.partitionBy(label, "__salt").orderBy("__h", "__key")
+    numbered = candidates(rows, label, key, share).withColumn("__nth", F.row_number().over(order))
     place = (F.col("__nth") - 1) * SAMPLE_SALTS + F.col("__salt") + 1
-    return cut_down.withColumn("place", place.cast("int")).drop("__h", "__salt", "__nth")
+    return numbered.filter(F.col("__nth") <= share).select(*rows.columns, place.cast("int").alias("place"))
 
 
 def per_text(

@@ -153,10 +153,10 @@ def train(
     idf = np.log((1 + texts) / (1 + found)) + 1.0
     hashed = labelled.select("doc_id", "label", ROW_HASH, F.xxhash64("doc_id", ROW_HASH).alias("h"))
     chosen = sampled(hashed, "label", F.col("h"), per_language)
-    chosen = chosen.groupBy(F.col("h").alias("__h")).agg(F.min("place").alias("place"))
+    chosen = chosen.groupBy("h").agg(F.min(F.struct("place", "label")).alias("one")).select("h", "one.place", "one.label")
     rows = labelled.withColumn("h", F.xxhash64("doc_id", ROW_HASH)).join(
-        F.broadcast(chosen), F.col("h") == F.col("__h")  # per_language rows of each language at the most
-    ).dropDuplicates(["h"])
+        F.broadcast(chosen), ["h", "label"]  # per_language rows of each language at the most
+    ).dropDuplicates(["h"])  # a text with several labels counts with one
 
     def make():
         def one(text: bytes) -> tuple:

@@ -86,7 +86,8 @@ def train(
 
     Two thirds of the sample build the dictionaries, from all their chunks; the rest, which these have not seen, fits the
     calibration. The sample is chosen by the hash of the id among the labelled ids of ``docs``. Labels other than 0 and 1
-    are passed over, null texts count as empty; an id with several labels counts with the largest. No text comes to the
+    are passed over, null texts count as empty; an id with several labels counts with the largest, one with several texts
+    with that of the smallest hash. No text comes to the
     driver: texts of a class and salt that hold more than ``PART`` bytes are first put into a dictionary of that size.
     """
     small_batches(docs.sparkSession)
@@ -98,7 +99,9 @@ def train(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_hash(text_col).alias(ROW_HASH)).join(
         F.broadcast(marks), F.col("doc_id") == F.col("__label_id")  # per_class rows of each class at the most
     )
-    rows = rows.dropDuplicates(["doc_id"]).select("doc_id", F.col("label").cast("int").alias("label"), "place", "text")
+    rows = rows.groupBy("doc_id", F.col("label").cast("int").alias("label"), "place").agg(
+        F.min_by(F.struct("text"), ROW_HASH).alias("one")
+    ).select("doc_id", "label", "place", "one.text")
     rows = cut(rows, "quality-sample")
     teach = rows.filter("place % 3 <> 0").select(
         "label", "place", F.pmod("place", F.lit(SAMPLE_SALTS)).alias("salt"), F.coalesce("text", F.lit("")).cast("binary").alias("text")

@@ -19,7 +19,7 @@ from checks.compare import connect, differences
 from loadcycle.llm import (
     bpe, chat, components, exact_dedup, kneser_ney, language, mixing, quality, queries, simhash, token_counts, top_k,
 )
-from loadcycle.llm.common import SAMPLE_SALTS, keep_rows, sampled
+from loadcycle.llm.common import SAMPLE_SALTS, candidates, keep_rows, sampled
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = ("word " * 40_000) + "é" * 30_000
@@ -309,6 +309,19 @@ def test_samples_are_bounded_even_and_the_same_again(spark):
     assert sampled(rows.limit(0), "label", F.col("id"), 5).count() == 0
 
 
+def test_sample_groups_do_not_grow_with_tasks_or_repeats(spark):
+    rows = spark.range(60_000).select("id", F.lit("hot").alias("label"))
+    few, many = (candidates(rows.repartition(n), "label", F.col("id"), 10).count() for n in (4, 64))
+    assert few == many and 10 * SAMPLE_SALTS <= few <= 4 * 10 * SAMPLE_SALTS
+    again = rows.withColumn("id", F.when(F.col("id") < 40_000, 5).otherwise(F.col("id") % 3000))
+    assert candidates(again.repartition(64), "label", F.col("id"), 4).count() <= 3000  # repeats are gone before the groups
+    got = {r.id for r in sampled(again, "label", F.col("id"), 64).collect()}
+    by_salt = collections.defaultdict(list)
+    for r in again.distinct().select("id", F.xxhash64("id").alias("h")).collect():
+        by_salt[r.h % SAMPLE_SALTS].append((r.h, r.id))
+    assert got == {i for salt in by_salt.values() for _, i in sorted(salt)[:2]}
+
+
 def test_long_texts_are_counted_whole():
     text = "aé" * 300_000
     counts, short = language.term_counts(text), language.term_counts(text[: 1 << 18])
