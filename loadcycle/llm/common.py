@@ -178,17 +178,27 @@ def row_hash(text_col: str) -> Column:
     return F.xxhash64(F.col(text_col))
 
 
+def _whole_hash(docs: DataFrame) -> Column:
+    """A hash of the whole row, maps by their JSON."""
+    return F.xxhash64(*[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema])
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id and text hash are in ``kept`` (columns doc_id and __row_hash), each once.
 
-    Null ids match null ids. Rows that repeat in id and text come out once.
+    Null ids match null ids. Rows that repeat in id and text come out once: of those that differ in other columns, the one
+    with the smallest hash of the whole row. The join and the choice have the same plain keys, so texts are shuffled once.
     """
-    marked = docs.withColumn(ROW_HASH, row_hash(text_col))
-    wanted = kept.select(F.col("doc_id").alias("__keep_id"), F.col(ROW_HASH).alias("__keep_hash"))
-    found = marked.join(
-        wanted, F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col(ROW_HASH) == F.col("__keep_hash")), "left_semi"
+    key = ["__no_id", "__id", ROW_HASH]
+
+    def keys(own: str) -> list[Column]:
+        return [F.col(own).isNull().alias("__no_id"), F.coalesce(F.col(own).cast("long"), F.lit(0)).alias("__id")]
+
+    marked = docs.select(
+        *keys(id_col), row_hash(text_col).alias(ROW_HASH), _whole_hash(docs).alias("__all"), F.struct(*docs.columns).alias("__row"),
     )
-    return found.dropDuplicates([id_col, ROW_HASH]).drop(ROW_HASH)
+    found = marked.join(kept.select(*keys("doc_id"), ROW_HASH), key, "left_semi")
+    return found.groupBy(*key).agg(F.min_by("__row", "__all").alias("__row")).select("__row.*")
 
 
 def join_hot(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:

@@ -535,3 +535,21 @@ def test_language_model_on_odd_rows(odd, none):
 def test_keep_rows_matches_null_ids(odd):
     wanted = odd.filter("doc_id is null").select("doc_id", F.xxhash64("text").alias("__row_hash"))
     assert keep_rows(odd, wanted).count() == 2
+
+
+def test_keep_rows_shuffles_texts_once_and_chooses_alike(spark, tmp_path):
+    rows = [(i % 50 if i % 50 else None, "t" * (i % 50), i, {"a": i}) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other int, m map<string, int>")
+    kept = docs.filter("coalesce(doc_id, 0) % 2 = 0").select("doc_id", F.xxhash64("text").alias("__row_hash"))
+    got = [_rows(keep_rows(docs.repartition(n), kept), "doc_id", "text", "other") for n in (1, 7)]
+    assert got[0] == got[1] and len(got[0]) == 25 and keep_rows(docs, kept).columns == docs.columns
+    for name, df in (("docs", docs), ("kept", kept)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = keep_rows(spark.read.parquet(f"{tmp_path}/docs"), spark.read.parquet(f"{tmp_path}/kept"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Exchange hashpartitioning") == 2  # the rows with their texts, and the keys that stay
