@@ -554,14 +554,15 @@ def _write_nanoseconds(df, folder):
         import pyarrow as pa
         from pyarrow import fs, parquet
 
-        rows = pa.Table.from_batches(list(batches))
-        if rows.num_rows:
+        held = [batch for batch in batches if batch.num_rows]  # a task may get no rows, and then no batch that tells a schema
+        if held:
+            rows = pa.Table.from_batches(held)
             at = rows.schema.get_field_index("ts")
             rows = rows.set_column(at, "ts", rows.column("ts").cast(pa.timestamp("us")).cast(pa.timestamp("ns")))
             store, path = fs.FileSystem.from_uri(folder)
             store.create_dir(path, recursive=True)
             parquet.write_table(rows, f"{path}/{uuid.uuid4().hex}.parquet", filesystem=store)
-        yield pa.RecordBatch.from_pydict({"n": pa.array([rows.num_rows], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"n": pa.array([sum(batch.num_rows for batch in held)], pa.int64())})
 
     df.mapInArrow(write, "n long").agg(F.sum("n")).first()
 

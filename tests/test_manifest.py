@@ -95,3 +95,12 @@ def test_subfolders_told_by_name(spark, tmp_path):
     spark.range(10).withColumn("part", F.col("id") % 2).write.partitionBy("part").parquet(str(tmp_path / "t"))
     rows = io.read_parquet_folder(spark, str(tmp_path / "t"))
     assert rows.columns == ["id", "part"] and rows.agg(F.sum("part")).first()[0] == 5
+
+
+def test_nanosecond_files_of_tasks_without_rows(spark, tmp_path):
+    from checks.queries import _write_nanoseconds
+
+    rows = spark.range(3).repartition(8).selectExpr("id as event_id", "timestampadd(SECOND, id, timestamp_ntz'2024-01-01 00:00:00') as ts")
+    _write_nanoseconds(rows, str(tmp_path / "times"))
+    found = io.read_parquet_folder(spark, str(tmp_path / "times"), nanoseconds=["ts"])
+    assert sorted((r.event_id, r.ts.second) for r in found.collect()) == [(0, 0), (1, 1), (2, 2)]
