@@ -10,6 +10,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadcycle.sources.scratch import scratch_path
+
 
 def split_by_key(df: DataFrame, key: str, train_percent: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Train and test rows, decided by a hash of the key: the same on every run and every retry."""
@@ -19,11 +21,18 @@ def split_by_key(df: DataFrame, key: str, train_percent: int = 80, seed: int = 4
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:
+    """The fitted steps, written and read back.
+
+    A model fresh from its fit carries a summary that holds the session; tasks cannot take it along once the session has
+    observed a query (``Dataset.observe``), and the model could score no row. The written model has no summary.
+    """
     steps = [
         VectorAssembler(inputCols=list(features), outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol=label),
     ]
-    return Pipeline(stages=steps).fit(train)
+    path = scratch_path(train.sparkSession, "model")
+    Pipeline(stages=steps).fit(train).write().save(path)
+    return PipelineModel.load(path)
 
 
 def accuracy_of(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -255,3 +255,14 @@ def test_logistic_regression_learns(spark):
     df = spark.range(400).select("id", (F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 20 >= 10).cast("int").alias("y"))
     train, test = classify.split_by_key(df, "id")
     assert classify.accuracy(classify.fit_logistic(train, ["x"], "y"), test, "y") > 0.95
+
+
+def test_a_model_scores_rows_after_the_session_observed_a_query(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    df = spark.range(40).select("id", F.col("id").cast("double").alias("x"), (F.col("id") >= 20).cast("int").alias("y"))
+    scored = classify.fit_logistic(df, ["x"], "y").transform(df)
+    assert {r.id for r in scored.collect() if r.prediction != r.y} <= {19, 20}
