@@ -156,3 +156,18 @@ def test_headers_must_agree_and_values_fit(spark, tmp_path):
         io.read_csv(spark, str(tmp_path), "v long, k long").collect()
     (tmp_path / "b.csv").write_text("k,v\n")
     assert io.read_csv(spark, str(tmp_path), "v long, k long").count() == 1
+
+
+@pytest.mark.parametrize("lines", [1, 3])
+def test_quoted_records_go_on_over_pieces(spark, tmp_path, monkeypatch, lines):
+    monkeypatch.setattr(csv_records, "LINES", lines)
+    notes = ["plain", 'a "quoted"\nline\n\n\nand more', "x,y", "\n\n", "end"]
+    cells = ["n,note\n"] + [f'{i},"{n.replace(chr(34), chr(34) * 2)}"\n' for i, n in enumerate(notes)]
+    (tmp_path / "a.csv").write_text("".join(cells))
+    (tmp_path / "b.csv").write_text("".join(cells[:2]))
+    found = io.read_csv(spark, str(tmp_path), "n int, note string")
+    assert sorted((r.n, r.note) for r in found.collect()) == sorted([*enumerate(notes), (0, "plain")])
+    numbers = csv_records.records(spark, str(tmp_path / "a.csv")).collect()
+    assert sorted(r.number for r in numbers) == [1, 2, 3, 4, 5, 6]
+    pieces = csv_records._lines(spark, str(tmp_path / "a.csv")).groupBy("file", "block", "piece").count()
+    assert pieces.agg({"count": "max"}).first()[0] <= lines
