@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcycle.sources.scratch import exists, scratch_path
-
 PERIOD = ("2023-12-31 00:00:00", "2024-02-01 00:00:00")
 
 
@@ -198,18 +196,9 @@ def machines(region: DataFrame, nation: DataFrame, supplier: DataFrame) -> DataF
     return single.unionByName(fleets, allowMissingColumns=True).unionByName(groups, allowMissingColumns=True)
 
 
-_WRITTEN: dict[tuple[str, str], dict[str, str]] = {}
-
-
 def mine(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every table the raw layer reads, written once for a session and folder, so that a layer's own work is what its query does."""
-    key = spark.sparkContext.applicationId, sf_dir
-    if key not in _WRITTEN or not all(exists(spark, path) for path in _WRITTEN[key].values()):
-        _WRITTEN[key] = {name: scratch_path(spark, name) for name in derived(spark, sf_dir)}
-        for name, rows in derived(spark, sf_dir).items():
-            # the supplied files have one row group each; other stores deal their rows over many tasks
-            rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(_WRITTEN[key][name])
-    return {name: spark.read.parquet(path) for name, path in _WRITTEN[key].items()}
+    """Every table the raw layer reads, as expressions: a step reads of the supplied tables only what it needs, and nothing is copied."""
+    return derived(spark, sf_dir)
 
 
 def derived(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -1,6 +1,6 @@
 """Filters, projections, joins and one-row-per-key.
 
-No join here carries a broadcast hint: Catalyst broadcasts a side whose size it knows to be below
+No join here carries a broadcast hint, but that of a bitmap of bounded size: Catalyst broadcasts a side whose size it knows to be below
 ``spark.sql.autoBroadcastJoinThreshold``, shuffles both otherwise, and adaptive execution splits a
 hot key's partition of the left side. Right sides are cut to one row per key first, so no join
 multiplies rows.
@@ -98,6 +98,32 @@ def latest_per_key(df: DataFrame, key: str, by: str) -> DataFrame:
     return keep_one(df.where(F.col(key).isNotNull()), [key], [F.col(by).desc_nulls_last(), by_content(df)])
 
 
+#: Bits of the hashed key set by which rows are left out of a shuffle; 2 MB, whatever the input.
+KEY_BITS = 1 << 24
+
+
+def with_keys_of(df: DataFrame, key: str, keys: DataFrame, other: str) -> DataFrame:
+    """Rows of ``df`` whose key may be among ``keys``; all rows of a key stay or go together. Nothing of ``df`` is shuffled.
+
+    A key that is among them always stays, one that is not may stay too, so an exact join must follow. The keys go to
+    the tasks as bitmaps of their hashes, 512 of 4 kB at the most. Keys of different types, whole numbers aside, are not looked at.
+    """
+    kinds = [df.schema[key].dataType, keys.schema[other].dataType]
+    whole = all(isinstance(kind, T.IntegralType) for kind in kinds)
+    if not whole and kinds[0] != kinds[1]:
+        return df.where(F.col(key).isNotNull())
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(column).cast("long") if whole else F.col(column)), F.lit(KEY_BITS))
+
+    bits = keys.where(F.col(other).isNotNull()).select(place(other).alias("__bit"))
+    maps = bits.groupBy(F.bitmap_bucket_number("__bit").alias("__map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__bit")).alias("__bits"))
+    at = F.bitmap_bit_position(place(key))
+    held = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = df.where(F.col(key).isNotNull()).join(F.broadcast(maps), F.bitmap_bucket_number(place(key)) == F.col("__map"))
+    return rows.where(F.getbit(held, (at % 8).cast("int")) == 1).drop("__map", "__bits")
+
+
 # Joins --------------------------------------------------------------------------------------
 
 def left_lookup(df: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -118,7 +118,7 @@ def refresh(tables: Mapping[str, DataFrame], folder: str, day: str, integer_divi
     with own_scratch(spark):
         carried = versions.read(spark, layers.last_loads, [before[-1]]) if before else None
         types, machines = together(
-            spark, lambda: cut(raw.state_types(tables), "state-types"), lambda: cut(raw.equipment(tables), "machines")
+            spark, lambda: cut(raw.state_types(tables), "state-types"), lambda: cut(raw.machines_named(tables), "machines")
         )
         lagged, last = day_loads(tables, day, carried)
         arrived = cut(_arrivals(tables, day).select("id", "id_palas", F.lit(day).alias("day")), "arrivals")

@@ -20,6 +20,7 @@ from loadcycle.operators.relational import (
     one_per_key,
     strictly_between,
     three_level_tree,
+    with_keys_of,
 )
 from loadcycle.plans import fixed_values as fixed
 from loadcycle.sources.scratch import cut, together
@@ -33,6 +34,12 @@ def equipment(tables: Mapping[str, DataFrame]) -> DataFrame:
     return one_per_key(three_level_tree(nodes, "id", "id_flota", "nombre", "isflota"), "id")
 
 
+def machines_named(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The equipment that cycles or shovel versions name, so that the wide rows meet a small table however many there are."""
+    named = [tables[t].select(F.col("id_equipo").alias("__named")).distinct() for t in ("tp_cargadescarga", "tp_palas")]
+    return equipment(tables).join(named[0].unionByName(named[1]).distinct(), F.col("id") == F.col("__named"), "left_semi")
+
+
 def state_types(tables: Mapping[str, DataFrame]) -> DataFrame:
     """State details with the names of the two levels above."""
     tree = tables["ts_detal_estado"]
@@ -99,7 +106,7 @@ def joined_loads(tables: Mapping[str, DataFrame], low, high) -> DataFrame:
     loads = loads.where(F.col("tiem_viajando").isNotNull() & F.col("id_palas").isNotNull()).select(
         F.col("id").alias("load_id"), "id_palas", F.col("tiem_carga").alias(_START), F.col("tiem_acarreo").alias(_END)
     )
-    asked = tables["tp_palas"].join(loads.select("id_palas").distinct(), "id_palas", "left_semi")
+    asked = with_keys_of(tables["tp_palas"], "id_palas", loads, "id_palas")
     versions = alive(latest_per_key(asked, "id_palas", "id")).select(
         F.col("id_palas"),
         F.col("id").alias("id_ciclo_carguio"),
@@ -146,10 +153,32 @@ def span_asked(loads: DataFrame) -> tuple:
     return row["first"], row["last"]
 
 
+#: The cycle id as a join key that a row without an id has as well.
+_KEY = ["__key", "__none"]
+
+
 def newest_cycles(period: DataFrame) -> DataFrame:
-    """One row per cycle id: the newest arrival."""
+    """One row per cycle id: the newest arrival. The key columns are added."""
     newest = [F.col(c).desc_nulls_last() for c in ("tiem_llegada", "id_cargadescarga", "id_palas")]
-    return keep_one(period, ["id"], [*newest, by_content(period)])
+    keyed = period.withColumns({"__key": F.coalesce(F.col("id"), F.lit(0).cast(period.schema["id"].dataType)), "__none": F.col("id").isNull()})
+    return keep_one(keyed, _KEY, [*newest, by_content(period)])
+
+
+def _found_for(cycles: DataFrame, key: str, right: DataFrame) -> DataFrame:
+    """``right``'s row for each cycle that has one, with the cycle's key: narrow rows that the wide ones meet by cycle."""
+    asked = cycles.where(F.col(key).isNotNull()).select(*[F.col(k).alias(f"{k}_of") for k in _KEY], F.col(key).alias("__asked"))
+    return asked.join(right, F.col("__asked") == F.col(key)).drop("__asked")
+
+
+def _attached(wide: DataFrame, cycles: DataFrame, key: str, right: DataFrame, role: str) -> DataFrame:
+    """The cycles with ``right``'s row, found by a key of the cycle.
+
+    Cycles by id stay where they are and the rows found for them come by id. Where ids may repeat the wide rows move.
+    """
+    if _KEY[0] not in cycles.columns:
+        return left_join_spreading_nulls(wide, right.alias(role), f"cycle.{key}", f"{role}.{key}", "cycle.id")
+    same = " AND ".join(f"cycle.{k} = {role}.{k}_of" for k in _KEY)
+    return wide.join(_found_for(cycles, key, right).alias(role), F.expr(same), "left")
 
 
 def haul_cycles(
@@ -182,7 +211,7 @@ def haul_cycles(
     by_load = slice_bounds(joined, [_START, "load_id"])
     machines, states, loads = together(
         spark,
-        lambda: cut(equipment(tables), "machines"),
+        lambda: cut(machines_named(tables), "machines"),
         lambda: cut(current_states(tables, types), "states"),
         lambda: cut(shovel_loads(joined, by_load), "loads"),
     )
@@ -205,29 +234,25 @@ def wide_cycles(
     def left(df, right, role, condition):
         return df.join(right.alias(role), F.expr(condition), "left")
 
-    loading = loading.alias("shovel")
-    loading = left(loading, one_per_key(tables["ts_locacion"], "id"), "location", "shovel.id_locacion = location.id")
-    loading = left(loading, one_per_key(tables["ts_poligono"], "id"), "polygon", "shovel.id_poligono = polygon.id")
-    loading = left(loading, load_nodes, "load_node", "location.id_nodo = load_node.id")
-    loading = left(loading, machines, "digger", "shovel.id_equipo_carguio = digger.id")
-    loading = left(loading, states, "shovel_state", "shovel.id_equipo_carguio = shovel_state.id_equipo")
+    # the two joins that move large tables come first, the small dimensions after them
+    passes = with_keys_of(alive(tables["ta_datacarga_sensores"]), "id_cargadescarga", period, "id_cargadescarga")
+    wide = _attached(cycles.alias("cycle"), cycles, "id_palas", loading, "shovel")
+    wide = _attached(wide, cycles, "id_cargadescarga", latest_per_key(passes, "id_cargadescarga", "id"), "passes")
 
     factors = tables["ta_factortonelaje"].where(F.col("id").isNotNull() & F.col("factor").isNotNull())
     factors = keep_one(factors, ["id"], [F.col("factor").desc(), by_content(factors)])
-    wide = cycles.alias("cycle").join(factors.alias("factor"), F.expr("cycle.id_factor = factor.id"))
+    wide = wide.join(factors.alias("factor"), F.expr("cycle.id_factor = factor.id"))
+    wide = left(wide, one_per_key(tables["ts_locacion"], "id"), "location", "shovel.id_locacion = location.id")
+    wide = left(wide, one_per_key(tables["ts_poligono"], "id"), "polygon", "shovel.id_poligono = polygon.id")
+    wide = left(wide, load_nodes, "load_node", "location.id_nodo = load_node.id")
+    wide = left(wide, machines, "digger", "shovel.id_equipo_carguio = digger.id")
+    wide = left(wide, states, "shovel_state", "shovel.id_equipo_carguio = shovel_state.id_equipo")
     wide = left(wide, machines, "truck", "cycle.id_equipo = truck.id")
     wide = left(wide, shifts, "load_shift", "cycle.id_turnocarga = load_shift.id")
     wide = left(wide, shifts, "dump_shift", "cycle.id_turnodescarga = dump_shift.id")
     wide = left(wide, one_per_key(tables["ts_descarga"], "id"), "dump", "cycle.id_descarga = dump.id")
     wide = left(wide, dump_nodes, "dump_node", "dump.id_nodo = dump_node.id")
     wide = left(wide, states, "truck_state", "cycle.id_equipo = truck_state.id_equipo")
-    wide = left_join_spreading_nulls(wide, loading, "cycle.id_palas", "shovel.id_palas", "cycle.id")
-    carried = period.select("id_cargadescarga").where(F.col("id_cargadescarga").isNotNull()).distinct()
-    passes = alive(tables["ta_datacarga_sensores"]).join(carried, "id_cargadescarga", "left_semi")
-    passes = latest_per_key(passes, "id_cargadescarga", "id").alias("passes")
-    wide = left_join_spreading_nulls(
-        wide, passes, "cycle.id_cargadescarga", "passes.id_cargadescarga", "cycle.id"
-    )
 
     columns = [F.col(source).alias(name) for name, source in fixed.RAW_COLUMNS.items()]
     busy = F.col("shovel.tiempo_ready_cargando") + F.col("shovel.tiempo_ready_esperando")

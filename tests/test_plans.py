@@ -127,3 +127,24 @@ def test_the_period_is_filtered_in_the_scan(spark, small):
     table = cut(mine(spark, small)["tp_cargadescarga"], "cycles")
     plan = _plan(rel.strictly_between(table, "tiem_llegada", *[F.lit(p).cast("timestamp_ntz") for p in PERIOD]))
     assert "GreaterThan(tiem_llegada" in plan and "LessThan(tiem_llegada" in plan
+
+
+def test_the_mine_is_read_from_the_supplied_tables(spark, small):
+    for rows in mine(spark, small).values():
+        assert all(small in file for file in rows.inputFiles())
+
+
+def test_the_wide_cycles_move_by_their_id_only(spark, small):
+    """What belongs to a cycle is found by narrow rows and comes to the cycle; the wide rows are not dealt by a second key."""
+    plan = _plan(raw.haul_cycles(mine(spark, small), *PERIOD))
+    assert "hashpartitioning(__at" not in plan and "hashpartitioning(__key" in plan
+
+
+def test_rows_of_other_keys_stay_out_of_the_shuffle(spark):
+    rows = spark.range(20_000).select((F.col("id") % 10_000).alias("k"), "id").unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 1L AS id"))
+    keys = spark.range(0, 10_000, 50).select(F.col("id").cast("int").alias("key")).unionByName(spark.sql("SELECT CAST(NULL AS INT) AS key"))
+    found = rel.with_keys_of(rows, "k", keys, "key")
+    assert found.where("k % 50 = 0").count() == 400 and found.count() < 500
+    assert found.columns == rows.columns and "hashpartitioning(k" not in _plan(found)
+    assert rel.with_keys_of(rows, "k", keys.limit(0), "key").count() == 0
+    assert rel.with_keys_of(rows, "k", keys.selectExpr("CAST(key AS STRING) AS key"), "key").count() == 20_000
