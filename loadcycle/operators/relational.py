@@ -107,7 +107,9 @@ def with_keys_of(df: DataFrame, key: str, keys: DataFrame, other: str) -> DataFr
 
     A key that is among them always stays, one that is not may stay too, so an exact join must follow. The keys go to
     the tasks as bitmaps of their hashes, 512 of 4 kB at the most. Keys of different types, whole numbers aside, are not looked at.
+    The key comes out as the first column, as from a semi-join by its name, so choices by a row's content stay what they are.
     """
+    df = df.select(key, *[F.col(f"`{c}`") for c in df.columns if c != key])
     kinds = [df.schema[key].dataType, keys.schema[other].dataType]
     whole = all(isinstance(kind, T.IntegralType) for kind in kinds)
     if not whole and kinds[0] != kinds[1]:
