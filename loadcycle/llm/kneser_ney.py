@@ -9,13 +9,12 @@ and look up sorted batches of n-grams; nothing of the model passes through the d
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -34,7 +33,6 @@ PIECES = 8
 #: From so many keys on, their upper bytes are not written.
 MANY = 1 << 18
 _BEGIN, _END = np.uint64(0x5BD1E995A3C59AC3), np.uint64(0xC6A4A7935BD1E995)
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -50,19 +48,33 @@ def numbered(texts: list[bytes | None], order: int) -> tuple[np.ndarray, np.ndar
 
     A word is hashed once however often it comes.
     """
-    index: defaultdict[bytes | int, int] = defaultdict(count().__next__)
-    begin, end = index[0], index[1]  # words are bytes, so no word is one of these
-    before, parts, sizes = np.full(order - 1, begin), [], []
-    for text in texts:
-        words = (text or b"").translate(_LOWER).split()
-        parts += [before, np.fromiter(map(index.__getitem__, words), np.int64, len(words)), [end]]
-        sizes.append(len(words) + 1)
-    words = list(index)[2:]
-    hashes = np.concatenate(([_BEGIN, _END], np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))).astype(np.uint64)
+    pool = pa.system_memory_pool()  # Arrow's own pool would keep what is freed
+    held = pa.array([text or b"" for text in texts], pa.large_binary(), memory_pool=pool)
+    held = pc.ascii_lower(held.view(pa.large_string()), memory_pool=pool)  # bytes as they are, UTF-8 or not
+    held = pc.ascii_split_whitespace(held, memory_pool=pool)
+    words, sizes = held.values, np.diff(held.offsets.to_numpy())
+    del held
+    some = pc.greater(pc.binary_length(words, memory_pool=pool), 0).to_numpy(zero_copy_only=False)
+    if not some.all():  # white space at an end
+        sizes = np.bincount(np.repeat(np.arange(len(texts)), sizes)[some], minlength=len(texts))
+        words = pc.filter(words, pa.array(some), memory_pool=pool)
+    coded = pc.dictionary_encode(words, memory_pool=pool)
+    del words, some
+    _, at, data = coded.dictionary.buffers()
+    at, data = np.frombuffer(at, np.int64)[: len(coded.dictionary) + 1].tolist(), memoryview(data or b"")
+    hashes = np.empty(len(at) + 1, np.uint64)
+    hashes[:2] = _BEGIN, _END
+    hashes[2:] = np.fromiter(map(xxhash.xxh64_intdigest, map(data.__getitem__, map(slice, at, at[1:]))), np.uint64, len(at) - 1)
+    del at, data
     own, to = np.unique(hashes, return_inverse=True)
-    flat = to[np.concatenate(parts)] if texts else np.empty(0, np.int64)
-    number = np.repeat(np.arange(len(texts)), np.array(sizes, np.int64))
-    return own, flat, np.arange(len(number)) + (number + 1) * (order - 1), number
+    number = np.repeat(np.arange(len(texts)), sizes + 1)
+    place = np.arange(len(number)) + (number + 1) * (order - 1)
+    inner = np.ones(len(number), bool)
+    inner[np.cumsum(sizes + 1) - 1] = False
+    flat = np.full(len(number) + len(texts) * (order - 1), to[0])
+    flat[place] = to[1]
+    flat[place[inner]] = to[2:][coded.indices.to_numpy()]
+    return own, flat, place, number
 
 
 def hashed(near: np.ndarray) -> np.ndarray:
@@ -73,31 +85,33 @@ def hashed(near: np.ndarray) -> np.ndarray:
     return contexts
 
 
-def spread_of(near: np.ndarray, hot: np.ndarray, spreads: np.ndarray) -> np.ndarray:
-    """Shards over which a context is dealt: as many as for its rarest word, since it is no more frequent than that."""
-    least = np.full(len(near), spreads.max(initial=1))
-    for j in range(near.shape[1]):
-        known = is_in(near[:, j], hot)
-        own = np.ones(len(near), np.int64)
-        own[known] = spreads[np.searchsorted(hot, near[known, j])]
-        least = np.minimum(least, own)
-    return least
+def marked(words: np.ndarray, hot: np.ndarray, spreads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are hot, and over how many shards each word's contexts may be dealt."""
+    common, spread = is_in(words, hot), np.ones(len(words), np.int64)
+    spread[common] = spreads[np.searchsorted(hot, words[common])]
+    return common, spread
 
 
 def shard_of(
-    near: np.ndarray, contexts: np.ndarray, words: np.ndarray, hot: np.ndarray, spreads: np.ndarray, shards: int
+    last: np.ndarray, contexts: np.ndarray, words: np.ndarray, common: np.ndarray, spread: np.ndarray, shards: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Shards of n-grams, and over how many shards each one's context is dealt.
+    """Where the shards of n-grams' contexts begin, and the shards of the n-grams.
 
-    By the word right before the token, so that all shorter n-grams made of a shard's n-grams are its own. Where that
-    word is hot, by the whole context, and by the token too if all its words are; these shards come after the others.
+    By the word right before the token (``last``), so that all shorter n-grams made of a shard's n-grams are its own. Where that
+    word is hot (``common``), by the whole context, and by the token too if all its words are; these shards come after the
+    others. A context is dealt over as many shards (``spread``) as its rarest word, since it is no more frequent than that.
     """
-    spread = spread_of(near, hot, spreads)
-    common = is_in(near[:, 0], hot)
-    base = (np.where(common, contexts, near[:, 0]) >> np.uint64(20)) % np.uint64(shards)
-    salt = (words >> np.uint64(40)) % spread.astype(np.uint64)
-    shard = ((base + salt) % np.uint64(shards)).astype(np.int64)
-    return shard + np.where(common, shards, 0), spread
+    base = (np.where(common, contexts, last) >> np.uint64(20)) % np.uint64(shards)
+    shard, many = base.astype(np.int64), np.flatnonzero(spread > 1)
+    salt = (words[many] >> np.uint64(40)) % spread[many].astype(np.uint64)
+    shard[many] = (base[many] + salt) % np.uint64(shards)
+    shard[common] += shards
+    return base.astype(np.int64), shard
+
+
+def by_shard(shard: np.ndarray) -> np.ndarray:
+    """The stable order of the shards; few shards are sorted as short numbers, which is far quicker."""
+    return np.argsort(shard.astype(np.uint16) if shard.max(initial=0) < 1 << 16 else shard, kind="stable")
 
 
 def is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -120,18 +134,25 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
 
 def combine(near: np.ndarray, words: np.ndarray, counts: np.ndarray):
     """Sorted distinct n-grams and their summed counts."""
-    bits = [int(c.max(initial=0)).bit_length() for c in (*near.T, words)]
-    if sum(bits) <= 64:  # all columns in one key
-        key = np.zeros(len(words), np.uint64)
-        for c, wide in zip((*near.T, words), bits):
-            key = key << np.uint64(wide) | c.astype(np.uint64)
+    columns = (*near.T, words)
+    bits = [int(c.max(initial=0)).bit_length() for c in columns]
+    if max(bits) + len(words).bit_length() <= 64:
+        key, wide = np.zeros(len(words), np.uint64), 0
+        for c, more in zip(columns, bits):
+            if wide + more > 64:  # the columns so far as one number
+                order = np.argsort(key)
+                starts = run_starts(key[order])
+                number = np.zeros(len(key), np.uint64)
+                number[starts[1:]] = 1
+                key[order], wide = np.cumsum(number), len(starts).bit_length()
+            key, wide = key << np.uint64(more) | c.astype(np.uint64), wide + more
         order = np.argsort(key)
         starts = run_starts(key[order])
     else:
         order = np.lexsort((words, *near.T[::-1]))
         starts = run_starts(*near[order].T, words[order])
-    near, words, counts = near[order], words[order], counts[order]
-    return near[starts], words[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+    at, counts = order[starts], counts[order]
+    return near[at], words[at], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
 def combine_words(words: np.ndarray, counts: np.ndarray):
@@ -185,7 +206,7 @@ def _table(rows: list[tuple], schema: T.StructType) -> pa.Table:
 
 def _by_shard(kind: str, shard: np.ndarray, near, words, counts) -> list[tuple]:
     """Rows sorted within shards, packed."""
-    order = np.argsort(shard, kind="stable")
+    order = by_shard(shard)
     starts = run_starts(shard[order])
     rows = []
     for s, e in zip(starts, np.append(starts[1:], len(order))):
@@ -232,16 +253,21 @@ def _find(arrays_of: dict[str, np.ndarray], name: str, keys: np.ndarray) -> tupl
         return known[at] == keys, at
     low, middle = arrays_of[f"{name}-low"], arrays_of[f"{name}-middle"]
     top = (keys >> np.uint64(48)).astype(np.int64)
-    start, stop = known[top], known[top + 1]
-    last, size = stop.copy(), len(low)
+    at, stop = known[top], known[top + 1]
     want, rest = (keys >> np.uint64(16)).astype("<u4"), (keys & np.uint64(0xFFFF)).astype("<u2")
-    while (open_ := start < stop).any():
-        at = np.minimum((start + stop) >> 1, size - 1)
-        m = middle[at]
-        less = (m < want) | ((m == want) & (low[at] < rest))
-        start, stop = np.where(open_ & less, at + 1, start), np.where(open_ & ~less, at, stop)
-    at = np.minimum(start, size - 1)
-    return (start < last) & (middle[at] == want) & (low[at] == rest), at
+    step = 1 << int((stop - at).max(initial=0)).bit_length()
+    while step := step >> 1:  # every key before ``at`` has a smaller middle
+        ahead = at + step
+        less = middle.take(ahead - 1, mode="clip") < want
+        less &= ahead <= stop
+        at += step * less
+    while True:
+        found = np.minimum(at, len(low) - 1)
+        same = (at < stop) & (middle[found] == want)
+        short = same & (low[found] < rest)
+        if not short.any():
+            return same & (low[found] == rest), found
+        at += short
 
 
 def _packed_counts(name: str, counts: np.ndarray) -> dict[str, np.ndarray]:
@@ -318,7 +344,7 @@ class Numbers:
         self._folder, self.first = folder, np.concatenate(([1], 1 + np.cumsum(sizes)))
 
     def _each(self, shard: np.ndarray):
-        order = np.argsort(shard, kind="stable")
+        order = by_shard(shard)
         starts = run_starts(shard[order])
         for s, e in zip(starts, np.append(starts[1:], len(order))):
             number = int(shard[order[s]])
@@ -393,15 +419,18 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
     spreads = np.array([min(shards, -(-often[w] // piece)) for w in sorted(often)], np.int64)
     model, numbers = Model(order, folder, shards, deal, hot, spreads, tokens, types), Numbers(folder, sizes)
 
-    def dealt(near: np.ndarray, words: np.ndarray) -> np.ndarray:
-        return shard_of(near, hashed(near)[:, -1], words, hot, spreads, shards)[0]
+    def dealt(own: np.ndarray, near: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Shards of n-grams of words that are given by their places in ``own``."""
+        common, spread = marked(own, hot, spreads)
+        least = np.min([spread[c] for c in near.T], axis=0)
+        return shard_of(own[near[:, 0]], hashed(own[near])[:, -1], own[words], common[near[:, 0]], least, shards)[1]
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own, flat, place, _ in _runs(batches, order):
             flat = flat.astype("<u4")
             near = np.column_stack([flat[place - 1 - j] for j in range(order - 1)])
             near, words, counts = combine(near, flat[place], np.ones(len(place), np.int64))
-            shard, number = dealt(own[near], own[words]), numbers.of(own)
+            shard, number = dealt(own, near, words), numbers.of(own)
             yield from _table(_by_shard(f"level{order}", shard, number[near], number[words], counts), _GRAMS).to_batches()
 
     def reduce_level(top: int):
@@ -430,7 +459,9 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
             near, words, counts = combine(near[:, :-1], words, ones)
             if shard < shards:
                 return out + write(level - 1, shard, near, words, counts)
-            to = dealt(np.column_stack([numbers.words(c) for c in near.T]), numbers.words(words))
+            some, at = np.unique(np.column_stack((near, words)), return_inverse=True)
+            at = at.reshape(len(words), level - 1)
+            to = dealt(numbers.words(some), at[:, :-1], at[:, -1])
             return out + [(*m, 0, 0, 0, 0, 0) for m in _by_shard(f"level{level - 1}", to, near, words, counts)]
 
         def run(table: pa.Table) -> pa.Table:
@@ -473,16 +504,18 @@ def train(df: DataFrame, *, order: int = 2, text_col: str = "text") -> Model:
 
 def _look_up(model: Model, level: int, shard: np.ndarray, keys: np.ndarray, index: str, values: str, width: int) -> np.ndarray:
     """Rows of the values at the keys, 0 where a key is not there. Sorted keys are looked up in order in each shard."""
-    found = np.zeros((len(keys), width), np.int64)
-    order = np.argsort(shard.astype(np.uint16) if model.files < 1 << 16 else shard, kind="stable")
-    starts = run_starts(shard[order])
+    rows, found = np.zeros((len(keys), width), np.int64), np.empty((len(keys), width), np.int64)
+    order = by_shard(shard)
+    shard, keys = shard[order], keys[order]
+    starts = run_starts(shard)
     for s, e in zip(starts, np.append(starts[1:], len(order))):
-        at = order[s:e]
-        held = arrays.mapped(model.folder, f"{level}-{shard[at[0]]}")
+        held = arrays.mapped(model.folder, f"{level}-{shard[s]}")
         if not held:  # no n-gram of the corpus fell into this shard
             continue
-        hit, here = _find(held, index, keys[at])
-        found[at[hit]] = held[values][here[hit]] if level == 1 else _counts(held, values, here[hit])
+        hit, here = _find(held, index, keys[s:e])
+        here = here[hit]
+        rows[s:e][hit] = held[values][here] if level == 1 else _counts(held, values, here)
+    found[order] = rows
     return found
 
 
@@ -512,30 +545,33 @@ def log_chances(model: Model, own: np.ndarray, flat: np.ndarray, place: np.ndarr
         chance = np.maximum(seen[:, 1] - d[np.minimum(seen[:, 1], 3)], 0) / model.continuations + rest / (some + 1)
     else:
         chance = np.full(len(own), 1.0 / (some + 1))
-    counts, chance, words = seen[back, 0], chance[back], own[back]
-    near = np.stack([own[flat[place - 1 - j]] for j in range(model.order - 1)]).T  # columns lie together
-    contexts = hashed(near)
+    counts, words, last = seen[back, 0], own[back], flat[place - 1]
+    common, spreads = marked(own, model.hot, model.spreads)
+    context, spread = own[last], spreads[last]
     for level in range(2, model.order + 1):
-        keys = mix(contexts[:, level - 2], words)
-        first, back = _unique(keys)
-        before, ctx, word = np.stack([near[:, j][first] for j in range(level - 1)]).T, contexts[:, level - 2][first], words[first]
-        shard, spread = shard_of(before, ctx, word, model.hot, model.spreads, model.shards)
+        if level > 2:
+            near = flat[place - (level - 1)]
+            context, spread = mix(context, own[near]), np.minimum(spread, spreads[near])
+        keys = mix(context, words)
+        first, to = _unique(keys)
+        ctx, dealt, hot = context[first], spread[first], common[last[first]]
+        base, shard = shard_of(own[last[first]], ctx, words[first], hot, dealt, model.shards)
         c = _look_up(model, level, shard, keys[first], "keys", "counts", 1)[:, 0]
         one, up = _unique(ctx)
-        total = np.zeros((len(one), 4), np.int64)
-        # without the token: salted from 0 on
-        base = shard_of(before[one], ctx[one], np.zeros(len(one), np.uint64), model.hot, model.spreads, model.shards)[0]
-        for salt in range(int(spread[one].max(initial=0))):  # the sums of a hot context lie in as many shards
-            at = np.flatnonzero(spread[one] > salt)
-            wrapped = np.where(base[at] % model.shards + salt < model.shards, salt, salt - model.shards)
-            total[at] += _look_up(model, level, base[at] + wrapped, ctx[one[at]], "contexts", "totals", 4)
+        total, after = np.zeros((len(one), 4), np.int64), model.shards * hot[one]
+        dealt, base, ctx, at = dealt[one], base[one], ctx[one], np.arange(len(one))
+        for salt in range(int(dealt.max(initial=0))):  # the sums of a hot context lie in as many shards, from salt 0 on
+            at = at[dealt[at] > salt]
+            shard = (base[at] + salt) % model.shards + after[at]
+            total[at] += _look_up(model, level, shard, ctx[at], "contexts", "totals", 4)
         d = model.discounts(level)
         seen_at_all = total[:, 0] > 0  # else the shorter context says all
         known = np.maximum(total[:, 0], 1)
         rest = np.where(seen_at_all, (total[:, 1:] @ d[1:]) / known, 1.0)
         direct = np.maximum(c - d[np.minimum(c, 3)], 0) / known[up]
-        chance = direct[back] + rest[up][back] * chance
-    return np.log10(chance), counts
+        # equal n-grams have equal shorter ones, so each is reckoned once
+        chance, back = direct + rest[up] * chance[back[first]], to
+    return np.log10(chance)[back], counts
 
 
 _SCORES = columns("n_tokens long, n_known long, train_tokens long, base_score double, score double")

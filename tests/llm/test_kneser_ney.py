@@ -6,6 +6,7 @@ import resource
 
 import numpy as np
 import pytest
+import xxhash
 
 from loadcycle.llm import arrays, kneser_ney, queries
 from loadcycle.llm.common import fold
@@ -79,3 +80,44 @@ def test_combined_counts_of_narrow_and_wide_columns(wide):
     want = collections.Counter(zip(*near.T.tolist(), words.tolist()))
     assert [(*k, int(w)) for k, w in zip(got[0].tolist(), got[1])] == sorted(want)
     assert [int(c) for c in got[2]] == [want[k] for k in sorted(want)]
+
+
+def test_words_are_split_at_ascii_white_space_and_only_a_to_z_is_lowered():
+    texts = [b" A  b\x0bB ", None, b"x\xff\xfeY\x1cz \xc2\xa0a\x00b", b"  ", "ÄB äb".encode()]
+    own, flat, place, number = kneser_ney.numbered(texts, 3)
+    words = [[b"a", b"b", b"b"], [], [b"x\xff\xfey\x1cz", b"\xc2\xa0a\x00b"], [], ["Äb".encode(), "äb".encode()]]
+    begin, end = int(kneser_ney._BEGIN), int(kneser_ney._END)
+    want = [h for some in words for h in (begin, begin, *map(xxhash.xxh64_intdigest, some), end)]
+    assert own[flat].tolist() == want and number.tolist() == [0] * 4 + [1] + [2] * 3 + [3] + [4] * 3
+    assert [want[i] for i in place] == [h for h in want if h != begin]
+    assert all(not len(x) for x in kneser_ney.numbered([], 3)[1:])
+
+
+def test_ngrams_are_combined_without_sorting_column_by_column(monkeypatch):
+    """Three columns that do not fit in one key, as those of any large vocabulary."""
+    rng = np.random.default_rng(5)
+    rows = rng.integers(0, 3, (5000, 3)) * np.array([1, 1 << 24, (1 << 24) + 1]) + rng.integers(0, 2, (5000, 3))
+    counts = rng.integers(1, 9, 5000)
+    want = {}
+    for row, n in zip(map(tuple, rows.tolist()), counts.tolist()):
+        want[row] = want.get(row, 0) + n
+
+    def never(*_):
+        raise AssertionError("sorted column by column")
+
+    monkeypatch.setattr(np, "lexsort", never)
+    rows = (rows * (1 << 14 if rows.max() < 1 << 26 else 1)).astype(np.uint64)
+    near, words, sums = kneser_ney.combine(rows[:, :2], rows[:, 2], counts)
+    got = [(*map(int, a), int(w)) for a, w in zip(near, words)]
+    assert got == sorted(got) and {tuple(x >> 14 for x in g): n for g, n in zip(got, sums.tolist())} == want
+
+
+def test_equal_ngrams_of_a_batch_are_reckoned_once(monkeypatch, spark):
+    docs = spark.createDataFrame([(i, "the cat saw the cat and the cat ran") for i in range(20)], "doc_id long, text string")
+    model = kneser_ney.train(docs, order=3)
+    own, flat, place, _ = kneser_ney.numbered([b"the cat saw the cat and the cat ran"] * 50, 3)
+    sizes, log10 = [], np.log10
+    monkeypatch.setattr(np, "log10", lambda x: sizes.append(len(x)) or log10(x))
+    chance, counts = kneser_ney.log_chances(model, own, flat, place)
+    assert sizes == [10] and len(chance) == len(counts) == 500
+    assert np.allclose(chance.reshape(50, 10), chance[:10])
