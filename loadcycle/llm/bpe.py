@@ -14,8 +14,9 @@ import base64
 import hashlib
 import os
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
@@ -27,6 +28,9 @@ MAX_TRANSITIONS = 600_000
 MAX_PIECES = 120_000
 #: Places in the table of token pairs, a power of two. A pair overwrites the one that was in its place.
 PAIR_PLACES = 1 << 19
+#: Bytes at the beginning of a piece that are followed in one step once they have been met.
+HEAD = 5
+_NEVER = 1 << 62
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,21 +41,32 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def merge_by_rank(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The definition: merge the neighbours of lowest rank, leftmost first, until none is in the vocabulary."""
-    get, never = ranks.get, 1 << 62
     parts = [data[i : i + 1] for i in range(len(data))]
-    merged = [get(data[i : i + 2], never) for i in range(len(data) - 1)]
+    for _ in merges(parts, ranks):
+        pass
+    return [ranks[p] for p in parts]
+
+
+def merges(parts: list[bytes], ranks: dict[bytes, int]) -> Iterator[int]:
+    """Merges the parts in place and yields the rank of each merge once it is done."""
+    get = ranks.get
+    merged = [get(left + right, _NEVER) for left, right in zip(parts, parts[1:])]
     while merged:
         low = min(merged)
-        if low == never:
+        if low == _NEVER:
             break
         i = merged.index(low)
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
         del merged[i]
         if i < len(merged):
-            merged[i] = get(parts[i] + parts[i + 1], never)
+            merged[i] = get(parts[i] + parts[i + 1], _NEVER)
         if i:
-            merged[i - 1] = get(parts[i - 1] + parts[i], never)
-    return [ranks[p] for p in parts]
+            merged[i - 1] = get(parts[i - 1] + parts[i], _NEVER)
+        yield low
+
+
+#: The transitions of a state that has none yet.
+_NOWHERE: dict[int, tuple[int, tuple[int, ...]]] = {}
 
 
 class Transducer:
@@ -66,6 +81,7 @@ class Transducer:
         self.children: list[dict[int, int]] = [{}]
         self.token_at: list[int] = [-1]
         self._pairs = array("Q", bytes(8 * PAIR_PLACES))  # the pair and its answer in the lowest bit
+        self._histories: dict[int, tuple[tuple, tuple, tuple]] = {}
         for token, rank in ranks.items():
             if merge_by_rank(token, ranks) == [rank]:  # others can never come out of merging
                 self._add(token, rank)
@@ -83,42 +99,62 @@ class Transducer:
         self.token_at[node] = rank
 
     def _reset(self) -> None:
-        self._ids: dict[bytes, int] = {}
-        self._states: list[bytes] = []
+        self._ids: dict[tuple, int] = {}
+        self._states: list[tuple] = []
         self._final: list[tuple[int, ...]] = []
         self._next: list[dict[int, tuple[int, tuple[int, ...]]]] = []  # by state, then by byte
         self._outs: dict[tuple[int, ...], tuple[int, ...]] = {}
+        self._heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}  # by the first bytes of a piece
         self._made = 0
-        self._state(-1, [((), 0)])
+        self._state((-1, (), 0))
 
     def _once(self, out: tuple[int, ...]) -> tuple[int, ...]:
         """One object for equal outputs."""
         return self._outs.setdefault(out, out)
 
-    def _state(self, last: int, alternatives: list) -> int:
-        """The number of a state; it is held as the token before it, then length, tokens and node of each alternative."""
-        told = array("i", [last])
-        for pending, node in alternatives:
-            told.append(len(pending))
-            told.extend(pending)
-            told.append(node)
-        key = told.tobytes()
-        found = self._ids.get(key)
-        if found is None:
-            found = self._ids[key] = len(self._states)
-            self._states.append(key)
-            self._final.append(self._once(alternatives[-1][0]))
-            self._next.append({})
+    def _state(self, told: tuple) -> int:
+        """The number of a state, which is told as the token before it, then tokens and node of each alternative."""
+        found = self._ids.setdefault(told, len(self._states))
+        if found == len(self._states):
+            self._states.append(told)
+            self._final.append(told[-2])
+            self._next.append(_NOWHERE)
         return found
 
-    def _alternatives(self, state: int) -> tuple[int, list]:
-        told, found, at = array("i"), [], 1
-        told.frombytes(self._states[state])
-        while at < len(told):
-            end = at + 1 + told[at]
-            found.append((tuple(told[at + 1 : end]), told[end]))
-            at = end + 1
-        return told[0], found
+    def _history(self, token: int) -> tuple[tuple, tuple, tuple]:
+        """A token's merges from its bytes: their ranks in turn, then the first and the last part before each and at the end."""
+        known = self._histories.get(token)
+        if known is None:
+            data, whole = self.tokens[token], self.tokens
+            parts = [data[i : i + 1] for i in range(len(data))]
+            ranks, firsts, lasts = [], [parts[0]], [parts[-1]]
+            for rank in merges(parts, self.ranks):
+                ranks.append(rank)
+                firsts.append(whole[self.ranks[parts[0]]])  # one object for equal parts
+                lasts.append(whole[self.ranks[parts[-1]]])
+            known = self._histories[token] = (*ranks, _NEVER), tuple(firsts), tuple(lasts)
+        return known
+
+    def _apart(self, left: int, right: int) -> bool:
+        """Whether two tokens, each the cut of its own bytes, are the cut of their bytes together.
+
+        Until a merge joins them, each takes its own merges in their turn: the lower rank of the two first, on a tie the left one.
+        """
+        mine, _, lasts = self._history(left)
+        yours, firsts, _ = self._history(right)
+        i = j = 0
+        while True:
+            across = self.ranks.get(lasts[i] + firsts[j], _NEVER)
+            end, begin = lasts[i], firsts[j]
+            while lasts[i] is end and firsts[j] is begin:
+                if across < mine[i] and across <= yours[j]:
+                    return False
+                if mine[i] <= yours[j]:
+                    if mine[i] == _NEVER:
+                        return True
+                    i += 1
+                else:
+                    j += 1
 
     def _neighbours(self, left: int, right: int) -> bool:
         pair = (left + 1) << 32 | right  # never 0
@@ -126,36 +162,49 @@ class Transducer:
         held = self._pairs[place]
         if held >> 1 == pair:
             return bool(held & 1)
-        known = merge_by_rank(self.tokens[left] + self.tokens[right], self.ranks) == [left, right]
+        known = self._apart(left, right)
         self._pairs[place] = pair << 1 | known
         return known
 
     def _make(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, alternatives = self._alternatives(state)
-        alive, whole = [], None
-        for pending, node in alternatives:
-            node = self.children[node].get(byte)
+        told, children = self._states[state], self.children
+        last, alive, whole = told[0], [], None
+        for pending, node in zip(told[1::2], told[2::2]):
+            node = children[node].get(byte)
             if node is None:
                 continue
-            token = self.token_at[node]
-            if whole is None and token >= 0:
-                left = pending[-1] if pending else last
-                if left < 0 or self._neighbours(left, token):
-                    whole = (*pending, token)
-            if self.children[node]:
-                alive.append((pending, node))
-        alive.append((whole, 0))
-        agreed = 0
-        for column in zip(*(pending for pending, _ in alive)):
-            if column.count(whole[agreed]) < len(column):
-                break
-            agreed += 1
+            if whole is None:
+                token = self.token_at[node]
+                if token >= 0:
+                    left = pending[-1] if pending else last
+                    if left < 0 or self._neighbours(left, token):
+                        whole = (*pending, token)
+            if children[node]:
+                alive += (pending, node)
+        agreed, asked = len(whole), False
+        for pending in alive[::2]:
+            here = 0
+            for here, token in enumerate(pending[:agreed]):
+                if token != whole[here]:
+                    break
+            else:
+                here = min(len(pending), agreed)
+            agreed = here
         out = whole[:agreed]
         if agreed:
-            alive, last = [(p[agreed:], node) for p, node in alive], out[-1]
-        if all(p for p, _ in alive):
-            last = -1  # no alternative asks for it any more
-        made = self._next[state][byte] = self._state(last, alive), self._once(out)
+            last, whole = out[-1], whole[agreed:]
+            alive[::2] = [pending[agreed:] for pending in alive[::2]]
+        alive += (whole, 0)
+        for at in range(0, len(alive), 2):
+            if alive[at]:
+                alive[at] = self._once(alive[at])
+            else:
+                asked = True
+        made = self._state((last if asked else -1, *alive)), self._once(out)
+        known = self._next[state]
+        if known is _NOWHERE:
+            known = self._next[state] = {}
+        known[byte] = made
         self._made += 1
         return made
 
@@ -166,16 +215,26 @@ class Transducer:
             return (whole,)
         if self._made > MAX_TRANSITIONS:
             self._reset()
-        state, out, known = 0, [], self._next
-        for byte in piece:
+        head = self._heads.get(piece[:HEAD])
+        if head is None:
+            state, out = self._follow(0, piece[:HEAD])
+            head = self._heads[piece[:HEAD]] = state, self._once(tuple(out))
+            self._made += 1
+        state, ready = head
+        state, out = self._follow(state, piece[HEAD:])
+        return (*ready, *out, *self._final[state])
+
+    def _follow(self, state: int, data: bytes) -> tuple[int, list[int]]:
+        """The state after some bytes and the tokens put out on the way."""
+        out, known = [], self._next
+        for byte in data:
             step = known[state].get(byte)
             if step is None:
                 step = self._make(state, byte)
             state, ready = step
             if ready:
                 out.extend(ready)
-        out.extend(self._final[state])
-        return tuple(out)
+        return state, out
 
 
 class Utf8Stream:
@@ -222,29 +281,38 @@ class Utf8Stream:
         return held.decode("utf-8", "replace")
 
 
+class _Pieces(dict):
+    """Token ids by piece; a piece that is not there is looked for in the table before, or encoded."""
+
+    def __init__(self, encode: Callable[[bytes], tuple[int, ...]]):
+        super().__init__()
+        self._encode, self._older = encode, {}
+
+    def next(self) -> _Pieces:
+        """An empty table with this one before it."""
+        new = _Pieces(self._encode)
+        new._older, self._older = self, {}
+        return new
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self._older.get(piece) or self._encode(piece.encode())
+        if len(ids) <= 64:
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """Splits, encodes and decodes whole texts."""
 
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(read_ranks(path))
         self._split = regex.compile(pattern).findall
-        self._pieces: dict[str, tuple[int, ...]] = {}
-        self._older: dict[str, tuple[int, ...]] = {}
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        ids = self._older.get(piece) or self.transducer.encode_piece(piece.encode())
-        if len(ids) <= 64:
-            self._pieces[piece] = ids
-        return ids
+        self._pieces = _Pieces(self.transducer.encode_piece)
 
     def encode(self, text: str) -> list[int]:
         if len(self._pieces) >= MAX_PIECES:  # pieces in use come back from the older table
-            self._pieces, self._older = {}, self._pieces
-        known, missing, out = self._pieces.get, self._piece, []
-        extend = out.extend
-        for piece in self._split(text):
-            extend(known(piece) or missing(piece))
-        return out
+            self._pieces = self._pieces.next()
+        return list(chain.from_iterable(map(self._pieces.__getitem__, self._split(text))))
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.transducer.tokens.__getitem__, ids))
@@ -285,13 +353,14 @@ def round_trip(
 
     def make():
         own = codec(os.fspath(path), pattern)
+        names = {rank: str(rank) for rank in own.transducer.tokens}
 
         def one(text: bytes | None) -> tuple:
             ids = own.encode((text or b"").decode("utf-8", "replace"))
             decoded = hashlib.sha256()
             for chunk in own.decode_stream(ids):
                 decoded.update(chunk.encode())
-            told = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+            told = hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest()
             return len(ids), told, decoded.hexdigest()
 
         return one
