@@ -11,6 +11,7 @@ happens after a bounded number of bytes, as no alternative outlives the longest
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import os
 from array import array
@@ -25,7 +26,10 @@ from loadcycle.llm.common import per_text
 
 #: Transitions and pieces remembered per worker; beyond that the tables start anew, so memory stays bounded.
 MAX_TRANSITIONS = 600_000
-MAX_PIECES = 120_000
+MAX_PIECES = 240_000
+#: New objects between two collections of a worker's garbage. The tables make many objects and no cycles, and by Python's
+#: own setting they would be walked through over and over.
+YOUNG = 50_000
 #: Places in the table of token pairs, a power of two. A pair overwrites the one that was in its place.
 PAIR_PLACES = 1 << 19
 #: Bytes at the beginning of a piece that are followed in one step once they have been met.
@@ -78,7 +82,8 @@ class Transducer:
             raise ValueError(f"the vocabulary lacks the single bytes {missing[:5]}")
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.children: list[dict[int, int]] = [{}]
+        self._edges: dict[int, int] = {}  # the trie, by node and byte in one number
+        self._grows = bytearray(1)  # whether a node has any edge
         self.token_at: list[int] = [-1]
         self._pairs = array("Q", bytes(8 * PAIR_PLACES))  # the pair and its answer in the lowest bit
         self._histories: dict[int, tuple[tuple, tuple, tuple]] = {}
@@ -90,15 +95,19 @@ class Transducer:
     def _add(self, token: bytes, rank: int) -> None:
         node = 0
         for byte in token:
-            nxt = self.children[node].get(byte)
+            nxt = self._edges.get(node << 8 | byte)
             if nxt is None:
-                nxt = self.children[node][byte] = len(self.children)
-                self.children.append({})
+                nxt = self._edges[node << 8 | byte] = len(self.token_at)
+                self._grows[node] = 1
+                self._grows.append(0)
                 self.token_at.append(-1)
             node = nxt
         self.token_at[node] = rank
 
     def _reset(self) -> None:
+        self._shapes: list[tuple[int, ...]] = []  # the alternatives' nodes in the trie, the root last
+        self._shape_ids: dict[tuple[int, ...], int] = {}
+        self._moves: dict[int, tuple[tuple, tuple[int, ...], int]] = {}  # by shape and byte
         self._ids: dict[tuple, int] = {}
         self._states: list[tuple] = []
         self._final: list[tuple[int, ...]] = []
@@ -106,21 +115,54 @@ class Transducer:
         self._outs: dict[tuple[int, ...], tuple[int, ...]] = {}
         self._heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}  # by the first bytes of a piece
         self._made = 0
-        self._state((-1, (), 0))
+        self._state((self._shape((0,)), -1, ()))
 
     def _once(self, out: tuple[int, ...]) -> tuple[int, ...]:
         """One object for equal outputs."""
         return self._outs.setdefault(out, out)
 
     def _state(self, told: tuple) -> int:
-        """The number of a state, which is told as the token before it, then tokens and node of each alternative."""
+        """The number of a state, which is told as its shape, the token before it and the tokens of each alternative."""
         found = self._ids.setdefault(told, len(self._states))
         if found == len(self._states):
             self._states.append(told)
-            self._final.append(told[-2])
+            self._final.append(told[-1])
             self._next.append(_NOWHERE)
         return found
 
+    def _shape(self, nodes: tuple[int, ...]) -> int:
+        found = self._shape_ids.setdefault(nodes, len(self._shapes))
+        if found == len(self._shapes):
+            self._shapes.append(nodes)
+        return found
+
+    def _move(self, shape: int, byte: int) -> tuple[tuple, tuple[int, ...], int]:
+        """What a byte does to all states of a shape: the tokens it ends, with the place of their alternative in a state, the
+        places of the alternatives that go on, and the shape of these with the one that begins after the byte."""
+        ends, stay, nodes = [], [], []
+        for place, node in enumerate(self._shapes[shape], 2):
+            node = self._edges.get(node << 8 | byte)
+            if node is None:
+                continue
+            if self.token_at[node] >= 0:
+                ends.append((place, self.token_at[node]))
+            if self._grows[node]:
+                stay.append(place)
+                nodes.append(node)
+        made = self._moves[shape << 8 | byte] = tuple(ends), tuple(stay), self._shape((*nodes, 0))
+        self._made += 1
+        return made
+
+    def _whole(self, told: tuple, ends: tuple[tuple[int, int], ...]) -> tuple[int, ...]:
+        """The tokens of a state with one more byte. Just one of the tokens that it may end fits its left neighbour, so the last needs no test."""
+        for place, token in ends[:-1]:
+            pending = told[place]
+            left = pending[-1] if pending else told[1]
+            if left < 0 or self._neighbours(left, token):
+                return (*pending, token)
+        place, token = ends[-1]
+        return (*told[place], token)
+
     def _history(self, token: int) -> tuple[tuple, tuple, tuple]:
         """A token's merges from its bytes: their ranks in turn, then the first and the last part before each and at the end."""
         known = self._histories.get(token)
@@ -167,40 +209,21 @@ class Transducer:
         return known
 
     def _make(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        told, children = self._states[state], self.children
-        last, alive, whole = told[0], [], None
-        for pending, node in zip(told[1::2], told[2::2]):
-            node = children[node].get(byte)
-            if node is None:
-                continue
-            if whole is None:
-                token = self.token_at[node]
-                if token >= 0:
-                    left = pending[-1] if pending else last
-                    if left < 0 or self._neighbours(left, token):
-                        whole = (*pending, token)
-            if children[node]:
-                alive += (pending, node)
-        agreed, asked = len(whole), False
-        for pending in alive[::2]:
-            here = 0
-            for here, token in enumerate(pending[:agreed]):
-                if token != whole[here]:
-                    break
-            else:
-                here = min(len(pending), agreed)
-            agreed = here
-        out = whole[:agreed]
-        if agreed:
-            last, whole = out[-1], whole[agreed:]
-            alive[::2] = [pending[agreed:] for pending in alive[::2]]
-        alive += (whole, 0)
-        for at in range(0, len(alive), 2):
-            if alive[at]:
-                alive[at] = self._once(alive[at])
-            else:
-                asked = True
-        made = self._state((last if asked else -1, *alive)), self._once(out)
+        told, once, out = self._states[state], self._outs.setdefault, ()
+        ends, stay, shape = self._moves.get(told[0] << 8 | byte) or self._move(told[0], byte)
+        last, whole = told[1], self._whole(told, ends)
+        alive = [told[place] for place in stay]
+        if not alive:
+            out, whole, last = whole, (), whole[-1]
+        elif alive[0]:  # else an alternative still waits at the place told so far
+            agreed = 0
+            while all([pending[agreed : agreed + 1] == whole[agreed : agreed + 1] for pending in alive]):
+                agreed += 1
+            if agreed:
+                out, whole = whole[:agreed], whole[agreed:]
+                alive = [once(later, later) for later in [pending[agreed:] for pending in alive]]
+            last = -1 if alive[0] else out[-1]
+        made = self._state((shape, last, *alive, once(whole, whole))), once(out, out)
         known = self._next[state]
         if known is _NOWHERE:
             known = self._next[state] = {}
@@ -220,9 +243,24 @@ class Transducer:
             state, out = self._follow(0, piece[:HEAD])
             head = self._heads[piece[:HEAD]] = state, self._once(tuple(out))
             self._made += 1
-        state, ready = head
-        state, out = self._follow(state, piece[HEAD:])
-        return (*ready, *out, *self._final[state])
+        state, out = head
+        known, left = self._next, len(piece) - HEAD
+        for byte in piece[HEAD:]:
+            step = known[state].get(byte)
+            left -= 1
+            if step is None:
+                if not left:
+                    return out + self._end(state, byte)
+                step = self._make(state, byte)
+            state, ready = step
+            if ready:
+                out += ready
+        return out + self._final[state]
+
+    def _end(self, state: int, byte: int) -> tuple[int, ...]:
+        """The last tokens of a piece that ends with a byte not met in this state: no other byte follows, so no state is made."""
+        told = self._states[state]
+        return self._whole(told, (self._moves.get(told[0] << 8 | byte) or self._move(told[0], byte))[0])
 
     def _follow(self, state: int, data: bytes) -> tuple[int, list[int]]:
         """The state after some bytes and the tokens put out on the way."""
@@ -328,6 +366,7 @@ class Codec:
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     """One codec per worker process, so states made for one task serve the next."""
+    gc.set_threshold(max(gc.get_threshold()[0], YOUNG), *gc.get_threshold()[1:])
     return Codec(path, pattern)
 
 

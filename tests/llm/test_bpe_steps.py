@@ -58,3 +58,32 @@ def test_pieces_in_use_come_back_and_the_table_before_goes(monkeypatch):
     for text in texts:
         assert own.decode_bytes(own.encode(text)) == text.encode()
         assert not getattr(own._pieces._older, "_older", None)  # two tables at the most
+
+
+def test_the_last_byte_of_a_piece_makes_no_state():
+    own = bpe.Transducer(bpe.read_ranks(queries.VOCABULARY))
+    known = b" therhanderulatio"
+    own.encode_piece(known + b"n")  # its last byte is met for the first time
+    states = len(own._states)
+    for last in (b"n", b"z", b"q", b"\xc3"):
+        assert list(own.encode_piece(known + last)) == bpe.merge_by_rank(known + last, own.ranks)
+    assert len(own._states) == states
+
+
+def test_a_token_without_a_rival_needs_no_pair_test(monkeypatch):
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256}
+    own, asked, apart = bpe.Transducer(ranks), [], bpe.Transducer._neighbours
+    monkeypatch.setattr(bpe.Transducer, "_neighbours", lambda self, left, right: asked.append((left, right)) or apart(self, left, right))
+    assert list(own.encode_piece(b"cdcdcdcdcd")) == bpe.merge_by_rank(b"cdcdcdcdcd", ranks)
+    assert not asked  # each prefix can end in one token only
+    assert list(own.encode_piece(b"cabdcabdcab")) == bpe.merge_by_rank(b"cabdcabdcab", ranks)
+    assert asked and all(right == 256 for _, right in asked)
+
+
+def test_odd_ranks_give_what_merging_gives():
+    ranks, pick = odd_ranks(), random.Random(11)
+    own = bpe.Transducer(ranks)
+    for _ in range(3000):
+        piece = bytes(pick.choice(b"abcd") for _ in range(pick.randint(1, 24)))
+        got = list(own.encode_piece(piece))
+        assert got == ([ranks[piece]] if piece in ranks else bpe.merge_by_rank(piece, ranks))
