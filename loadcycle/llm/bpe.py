@@ -5,7 +5,8 @@ neighbours are the cut of their own bytes. So the cut can be followed from left
 token may still begin at, keep the node of the vocabulary's trie reached from there and the tokens before it. That
 set of alternatives is one state of a deterministic transducer. States and transitions are made when a text first
 needs them and are kept for all later texts. A token is put out as soon as every alternative agrees on it, which
-happens after a bounded number of bytes, as no alternative outlives the longest token.
+happens after a bounded number of bytes, as no alternative outlives the longest token. What a byte does to the trie nodes
+of a state is worked out once for all states with these nodes (their shape); the last byte of a piece needs no state after it.
 """
 
 from __future__ import annotations
