@@ -10,6 +10,7 @@ DATE_PATTERN = r"\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}"
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 _DAY_FIRST = r"^\s*(\d{2})/(\d{2})/(\d{4})"
+_BEGINS_LIKE_TIME = r"^[\s\p{Cntrl}]*[0-9T+-]"
 _OFFSET_AT_END = r"\d{2}:\d{2}.*(Z|UTC|[+-]\d{1,2}(:?\d{2})?)\s*$"
 
 
@@ -17,6 +18,11 @@ def looks_like_date(text: Column) -> Column:
     return text.rlike(DATE_PATTERN)
 
 
+def may_be_time(text: Column) -> Column:
+    """Cheap test that every text passes which ``parse_wall_time`` can read: its first sign, blanks aside."""
+    return text.rlike(_BEGINS_LIKE_TIME)
+
+
 def micros(moment: Column) -> Column:
     """Microseconds since the epoch, read off the wall clock."""
     return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), moment)

@@ -111,10 +111,11 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     return {c: found[c] if c in found else mode_of(df, c).scalar() for c in columns}
 
 
-def impute_mode(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Null becomes the mode of its column; an all-null column stays null."""
+def impute_mode(df: DataFrame, columns: Iterable[str], lazily: bool = False) -> DataFrame:
+    """Null becomes the mode of its column; an all-null column stays null. ``lazily`` starts no job and counts all values."""
     columns = list(columns)
-    return df.withColumns({c: F.when(missing(df.schema[c]), mode).otherwise(_name(c)) for c, mode in modes(df, columns).items()})
+    found = {c: mode_of(df, c).scalar() for c in columns} if lazily else modes(df, columns)
+    return df.withColumns({c: F.when(missing(df.schema[c]), mode).otherwise(_name(c)) for c, mode in found.items()})
 
 
 def fill_zero(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
@@ -129,24 +130,25 @@ def fill_zero(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     return df
 
 
-def normalize_flag(df: DataFrame, columns: Sequence[str], legacy_zero: bool = False) -> DataFrame:
+def normalize_flag(df: DataFrame, columns: Sequence[str], legacy_zero: bool = False, votes: DataFrame | None = None) -> DataFrame:
     """'True'/'False' text or boolean to boolean, null to the mode of the known values.
 
     ``legacy_zero`` counts a null as one more value in the vote, as older outputs do: False in a
     boolean column (where a True majority then turns every value True), '0' in a text column.
+    ``votes`` may hold these columns of the rows apart, where they are cheaper to read.
     """
-    result = {}
+    result, voters = {}, df if votes is None else votes
     for c in columns:
         kind, value = df.schema[c].dataType, _name(c)
         if not legacy_zero:
-            flags = df.select(text.as_flag(value).alias(c))
+            flags = voters.select(text.as_flag(value).alias(c))
             result[c] = F.coalesce(text.as_flag(value), mode_of(flags, c).scalar())
         elif isinstance(kind, T.BooleanType):
-            votes = df.select(F.coalesce(value, F.lit(False)).alias(c))
-            result[c] = F.coalesce(value, F.lit(False)) | mode_of(votes, c).scalar()
+            cast = voters.select(F.coalesce(value, F.lit(False)).alias(c))
+            result[c] = F.coalesce(value, F.lit(False)) | mode_of(cast, c).scalar()
         else:
-            votes = df.select(F.coalesce(value.cast("string"), F.lit("0")).alias(c))
-            result[c] = text.as_flag(F.coalesce(value.cast("string"), mode_of(votes, c).scalar()))
+            cast = voters.select(F.coalesce(value.cast("string"), F.lit("0")).alias(c))
+            result[c] = text.as_flag(F.coalesce(value.cast("string"), mode_of(cast, c).scalar()))
     return df.withColumns(result)
 
 

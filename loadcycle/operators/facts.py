@@ -87,15 +87,23 @@ class Counter:
         self._texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)] if find_dates else []
         self._slice_by = [f for f in schema if f.name in slice_by]
 
-    def aggregates(self) -> list[Column]:
+    def counts(self) -> list[Column]:
+        """Rows, values that are there, and sketches."""
         found = [F.count(F.lit(1)).alias("rows")]
         found += [_present(f).alias(f"n{i}") for i, f in enumerate(self._fields)]
+        return found + [ordered.sketch(f).alias(f"q{i}") for i, f in enumerate(self._slice_by)]
+
+    def dates(self) -> list[Column]:
+        """What the texts hold of dates."""
+        found = []
         for i, c in enumerate(self._texts):
             text = F.col(f"`{c}`")
             found.append(F.bool_or(times.looks_like_date(text)).alias(f"d{i}"))
-            # only what holds a date is worth parsing; where none does, the number is never asked for
-            found.append(F.count(times.parse_wall_time(F.when(F.trim(text) != "", text))).alias(f"p{i}"))
-        return found + [ordered.sketch(f).alias(f"q{i}") for i, f in enumerate(self._slice_by)]
+            found.append(F.count(times.parse_wall_time(F.when(times.may_be_time(text), text))).alias(f"p{i}"))
+        return found
+
+    def aggregates(self) -> list[Column]:
+        return [*self.counts(), *self.dates()]
 
     def facts(self, row: Row | Mapping[str, object]) -> ColumnFacts:
         return ColumnFacts(
@@ -114,14 +122,20 @@ def column_facts(df: DataFrame, find_dates: bool = False, slice_by: Sequence[str
 
 
 class Observed:
-    """Rows that are counted when they are written: write ``rows``, then ask for ``facts()``."""
+    """Rows that are counted when they are written: write ``rows``, then ask for ``facts()``.
+
+    Counts and dates are observed apart, since Spark updates all counters of an observation by one function, which may be too long to be compiled.
+    """
 
     def __init__(self, df: DataFrame, slice_by: Sequence[str] = ()):
-        self._counter, self._seen = Counter(df.schema, True, slice_by), Observation()
-        self.rows = df.observe(self._seen, *self._counter.aggregates())
+        self._counter = Counter(df.schema, True, slice_by)
+        self._seen = [(Observation(), found) for found in (self._counter.counts(), self._counter.dates()) if found]
+        self.rows = df
+        for seen, found in self._seen:
+            self.rows = self.rows.observe(seen, *found)
 
     def facts(self) -> ColumnFacts:
-        return self._counter.facts(self._seen.get)
+        return self._counter.facts({name: value for seen, _ in self._seen for name, value in seen.get.items()})
 
 
 def save(spark: SparkSession, path: str, found: ColumnFacts) -> None:

@@ -14,6 +14,8 @@ import math
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -214,8 +216,8 @@ def running_sums(
     return summed.withColumns({c: F.col(f"__sum_{c}") for c in columns}).select(*df.columns)
 
 
-def _known_values(df: DataFrame, columns: Sequence[str], key: str, bounds: Bounds) -> DataFrame:
-    """For every key with a gap: the last value at or before it, as ``__known_i``.
+def known_values(df: DataFrame, columns: Sequence[str], key: str, bounds: Bounds) -> DataFrame:
+    """For every key with a gap, as ``__key``: the last value at or before it, as ``__known_i``.
 
     Works on one narrow row per key, so repeated keys collapse before the shuffle.
     """
@@ -235,7 +237,7 @@ def _known_values(df: DataFrame, columns: Sequence[str], key: str, bounds: Bound
     united = data.withColumn(_ROW, F.lit(1)).unionByName(opening, allowMissingColumns=True)
     window = W.partitionBy(_SLICE).orderBy(F.col(_ROW), F.col(key)).rowsBetween(W.unboundedPreceding, W.currentRow)
     last = [F.last(c, ignorenulls=True).over(window).alias(c) for c in known]
-    return united.select(F.col(key).alias("__key"), _ROW, "__gap", *last).where((F.col(_ROW) == 1) & F.col("__gap"))
+    return united.select(F.col(key).alias("__key"), _ROW, "__gap", *last).where((F.col(_ROW) == 1) & F.col("__gap")).drop(_ROW, "__gap")
 
 
 def _join_spread(df: DataFrame, found: DataFrame, key: str, bounds: Bounds) -> DataFrame:
@@ -256,17 +258,19 @@ def _join_spread(df: DataFrame, found: DataFrame, key: str, bounds: Bounds) -> D
 
 
 def fill_forward(
-    df: DataFrame, columns: Sequence[str], key: str, offset_ms: int = 0, bounds: Bounds | None = None
+    df: DataFrame, columns: Sequence[str], key: str, offset_ms: int = 0, bounds: Bounds | None = None, known: DataFrame | None = None
 ) -> DataFrame:
     """Null becomes the last value before it in ``key`` order, ``offset_ms`` later.
 
     The offset does not add up over a run of nulls, and nulls before the first value stay. Rows
-    that share a key share its highest value. The wide rows move once, for the join on the key.
+    that share a key share its highest value. Wide rows with a gap move once, for the join on the key; the others stay where
+    they are. ``known`` may hold the ``known_values`` of these columns.
     """
     if not columns:
         return df
     bounds = bounds or slice_bounds(df, [key])
-    found = _known_values(df, columns, key, bounds).drop(_ROW, "__gap")
-    joined = _join_spread(df, found, key, bounds)
+    found = known_values(df, columns, key, bounds) if known is None else known
+    gap = reduce(or_, [F.col(c).isNull() for c in columns]) & F.col(key).isNotNull()
+    joined = _join_spread(df.where(gap), found, key, bounds)
     filled = {c: F.coalesce(F.col(c), times.shift(F.col(f"__known_{i}"), offset_ms)) for i, c in enumerate(columns)}
-    return joined.withColumns(filled).select(*[F.col(f"`{c}`") for c in df.columns])
+    return df.where(~gap).unionByName(joined.withColumns(filled).select(*[F.col(f"`{c}`") for c in df.columns]))

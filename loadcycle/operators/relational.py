@@ -116,14 +116,46 @@ def with_keys_of(df: DataFrame, key: str, keys: DataFrame, other: str) -> DataFr
         return df.where(F.col(key).isNotNull())
 
     def place(column: str) -> Column:
-        return F.pmod(F.xxhash64(F.col(column).cast("long") if whole else F.col(column)), F.lit(KEY_BITS))
+        return _place(F.col(column).cast("long") if whole else F.col(column))
 
-    bits = keys.where(F.col(other).isNotNull()).select(place(other).alias("__bit"))
-    maps = bits.groupBy(F.bitmap_bucket_number("__bit").alias("__map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__bit")).alias("__bits"))
-    at = F.bitmap_bit_position(place(key))
-    held = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maps = _bitmaps(keys.where(F.col(other).isNotNull()).select(place(other).alias("__bit")))
     rows = df.where(F.col(key).isNotNull()).join(F.broadcast(maps), F.bitmap_bucket_number(place(key)) == F.col("__map"))
-    return rows.where(F.getbit(held, (at % 8).cast("int")) == 1).drop("__map", "__bits")
+    return rows.where(_held(place(key))).drop("__map", "__bits")
+
+
+def _place(*columns: Column) -> Column:
+    """Place of a hash among the bits."""
+    return F.pmod(F.xxhash64(*columns), F.lit(KEY_BITS))
+
+
+def _bitmaps(places: DataFrame) -> DataFrame:
+    """The places in column ``__bit`` as bitmaps of 4 kB, 512 at the most."""
+    set_bits = F.bitmap_construct_agg(F.bitmap_bit_position("__bit")).alias("__bits")
+    return places.groupBy(F.bitmap_bucket_number("__bit").alias("__map")).agg(set_bits)
+
+
+def _held(place: Column) -> Column:
+    """Is the place's bit set in ``__bits``?"""
+    at = F.bitmap_bit_position(place)
+    held = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(held, (at % 8).cast("int")) == 1
+
+
+def repeated_marks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What more than one row has in these columns, as bitmaps of hashes: 2 MB, whatever the input. Only hashes are shuffled."""
+    hashes = df.select(F.xxhash64(*[F.col(f"`{c}`") for c in columns]).alias("__hash")).groupBy("__hash").agg(F.count(F.lit(1)).alias("__rows"))
+    return _bitmaps(hashes.where(F.col("__rows") > 1).select(F.pmod("__hash", F.lit(KEY_BITS)).alias("__bit")))
+
+
+def split_by_marks(df: DataFrame, columns: Sequence[str], marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that no other row equals in these columns, and rows that some other row may equal. Nothing of ``df`` is shuffled.
+
+    Rows that are equal in these columns go to the same side.
+    """
+    place = _place(*[F.col(f"`{c}`") for c in columns])
+    marked = df.join(F.broadcast(marks), F.bitmap_bucket_number(place) == F.col("__map"), "left")
+    repeated = F.coalesce(_held(place), F.lit(False))
+    return tuple(marked.where(x).select(*[F.col(f"`{c}`") for c in df.columns]) for x in (~repeated, repeated))
 
 
 # Joins --------------------------------------------------------------------------------------

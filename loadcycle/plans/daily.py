@@ -150,7 +150,7 @@ def refresh(tables: Mapping[str, DataFrame], folder: str, day: str, integer_divi
         for changed in [*redo, day]:
             period = _arrivals(tables, changed)
             later = every_id.where(F.col("day") > changed).select(F.col("id").alias("__later")).distinct()
-            cycles = raw.newest_cycles(period).join(later, F.col("id").eqNullSafe(F.col("__later")), "left_anti")
+            cycles = raw.newest_cycles(tables, period).join(later, F.col("id").eqNullSafe(F.col("__later")), "left_anti")
             asked = every_load.join(period.select("id_palas").distinct(), "id_palas", "left_semi")
             loading = keep_one(asked, ["id_palas"], [F.col("load_id").desc(), F.col("choice")]).drop("choice")
             observed = facts.Observed(raw.wide_cycles(tables, period, cycles, loading, machines, states, integer_division), SLICE_BY)

@@ -17,11 +17,15 @@ LOAD_START = "tiempo_inicio_carga_carguio"
 
 
 def write_raw(tables: Mapping[str, DataFrame], path: str, low, high, mode: str = "overwrite", fmt: str = "parquet", **how) -> None:
-    """The wide cycles, and beside them what the stage must know of all of them, counted on the way."""
-    observed = facts.Observed(haul_cycles(tables, low, high, **how), SLICE_BY)
-    spark = observed.rows.sparkSession
+    """The wide cycles, and beside them what the stage must know of all of them, counted on the way.
+
+    Scratch tables made for them go when they are written.
+    """
+    spark = next(iter(tables.values())).sparkSession
     before = facts.load(spark, path) if mode == "append" else None
-    write_table(observed.rows, path, mode, fmt)
+    with own_scratch(spark):
+        observed = facts.Observed(haul_cycles(tables, low, high, **how), SLICE_BY)
+        write_table(observed.rows, path, mode, fmt)
     found = observed.facts()
     facts.save(spark, path, found if before is None else before.plus(found, spark))
 
@@ -30,8 +34,9 @@ def write_stage(
     spark: SparkSession, raw: str, path: str, options: StageOptions = StageOptions(), mode: str = "overwrite", fmt: str = "parquet"
 ) -> None:
     """Each file is sorted by load start; readers that filter on it skip row groups."""
-    stage = stage_cycles(read_table(spark, raw, fmt), options, facts.load(spark, raw))
-    write_table(stage, path, mode, fmt, sort_by=[LOAD_START] if LOAD_START in stage.columns else [])
+    with own_scratch(spark):
+        stage = stage_cycles(read_table(spark, raw, fmt), options, facts.load(spark, raw))
+        write_table(stage, path, mode, fmt, sort_by=[LOAD_START] if LOAD_START in stage.columns else [])
 
 
 def write_judged_stage(spark: SparkSession, raw: str, path: str, options: StageOptions = StageOptions(), fmt: str = "parquet") -> dict[str, int]:
@@ -39,8 +44,9 @@ def write_judged_stage(spark: SparkSession, raw: str, path: str, options: StageO
 
     One pass writes both; the number of cycles that break each rule comes back.
     """
-    df, rules = judged_stage(read_table(spark, raw, fmt), options, facts.load(spark, raw))
-    return quarantine.write_judged(df, rules, path)
+    with own_scratch(spark):
+        df, rules = judged_stage(read_table(spark, raw, fmt), options, facts.load(spark, raw))
+        return quarantine.write_judged(df, rules, path)
 
 
 def write_presentation(spark: SparkSession, stage: str, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:

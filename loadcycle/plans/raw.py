@@ -156,18 +156,50 @@ def span_asked(loads: DataFrame) -> tuple:
 #: The cycle id as a join key that a row without an id has as well.
 _KEY = ["__key", "__none"]
 
+#: Columns of a cycle that stay beside its packed row, since choices and joins look at them.
+_BESIDE = ["id", "id_palas", "id_cargadescarga", "tiem_llegada", "id_turnocarga", "id_turnodescarga"]
 
-def newest_cycles(period: DataFrame) -> DataFrame:
-    """One row per cycle id: the newest arrival. The key columns are added."""
+
+def _wanted(role: str) -> list[str]:
+    """Columns of a role that the raw row shows."""
+    sources = [source.split(".") for source in fixed.RAW_COLUMNS.values()]
+    return list(dict.fromkeys(column for owner, column in sources if owner == role))
+
+
+def _packed(df: DataFrame, role: str, key: str = "id") -> DataFrame:
+    """The key as ``__role`` and what the raw row shows of it as one value, which joins copy whole instead of column by column."""
+    return df.select(F.col(key).alias(f"__{role}"), F.struct(*_wanted(role)).alias(role))
+
+
+def factors(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The highest factor of each id."""
+    known = tables["ta_factortonelaje"].where(F.col("id").isNotNull() & F.col("factor").isNotNull())
+    return keep_one(known, ["id"], [F.col("factor").desc(), by_content(known)])
+
+
+def _cycle_rows(tables: Mapping[str, DataFrame], period: DataFrame) -> DataFrame:
+    """The cycles packed, with their factor. One without a factor has neither, so that little of it is moved."""
+    rows = period.withColumn("__content", by_content(period))
+    rows = rows.join(_packed(factors(tables), "factor"), F.col("id_factor") == F.col("__factor"), "left")
+    shown = F.struct(*[c for c in _wanted("cycle") if c not in _BESIDE])
+    return rows.select(*_BESIDE, "__content", "factor", F.when(F.col("factor").isNotNull(), shown).alias("cycle"))
+
+
+def newest_cycles(tables: Mapping[str, DataFrame], period: DataFrame) -> DataFrame:
+    """One row per cycle id that has a factor: the newest arrival, packed. The key columns are added.
+
+    An id whose newest arrival has no factor goes, whatever its older ones have.
+    """
+    rows = _cycle_rows(tables, period)
     newest = [F.col(c).desc_nulls_last() for c in ("tiem_llegada", "id_cargadescarga", "id_palas")]
-    keyed = period.withColumns({"__key": F.coalesce(F.col("id"), F.lit(0).cast(period.schema["id"].dataType)), "__none": F.col("id").isNull()})
-    return keep_one(keyed, _KEY, [*newest, by_content(period)])
+    keyed = rows.withColumns({"__key": F.coalesce(F.col("id"), F.lit(0).cast(period.schema["id"].dataType)), "__none": F.col("id").isNull()})
+    return keep_one(keyed, _KEY, [*newest, F.col("__content")]).where(F.col("factor").isNotNull()).drop("__content")
 
 
-def _found_for(cycles: DataFrame, key: str, right: DataFrame) -> DataFrame:
+def _found_for(cycles: DataFrame, key: str, right: DataFrame, role: str) -> DataFrame:
     """``right``'s row for each cycle that has one, with the cycle's key: narrow rows that the wide ones meet by cycle."""
-    asked = cycles.where(F.col(key).isNotNull()).select(*[F.col(k).alias(f"{k}_of") for k in _KEY], F.col(key).alias("__asked"))
-    return asked.join(right, F.col("__asked") == F.col(key)).drop("__asked")
+    asked = cycles.where(F.col(key).isNotNull()).select(*[F.col(k).alias(f"__{role}{k}") for k in _KEY], F.col(key).alias("__asked"))
+    return asked.join(_packed(right, role, key), F.col("__asked") == F.col(f"__{role}")).drop("__asked", f"__{role}")
 
 
 def _attached(wide: DataFrame, cycles: DataFrame, key: str, right: DataFrame, role: str) -> DataFrame:
@@ -176,9 +208,9 @@ def _attached(wide: DataFrame, cycles: DataFrame, key: str, right: DataFrame, ro
     Cycles by id stay where they are and the rows found for them come by id. Where ids may repeat the wide rows move.
     """
     if _KEY[0] not in cycles.columns:
-        return left_join_spreading_nulls(wide, right.alias(role), f"cycle.{key}", f"{role}.{key}", "cycle.id")
-    same = " AND ".join(f"cycle.{k} = {role}.{k}_of" for k in _KEY)
-    return wide.join(_found_for(cycles, key, right).alias(role), F.expr(same), "left")
+        return left_join_spreading_nulls(wide, _packed(right, role, key), key, f"__{role}", "id")
+    same = " AND ".join(f"{k} = __{role}{k}" for k in _KEY)
+    return wide.join(_found_for(cycles, key, right, role), F.expr(same), "left")
 
 
 def haul_cycles(
@@ -200,7 +232,10 @@ def haul_cycles(
     low, high = F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")
     # the period first, so that it reaches the scan and no row outside it can stand for a cycle inside
     period = strictly_between(alive(tables["tp_cargadescarga"]), "tiem_llegada", low, high)
-    cycles = period if cycle_id_is_key else newest_cycles(period)
+    if cycle_id_is_key:
+        cycles = _cycle_rows(tables, period).where(F.col("factor").isNotNull())
+    else:
+        cycles = newest_cycles(tables, period)
 
     spark = period.sparkSession
     types, joined = together(
@@ -225,36 +260,34 @@ def wide_cycles(
     tables: Mapping[str, DataFrame], period: DataFrame, cycles: DataFrame, loading: DataFrame, machines: DataFrame, states: DataFrame,
     integer_division: bool = False,
 ) -> DataFrame:
-    """The cycles with everything that belongs to them. ``loading`` has one timed load per ``id_palas``."""
+    """The packed cycles with everything that belongs to them. ``loading`` has one timed load per ``id_palas``."""
     shifts = one_per_key(alive(tables["ts_turnos"]).select("id", "id_turnos", "nombre", "horaini", "horafin"), "id")
     nodes = alive(tables["tp_nodos"])
     load_nodes = one_per_key(nodes.where("loc_carga"), "id")
     dump_nodes = one_per_key(nodes.where("loc_descarga"), "id")
 
-    def left(df, right, role, condition):
-        return df.join(right.alias(role), F.expr(condition), "left")
+    def left(df, right, role, key, right_key="id"):
+        return df.join(_packed(right, role, right_key), F.col(key) == F.col(f"__{role}"), "left")
 
     # the two joins that move large tables come first, the small dimensions after them
     passes = with_keys_of(alive(tables["ta_datacarga_sensores"]), "id_cargadescarga", period, "id_cargadescarga")
-    wide = _attached(cycles.alias("cycle"), cycles, "id_palas", loading, "shovel")
+    wide = _attached(cycles, cycles, "id_palas", loading, "shovel")
     wide = _attached(wide, cycles, "id_cargadescarga", latest_per_key(passes, "id_cargadescarga", "id"), "passes")
 
-    factors = tables["ta_factortonelaje"].where(F.col("id").isNotNull() & F.col("factor").isNotNull())
-    factors = keep_one(factors, ["id"], [F.col("factor").desc(), by_content(factors)])
-    wide = wide.join(factors.alias("factor"), F.expr("cycle.id_factor = factor.id"))
-    wide = left(wide, one_per_key(tables["ts_locacion"], "id"), "location", "shovel.id_locacion = location.id")
-    wide = left(wide, one_per_key(tables["ts_poligono"], "id"), "polygon", "shovel.id_poligono = polygon.id")
-    wide = left(wide, load_nodes, "load_node", "location.id_nodo = load_node.id")
-    wide = left(wide, machines, "digger", "shovel.id_equipo_carguio = digger.id")
-    wide = left(wide, states, "shovel_state", "shovel.id_equipo_carguio = shovel_state.id_equipo")
-    wide = left(wide, machines, "truck", "cycle.id_equipo = truck.id")
-    wide = left(wide, shifts, "load_shift", "cycle.id_turnocarga = load_shift.id")
-    wide = left(wide, shifts, "dump_shift", "cycle.id_turnodescarga = dump_shift.id")
-    wide = left(wide, one_per_key(tables["ts_descarga"], "id"), "dump", "cycle.id_descarga = dump.id")
-    wide = left(wide, dump_nodes, "dump_node", "dump.id_nodo = dump_node.id")
-    wide = left(wide, states, "truck_state", "cycle.id_equipo = truck_state.id_equipo")
-
-    columns = [F.col(source).alias(name) for name, source in fixed.RAW_COLUMNS.items()]
+    wide = left(wide, one_per_key(tables["ts_locacion"], "id"), "location", "shovel.id_locacion")
+    wide = left(wide, one_per_key(tables["ts_poligono"], "id"), "polygon", "shovel.id_poligono")
+    wide = left(wide, load_nodes, "load_node", "location.id_nodo")
+    wide = left(wide, machines, "digger", "shovel.id_equipo_carguio")
+    wide = left(wide, states, "shovel_state", "shovel.id_equipo_carguio", "id_equipo")
+    wide = left(wide, machines, "truck", "cycle.id_equipo")
+    wide = left(wide, shifts, "load_shift", "id_turnocarga")
+    wide = left(wide, shifts, "dump_shift", "id_turnodescarga")
+    wide = left(wide, one_per_key(tables["ts_descarga"], "id"), "dump", "cycle.id_descarga")
+    wide = left(wide, dump_nodes, "dump_node", "dump.id_nodo")
+    wide = left(wide, states, "truck_state", "cycle.id_equipo", "id_equipo")
+
+    beside = {f"cycle.{c}": c for c in _BESIDE}
+    columns = [F.col(beside.get(source, source)).alias(name) for name, source in fixed.RAW_COLUMNS.items()]
     busy = F.col("shovel.tiempo_ready_cargando") + F.col("shovel.tiempo_ready_esperando")
     tonnage = F.col("cycle.tonelajevims")
     return wide.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from loadcycle.functions import numbers, text, times
 from loadcycle.operators import cleaning, ordered, outliers
 from loadcycle.operators.facts import ColumnFacts, column_facts
+from loadcycle.operators.relational import repeated_marks, split_by_marks
 from loadcycle.plans import fixed_values as fixed
 from loadcycle.sources.scratch import cut
 
@@ -52,13 +54,35 @@ def required_columns() -> list[str]:
     return sorted(named)
 
 
-def complete(raw: DataFrame, options: StageOptions, facts: ColumnFacts | None = None) -> DataFrame:
-    """Dates parsed, sparse columns gone, nulls filled, duplicates dropped."""
+@dataclass(frozen=True)
+class _Parts:
+    """The cycles in two parts: ``single`` ones, which cannot be duplicates, and the other ``kept`` ones, of which duplicates are gone.
+
+    ``unfilled`` are the single ones before the gaps in their times are filled.
+    """
+
+    single: DataFrame
+    kept: DataFrame
+    unfilled: DataFrame
+
+
+def _has_gaps(raw: DataFrame, column: str, facts: ColumnFacts) -> bool:
+    """May the time column have gaps? Unreadable text is one."""
+    there = facts.parsed.get(column, 0) if isinstance(raw.schema[column].dataType, T.StringType) else facts.present.get(column, 0)
+    return there < facts.rows
+
+
+def _parts(raw: DataFrame, options: StageOptions, facts: ColumnFacts | None, keep: Callable[[DataFrame, str], DataFrame] | None) -> _Parts:
+    """Dates parsed, sparse columns gone, nulls filled, duplicates dropped.
+
+    The wide rows stay where they are, but for those with a gap to fill, which move once, and those that may have a duplicate: rows whose
+    columns that the fill does not touch have the same hash. ``keep`` writes what several steps read; without it no job is started.
+    """
     spark = raw.sparkSession
     facts = facts or column_facts(raw, options.find_dates, SLICE_BY)
     nulls = facts.nulls(options.find_dates)
-    kind = raw.schema[SLICE_BY[0]].dataType
-    bounds = ordered.sketched_bounds(spark, kind, facts.sketches.get(SLICE_BY[0])) or ordered.slice_bounds(raw, SLICE_BY)
+    key = SLICE_BY[0]
+    bounds = ordered.sketched_bounds(spark, raw.schema[key].dataType, facts.sketches.get(key)) or ordered.slice_bounds(raw, SLICE_BY)
     df = cleaning.localize_dates(raw, options.zone, facts) if options.find_dates else raw
     df = cleaning.drop_sparse_columns(df, options.sparse_above, facts, options.find_dates).drop(*fixed.DROPPED_EARLY)
     have = set(df.columns)
@@ -66,23 +90,36 @@ def complete(raw: DataFrame, options: StageOptions, facts: ColumnFacts | None =
     if options.strict and missing:
         raise ValueError(f"columns absent or too sparse: {', '.join(missing)}")
 
-    df = cleaning.impute_mode(df, [c for c in fixed.MODE_COLUMNS if c in have])
+    df = cleaning.impute_mode(df, [c for c in fixed.MODE_COLUMNS if c in have], lazily=keep is None)
     dates = [c for c in fixed.DATE_COLUMNS if c in have]
     as_time = {c: times.parse_wall_time(F.col(c)) for c in dates if isinstance(df.schema[c].dataType, T.StringType)}
     df = cleaning.without_zones(df.withColumns(as_time) if as_time else df)
-    df = ordered.fill_forward(df, dates, "id_ciclo_acarreo", fixed.FILL_OFFSET_MS, bounds)
-    df = cleaning.shift_timestamps(df, dates, fixed.SHIFT_MS)
     flags = [c for c in fixed.FLAG_COLUMNS if c in have]
     # a boolean with gaps is no criterion for duplicates
     gappy = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)
              and f.name not in fixed.MODE_COLUMNS and nulls.get(f.name)]
-    # an untouched id keeps the partitioning of the fill's join, which the deduplication then reuses:
-    # one wide shuffle instead of two. A heavy id needs the second one, to be thinned out before it.
-    plain_id = not bounds.heavy and not nulls["id_ciclo_acarreo"]
-    df = cleaning.fill_zero(df, skip=[*flags, "id_ciclo_acarreo"] if plain_id else flags)
+    df = cleaning.fill_zero(df, skip=[*flags, key])
     subset = cleaning.comparable_columns(df, exclude=gappy)
-    first = [F.col("id_ciclo_acarreo").asc_nulls_last()]
-    return cleaning.drop_duplicates_first(df, subset, first, ["id_ciclo_acarreo"])
+
+    to_fill = [c for c in dates if _has_gaps(raw, c, facts)]
+    untouched = [c for c in subset if c not in to_fill and (c != key or not nulls[key])]
+    known, marks = ordered.known_values(df, to_fill, key, bounds) if to_fill else None, repeated_marks(df, untouched)
+    if keep:
+        known, marks = known and keep(known, "known-values"), keep(marks, "repeated-marks")
+
+    def filled(rows: DataFrame) -> DataFrame:
+        rows = ordered.fill_forward(rows, to_fill, key, fixed.FILL_OFFSET_MS, bounds, known)
+        return cleaning.fill_zero(cleaning.shift_timestamps(rows, dates, fixed.SHIFT_MS), skip=flags)
+
+    unfilled, repeated = split_by_marks(df, untouched, marks)
+    kept = cleaning.drop_duplicates_first(filled(repeated), subset, [F.col(key).asc_nulls_last()], [key])
+    return _Parts(filled(unfilled), keep(kept, "kept-of-repeated") if keep else kept, unfilled)
+
+
+def complete(raw: DataFrame, options: StageOptions, facts: ColumnFacts | None = None) -> DataFrame:
+    """Dates parsed, sparse columns gone, nulls filled, duplicates dropped."""
+    parts = _parts(raw, options, facts, None)
+    return parts.single.unionByName(parts.kept)
 
 
 def _types() -> dict[str, str]:
@@ -100,10 +137,11 @@ def _with(df: DataFrame, name: str, needs: list[str], build) -> DataFrame:
     return df.withColumn(name, build(*[F.col(f"`{c}`") for c in needs]))
 
 
-def enrich(df: DataFrame, options: StageOptions) -> DataFrame:
-    """Typed, renamed, with the derived columns."""
+def enrich(df: DataFrame, options: StageOptions, votes: DataFrame | None = None) -> DataFrame:
+    """Typed, renamed, with the derived columns. ``votes`` may hold the flags of all rows apart."""
     df = cleaning.cast_columns(df, _types())
-    df = cleaning.normalize_flag(df, [c for c in fixed.FLAG_COLUMNS if c in df.columns], options.legacy_zero)
+    votes = votes and cleaning.cast_columns(votes, _types())
+    df = cleaning.normalize_flag(df, [c for c in fixed.FLAG_COLUMNS if c in df.columns], options.legacy_zero, votes)
     df = _with(df, "tonelajevims", ["tonelajevims"], lambda t: numbers.rescale(t, 10))
     df = df.withColumnsRenamed(fixed.STAGE_NAMES)
 
@@ -160,9 +198,9 @@ def _finished(df: DataFrame) -> DataFrame:
 def stage_cycles(raw: DataFrame, options: StageOptions = StageOptions(), facts: ColumnFacts | None = None) -> DataFrame:
     """Raw cycles to stage cycles.
 
-    ``raw`` should be a written table: it is scanned for the modes and for the rows, and for ``facts`` if
-    they were not taken when it was written. The deduplicated rows are written to the scratch folder once, because the flags' modes are
-    taken over them and would otherwise repeat the fill and the deduplication.
+    ``raw`` should be a written table: it is scanned for the modes, for possible duplicates and for the rows, and for ``facts`` if
+    they were not taken when it was written. Its wide rows are not written again: only narrow tables that several steps read, and
+    rows that may have duplicates, go to the scratch folder. So rules and choices of columns reach the scan of ``raw``.
     """
     df, rules = plausibility(_enriched(raw, options, facts), options)
     for rule in rules.values():
@@ -171,7 +209,12 @@ def stage_cycles(raw: DataFrame, options: StageOptions = StageOptions(), facts:
 
 
 def _enriched(raw: DataFrame, options: StageOptions, facts: ColumnFacts | None) -> DataFrame:
-    return enrich(cut(complete(raw, options, facts), "stage"), options)
+    parts = _parts(raw, options, facts, cut)
+    df = parts.single.unionByName(parts.kept)
+    flags = [c for c in fixed.FLAG_COLUMNS if c in df.columns]
+    # filling times changes no flag
+    votes = cut(parts.unfilled.select(*flags).unionByName(parts.kept.select(*flags)), "flags") if flags else None
+    return enrich(df, options, votes)
 
 
 def judged_stage(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -82,10 +83,34 @@ def remove(spark: SparkSession, path: str) -> None:
     store.delete(place, True)
 
 
+#: Spark's setting by which an execution's shuffle files go when it ends, instead of when the driver next collects garbage.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_WRITES: dict[str, object] = {"lock": threading.Lock(), "under way": 0, "before": None}
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Writes inside leave no shuffle files behind: nobody can read them again. The session's setting is put back."""
+    with _WRITES["lock"]:
+        if not _WRITES["under way"]:
+            _WRITES["before"] = spark.conf.get(_RELEASE, None)
+            spark.conf.set(_RELEASE, "true")
+        _WRITES["under way"] += 1
+    try:
+        yield
+    finally:
+        with _WRITES["lock"]:
+            _WRITES["under way"] -= 1
+            if not _WRITES["under way"]:
+                before = _WRITES["before"]
+                spark.conf.unset(_RELEASE) if before is None else spark.conf.set(_RELEASE, before)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write once, read back: later steps prune columns on the written table and survive lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from loadcycle.sources import csv_records, manifest
 from loadcycle.sources.manifest import wider
+from loadcycle.sources.scratch import shuffles_released
 
 __all__ = [
     "key_ranges", "read_csv", "read_jdbc", "read_parquet", "read_parquet_folder", "read_table", "run_query", "use_time_zone", "wider",
@@ -145,4 +146,5 @@ def write_table(
     out = df if partitions is None else df.repartition(partitions)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    out.write.format(fmt).mode(mode).save(path)
+    with shuffles_released(df.sparkSession):
+        out.write.format(fmt).mode(mode).save(path)

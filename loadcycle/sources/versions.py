@@ -14,7 +14,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from loadcycle.sources.scratch import read_text, remove, write_text
+from loadcycle.sources.scratch import read_text, remove, shuffles_released, write_text
 
 FILE = "_current.json"
 
@@ -38,7 +38,8 @@ def current(spark: SparkSession, path: str) -> Version:
 def stage_part(df: DataFrame, path: str, part: str, partition_by: Iterable[str] = ()) -> str:
     """Writes the rows of a part to a folder that no reader knows yet, and gives its name."""
     folder = f"{part}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{folder}")
+    with shuffles_released(df.sparkSession):
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{folder}")
     return folder
 
 
