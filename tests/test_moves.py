@@ -10,6 +10,7 @@ from loadcycle.functions import times
 from loadcycle.operators import facts, ordered
 from loadcycle.operators import relational as rel
 from loadcycle.plans import layers, stage
+from loadcycle.plans.presentation import presentation
 from loadcycle.plans.raw import haul_cycles
 from loadcycle.sources.scratch import _RELEASE, cut, scratch_path, shuffles_released
 
@@ -115,3 +116,16 @@ def test_every_text_that_can_be_read_as_a_time_passes_the_cheap_test(spark):
     read, passed = times.parse_wall_time(F.col("t")).isNotNull(), F.coalesce(times.may_be_time(F.col("t")), F.lit(False))
     assert rows.where(read & ~passed).count() == 0 < rows.where(read & passed).count()
     assert rows.where(F.col("t") == "word").where(passed).count() == 0
+
+
+def _new_tables(spark, work):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(folder))
+    work()
+    return {name for name in set(os.listdir(folder)) - before if os.listdir(f"{folder}/{name}")}
+
+
+def test_the_judged_stage_leaves_its_own_table_only(spark, raw):
+    path = scratch_path(spark, "judged")
+    new = _new_tables(spark, lambda: layers.write_judged_stage(spark, raw, path, stage.StageOptions(min_passes=4)))
+    assert {name for name in new if not name.startswith("run-")} == {os.path.basename(path)}
