@@ -129,3 +129,10 @@ def test_the_judged_stage_leaves_its_own_table_only(spark, raw):
     path = scratch_path(spark, "judged")
     new = _new_tables(spark, lambda: layers.write_judged_stage(spark, raw, path, stage.StageOptions(min_passes=4)))
     assert {name for name in new if not name.startswith("run-")} == {os.path.basename(path)}
+
+
+def test_rules_of_the_presentation_reach_the_scan_of_the_raw_layer(spark, raw):
+    shown = presentation(stage.stage_cycles(spark.read.parquet(raw), facts=facts.load(spark, raw)))
+    assert os.path.basename(raw) in " ".join(shown.inputFiles())
+    filters = [line for line in _plan(shown).split("\n") if "PushedFilters" in line and "tonelajevims" in line.split("ReadSchema")[0]]
+    assert filters
