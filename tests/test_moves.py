@@ -136,3 +136,11 @@ def test_rules_of_the_presentation_reach_the_scan_of_the_raw_layer(spark, raw):
     assert os.path.basename(raw) in " ".join(shown.inputFiles())
     filters = [line for line in _plan(shown).split("\n") if "PushedFilters" in line and "tonelajevims" in line.split("ReadSchema")[0]]
     assert filters
+
+
+def test_fewest_passes_without_dates_read_the_raw_layer(spark, raw):
+    options = stage.StageOptions(min_passes=4, find_dates=False)
+    staged = stage.stage_cycles(spark.read.parquet(raw), options, facts.load(spark, raw))
+    assert os.path.basename(raw) in " ".join(staged.inputFiles())
+    plain = stage.stage_cycles(spark.read.parquet(raw), options)  # without facts, gaps are looked for in every text that becomes a time
+    assert sorted(map(str, staged.collect())) == sorted(map(str, plain.collect()))
