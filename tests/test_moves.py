@@ -144,3 +144,17 @@ def test_fewest_passes_without_dates_read_the_raw_layer(spark, raw):
     assert os.path.basename(raw) in " ".join(staged.inputFiles())
     plain = stage.stage_cycles(spark.read.parquet(raw), options)  # without facts, gaps are looked for in every text that becomes a time
     assert sorted(map(str, staged.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_joins_of_small_tables_copy_few_values(spark, small):
+    """Every joined row holds packed rows and keys, not a hundred columns."""
+    top = haul_cycles(mine(spark, small), *PERIOD)._jdf.queryExecution().optimizedPlan()
+    assert top.output().size() == 156
+    assert top.children().head().output().size() < 30
+
+
+def test_counts_and_dates_are_observed_apart(spark, raw):
+    observed = facts.Observed(spark.read.parquet(raw), ["id_ciclo_acarreo"])
+    assert _plan(observed.rows).count("CollectMetrics") == 2
+    observed.rows.write.format("noop").mode("overwrite").save()
+    assert observed.facts().rows == facts.load(spark, raw).rows
